@@ -17,10 +17,12 @@ link with another at similarity t: at most e = n - ceil(t n) of its tokens are m
 The frequencies come from hashed counts of a fixed size over all documents. They only order tokens:
 an error makes no link go missing. Candidates that share a signature are verified on whole sets.
 
-Sets that are equal are one class from the start. Within the sets of one signature, all are compared
-with the smallest id first; then with the next; whatever sets are then still in different components
-are compared pair by pair. Sets that are known to be connected aren't compared again, so that a
-group of m near copies takes about m comparisons and not the square.
+Sets that are equal are one class from the start. Of the sets that share a signature the one of the
+smallest id is the *pivot*. All sets are first compared with their pivots. Two sets that share a
+signature share its pivot, so that what is left lies among one pivot's sets: those outside its
+component are compared with each other and with those inside, in blocks of a bounded size that meet
+by pairs of blocks. A group of m near copies takes about m comparisons and not the square, pairs are
+never rows, and no group meets in one task.
 """
 
 from __future__ import annotations
@@ -40,8 +42,8 @@ from mesaquery.llm.tokens import texts_of
 CELLS = 1 << 18
 #: Words after which a worker's cache of word hashes starts anew, which bounds its memory.
 CACHE_WORDS = 500_000
-#: Rounds in which each signature's sets are compared with one of them only.
-PIVOT_ROUNDS = 2
+#: Documents, and shingles, of one of the blocks that are compared in one task.
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 250_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -132,7 +134,7 @@ def signatures_of(s: np.ndarray, weight: np.ndarray, limit: int, percent: int) -
     levels = [level] + [level - 1] * (level > 2 and n * percent <= 100 * ((1 << level - 1) - 1))
     for at in levels:
         m = max(1, missing(1 << at, percent) // 8)
-        salt = mix(np.array([at], np.uint64))[0]
+        salt = mix(np.array([at], np.uint64))
         dealt = (mix(often ^ salt) % np.uint64(m)).astype(np.int64)
         earlier: dict[int, list[int]] = {}
         worth, pairs_of = rare, []
@@ -145,7 +147,7 @@ def signatures_of(s: np.ndarray, weight: np.ndarray, limit: int, percent: int) -
             if worth >= need:
                 break
         for i, before in pairs_of:
-            out.append(mix(mix(often[before] ^ salt) + mix(often[i] + salt)))
+            out.append(mix(mix(often[before] ^ salt) + mix(often[i : i + 1] + salt)))
     return np.unique(np.concatenate(out))
 
 
@@ -154,42 +156,99 @@ def _signatures(docs: DataFrame, weight: np.ndarray, limit: int, n: int, percent
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, found = [], [], []
+            ids, found = [], []
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 s = shingles(text, n)
                 sig = signatures_of(s, shared.value, limit, percent)
                 ids.append(np.full(len(sig), doc, np.int64))
-                sizes.append(np.full(len(sig), len(s), np.int32))
                 found.append(sig)
             if found:
-                yield pa.RecordBatch.from_pydict({"doc": np.concatenate(ids), "n": np.concatenate(sizes), "sig": np.concatenate(found).view(np.int64)})
+                yield pa.RecordBatch.from_pydict({"doc": np.concatenate(ids), "sig": np.concatenate(found).view(np.int64)})
 
-    return docs.mapInArrow(sign, "doc long, n int, sig long")
+    return docs.mapInArrow(sign, "doc long, sig long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of the saved ``pairs`` (a, b) those whose whole sets are similar enough."""
-    ids = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "involved")
-    texts = with_small(docs.select("doc_id", "text"), ids, ["doc_id"], "left_semi")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+def _linked(ids: list[int], comps: list[int], texts: list[bytes | None], side: np.ndarray, n: int, percent: int) -> list[tuple[int, int]]:
+    """Links from rows of side 0 to those of side 1, or among those of side 0 where there is no 1.
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, None
-        for batch in batches:
-            keep = []
-            for x, y in zip(*(texts_of(batch.column(batch.schema.get_field_index(c))) for c in ("text_b", "text_a")), strict=True):
-                if x is not last:
-                    if x != last:
-                        last_set = shingles(x, n)
-                    last = x
-                other = shingles(y, n)
-                both = len(np.intersect1d(last_set, other, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(last_set) + len(other) - both))
-            yield pa.RecordBatch.from_pydict({c: batch.column(batch.schema.get_field_index(c)) for c in ("a", "b")}).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(verify, "a long, b long")
+    Of the links only those that join components not known to be joined.
+    """
+    sets = [shingles(t, n) for t in texts]
+    sizes = np.array([len(x) for x in sets])
+    found, of_set = np.unique(np.concatenate(sets), return_inverse=True)
+    useful = np.bincount(of_set, minlength=len(found)) > 1
+    place = np.cumsum(useful) - 1
+    bits = np.zeros((len(sets), max(1, -(-int(useful.sum()) // 64)) * 8), np.uint8)
+    for i, part in enumerate(np.split(of_set, np.cumsum(sizes)[:-1])):
+        row = np.zeros(bits.shape[1] * 8, bool)
+        row[place[part[useful[part]]]] = True
+        bits[i] = np.packbits(row)
+    words = bits.view(np.uint64)
+    root = {c: c for c in comps}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    left, right, out = np.flatnonzero(side == 0), np.flatnonzero(side == 1), []
+    for k, i in enumerate(left):
+        others = right if len(right) else left[k + 1 :]
+        both = np.bitwise_count(words[i] & words[others]).sum(1, dtype=np.int64)
+        for j in others[(both > 0) & (100 * both >= percent * (sizes[i] + sizes[others] - both))]:
+            x, y = top(comps[i]), top(comps[j])
+            if x != y:
+                root[x] = y
+                out.append((ids[i], ids[j]))
+    return out
+
+
+def _compared(assigned: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) among the saved ``assigned`` (meet, side, doc_id, comp) rows of each ``meet``."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, comps = group.column("doc_id").to_pylist(), group.column("comp").to_pylist()
+        found = _linked(ids, comps, texts_of(group.column("text").combine_chunks()), group.column("side").to_numpy(), n, percent)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    texts = with_small(docs.select("doc_id", "text"), assigned, ["doc_id"], "inner")
+    return saved(texts.select("meet", "side", "doc_id", "comp", "text").groupBy("meet").applyInArrow(compare, "a long, b long"), "links")
+
+
+def _blocks(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Add ``h`` to rows with doc and n, so that rows of one (by, h) are few and not too long."""
+    sums = rows.groupBy(*by).agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    return rows.join(sums, by).withColumn("h", F.pmod(F.xxhash64("doc", F.lit("block")), "blocks"))
+
+
+def _pivot_stars(members: DataFrame, percent: int) -> DataFrame:
+    """Meetings of each pivot with blocks of those of its sets that are of a fitting size."""
+    fitting = members.where("doc <> p").where(f"100 * least(n, pn) >= {percent} * greatest(n, pn)")
+    blocks = _blocks(fitting, ["p"])
+    meet = F.concat_ws("/", "p", "h").alias("meet")
+    pivots = blocks.select("p", "h").distinct().select(meet, F.lit(0).alias("side"), F.col("p").alias("doc_id"), F.col("p").alias("comp"))
+    return saved(blocks.select(meet, F.lit(1).alias("side"), F.col("doc").alias("doc_id"), F.col("doc").alias("comp")).union(pivots), "assigned")
+
+
+def _left_over(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Meetings of blocks of one pivot's sets, for pairs that aren't in one component."""
+    label = labels.select(F.col("node").alias("doc"), "component")
+    known = with_small(members.where("doc <> p"), label, ["doc"], "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
+    of_pivot = labels.select(F.col("node").alias("p"), F.col("component").alias("of_p"))
+    known = saved(with_small(known, of_pivot, ["p"], "left").withColumn("inside", F.coalesce("of_p", "p") == F.col("comp")), "known")
+    several = known.groupBy("p").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("p")
+    # Sets that link differ by less than one of these levels.
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    rows = saved(_blocks(known.join(several, "p").withColumn("level", level).select("p", "doc", "n", "comp", "inside", "level"), ["p", "inside", "level"]), "rows")
+    blocks = saved(rows.select("p", "inside", "level", "h").distinct(), "blocks")
+    one = blocks.where("NOT inside").select("p", F.col("level").alias("level1"), F.col("h").alias("h1"))
+    two = blocks.select("p", "inside", F.col("level").alias("level2"), F.col("h").alias("h2"))
+    met = one.join(two, "p").where("abs(level1 - level2) <= 1 AND (inside OR level1 < level2 OR level1 = level2 AND h1 <= h2)")
+    met = saved(met.withColumn("meet", F.concat_ws("/", "p", "level1", "h1", "inside", "level2", "h2")), "met")
+    first = met.select("meet", F.lit(0).alias("side"), "p", F.lit(False).alias("inside"), F.col("level1").alias("level"), F.col("h1").alias("h"))
+    second = met.where("inside OR level1 <> level2 OR h1 <> h2").select("meet", F.lit(1).alias("side"), "p", "inside", F.col("level2").alias("level"), F.col("h2").alias("h"))
+    both = rows.join(first.union(second), ["p", "inside", "level", "h"])
+    return saved(both.select("meet", "side", F.col("doc").alias("doc_id"), "comp"), "assigned")
 
 
 def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85, frequent: float = 0.02, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,36 +276,13 @@ def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85, frequent: flo
 
     signed = saved(_signatures(distinct, weight, limit, n, percent), "signatures")
     firsts = signed.groupBy("sig").agg(F.min("doc").alias("p"), F.max("doc").alias("last")).where("p <> last").select("sig", "p")
-    # Only signatures that at least two sets share go on.
-    sizes = classes.select(F.col("rep").alias("p"), F.col("size").cast("int").alias("pn"))
-    members = saved(with_small(signed.join(firsts, "sig"), sizes, ["p"], "inner", n_classes).select("sig", "doc", "n", "p", "pn"), "members")
-    close = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
-    links = None
-    labels: DataFrame | None = None
-    tried = None
-    for round_ in range(PIVOT_ROUNDS + 1):
-        if round_ == PIVOT_ROUNDS:
-            one = members.select("sig", F.col("doc").alias("a"), "n", F.col("component").alias("ca"))
-            two = members.select("sig", F.col("doc").alias("b"), F.col("n").alias("pn"), F.col("component").alias("cb"))
-            pairs = one.join(two, "sig").where("a > b AND ca <> cb").where(close).select("a", "b")
-        else:
-            pairs = members.where("doc <> p").where(close).select(F.greatest("doc", "p").alias("a"), F.least("doc", "p").alias("b"))
-        pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = saved(_verified(pairs, ided, n, percent), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        if round_ == PIVOT_ROUNDS:
-            break
-        # What is left of each signature: its sets but for the pivot, if of several components.
-        label = labels.select(F.col("node").alias("doc"), "component")
-        rest = with_small(members.where("doc <> p").select("sig", "doc", "n"), label, ["doc"], "left").withColumn("component", F.coalesce("component", "doc"))
-        rest = saved(rest, "rest")
-        firsts = rest.groupBy("sig").agg(F.min("doc").alias("p"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("sig", "p")
-        members = saved(with_small(rest.join(firsts, "sig"), sizes, ["p"], "inner", n_classes).select("sig", "doc", "n", "component", "p", "pn"), "members")
-        if members.isEmpty():
-            break
+    shared = signed.join(firsts, "sig").select("p", "doc").distinct()
+    sizes = classes.select(F.col("rep").alias("doc"), F.col("size").alias("n"))
+    sized = with_small(shared, sizes, ["doc"], "inner", n_classes)
+    members = saved(with_small(sized, sizes.toDF("p", "pn"), ["p"], "inner", n_classes), "members")
+    links = _compared(_pivot_stars(members, percent), ided, n, percent)
+    rest = _left_over(members, components(links), percent)
+    labels = components(links.union(_compared(rest, ided, n, percent)))
     grouped = with_small(classes, labels.select(F.col("node").alias("rep"), "component"), ["rep"], "left")
     result = with_small(rows, grouped.select("digest", F.coalesce("component", "rep").alias("component")), ["digest"], "left", n_classes)
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
