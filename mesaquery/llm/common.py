@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +16,25 @@ BROADCAST_ROWS = 500_000
 BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
 
 _own: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package once for each application, wherever the driver found it."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="mesaquery-")) / "mesaquery.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent).as_posix())
+        spark.sparkContext.addPyFile(str(target))
+        _shipped.add(app)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table; also sets the size of Arrow batches for Python stages."""
+    """One input table; also sets up the session for Python stages."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
