@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -25,9 +25,13 @@ from pyspark.sql import functions as F
 
 from mesaquery.llm.decontaminate import LOWER, UPPER
 
-#: Labelled words. Those of unwanted sites, and those of ordinary ones.
-BLOCKED = "adult xxx porn sex nude escort cam casino poker bet bets betting gambling slots jackpot lottery win pills viagra cialis pharmacy cheap replica spam farm seo backlinks warez crack keygen torrent payday loans free hookup dating".split()
-ALLOWED = "www blog news shop home about contact science sport culture health travel food music art books school university library museum city weather market research press media forum wiki docs help support article story page index html en de fr es example com org net".split()
+#: Labelled words, and how often labelled sites of their kind hold them. Words that
+#: all kinds of sites hold (www, com, en) aren't labelled and so tell nothing.
+STRONG = "adult xxx porn sex nude escort casino poker gambling slots jackpot viagra cialis pharmacy warez keygen hookup".split()
+WEAK = "cam bet bets betting lottery win pills cheap replica spam farm seo backlinks crack torrent payday loans free dating".split()
+ORDINARY = "news science sport culture health travel food music art books school university library museum city weather market research press media forum wiki article story".split()
+BLOCKED = {w: 30 for w in STRONG} | {w: 8 for w in WEAK}
+ALLOWED = {w: 8 for w in ORDINARY}
 TOKENS = re.compile(r"[a-z]+")
 LONGEST_WORD = 24
 #: Prior odds of an unwanted site.
@@ -88,7 +92,7 @@ class Words:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
-def fit(urls: DataFrame, blocked: Sequence[str] = BLOCKED, allowed: Sequence[str] = ALLOWED, vocabulary: int = 100_000) -> Words:
+def fit(urls: DataFrame, blocked: Mapping[str, int] = BLOCKED, allowed: Mapping[str, int] = ALLOWED, vocabulary: int = 100_000) -> Words:
     """Word counts over the tokens of all URLs (host, path columns) and the labelled words."""
     tokens = urls.select(F.explode(F.regexp_extract_all(F.concat_ws("/", "host", F.translate("path", UPPER, LOWER)), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
     top = tokens.groupBy("word").count().orderBy(F.desc("count"), "word").limit(vocabulary).collect()
@@ -98,11 +102,11 @@ def fit(urls: DataFrame, blocked: Sequence[str] = BLOCKED, allowed: Sequence[str
         counts[w] = counts.get(w, 0.0) + labelled
     total = sum(counts.values())
 
-    def bayes(words: Sequence[str]) -> dict[str, float]:
-        size = len({*blocked, *allowed})
-        return {w: math.log((1 + words.count(w)) / (len(words) + size)) for w in words} | {"": math.log(1 / (len(words) + size))}
+    def bayes(words: Mapping[str, int]) -> dict[str, float]:
+        size = sum(words.values()) + len({*blocked, *allowed})
+        return {w: math.log((1 + n) / size) for w, n in words.items()} | {"": math.log(1 / size)}
 
-    return Words({w: math.log(n / total) for w, n in counts.items()}, total, bayes(list(blocked)), bayes(list(allowed)))
+    return Words({w: math.log(n / total) for w, n in counts.items()}, total, bayes(blocked), bayes(allowed))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", model: Words | None = None) -> DataFrame:
