@@ -2,7 +2,8 @@
 
 The tokenizer's splitting pattern never crosses white space and its normaliser composes nothing
 across it, so that the ids of a text are those of its white-space-separated words in a row. Only
-words that a worker hasn't met yet go through the tokenizer itself.
+words that a worker hasn't met yet go through the tokenizer itself, many at a time with a separator
+between them whose id no other text gives.
 """
 
 from __future__ import annotations
@@ -12,14 +13,22 @@ from itertools import chain
 import numpy as np
 
 #: Words after which a worker's cache starts anew: a bound on memory, without effect on ids.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
+#: Words that are encoded as one text, with a separator in between.
+JOINED = 128
+_SEPARATOR, _PROBE = "\x00", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 class WordIds:
     def __init__(self, tokenizer_file: str, cache_words: int = CACHE_WORDS):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has its own core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.lowers = self._ids([_PROBE]) == self._ids([_PROBE.lower()])
+        self.separator = self._ids([_SEPARATOR])[0]
         self.cache_words = cache_words
         self._reset()
 
@@ -32,7 +41,8 @@ class WordIds:
         """All ids in a row, and where each text's ids start (one more entry than texts)."""
         if len(self.index) > self.cache_words:
             self._reset()
-        words = [(t or b"").split() for t in texts]
+        # Words that the tokenizer itself lower-cases are cached in one form.
+        words = [(t or b"").lower().split() for t in texts] if self.lowers else [(t or b"").split() for t in texts]
         n_words = np.fromiter(map(len, words), np.int64, len(words))
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
         self._learn()
@@ -41,15 +51,30 @@ class WordIds:
         flat = self.ids[np.repeat(first - stops[:-1], n_ids) + np.arange(stops[-1])]
         return flat, stops[np.concatenate(([0], np.cumsum(n_words)))]
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        return [e.ids for e in encode(texts, add_special_tokens=False)]
+
     def _learn(self) -> None:
         if not self.new:
             return
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        ids = [e.ids for e in encode([w.decode() for w in self.new], add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum()))))
-        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(n)))
+        words = [w.decode() for w in self.new]
         self.new.clear()
+        flat: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for group, ids in zip(groups, self._ids([f" {_SEPARATOR} ".join(g) for g in groups]), strict=True):
+            got = np.array(ids, np.uint32)
+            cuts = np.flatnonzero(got == self.separator[0]) if len(self.separator) == 1 else np.empty(0, np.int64)
+            if len(cuts) != len(group) - 1:  # a word holds the separator, or it isn't one id
+                alone = self._ids(group)
+                flat.append(np.array([*chain.from_iterable(alone)], np.uint32))
+                counts.append(np.array([*map(len, alone)], np.int64))
+            else:
+                flat.append(np.delete(got, cuts))
+                counts.append(np.diff(np.concatenate(([-1], cuts, [len(got)]))) - 1)
+        self.ids = np.concatenate((self.ids, *flat))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(np.concatenate(counts))))
 
 
 class _Index(dict):
