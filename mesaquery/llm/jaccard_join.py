@@ -22,12 +22,13 @@ smallest id is the *pivot*. All sets are first compared with their pivots. Two s
 signature share its pivot, so that what is left lies among one pivot's sets: those outside its
 component are compared with each other and with those inside, in blocks of a bounded size that meet
 by pairs of blocks. A group of m near copies takes about m comparisons and not the square, pairs are
-never rows, and no group meets in one task.
+never rows, and no group meets in one task. Histograms of the sets' hashes, which bound an overlap
+from above, rule out most pairs before their texts are read; whole sets decide on the rest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ CELLS = 1 << 18
 CACHE_WORDS = 500_000
 #: Documents, and shingles, of one of the blocks that are compared in one task.
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 250_000
+#: Bars of the histogram that rules out most pairs before their texts are read.
+BARS = 256
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -112,6 +115,11 @@ def _sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     return saved(rows.mapInArrow(measure, "doc_id long, tie long, n long, digest binary, cell int"), "sets")
 
 
+def histogram(s: np.ndarray) -> np.ndarray:
+    """Counts of a set's hashes by their top bits. The sum of two histograms' minima bounds an overlap."""
+    return np.bincount((s >> np.uint64(64 - BARS.bit_length() + 1)).astype(np.int64), minlength=BARS).astype("<i4" if len(s) > 30_000 else "<i2")
+
+
 def missing(n: int, percent: int) -> int:
     """Tokens of a set of n that a linked set can lack at most."""
     return n - -(-n * percent // 100)
@@ -156,16 +164,19 @@ def _signatures(docs: DataFrame, weight: np.ndarray, limit: int, n: int, percent
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, found = [], []
+            ids, found, bars = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 s = shingles(text, n)
                 sig = signatures_of(s, shared.value, limit, percent)
                 ids.append(np.full(len(sig), doc, np.int64))
                 found.append(sig)
+                bars.append(histogram(s).tobytes())
             if found:
-                yield pa.RecordBatch.from_pydict({"doc": np.concatenate(ids), "sig": np.concatenate(found).view(np.int64)})
+                flat = np.concatenate(found).view(np.int64)
+                yield pa.RecordBatch.from_pydict({"doc": pa.array(np.concatenate(ids)), "sig": pa.array(flat), "bars": pa.nulls(len(flat), pa.binary())})
+                yield pa.RecordBatch.from_pydict({"doc": batch.column(0), "sig": pa.nulls(len(bars), pa.int64()), "bars": pa.array(bars, pa.binary())})
 
-    return docs.mapInArrow(sign, "doc long, sig long")
+    return docs.mapInArrow(sign, "doc long, sig long, bars binary")
 
 
 def _linked(ids: list[int], comps: list[int], texts: list[bytes | None], side: np.ndarray, n: int, percent: int) -> list[tuple[int, int]]:
@@ -203,16 +214,65 @@ def _linked(ids: list[int], comps: list[int], texts: list[bytes | None], side: n
     return out
 
 
-def _compared(assigned: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) among the saved ``assigned`` (meet, side, doc_id, comp) rows of each ``meet``."""
+def _could_link(comps: np.ndarray, bars: list[bytes], side: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have a partner of another component that the histograms don't rule out."""
+    h = np.stack([np.frombuffer(x, "<i2" if len(x) == 2 * BARS else "<i4") for x in bars]).astype(np.int32)
+    n = h.sum(1)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    keep = np.zeros(len(bars), bool)
+    for k, i in enumerate(left):
+        others = right if len(right) else left[k + 1 :]
+        others = others[(comps[others] != comps[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+        if len(others):
+            most = np.minimum(h[i], h[others]).sum(1)
+            hit = others[100 * most >= percent * (n[i] + n[others] - most)]
+            keep[hit] = True
+            keep[i] |= len(hit) > 0
+    return keep
+
+
+def _each_meet(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.Table]) -> Iterator[pa.RecordBatch]:
+    """``work`` on the rows of each ``meet``, which come together: first column, in order."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        meets = rows.column(0).combine_chunks()
+        if not len(meets):
+            continue
+        numbers = np.unique(meets.dictionary_encode().indices.to_numpy(), return_index=True)[1]
+        starts = np.sort(numbers)
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield from work(rows.slice(a, b - a)).to_batches()
+        rest = rows.slice(starts[-1]).combine_chunks()
+    if rest is not None:
+        yield from work(rest).to_batches()
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows with those of one ``meet`` together. Meetings are small, and so is a task's excess."""
+    return rows.repartition("meet").sortWithinPartitions("meet")
+
+
+def _compared(assigned: DataFrame, bars: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) among the saved ``assigned`` (meet, side, doc_id, comp) rows of each ``meet``.
+
+    Histograms go to all meetings; texts only to where some pair may link.
+    """
+
+    def sift(group: pa.Table) -> pa.Table:
+        keep = _could_link(group.column("comp").to_numpy(), group.column("bars").to_pylist(), group.column("side").to_numpy(), percent) if len(group) > 1 else np.zeros(1, bool)
+        return group.select(["meet", "side", "doc_id", "comp"]).filter(pa.array(keep))
 
     def compare(group: pa.Table) -> pa.Table:
         ids, comps = group.column("doc_id").to_pylist(), group.column("comp").to_pylist()
         found = _linked(ids, comps, texts_of(group.column("text").combine_chunks()), group.column("side").to_numpy(), n, percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    texts = with_small(docs.select("doc_id", "text"), assigned, ["doc_id"], "inner")
-    return saved(texts.select("meet", "side", "doc_id", "comp", "text").groupBy("meet").applyInArrow(compare, "a long, b long"), "links")
+    shown = assigned.join(bars.select(F.col("doc").alias("doc_id"), "bars"), "doc_id").select("meet", "side", "doc_id", "comp", "bars")
+    left = saved(_met(shown).mapInArrow(lambda x: _each_meet(x, sift), "meet string, side int, doc_id long, comp long"), "sifted")
+    texts = with_small(docs.select("doc_id", "text"), left, ["doc_id"], "inner").select("meet", "side", "doc_id", "comp", "text")
+    return saved(_met(texts).mapInArrow(lambda x: _each_meet(x, compare), "a long, b long"), "links")
 
 
 def _blocks(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -239,7 +299,11 @@ def _left_over(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     several = known.groupBy("p").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("p")
     # Sets that link differ by less than one of these levels.
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    rows = saved(_blocks(known.join(several, "p").withColumn("level", level).select("p", "doc", "n", "comp", "inside", "level"), ["p", "inside", "level"]), "rows")
+    left = known.join(several, "p")
+    # A group that fits into one block meets as a whole.
+    few = left.groupBy("p").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).select("p", ((F.col("docs") <= BLOCK_ROWS) & (F.col("shingles") <= BLOCK_SHINGLES)).alias("few"))
+    left = left.join(few, "p").select("p", "doc", "n", "comp", (F.col("inside") & ~F.col("few")).alias("inside"), F.when(F.col("few"), 0).otherwise(level).alias("level"))
+    rows = saved(_blocks(left, ["p", "inside", "level"]), "rows")
     blocks = saved(rows.select("p", "inside", "level", "h").distinct(), "blocks")
     one = blocks.where("NOT inside").select("p", F.col("level").alias("level1"), F.col("h").alias("h1"))
     two = blocks.select("p", "inside", F.col("level").alias("level2"), F.col("h").alias("h2"))
@@ -275,14 +339,15 @@ def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85, frequent: flo
     distinct = with_small(ided, copies, ["doc_id", "tie"], "left_anti").select("doc_id", "text")
 
     signed = saved(_signatures(distinct, weight, limit, n, percent), "signatures")
-    firsts = signed.groupBy("sig").agg(F.min("doc").alias("p"), F.max("doc").alias("last")).where("p <> last").select("sig", "p")
+    firsts = signed.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc").alias("p"), F.max("doc").alias("last")).where("p <> last").select("sig", "p")
+    bars = signed.where("bars IS NOT NULL").select("doc", "bars")
     shared = signed.join(firsts, "sig").select("p", "doc").distinct()
     sizes = classes.select(F.col("rep").alias("doc"), F.col("size").alias("n"))
     sized = with_small(shared, sizes, ["doc"], "inner", n_classes)
     members = saved(with_small(sized, sizes.toDF("p", "pn"), ["p"], "inner", n_classes), "members")
-    links = _compared(_pivot_stars(members, percent), ided, n, percent)
+    links = _compared(_pivot_stars(members, percent), bars, ided, n, percent)
     rest = _left_over(members, components(links), percent)
-    labels = components(links.union(_compared(rest, ided, n, percent)))
+    labels = components(links.union(_compared(rest, bars, ided, n, percent)))
     grouped = with_small(classes, labels.select(F.col("node").alias("rep"), "component"), ["rep"], "left")
     result = with_small(rows, grouped.select("digest", F.coalesce("component", "rep").alias("component")), ["digest"], "left", n_classes)
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
