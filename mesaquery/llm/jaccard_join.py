@@ -42,7 +42,7 @@ from mesaquery.llm.tokens import texts_of
 #: Cells of the hashed document frequencies: a fixed size whatever the corpus holds.
 CELLS = 1 << 18
 #: Words after which a worker's cache of word hashes starts anew, which bounds its memory.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 #: Documents, and shingles, of one of the blocks that are compared in one task.
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 250_000
 #: Bars of the histogram that rules out most pairs before their texts are read.
