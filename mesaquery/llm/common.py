@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,19 @@ BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
 
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
+    """Say, in a worker, that ``owner``'s caches are in use now; those of all others are cleared.
+
+    A worker outlives its tasks, so that stages of several operators would else add up their caches.
+    """
+    if clear is not None:
+        _caches[owner] = clear
+    for other, release in _caches.items():
+        if other != owner:
+            release()
 
 
 def ship(spark: SparkSession) -> None:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mesaquery.llm.common import saved, with_small
+from mesaquery.llm.common import claim, saved, with_small
 from mesaquery.llm.components import components
 from mesaquery.llm.tokens import texts_of
 
@@ -92,6 +92,7 @@ def _sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        claim("shingles", _hashes.clear)
         cells, seen = np.zeros(CELLS, np.int64), set()
         for batch in batches:
             sizes, digests, fresh = [], [], []
@@ -163,6 +164,7 @@ def _signatures(docs: DataFrame, weight: np.ndarray, limit: int, n: int, percent
     shared = docs.sparkSession.sparkContext.broadcast(weight)  # CELLS numbers
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles", _hashes.clear)
         for batch in batches:
             ids, found, bars = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mesaquery.llm.common import claim
+
 #: Hash cells of the n-gram model: a fixed size for each language.
 CELLS = 1 << 16
 ORDERS = (1, 2, 3, 4)
@@ -236,6 +238,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     kinds = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
         labeller = Labeller(shared.value)
         for batch in batches:
             if batch.num_rows:

@@ -12,6 +12,8 @@ from itertools import chain
 
 import numpy as np
 
+from mesaquery.llm.common import claim
+
 #: Words after which a worker's cache starts anew: a bound on memory, without effect on ids.
 CACHE_WORDS = 700_000
 #: Words that are encoded as one text, with a separator in between.
@@ -94,6 +96,7 @@ _made: dict[str, WordIds] = {}
 
 def word_ids(tokenizer_file: str) -> WordIds:
     """One per worker process and file."""
+    claim("tokens", _made.clear)
     if tokenizer_file not in _made:
         _made[tokenizer_file] = WordIds(tokenizer_file)
     return _made[tokenizer_file]
