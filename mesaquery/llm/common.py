@@ -19,6 +19,7 @@ BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
 _caches: dict[str, Callable[[], None]] = {}
+_owner: list[str] = []
 
 
 def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
@@ -28,9 +29,25 @@ def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
     """
     if clear is not None:
         _caches[owner] = clear
-    for other, release in _caches.items():
-        if other != owner:
-            release()
+    if _owner != [owner]:
+        for other, release in _caches.items():
+            if other != owner:
+                release()
+        _owner[:] = [owner]
+        give_back()
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system; allocators would keep it for as long as it lives."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def ship(spark: SparkSession) -> None:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mesaquery.llm.common import claim, saved, with_small
+from mesaquery.llm.common import claim, give_back, saved, with_small
 from mesaquery.llm.components import components
 from mesaquery.llm.tokens import texts_of
 
@@ -111,6 +111,8 @@ def _sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
         for a in range(0, len(used), 1 << 16):
             at = used[a : a + (1 << 16)]
             yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(len(at), pa.int64()), "tie": pa.nulls(len(at), pa.int64()), "n": pa.array(cells[at]), "digest": pa.nulls(len(at), pa.binary()), "cell": pa.array(at.astype(np.int32))})
+        _hashes.clear()
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
     return saved(rows.mapInArrow(measure, "doc_id long, tie long, n long, digest binary, cell int"), "sets")
@@ -177,6 +179,8 @@ def _signatures(docs: DataFrame, weight: np.ndarray, limit: int, n: int, percent
                 flat = np.concatenate(found).view(np.int64)
                 yield pa.RecordBatch.from_pydict({"doc": pa.array(np.concatenate(ids)), "sig": pa.array(flat), "bars": pa.nulls(len(flat), pa.binary())})
                 yield pa.RecordBatch.from_pydict({"doc": batch.column(0), "sig": pa.nulls(len(bars), pa.int64()), "bars": pa.array(bars, pa.binary())})
+        _hashes.clear()
+        give_back()
 
     return docs.mapInArrow(sign, "doc long, sig long, bars binary")
 
@@ -249,6 +253,8 @@ def _each_meet(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.
         rest = rows.slice(starts[-1]).combine_chunks()
     if rest is not None:
         yield from work(rest).to_batches()
+    _hashes.clear()
+    give_back()
 
 
 def _met(rows: DataFrame) -> DataFrame:

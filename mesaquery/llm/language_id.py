@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mesaquery.llm.common import claim
+from mesaquery.llm.common import claim, give_back
 
 #: Hash cells of the n-gram model: a fixed size for each language.
 CELLS = 1 << 16
@@ -244,6 +244,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             if batch.num_rows:
                 langs, scores, spans = zip(*labeller.label(batch.column(1).to_pylist()), strict=True)
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang_pred": pa.array(langs), "score": pa.array(scores, pa.float64()), "spans": pa.array(spans, kinds)})
+        del labeller
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(label, f"doc_id long, lang_pred string, score double, spans {SPANS}")

@@ -15,7 +15,7 @@ import numpy as np
 from mesaquery.llm.common import claim
 
 #: Words after which a worker's cache starts anew: a bound on memory, without effect on ids.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000
 #: Words that are encoded as one text, with a separator in between.
 JOINED = 128
 _SEPARATOR, _PROBE = "\x00", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
