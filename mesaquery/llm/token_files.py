@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mesaquery.llm.common import scratch
-from mesaquery.llm.tokens import texts_of, word_ids
+from mesaquery.llm.tokens import few_rows, texts_of, word_ids
 
 
 def filesystem(uri: str):
@@ -60,9 +60,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
         own, docs_written, at = f"{path}/.{name}-{uuid.uuid4().hex}", 0, 0
         out = {}
         ids_of_docs, nulls = [], []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in few_rows(batches):
             if not out:
                 fs.create_dir(path, recursive=True)
                 out = {x: fs.open_output_stream(f"{own}.{x}") for x in ("bin", "idx")}

@@ -8,14 +8,18 @@ between them whose id no other text gives.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from mesaquery.llm.common import claim
 
 #: Words after which a worker's cache starts anew: a bound on memory, without effect on ids.
 CACHE_WORDS = 600_000
+#: Texts that are encoded at once: a bound on a worker's memory.
+ROWS = 256
 #: Words that are encoded as one text, with a separator in between.
 JOINED = 128
 _SEPARATOR, _PROBE = "\x00", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -94,16 +98,22 @@ class _Index(dict):
 _made: dict[str, WordIds] = {}
 
 
-def word_ids(tokenizer_file: str) -> WordIds:
+def word_ids(tokenizer_file: str, cache_words: int = CACHE_WORDS) -> WordIds:
     """One per worker process and file."""
     claim("tokens", _made.clear)
     if tokenizer_file not in _made:
         _made[tokenizer_file] = WordIds(tokenizer_file)
+    _made[tokenizer_file].cache_words = cache_words
     return _made[tokenizer_file]
 
 
+def few_rows(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches; no empty ones."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def texts_of(column) -> list[bytes | None]:
     """UTF-8 bytes of an Arrow string column."""
-    import pyarrow as pa
-
     return column.cast(pa.binary()).to_pylist()
