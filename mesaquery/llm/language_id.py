@@ -130,6 +130,7 @@ def fit(docs: DataFrame, sample: int = 1500, id_col: str = "doc_id", text_col: s
     chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < F.element_at(share, F.col("lang")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
         sums = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
