@@ -4,7 +4,7 @@ A rule names a host, which stands for its subdomains too, and a path prefix; the
 decides. Other URLs are scored: concatenated names in the host and path are split into words by a
 unigram Viterbi search, and multinomial naive Bayes compares the words with labelled ones.
 
-Unigram counts come from the tokens of all URLs, with the labelled words added; the ``vocabulary``
+Unigram counts come from the path tokens of all URLs, with the labelled words added; the ``vocabulary``
 most frequent stay, a documented size of the model. An unknown string of n letters costs as much as
 in a uniform model of its length, so that names are kept whole unless known words explain them.
 
@@ -93,8 +93,11 @@ class Words:
 
 
 def fit(urls: DataFrame, blocked: Mapping[str, int] = BLOCKED, allowed: Mapping[str, int] = ALLOWED, vocabulary: int = 100_000) -> Words:
-    """Word counts over the tokens of all URLs (host, path columns) and the labelled words."""
-    tokens = urls.select(F.explode(F.regexp_extract_all(F.concat_ws("/", "host", F.translate("path", UPPER, LOWER)), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
+    """Word counts over the path tokens of all URLs (path column) and the labelled words.
+
+    Host names don't count: a name that is frequent would pass for a word and never be split.
+    """
+    tokens = urls.select(F.explode(F.regexp_extract_all(F.translate("path", UPPER, LOWER), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
     top = tokens.groupBy("word").count().orderBy(F.desc("count"), "word").limit(vocabulary).collect()
     counts = {w: float(n) for w, n in top if len(w) <= LONGEST_WORD}
     labelled = max(10.0, sum(counts.values()) / 1000)
