@@ -8,18 +8,19 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words that say nothing about which venue a name means.
 QUALIFIERS = ("the", "nyc", "new york", "restaurant", "ny")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_fold(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without characters beyond ASCII; null stays null."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold(text: pd.Series) -> pd.Series:
     """Search form: no combining marks, plain quotes and dashes, lower case."""
     plain = str.maketrans({"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-"})
@@ -27,7 +28,7 @@ def fold(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else strip(t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def clean(text: pd.Series) -> pd.Series:
     """Composed form without control characters, replacement marks as apostrophes, single spaces."""
     def one(t: str | None) -> str | None:
@@ -39,7 +40,7 @@ def clean(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two strings."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

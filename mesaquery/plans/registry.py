@@ -85,11 +85,14 @@ def era_and_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select("o_orderkey", scoring.era(F.year("o_orderdate"), 2001).alias("era"), pick.alias("p")).select("o_orderkey", "era", "p.source", "p.value")
 
 
-ORDER_FACETS = [
-    facets.Facet("status", F.array("o_orderstatus"), ("X",)),
-    facets.Facet("priority", F.array("o_orderpriority")),
-    facets.Facet("year", F.array(F.year("o_orderdate").cast("string"))),
-]
+def order_facets() -> list[facets.Facet]:
+    return [
+        facets.Facet("status", F.array("o_orderstatus"), ("X",)),
+        facets.Facet("priority", F.array("o_orderpriority")),
+        facets.Facet("year", F.array(F.year("o_orderdate").cast("string"))),
+    ]
+
+
 ORDER_SPEC = facets.QuerySpec({"status": ("O",), "priority": ("1-URGENT", "2-HIGH")})
 
 
@@ -98,13 +101,13 @@ u AS (SELECT 'status' AS facet, s AS value, 1 AS n FROM o WHERE fp UNION ALL SEL
  UNION ALL SELECT 'status', 'X', 0 UNION ALL SELECT 'status', 'O', 0 UNION ALL SELECT 'priority', '1-URGENT', 0 UNION ALL SELECT 'priority', '2-HIGH', 0)
 SELECT facet, value, CAST(sum(n) AS BIGINT) AS n FROM u GROUP BY facet, value""")
 def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facets.facet_counts(load(spark, sf_dir, "orders"), ORDER_FACETS, ORDER_SPEC)
+    return facets.facet_counts(load(spark, sf_dir, "orders"), order_facets(), ORDER_SPEC)
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice >= 1000")
 def facet_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = facets.QuerySpec(ORDER_SPEC.selected, floor=1000.0)
-    return facets.matching(load(spark, sf_dir, "orders"), ORDER_FACETS, spec, rating=F.col("o_totalprice")).select("o_orderkey", "o_totalprice")
+    return facets.matching(load(spark, sf_dir, "orders"), order_facets(), spec, rating=F.col("o_totalprice")).select("o_orderkey", "o_totalprice")
 
 
 @query("""WITH c AS (SELECT 'brand' AS facet, p_brand AS value, count(*) AS n FROM part GROUP BY p_brand)
