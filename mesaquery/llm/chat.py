@@ -6,7 +6,8 @@ nodes, so that a chain of n turns takes log2(n) joins. Branches of a root are ra
 their scores; each chosen path is formatted as one conversation.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts a backslash goes before
-each backslash and each control string (a role's line breaks too), which a reader takes away again.
+each backslash and behind the first character of each control string, so that none is left whole for
+a tokenizer to find (and before a role's line breaks); a reader takes it away again.
 The loss mask holds the spans of assistants' texts in the formatted string.
 
 Defined results: null texts and roles are empty; a node whose parent isn't in the table is a root;
@@ -34,7 +35,7 @@ _TURN = re.compile(re.escape(START) + r"((?:\\.|[^\\\n])*)\n((?:\\.|[^\\])*?)" +
 
 
 def escape(text: str) -> str:
-    return _ESCAPED.sub(lambda m: "\\" + m[0], text)
+    return _ESCAPED.sub(lambda m: "\\\\" if m[0] == "\\" else m[0][0] + "\\" + m[0][1:], text)
 
 
 def unescape(text: str) -> str:

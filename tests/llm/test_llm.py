@@ -222,6 +222,7 @@ def test_chat_round_trip(turns):
     text, mask = chat.format_turns(turns)
     assert chat.parse_turns(text) == [(r or "", t or "") for r, t in turns]
     assert "".join(chat.unescape(text[a:b]) for a, b in mask) == "".join(t or "" for r, t in turns if r == "assistant")
+    assert not any(c in text[a:b] for a, b in mask for c in chat.CONTROLS)
 
 
 def test_reply_trees(spark):
