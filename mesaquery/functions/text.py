@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 import unicodedata
 
 import pandas as pd
@@ -131,3 +132,78 @@ def file_name(url: Column, default: Column) -> Column:
 def haystack(*parts: Column) -> Column:
     """One lower-case search string of several columns; nulls are left out."""
     return F.lower(F.concat_ws(" • ", *parts))
+
+
+def opening_hours(html: Column) -> Column:
+    """Opening hours of a page's JSON-LD, as JSON texts: of lists, of ``@graph`` and of single nodes.
+
+    A node's specification goes before its plain hours; blocks that aren't JSON are skipped.
+    """
+    blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
+    parsed = F.filter(F.transform(blocks, F.try_parse_json), lambda v: v.isNotNull())
+    own = F.flatten(F.transform(parsed, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))))
+    graph = lambda v: F.try_variant_get(v, '$["@graph"]', "array<variant>")
+    nodes = F.flatten(F.transform(own, lambda v: F.when(graph(v).isNotNull(), F.concat(F.array(v), graph(v))).otherwise(F.array(v))))
+    given = lambda v, k: F.try_variant_get(v, f"$.{k}", "string")
+    return F.array_compact(F.transform(nodes, lambda v: F.coalesce(given(v, "openingHoursSpecification"), given(v, "openingHours"))))
+
+
+def hours_in_text(html: Column, most: int = 14) -> Column:
+    """The first distinct phrases of a weekday, or a range of them, with a range of clock times."""
+    day = r"(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?"
+    clock = r"\d{1,2}(?::\d{2})?\s*(?:am|pm)"
+    span = rf"(?i)({day}\s*(?:(?:-|–|to|through)\s*{day}\s*)?:?\s*{clock}\s*(?:-|–|to)\s*{clock})"
+    found = F.regexp_extract_all(F.regexp_replace(html, "<[^>]+>", " "), F.lit(span), F.lit(1))
+    return F.slice(F.array_distinct(F.transform(found, F.trim)), 1, most)
+
+
+def listed_rank(notes: Column) -> Column:
+    """N of ``Ranked No. N``; null without."""
+    return F.try_to_number(F.nullif(F.regexp_extract(notes, r"(?i)ranked no\. ?(\d+)", 1), F.lit("")), F.lit("999999")).cast("int")
+
+
+def ranked_links(hrefs: Column, base: Column, wanted: str, blocked: str, first: str, pages: int = 8, files: int = 3) -> Column:
+    """Struct of pages and files (PDF) among links: wanted ones of the base's host, or files of any host.
+
+    Pages that match ``first`` go before others, then shorter ones; files stay in order of appearance.
+    """
+    host = lambda u: F.try_parse_url(u, F.lit("HOST"))
+    is_file = lambda u: F.endswith(F.lower(u), F.lit(".pdf"))
+    links_ = F.array_distinct(F.transform(hrefs, lambda u: F.regexp_replace(u, "#+$", "")))
+    good = F.filter(links_, lambda u: F.startswith(u, F.lit("http")) & (u != base) & u.rlike(wanted) & ~u.rlike(blocked) & ((host(u) == host(base)) | is_file(u)))
+    keyed = F.transform(F.filter(good, lambda u: ~is_file(u)), lambda u, i: F.struct(F.when(u.rlike(first), 0).otherwise(1).alias("k"), F.length(u).alias("n"), i.alias("i"), u.alias("u")))
+    return F.struct(F.slice(F.transform(F.array_sort(keyed), lambda x: x["u"]), 1, pages).alias("pages"), F.slice(F.filter(good, is_file), 1, files).alias("files"))
+
+
+def shares_run(a: Column, b: Column, n: int = 18) -> Column:
+    """Whether two texts share a run of ``n`` characters after lower-casing and joining of non-words."""
+    plain = lambda t: F.regexp_replace(F.lower(t), r"(?U)\W+", " ")
+    runs = lambda t: F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substr(t, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.arrays_overlap(runs(plain(a)), runs(plain(b))), F.lit(False))
+
+
+def central_match(text: Column, pattern: str) -> Column:
+    """The match whose middle is nearest the text's; the longest, then the first, of equally near ones."""
+
+    @F.pandas_udf(T.StringType())
+    def find(texts: pd.Series) -> pd.Series:
+        compiled = re.compile(pattern, re.IGNORECASE)
+
+        def one(t: str | None) -> str | None:
+            # Twice the distance, so that halves stay whole numbers.
+            found = [(abs(m.start() + m.end() - len(t)), -len(m[0]), m.start(), m[0]) for m in compiled.finditer(t)] if t else []
+            return min(found)[3] if found else None
+
+        return texts.map(one)
+
+    return find(text)
+
+
+def recentred(text: Column, start: Column, stop: Column, pad: int = 25) -> Column:
+    """The text around [start, stop), ``pad`` characters each way, cut at spaces, with ellipses where cut."""
+    a, b = F.greatest(start - pad, F.lit(0)), F.least(stop + pad, F.length(text))
+    before, after = F.substr(text, a + 1, start - a), F.substr(text, stop + 1, b - stop)
+    before = F.when((a > 0) & before.contains(" "), F.regexp_replace(before, r"^\S*\s+", "")).otherwise(before)
+    after = F.when((b < F.length(text)) & after.contains(" "), F.regexp_replace(after, r"\s+\S*$", "")).otherwise(after)
+    body = F.trim(F.concat(before, F.substr(text, start + 1, stop - start), after))
+    return F.concat(F.when(a > 0, "…").otherwise(""), body, F.when(b < F.length(text), "…").otherwise(""))

@@ -118,3 +118,45 @@ def presets(rows: DataFrame, tests: dict[str, Column]) -> DataFrame:
     counts = rows.agg(*[F.count_if(F.coalesce(tests[n], F.lit(False))).alias(n) for n in names])
     pairs = ", ".join(f"'{n}', `{n}`" for n in names)
     return counts.selectExpr(f"stack({len(names)}, {pairs}) AS (preset, n)")
+
+
+def named_sorts(rank: str = "rank", name: str = "name") -> dict[str, Sort]:
+    """The sorts by name; each ends in the name."""
+    keys: dict[str, tuple[tuple[str, bool], ...]] = {
+        "rubric_desc": (("rubric", True),),
+        "google_desc": (("rating_weighted", True),),
+        "google_raw_desc": (("rating", True), ("reviews", True)),
+        "distinction": (("recognition_rank", False), ("recognition_year", True)),
+        "best": (("trust", False), (rank, False), ("gap_usd", True)),
+        "gap_usd_desc": (("gap_usd", True),),
+        "gap_pct_desc": (("gap_pct", True),),
+        "price_asc": (("price", False),),
+        "price_desc": (("price", True),),
+        "end_asc": (("end_date", False),),
+        "end_desc": (("end_date", True),),
+        "walk_asc": (("walk", False),),
+        "name_asc": (),
+        "rank_asc": ((rank, False),),
+    }
+    return {k: Sort((*v, (name, False))) for k, v in keys.items()}
+
+
+def walk_key(routes: Column, nearest: Column, chosen: tuple[str, ...] = ()) -> Column:
+    """Least minutes over the chosen lines of a map; the nearest station's where none is chosen."""
+    if not chosen:
+        return nearest
+    return F.array_min(F.transform(F.array(*map(F.lit, chosen)), lambda k: F.try_element_at(routes, k)))
+
+
+def first_match(rows: DataFrame, key: str, name: str, position: str, text: str) -> DataFrame:
+    """The row of the key ``text``, else the first whose name holds it; no row if none does."""
+    low = text.lower()
+    found = rows.withColumn("_p", F.when(F.col(key) == low, 0).when(F.contains(F.lower(name), F.lit(low)), 1)).where("_p IS NOT NULL")
+    return found.orderBy("_p", position).limit(1).drop("_p")
+
+
+def bounds(rows: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:
+    """One row: how many rows have coordinates and how many lack them, and the box around them."""
+    there = F.col(lat).isNotNull() & F.col(lng).isNotNull()
+    at = lambda c: F.when(there, F.col(c))
+    return rows.agg(F.count_if(there).alias("shown"), F.count_if(~there).alias("missing"), F.min(at(lat)).alias("south"), F.max(at(lat)).alias("north"), F.min(at(lng)).alias("west"), F.max(at(lng)).alias("east"))

@@ -7,7 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mesaquery.functions.numbers import haversine_m, walk_minutes
+from mesaquery.functions.numbers import half_even, haversine_m, walk_minutes
+from mesaquery.functions.text import subset_jaccard
 
 
 def within(left: DataFrame, right: DataFrame, metres: float, lat: str = "lat", lng: str = "lng", max_lat: float = 75.0) -> DataFrame:
@@ -43,3 +44,21 @@ def per_route(pairs: DataFrame, key: str, routes: str) -> DataFrame:
     """key and the map of each route to its least minutes."""
     least = pairs.select(key, F.explode(routes).alias("route"), "minutes").groupBy(key, "route").agg(F.min("minutes").alias("minutes"))
     return least.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("route", "minutes")))).alias("routes"))
+
+
+def licensed(venues: DataFrame, licences: DataFrame, key: str, near_m: float = 80.0, far_m: float = 250.0, least: float = 0.34) -> DataFrame:
+    """key, licence (of the best match), its distance, and whether any match has each kind of seating.
+
+    Venues have name_words, house, lat and lng; licences also name, words and legal_words, sidewalk and
+    roadway. Within ``near_m`` a similarity of ``least`` matches, or any at all at an equal house
+    number; up to ``far_m`` only equal names at one. Best: similarity, plus 0.3 for the house number,
+    then the nearest, then the name.
+    """
+    pairs = within(venues, licences, far_m)
+    sim = F.greatest(subset_jaccard(F.col("name_words"), F.col("r_words")), subset_jaccard(F.col("name_words"), F.col("r_legal_words")))
+    pairs = pairs.withColumn("sim", F.coalesce(sim, F.lit(0.0))).withColumn("same", F.coalesce(F.col("house") == F.col("r_house"), F.lit(False)))
+    near = (F.col("metres") <= near_m) & ((F.col("sim") >= least) | (F.col("same") & (F.col("sim") > 0)))
+    good = pairs.where(near | (F.col("same") & (F.col("sim") >= 1)))
+    order = F.struct((F.col("sim") + F.when(F.col("same"), 0.3).otherwise(0.0)).alias("s"), (-F.col("metres")).alias("m"), F.col("r_name").alias("n"))
+    best = good.groupBy(key).agg(F.max(order).alias("b"), F.bool_or("r_sidewalk").alias("sidewalk"), F.bool_or("r_roadway").alias("roadway"))
+    return best.select(key, F.col("b.n").alias("licence"), half_even(-F.col("b.m")).cast("int").alias("metres"), "sidewalk", "roadway")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
-from mesaquery.operators import facets, planning, pricing, resolve, scoring, snapshots, spatial, tagging
+from mesaquery.operators import derive, facets, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tagging
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -270,8 +270,6 @@ s AS (SELECT *, CASE WHEN k > 0 AND (k = n OR k = n2) THEN 1.0::DOUBLE ELSE k /
 j AS (SELECT *, metres <= 150 OR (metres <= 400 AND similarity >= 0.55) AS accepted FROM s)
 SELECT p_partkey, other, round(similarity, 6) AS similarity, accepted FROM j QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY accepted DESC, similarity DESC, pos) = 1""")
 def candidate_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     part = load(spark, sf_dir, "part").select("p_partkey", "p_size", F.array_distinct(F.split(F.lower("p_name"), " ")).alias("words"))
     other = part.toDF("other", "size2", "other_words").withColumn("k", F.col("other") % 25)
     pairs = part.where("p_partkey % 40 = 1").withColumn("k", F.col("p_partkey") % 25).join(other, "k").where("p_partkey <> other")
@@ -411,3 +409,105 @@ def daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return windowed_counts(load(spark, sf_dir, "events"), "ts", "event_type").select(F.to_date("start").cast("string").alias("day"), "event_type", "n")
+
+
+def _labels() -> Column:
+    k = F.col("o_orderkey")
+    kinds = F.element_at(F.array(*map(F.lit, ("Lunch", "Brunch Lunch", "Dinner", "Sunday Dinner Price"))), (k % 4 + 1).cast("int"))
+    return F.array(F.concat(F.lit("$"), ((k % 5 + 1) * 10).cast("string"), F.lit(" "), kinds), F.concat(F.lit("$"), ((k % 3 + 1) * 15).cast("string"), F.lit(" Dinner")))
+
+
+@query("""SELECT o_orderkey, array_to_string(list_transform(list_sort(list_distinct([(o_orderkey % 5 + 1) * 10, (o_orderkey % 3 + 1) * 15])), lambda x: '$' || x), ',') AS tiers,
+CASE o_orderkey % 4 WHEN 0 THEN 'dinner,lunch' WHEN 1 THEN 'brunch,dinner' ELSE 'dinner' END AS periods, o_orderkey % 4 = 3 AS sunday FROM orders""")
+def offer_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders").select("o_orderkey", derive.offer_terms(_labels()).alias("t"))
+    return o.select("o_orderkey", F.array_join("t.tiers", ",").alias("tiers"), F.array_join("t.periods", ",").alias("periods"), "t.sunday")
+
+
+@query("SELECT o_orderkey, try_strptime('2026-' || CASE WHEN o_orderkey % 2 = 0 THEN '09' ELSE '08' END || '-' || (o_orderkey % 31 + 1), '%Y-%m-%d')::DATE::VARCHAR AS closes FROM orders")
+def end_of_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    label = F.concat(F.lit("Week 6 (Aug 3 - "), F.when(k % 2 == 0, "Sept ").otherwise(""), (k % 31 + 1).cast("string"), F.lit(")"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", derive.end_of_labels(F.array(F.lit("Week 1 (July 1 - 5)"), label), 2026).cast("string").alias("closes"))
+
+
+@query("""SELECT c_custkey, CASE WHEN ok THEN lat END AS lat, CASE WHEN ok THEN lng END AS lng, CASE WHEN c_nationkey = 3 THEN 'dropped' WHEN c_nationkey BETWEEN 10 AND 12 THEN 'ranked' WHEN c_acctbal < 0 THEN 'note' WHEN c_acctbal > 5000 THEN 'estimate' ELSE 'none' END AS verdict,
+CASE WHEN c_nationkey BETWEEN 10 AND 12 THEN -1 WHEN c_mktsegment = 'BUILDING' THEN 0 WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 2 END AS trust,
+CASE WHEN c_nationkey % 4 = 0 THEN 'none' WHEN c_nationkey % 4 = 1 THEN 'image_only' ELSE 'pdf' END AS menu, CASE WHEN c_nationkey = 7 THEN 'https://book/?id=' || c_custkey END AS link
+FROM (SELECT *, lat BETWEEN 40.45 AND 41.02 AND lng BETWEEN -74.30 AND -73.65 AS ok FROM (SELECT *, 40.4 + (c_custkey % 70) / 100.0::DOUBLE AS lat, -74.4 + (c_custkey % 90) / 100.0::DOUBLE AS lng FROM customer))""")
+def row_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates in the box, verdict, trust, menu state and booking link."""
+    nation, balance = F.col("c_nationkey"), F.col("c_acctbal")
+    rank = F.when(nation.between(10, 12), nation)
+    basis = F.when(F.col("c_mktsegment") == "BUILDING", "verified").when(F.col("c_mktsegment") == "MACHINERY", "estimate")
+    at = derive.sane_coordinates(40.4 + (F.col("c_custkey") % 70) / 100.0, -74.4 + (F.col("c_custkey") % 90) / 100.0)
+    states = (derive.verdict(nation == 3, rank, balance < 0, balance > 5000).alias("verdict"), derive.trust(rank, basis).cast("int").alias("trust"), derive.menu_state(nation % 4 > 0, F.when(nation % 4 > 1, "text")).alias("menu"))
+    link = derive.partner_link(nation.cast("string"), F.col("c_custkey").cast("string"), "7", "https://book/?id=")
+    return load(spark, sf_dir, "customer").select("c_custkey", at["lat"].alias("lat"), at["lng"].alias("lng"), *states, link.alias("link"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 5 WHEN o_orderkey % 5 > 0 AND o_orderkey % 7 > 0 THEN 9 END AS gap, CASE WHEN o_orderkey % 3 = 0 THEN 'verified' WHEN o_orderkey % 5 > 0 AND o_orderkey % 7 > 0 THEN 'estimate' END AS basis, CASE WHEN o_orderkey % 2 = 0 THEN 50 ELSE 30 END AS price FROM orders""")
+def gap_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    found = derive.gap_of(F.when(k % 3 == 0, 5), F.lit(9), F.when(k % 5 == 0, 20), k % 7 == 0, F.when(k % 2 == 0, 50), F.array(F.lit("$100"), F.lit("$30")))
+    return load(spark, sf_dir, "orders").select("o_orderkey", found["gap"].alias("gap"), found["basis"].alias("basis"), found["price"].alias("price"))
+
+
+#: Ranked kinds of parts, as a guide's levels are ranked.
+DISTINCTIONS = (derive.Distinction("Brand#11", r"promo|standard", "first"), derive.Distinction("Brand#12", None, "second"), derive.Distinction("Brand#11", r"economy", "third"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_brand = 'Brand#11' AND regexp_matches(lower(p_type), 'promo|standard') THEN 0 WHEN p_brand = 'Brand#12' THEN 1 WHEN p_brand = 'Brand#11' AND regexp_matches(lower(p_type), 'economy') THEN 2 ELSE 3 END AS rank,
+CASE WHEN p_brand = 'Brand#11' AND regexp_matches(lower(p_type), 'promo|standard') THEN 'first' WHEN p_brand = 'Brand#12' THEN 'second' WHEN p_brand = 'Brand#11' AND regexp_matches(lower(p_type), 'economy') THEN 'third' WHEN p_brand = 'Brand#13' THEN 'other' ELSE p_brand END AS label FROM part""")
+def distinction_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = derive.distinction(F.col("p_brand"), F.col("p_type"), DISTINCTIONS, {"Brand#13": "other"})
+    return load(spark, sf_dir, "part").select("p_partkey", found["rank"].alias("rank"), found["label"].alias("label"))
+
+
+@query("""SELECT l_suppkey, l_returnflag, string_agg(l_linestatus, ',' ORDER BY seen, l_linestatus) AS awards FROM (SELECT l_suppkey, l_returnflag, l_linestatus, min(l_orderkey) AS seen FROM lineitem GROUP BY ALL) GROUP BY ALL""")
+def folded_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recognition.badges(load(spark, sf_dir, "lineitem"), "l_suppkey", ["l_returnflag"], "l_linestatus", "l_orderkey")
+    return found.select("l_suppkey", "l_returnflag", F.array_join("l_linestatus", ",").alias("awards"))
+
+
+@query("SELECT o_custkey, o_orderpriority, count(*) AS times, max(year(o_orderdate)) AS latest FROM orders WHERE (o_custkey, o_orderstatus) NOT IN (SELECT c_custkey, 'O' FROM customer WHERE c_acctbal >= 0) GROUP BY ALL")
+def unsuppressed_pills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), (F.col("c_acctbal") >= 0).alias("active"))
+    rows = recognition.unsuppressed(load(spark, sf_dir, "orders"), out, ["o_custkey", "o_orderstatus"])
+    return recognition.pills(rows.withColumn("latest", F.year("o_orderdate")), "o_custkey", ["o_orderpriority"], "latest")
+
+
+@query("SELECT o_orderkey, CASE WHEN p_size > 40 THEN 'verified' ELSE 'low' END AS confidence, CASE WHEN p_size > 40 THEN p_name ELSE o_orderpriority END AS keyword FROM orders LEFT JOIN part ON p_partkey = o_orderkey WHERE p_size IS NULL OR p_size >= 10")
+def checked_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = load(spark, sf_dir, "orders").select("o_orderkey", F.lit("low").alias("confidence"), F.col("o_orderpriority").alias("keyword"))
+    checks = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("o_orderkey"), F.when(F.col("p_size") < 10, "no").when(F.col("p_size") > 40, "yes").alias("verdict"), F.col("p_name").alias("item"))
+    return recognition.checked(hits, checks, ["o_orderkey"])
+
+
+@query("""WITH v AS (SELECT c_custkey, nullif(c_nationkey, 3) AS n, ' ' || upper(c_mktsegment) AS s FROM customer), t AS (SELECT nullif(s_nationkey, 3) AS n, lower(m) AS s, s_name FROM supplier, (VALUES ('building'), ('machinery')) AS x(m))
+SELECT c_custkey, coalesce((SELECT string_agg(DISTINCT s_name, ',' ORDER BY s_name) FROM t WHERE t.n IS NOT DISTINCT FROM v.n AND t.s = lower(trim(v.s))), '') AS suppliers FROM v""")
+def composite_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "customer").select("c_custkey", F.expr("nullif(c_nationkey, 3)").alias("n"), F.concat(F.lit(" "), F.upper("c_mktsegment")).alias("s"))
+    known = load(spark, sf_dir, "supplier").select(F.expr("nullif(s_nationkey, 3)").alias("n"), F.explode(F.array(F.lit("building"), F.lit("machinery"))).alias("s"), "s_name")
+    return recognition.looked_up(rows, known, ["n"], "s", "s_name").select("c_custkey", F.array_join("s_name", ",").alias("suppliers"))
+
+
+@query("SELECT row_number() OVER (ORDER BY trust, rank NULLS LAST, gap_usd DESC NULLS LAST, name) AS place, name FROM (SELECT c_name AS name, c_nationkey % 3 AS trust, nullif(c_nationkey, 5) AS rank, nullif(c_custkey % 7, 2) AS gap_usd FROM customer) ORDER BY place LIMIT 50")
+def named_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First page of the sort by trust, rank and gap."""
+    rows = load(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), (F.col("c_nationkey") % 3).alias("trust"), F.expr("nullif(c_nationkey, 5)").alias("rank"), F.expr("nullif(c_custkey % 7, 2)").alias("gap_usd"))
+    order = facets.named_sorts()["best"]
+    page = facets.page_of(rows, order, 0)
+    return page.select(F.row_number().over(Window.orderBy(*order.columns())).alias("place"), "name")
+
+
+@query("SELECT count(lat) AS shown, count(*) - count(lat) AS missing, min(lat) AS south, max(lat) AS north, min(lng) AS west, max(lng) AS east FROM (SELECT CASE WHEN c_nationkey <> 4 THEN c_acctbal END AS lat, CASE WHEN c_nationkey <> 4 THEN c_custkey END AS lng FROM customer)")
+def map_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    there = F.col("c_nationkey") != 4
+    return facets.bounds(load(spark, sf_dir, "customer").select(F.when(there, F.col("c_acctbal")).alias("lat"), F.when(there, F.col("c_custkey")).alias("lng")))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE contains(lower(c_name), '#00000001') ORDER BY c_custkey LIMIT 1")
+def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "customer").withColumn("slug", F.col("c_custkey").cast("string"))
+    return facets.first_match(rows, "slug", "c_name", "c_custkey", "#00000001").select("c_custkey", "c_name")

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
-from mesaquery.operators import facets, planning, pricing, resolve, scoring, snapshots, tagging
+from mesaquery.operators import derive, facets, planning, pricing, resolve, scoring, snapshots, spatial, tagging
 from mesaquery.sources import readers, sinks
 from mesaquery.streaming import changes
 
@@ -119,3 +119,48 @@ def test_stream_keeps_latest(spark, tmp_path):
     (src / "2.json").write_text('{"k": 2, "at": 5}')
     run()
     assert sorted(tuple(r) for r in spark.read.parquet(f"{table}/batch=1").select("k", "at").collect()) == [(1, 2), (2, 5)]
+
+
+def test_labels(spark):
+    got = one(spark, derive.offer_terms(F.array(F.lit("$60 Sunday Dinner Price"), F.lit("$30 Lunch"), F.lit(None))))
+    assert (got.tiers, got.periods, got.sunday) == (["$30", "$60"], ["dinner", "lunch"], True)
+    ends = {"Week 7 (Sept 1 - Sept 6)": dt.date(2026, 9, 6), "Week 6 (Aug 24 - 31)": dt.date(2026, 8, 31), "Week 6": None, "W (Feb 3 - 30)": None}
+    assert {k: one(spark, derive.end_of_labels(F.array(F.lit(k)), 2026)) for k in ends} == ends
+    assert one(spark, derive.end_of_labels(F.array().cast("array<string>"), 2026)) is None
+    assert one(spark, derive.without_own(F.array(F.lit("a"), F.lit("b"), F.lit("a")), F.lit("b"))) == ["a", "a"]
+
+
+def test_page_texts(spark):
+    page = '<script type="application/ld+json">{"@graph": [{"openingHours": "Mo 9-5"}, {"x": 1}]}</script><script type="application/ld+json">[{"openingHoursSpecification": "all"}]</script><script type="application/ld+json">{bad</script><p>Mon - Fri: 9am - 5:30pm</p><b>Mon - Fri: 9am - 5:30pm</b> Sat 10 am to 4 pm'
+    assert one(spark, text.opening_hours(F.lit(page))) == ["Mo 9-5", "all"]
+    assert one(spark, text.hours_in_text(F.lit(page))) == ["Mon - Fri: 9am - 5:30pm", "Sat 10 am to 4 pm"]
+    assert one(spark, text.listed_rank(F.lit("Ranked No. 12 of all"))) == 12
+    assert one(spark, text.listed_rank(F.lit("none"))) is None
+
+
+def test_ranked_links(spark):
+    hrefs = ["http://a.com/dining", "http://a.com/food/menu#", "http://b.com/menu", "http://b.com/menu.pdf", "http://a.com/menu-jobs", "mailto:x", "http://a.com/dining"]
+    got = one(spark, text.ranked_links(F.array(*map(F.lit, hrefs)), F.lit("http://a.com/"), "menu|din", "jobs", "menu"))
+    assert (got.pages, got.files) == (["http://a.com/food/menu", "http://a.com/dining"], ["http://b.com/menu.pdf"])
+
+
+def test_quotation_texts(spark):
+    assert one(spark, text.shares_run(F.lit("a shared run of many letters"), F.lit("the SHARED -- run of many")))
+    assert not one(spark, text.shares_run(F.lit("short"), F.lit("short")))
+    assert one(spark, text.central_match(F.lit("egg and eggs and egg"), "eggs?")) == "eggs"
+    assert one(spark, text.central_match(F.lit(None).cast("string"), "x")) is None
+    assert one(spark, text.recentred(F.lit("one two three four"), F.lit(4), F.lit(7), 5)) == "one two…"
+
+
+def test_outdoor_licences(spark):
+    words = lambda *w: list(w)
+    v = spark.createDataFrame([("a", words("blue", "fin"), "12", 40.7, -74.0), ("b", words("zed"), None, 40.7, -74.0), ("c", words("far"), "9", 40.7, -74.01), ("d", words("x"), "1", None, None)], "slug string, name_words array<string>, house string, lat double, lng double")
+    li = spark.createDataFrame([("Blue Fin", words("blue", "fin"), words("corp"), "12", True, False, 40.7001, -74.0), ("Blue", words("blue"), words("q"), "3", False, True, 40.7002, -74.0), ("Far", words("far"), words("y"), "9", True, True, 40.7015, -74.01)], "name string, words array<string>, legal_words array<string>, house string, sidewalk boolean, roadway boolean, lat double, lng double")
+    got = {r.slug: (r.licence, r.sidewalk, r.roadway) for r in spatial.licensed(v, li, "slug").collect()}
+    assert got == {"a": ("Blue Fin", True, True), "c": ("Far", True, True)}
+
+
+def test_walk_key(spark):
+    routes = F.create_map(F.lit("4"), F.lit(7), F.lit("5"), F.lit(3))
+    assert one(spark, facets.walk_key(routes, F.lit(2), ("4", "6"))) == 7
+    assert one(spark, facets.walk_key(routes, F.lit(2))) == 2
