@@ -261,20 +261,20 @@ def quote_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = load(spark, sf_dir, "part").select("p_partkey", text.match_name(F.col("p_name")).alias("name"), F.when(F.col("p_size") > 5, F.array(F.col("p_size").cast("string"))).alias("streets"))
     venues = part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("slug"), "name", "streets", F.col("p_partkey").alias("pos"))
-    return resolve.resolve(part.where("p_partkey % 20 = 1").select(F.col("p_partkey").alias("ext"), "name", "streets"), venues)
+    return resolve.resolve(part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("ext"), "name", "streets"), venues)
 
 
-@query("""WITH p AS (SELECT p_partkey, p_size, list_distinct(string_split(lower(p_name), ' ')) AS w FROM part WHERE p_partkey % 40 = 1), q AS (SELECT p_partkey AS other, p_size AS size2, list_distinct(string_split(lower(p_name), ' ')) AS w2, p_brand FROM part),
-c AS (SELECT p_partkey, other, abs(p_size - size2) * 50.0::DOUBLE AS metres, len(list_intersect(w, w2)) AS k, len(w) AS n, len(w2) AS n2, row_number() OVER (PARTITION BY p_partkey ORDER BY other) - 1 AS pos FROM p JOIN q ON p_partkey % 25 = other % 25 AND p_partkey <> other),
-s AS (SELECT *, CASE WHEN k > 0 AND (k = n OR k = n2) THEN 1.0::DOUBLE ELSE k / (n + n2 - k)::DOUBLE END AS similarity FROM c WHERE pos < 5),
+@query("""WITH p AS (SELECT p_partkey, p_size, list_distinct(string_split(lower(p_name), ' ')) AS w FROM part), q AS (SELECT p_partkey AS other, p_size AS size2, list_distinct(string_split(lower(p_name), ' ')) AS w2, p_brand FROM part),
+c AS (SELECT p_partkey, other, abs(p_size - size2) * 50.0::DOUBLE AS metres, len(list_intersect(w, w2)) AS k, len(w) AS n, len(w2) AS n2, (other - p_partkey) // 25 - 1 AS pos FROM p JOIN q ON other > p_partkey AND other - p_partkey <= 125 AND (other - p_partkey) % 25 = 0),
+s AS (SELECT *, CASE WHEN k > 0 AND (k = n OR k = n2) THEN 1.0::DOUBLE ELSE k / (n + n2 - k)::DOUBLE END AS similarity FROM c),
 j AS (SELECT *, metres <= 150 OR (metres <= 400 AND similarity >= 0.55) AS accepted FROM s)
 SELECT p_partkey, other, round(similarity, 6) AS similarity, accepted FROM j QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY accepted DESC, similarity DESC, pos) = 1""")
 def candidate_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = load(spark, sf_dir, "part").select("p_partkey", "p_size", F.array_distinct(F.split(F.lower("p_name"), " ")).alias("words"))
-    other = part.toDF("other", "size2", "other_words").withColumn("k", F.col("other") % 25)
-    pairs = part.where("p_partkey % 40 = 1").withColumn("k", F.col("p_partkey") % 25).join(other, "k").where("p_partkey <> other")
-    pairs = pairs.withColumn("metres", F.abs(F.col("p_size") - F.col("size2")) * 50.0).withColumn("pos", F.row_number().over(Window.partitionBy("p_partkey").orderBy("other")) - 1)
-    return resolve.best_candidate(resolve.judged(pairs.where("pos < 5")), "p_partkey", "pos").select("p_partkey", "other", F.round("similarity", 6).alias("similarity"), "accepted")
+    other = part.toDF("other", "size2", "other_words")
+    pairs = part.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(4)))).withColumn("other", F.col("p_partkey") + 25 * (F.col("pos") + 1)).join(other, "other")
+    pairs = pairs.withColumn("metres", F.abs(F.col("p_size") - F.col("size2")) * 50.0)
+    return resolve.best_candidate(resolve.judged(pairs), "p_partkey", "pos").select("p_partkey", "other", F.round("similarity", 6).alias("similarity"), "accepted")
 
 
 @query("""WITH v AS (SELECT s_suppkey, DATE '2026-08-03' AS today, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE DATE '2026-08-01' + CAST(s_suppkey % 30 AS INTEGER) END AS closes, s_suppkey % 2 = 0 AS sat, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_suppkey % 5 = 0 END AS sun FROM supplier),
@@ -286,9 +286,9 @@ def open_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.open_dates(v, "s_suppkey", F.lit("2026-08-03").cast("date"), "closes", "sat", "sun", F.lit("2026-08-31").cast("date")).withColumn("day", F.col("day").cast("string"))
 
 
-@query("SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM orders WHERE o_orderkey % 50 = 0 GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1")
 def booking_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return planning.conflicts(load(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.to_date("o_orderdate").cast("string").alias("day")), "day")
+    return planning.conflicts(load(spark, sf_dir, "orders").select(F.to_date("o_orderdate").cast("string").alias("day")), "day")
 
 
 @query("""WITH c AS (SELECT * FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 6), f AS (SELECT p_partkey, 'p_retailprice' AS metric, p_retailprice AS value, true AS more FROM c UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS DOUBLE), false FROM c)
@@ -474,7 +474,7 @@ def folded_badges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unsuppressed_pills(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), (F.col("c_acctbal") >= 0).alias("active"))
     rows = recognition.unsuppressed(load(spark, sf_dir, "orders"), out, ["o_custkey", "o_orderstatus"])
-    return recognition.pills(rows.withColumn("latest", F.year("o_orderdate")), "o_custkey", ["o_orderpriority"], "latest")
+    return recognition.pills(rows.withColumn("latest", F.year("o_orderdate").cast("long")), "o_custkey", ["o_orderpriority"], "latest")
 
 
 @query("SELECT o_orderkey, CASE WHEN p_size > 40 THEN 'verified' ELSE 'low' END AS confidence, CASE WHEN p_size > 40 THEN p_name ELSE o_orderpriority END AS keyword FROM orders LEFT JOIN part ON p_partkey = o_orderkey WHERE p_size IS NULL OR p_size >= 10")
@@ -498,7 +498,7 @@ def named_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), (F.col("c_nationkey") % 3).alias("trust"), F.expr("nullif(c_nationkey, 5)").alias("rank"), F.expr("nullif(c_custkey % 7, 2)").alias("gap_usd"))
     order = facets.named_sorts()["best"]
     page = facets.page_of(rows, order, 0)
-    return page.select(F.row_number().over(Window.orderBy(*order.columns())).alias("place"), "name")
+    return page.select(F.row_number().over(Window.orderBy(*order.columns())).cast("long").alias("place"), "name")
 
 
 @query("SELECT count(lat) AS shown, count(*) - count(lat) AS missing, min(lat) AS south, max(lat) AS north, min(lng) AS west, max(lng) AS east FROM (SELECT CASE WHEN c_nationkey <> 4 THEN c_acctbal END AS lat, CASE WHEN c_nationkey <> 4 THEN c_custkey END AS lng FROM customer)")
