@@ -1,10 +1,14 @@
 """Language-model scoring by cross-entropy difference.
 
 Two interpolated bigram models, of a target (documents of good quality) and of the background (all
-documents), share one vocabulary: the ``vocabulary`` most frequent words of all documents, any other
-word counting as unknown. Counts cover every document. Bigrams are counted in hashed cells, whose
-number is a parameter, so that a model has a fixed size. A document's score is the mean over its
-tokens of the target's loss less the background's: low scores look like the target.
+documents), share one vocabulary: all words of all documents. Words and bigrams are counted in full
+and stay tables, which grow with the input; words and bigrams are known by 64-bit hashes. A document's
+score is the mean over its tokens of the target's loss less the background's: low scores look like
+the target.
+
+The losses of a bigram are a row of a table. Those of the bigrams that are at least one in ``OFTEN``
+of all tokens, fewer than that in number, go to all workers; the documents' other bigrams meet
+theirs in a join.
 
 Defined results: null and wordless texts have no tokens and null losses and score; without target
 documents both models are uniform over the vocabulary plus what the background counts give; rows
@@ -13,133 +17,146 @@ with a null id are scored as any other; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mesaquery.llm.common import claim, with_small
+from mesaquery.llm.common import claim, give_back, saved, with_small
+from mesaquery.llm.jaccard_join import _Hashes, mix
 from mesaquery.llm.tokens import texts_of
 
-VOCABULARY, CELLS = 1 << 15, 1 << 19
 #: Weight of the bigram estimate; additive smoothing of the unigram one.
 BIGRAM, SMOOTHING = 0.6, 0.5
-#: Distinct words that a part counts before it hands its counts on.
-PART_WORDS = 300_000
+#: Tokens for each of which at most one frequent bigram is sent to all workers: no effect on results.
+OFTEN = 200_000
+#: Words that a worker hashes at once, counts before it hands counts on, and caches: bounds on memory.
+RUN_WORDS, PART_WORDS, CACHE_WORDS = 300_000, 2_000_000, 300_000
 
+_hashes = _Hashes()
 
-@dataclass
-class Models:
-    index: dict[bytes, int]  # 0 is the unknown word
-    unigram: np.ndarray  # words x 2 (background, target)
-    bigram: np.ndarray  # cells x 2
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self.index.get(w, 0) for w in words), np.int64, len(words))
+def _runs(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of texts: number of the first, words of each, and hashes of each word and the one before.
 
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """Natural-log losses of each token under the background and the target."""
-        size = len(self.index) + 1
-        p = (self.unigram[ids] + SMOOTHING) / (self.unigram.sum(0) + SMOOTHING * size)
-        if len(ids) > 1:
-            before = self.unigram[ids[:-1]]
-            pair = np.minimum(self.bigram[cell(ids[:-1], ids[1:])] / np.maximum(before, 1), 1.0)
-            p[1:] = np.where(before > 0, BIGRAM * pair + (1 - BIGRAM) * p[1:], p[1:])
-        return -np.log(p)
+    The first word of a text comes after 0.
+    """
+    words: list[bytes] = []
+    sizes: list[int] = []
+    start = 0
 
+    def run() -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        if len(_hashes) > CACHE_WORDS:
+            _hashes.clear()
+        second = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+        n = np.array(sizes, np.int64)
+        first = np.concatenate((np.zeros(min(1, len(second)), np.uint64), second[:-1]))
+        first[(np.cumsum(n) - n)[n > 0]] = 0
+        return start, n, first, second
 
-def cell(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    h = (first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    h ^= h >> np.uint64(31)
-    return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - (CELLS.bit_length() - 1))).astype(np.int64)
+    for i, text in enumerate(texts):
+        found = (text or b"").lower().split()
+        words += found
+        sizes.append(len(found))
+        if len(words) > RUN_WORDS:
+            yield run()
+            words, sizes, start = [], [], i + 1
+    if sizes:
+        yield run()
 
 
-def _words(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
+def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(mix(first + np.uint64(1)) + second)
 
 
-def fit(docs: DataFrame, vocabulary: int = VOCABULARY) -> Models:
-    """From rows (text, target boolean), by two passes over all of them."""
+def fit(docs: DataFrame) -> tuple[DataFrame, int]:
+    """From rows (text, target boolean): pair, n and both losses of every bigram; and the tokens' number."""
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("lm")
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lm", _hashes.clear)
+        held: list[tuple[np.ndarray, ...]] = []
 
         def handed_on() -> pa.RecordBatch:
-            words = list(counts[0])
-            out = pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "n": pa.array([counts[0][w] for w in words], pa.int64()), "n_target": pa.array([counts[1][w] for w in words], pa.int64())})
-            counts[0].clear()
-            counts[1].clear()
-            return out
+            pairs, first, second, n, n_target = map(np.concatenate, zip(*held, strict=True))
+            held.clear()
+            keys, at, of = np.unique(pairs, return_index=True, return_inverse=True)
+            columns = (keys.view(np.int64), first[at].view(np.int64), second[at].view(np.int64), np.bincount(of, n).astype(np.int64), np.bincount(of, n_target).astype(np.int64))
+            return pa.RecordBatch.from_pydict(dict(zip(("pair", "first", "second", "n", "n_target"), map(pa.array, columns), strict=True)))
 
         for batch in batches:
-            for text, target in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                words = _words(text)
-                counts[0].update(words)
-                if target:
-                    counts[1].update(words)
-            if len(counts[0]) > PART_WORDS:
-                yield handed_on()
-        yield handed_on()
-
-    rows = docs.select("text", "target")
-    sums = rows.mapInArrow(count_words, "word binary, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    top = sums.orderBy(F.desc("n"), "word").limit(vocabulary).toPandas()  # the size of the vocabulary
-    index = {bytes(w): i for i, w in enumerate(top["word"], 1)}
-    models = Models(index, np.zeros((len(index) + 1, 2)), np.zeros((CELLS, 2)))
-    models.unigram[1:] = top[["n", "n_target"]].to_numpy(float)
-    shared = docs.sparkSession.sparkContext.broadcast(models.index)
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, unknown, index = np.zeros((2, CELLS), np.int64), np.zeros(2, np.int64), shared.value
-        for batch in batches:
-            words = [_words(t) for t in texts_of(batch.column(0))]
-            n = np.fromiter(map(len, words), np.int64, len(words))
-            ids = np.fromiter((index.get(w, 0) for w in chain.from_iterable(words)), np.int64, int(n.sum()))
-            doc = np.repeat(np.arange(len(words)), n)
-            good = np.array(batch.column(1).to_pylist(), bool)[doc] if len(words) else np.empty(0, bool)
-            same = doc[1:] == doc[:-1]
-            at = cell(ids[:-1], ids[1:])
-            cells[0] += np.bincount(at[same], minlength=CELLS)
-            cells[1] += np.bincount(at[same & good[1:]], minlength=CELLS)
-            unknown += [(ids == 0).sum(), ((ids == 0) & good).sum()]
-        at = np.flatnonzero(cells[0])
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(np.append(at, -1).astype(np.int32)), "n": pa.array(np.append(cells[0][at], unknown[0])), "n_target": pa.array(np.append(cells[1][at], unknown[1]))})
-
-    pairs = rows.mapInArrow(count_pairs, "cell int, n long, n_target long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toPandas()  # at most CELLS rows
-    for at, *n in pairs.itertuples(index=False):
-        if at < 0:
-            models.unigram[0] = n
-        else:
-            models.bigram[at] = n
-    return models
-
-
-def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss (means per token) and their difference."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # a vocabulary and CELLS counts
+            target = np.array(batch.column(1).to_pylist(), bool)
+            for start, n, first, second in _runs(texts_of(batch.column(0))):
+                if len(second):
+                    held.append((_pair(first, second), first, second, np.ones(len(second)), np.repeat(target[start : start + len(n)], n).astype(float)))
+                    if sum(len(x[0]) for x in held) > PART_WORDS:
+                        yield handed_on()
+        if held:
+            yield handed_on()
+        _hashes.clear()
+        give_back()
+
+    sums = [F.sum("n").alias("n"), F.sum("n_target").alias("n_target")]
+    parts = docs.select("text", "target").mapInArrow(count, "pair long, first long, second long, n long, n_target long")
+    pairs = saved(parts.groupBy("pair").agg(F.min("first").alias("first"), F.min("second").alias("second"), *sums), "pairs")
+    words = saved(pairs.groupBy("second").agg(*sums), "words")
+    size, total, total_target = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
+    known = with_small(pairs, words.toDF("second", "n2", "n2_target"), ["second"], "inner", size)
+    known = with_small(known, words.toDF("first", "n1", "n1_target"), ["first"], "left", size)
+
+    def loss(kind: str, all_: int) -> Column:
+        alone = (F.col("n2" + kind) + SMOOTHING) / (all_ + SMOOTHING * (size + 1))
+        return -F.log(F.when(F.col("n1" + kind) > 0, BIGRAM * F.col("n" + kind) / F.col("n1" + kind) + (1 - BIGRAM) * alone).otherwise(alone))
+
+    return saved(known.select("pair", "n", loss("", total).alias("background"), loss("_target", total_target).alias("target")), "losses"), total
+
+
+def score(docs: DataFrame, losses: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss (means per token) and their difference.
+
+    Of documents whose words were counted.
+    """
+    often = F.col("n") * OFTEN >= total
+    top = losses.where(often).orderBy("pair").select("pair", "background", "target").toPandas()  # at most OFTEN rows
+    shared = docs.sparkSession.sparkContext.broadcast((top["pair"].to_numpy(np.int64), top[["background", "target"]].to_numpy(float)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
+        claim("lm", _hashes.clear)
+        keys, values = shared.value
         for batch in batches:
-            n, means = [], []
-            for text in texts_of(batch.column(1)):
-                words = _words(text)
-                n.append(len(words))
-                means.append(models.losses(models.ids(words)).mean(0).tolist() if words else (None, None))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "target_loss": pa.array([m[1] for m in means], pa.float64()), "background_loss": pa.array([m[0] for m in means], pa.float64())})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(measure, "doc_id long, n_tokens long, target_loss double, background_loss double").withColumn("score", F.col("target_loss") - F.col("background_loss"))
+            rows, ids = batch.column(0).to_numpy(), batch.column(1)
+            for start, n, first, second in _runs(texts_of(batch.column(2))):
+                pairs, doc = _pair(first, second).view(np.int64), np.repeat(np.arange(len(n)), n)
+                at = np.minimum(np.searchsorted(keys, pairs), max(0, len(keys) - 1))
+                hit = keys[at] == pairs if len(keys) else np.zeros(len(pairs), bool)
+                sums = [np.bincount(doc[hit], values[at[hit], k], len(n)) for k in (0, 1)] if len(keys) else [np.zeros(len(n))] * 2
+                # A row of each document, and one of each of its other bigrams.
+                left, of = pairs[~hit], doc[~hit]
+                order = np.lexsort((left, of))
+                left, of = left[order], of[order]
+                new = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (of[1:] != of[:-1]))) if len(left) else np.empty(0, np.int64)
+                times = np.diff(np.append(new, len(left)))
+                place = np.concatenate((np.arange(len(n)), of[new])) + start
+                own = mix(rows[start : start + len(n)].astype(np.uint64)).view(np.int64)  # no pair: spreads these rows
+                none = np.arange(len(place)) >= len(n)
+                columns = {"row": pa.array(rows[place]), "doc_id": ids.take(pa.array(place)), "pair": pa.array(np.concatenate((own, left[new])))}
+                columns["times"] = pa.array(np.concatenate((np.bincount(doc[hit], minlength=len(n)), times)).astype(np.int64))
+                columns |= {name: pa.array(np.concatenate((x, np.zeros(len(new)))), mask=none) for name, x in zip(("b", "t"), sums, strict=True)}
+                yield pa.RecordBatch.from_pydict(columns)
+        _hashes.clear()
+        give_back()
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = rows.mapInArrow(measure, "row long, doc_id long, pair long, times long, b double, t double")
+    joined = with_small(found, losses.where(~often).select("pair", "background", "target"), ["pair"], "left")
+    sums = joined.groupBy("row", "doc_id").agg(F.sum("times").alias("n_tokens"), F.sum(F.coalesce("t", F.col("times") * F.col("target"))).alias("t"), F.sum(F.coalesce("b", F.col("times") * F.col("background"))).alias("b"))
+    means = [F.when(F.col("n_tokens") > 0, F.col(x) / F.col("n_tokens")).alias(name) for x, name in (("t", "target_loss"), ("b", "background_loss"))]
+    return sums.select("doc_id", "n_tokens", *means).withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Models of documents labelled as of good quality and of all; scores of all."""
     good = labels.where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
     marked = with_small(docs.select("doc_id", "text"), good, ["doc_id"], "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    return score(docs, fit(marked))
+    return score(docs, *fit(marked))

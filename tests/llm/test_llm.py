@@ -256,6 +256,36 @@ def test_lm_scoring(spark):
     assert got[50] is None and got[51] < 0 < got[0]
 
 
+def test_lm_scoring_counts_every_word_and_bigram(spark):
+    """More words than the old vocabulary, and more rare bigrams than its cells could hold apart."""
+    rng = random.Random(7)
+    texts = [" ".join([f"r{i}_{k}" for k in range(100)] * 2 + rng.choices(["a", "b", "c"], k=30)) for i in range(400)] + ["a b", None, "", "a b"]
+    good = {i for i in range(len(texts)) if i % 3 == 0}
+    words = [(t or "").split() for t in texts]
+    uni, pair = [{}, {}], [{}, {}]
+    for i, w in enumerate(words):
+        for side in (0, 1)[: 1 + (i in good)]:
+            for a, b in zip([None, *w], w, strict=False):
+                uni[side][b] = uni[side].get(b, 0) + 1
+                pair[side][a, b] = pair[side].get((a, b), 0) + 1
+    total, size = [sum(u.values()) for u in uni], len(uni[0]) + 1
+
+    def loss(side, a, b):
+        p = (uni[side].get(b, 0) + 0.5) / (total[side] + 0.5 * size)
+        return -math.log(0.6 * pair[side].get((a, b), 0) / uni[side][a] + 0.4 * p if uni[side].get(a) else p)
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm_scoring.scored(docs, spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")).collect()}
+    assert len(got) == len(texts)
+    for i, w in enumerate(words):
+        assert got[i].n_tokens == len(w)
+        if w:
+            want = [sum(loss(s, a, b) for a, b in zip([None, *w], w, strict=False)) / len(w) for s in (0, 1)]
+            assert math.isclose(got[i].background_loss, want[0], rel_tol=1e-9) and math.isclose(got[i].target_loss, want[1], rel_tol=1e-9)
+        else:
+            assert got[i].score is None
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
