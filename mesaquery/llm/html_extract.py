@@ -41,9 +41,9 @@ LEAST_TOKENS = 3
 _RAW = "script|style|noscript|template|textarea|iframe|svg|title|xmp"
 _TOKEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(" + _RAW + r""")\b(?:"[^"]*"|'[^']*'|[^'">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""")
 _ATTRIBUTE = re.compile(r"""(?is)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-#: Elements, and words of classes, ids and roles, of what isn't main text.
+#: Elements, and whole classes, ids and roles, of what isn't main text.
 ASIDE_TAGS = frozenset("head nav header footer aside form button select dialog menu object audio video canvas".split())
-ASIDE_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|complementary|consent|contentinfo|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|pagination|pager|popup|promo\w*|recommend\w*|related|replies|respond|search|share|sharing|sidebar\w*|side|signup|social|sponsor\w*|subscribe|tags?|toolbar|widgets?)(?=$|[\s_-])")
+ASIDE_WORDS = re.compile(r"(?i)(?:(?:site|page|main|global|top|bottom|primary|secondary|cookie|post|article|entry|social|privacy|mobile)[_-])?(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|complementary|consent|contentinfo|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|pagination|pager|popup|promo\w*|recommend\w*|related|replies|respond|search|share|sharing|sidebar\w*|side|signup|social|sponsor\w*|subscribe|tags?|toolbar|widgets?)(?:[_-](?:area|banner|bar|block|box|buttons?|container|content|form|inner|items?|links?|list|menu|nav|notice|outer|section|wrap|wrapper))?")
 MAIN_TAGS = ("article", "main")
 BLOCK_TAGS = frozenset("address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,9 +57,9 @@ class Piece:
     def __init__(self, a: int, b: int, close: bool, name: str, attributes: str):
         self.a, self.b, self.close, self.name = a, b, close, name
         marks = sorted((m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)) if attributes and "=" in attributes else []
-        words = " ".join(v for _, v in marks)
+        words = [w for _, v in marks for w in v.split()]
         self.main = not close and (name in MAIN_TAGS or any(k == "role" and v == "main" for k, v in marks))
-        self.aside = not close and (name in ASIDE_TAGS or bool(words) and name not in ("html", "body") and bool(ASIDE_WORDS.search(words)))
+        self.aside = not close and (name in ASIDE_TAGS or bool(words) and name not in ("html", "body") and any(map(ASIDE_WORDS.fullmatch, words)))
         self.key = "/" * close + name + "".join(f" {k}={v}" for k, v in marks)
 
 
@@ -87,10 +87,26 @@ def elements(pieces: list[Piece]) -> list[int]:
     return ends
 
 
+def keep_main(pieces: list[Piece], ends: list[int]) -> None:
+    """A main element isn't aside, nor is what holds one, except where that is itself inside another."""
+    open_: list[int] = []
+    for i, p in enumerate(pieces):
+        while open_ and ends[open_[-1]] < i:
+            open_.pop()
+        if p.main:
+            p.aside = False
+            if not any(pieces[k].main for k in open_):
+                for k in open_:
+                    pieces[k].aside = False
+        if not p.close and ends[i] > i:
+            open_.append(i)
+
+
 def main_text(page: str, template: list[str] | None = None) -> str:
     """Main text of one page; ``template`` has the outer class's tokens in order."""
     pieces = pieces_of(page)
     ends = elements(pieces)
+    keep_main(pieces, ends)
     slots = _slots(pieces, ends, template or [])
     if slots is None:
         slots = _by_elements(pieces, ends)

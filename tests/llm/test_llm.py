@@ -248,6 +248,17 @@ def test_html(spark):
     assert got[10] == "" == got[11] and got[12] == "loose\ntext" and got[13] == "A & B\nz"
 
 
+def test_html_keeps_articles_of_any_class():
+    for body in (
+        "<article class='post tag-news'><p>one</p></article>",
+        "<div class='content has-sidebar'><article><p>one</p></article></div><div class='sidebar'>x</div>",
+        "<div class='no-sidebar'><p>one</p></div><div class='site-footer'>x</div>",
+        "<form id='search'><main class='share'><p>one</p></main></form>",
+        "<article><p>one</p><div class='comments'><article class='comment'>x</article></div></article>",
+    ):
+        assert html_extract.main_text(f"<html><body class='tags'>{body}<footer>f</footer></body></html>") == "one"
+
+
 def test_lm_scoring(spark):
     good, other = "alpha beta gamma delta " * 10, "lorem ipsum dolor sit " * 10
     docs = spark.createDataFrame([(i, good if i % 2 else other) for i in range(20)] + [(50, None), (51, good)], "doc_id long, text string")
