@@ -1,33 +1,39 @@
 """HTML extraction by equivalence classes of template tokens.
 
-1. *Occurrence vectors.* A token is a tag with its class, id and role. Over the pages of one host,
-   its vector has how often it occurs on each page. Vectors are never built: the sum over pages of a
-   hash of (page, count) stands for one, so that equal vectors have equal sums, and partial sums add
-   up anywhere. The same sums over all hosts make a common template for hosts of few pages.
-2. *Classes.* Tokens of one host and one vector that occur on most of its pages form a class. Tokens
-   that occur once on each page make the outer class; its tokens in their mean order are valid where
-   a page has them in that order. Other classes nest in the outer slot that holds them.
-3. *Slots.* The outer class cuts a page into slots. Slots whose open template elements are menus,
-   headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments are left out;
-   of the others, those of the innermost main element are taken, or all if there's none.
+1. *Occurrence vectors.* A token is a tag with its class, id and role, or a text between two tags. Over
+   the pages of one host, its vector has how often it occurs on each page. Vectors are never built: the
+   sum over pages of a hash of (page, count) stands for one, so that equal vectors have equal sums, and
+   partial sums add up anywhere. The same sums over all hosts make a common template for hosts of few
+   pages. Pages without tags, such as null and empty ones, don't count.
+2. *Classes.* Tokens of one host and one vector that occur on ``SHARE`` of its pages form a class. The
+   outer class is the one that occurs once on most pages, on ``SHARE`` of them at least; its tokens in
+   their mean order are valid where a page has them once in that order. Other classes are valid where
+   a page repeats their tokens in order and each repetition lies in one slot of the classes before it,
+   more widespread first: there they nest and cut that slot further.
+3. *Slots.* The classes cut a page into slots, which the tokens around them name. Slots whose open
+   template elements are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
+   comments are left out; of the others, those of the innermost main element are taken. A page without
+   main elements has all others but those of one text on all pages of its template, ``LEAST_PAGES`` at
+   least, and texts of the template; where these are all that it has, they stay.
 4. Within a slot, elements of those kinds that the template doesn't know are skipped by the same
    rules, the rest is cut into blocks, character references are decoded and white space is joined.
 
-Defined results: null and empty pages have an empty text; a page whose tokens don't fit the template
-is judged by its own elements; a null URL belongs to the host of empty name; repeated rows are each
-extracted; an empty table gives no rows.
+Defined results: null and empty pages have an empty text; a page whose tokens don't fit the template,
+or whose main element isn't in it, is judged by its own elements; a null URL belongs to the host of
+empty name; repeated rows are each extracted; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mesaquery.llm.common import saved, with_small
@@ -102,29 +108,83 @@ def keep_main(pieces: list[Piece], ends: list[int]) -> None:
             open_.append(i)
 
 
-def main_text(page: str, template: list[str] | None = None) -> str:
-    """Main text of one page; ``template`` has the outer class's tokens in order."""
+def texts_between(page: str, pieces: list[Piece]) -> Iterator[tuple[int, Piece]]:
+    """Texts between pieces as pieces themselves, and the number of the piece that follows each."""
+    import xxhash
+
+    at = 0
+    for i in range(len(pieces) + 1):
+        stop = pieces[i].a if i < len(pieces) else len(page)
+        if stop > at and (text := " ".join(page[at:stop].split())):
+            piece = Piece(at, stop, False, "", "")
+            piece.key = "=" + xxhash.xxh3_64_hexdigest(text)
+            yield i, piece
+        at = pieces[i].b if i < len(pieces) else at
+
+
+def _with_texts(page: str, pieces: list[Piece], wanted: set[str]) -> list[Piece]:
+    """``pieces`` and the texts between them that the template has."""
+    out, done = [], 0
+    for i, piece in texts_between(page, pieces):
+        if piece.key in wanted:
+            out += [*pieces[done:i], piece]
+            done = i
+    return out + pieces[done:]
+
+
+def main_text(page: str, template: list[list[str]] | None = None, fixed: frozenset[str] = frozenset()) -> str:
+    """Main text of one page; ``template`` has the classes' tokens in order, ``fixed`` slots of one text."""
     pieces = pieces_of(page)
     ends = elements(pieces)
     keep_main(pieces, ends)
-    slots = _slots(pieces, ends, template or [])
-    if slots is None:
-        slots = _by_elements(pieces, ends)
-    blocks: list[str] = []
-    for first, last in slots:
-        blocks += _blocks(page, pieces, ends, first, last)
-    return "\n".join(blocks)
-
-
-def _slots(pieces: list[Piece], ends: list[int], template: list[str]) -> list[tuple[int, int]] | None:
-    """Ranges of pieces, (after, up to), of the wanted slots; None where the template doesn't fit."""
-    if len(template) < LEAST_TOKENS:
-        return None
-    wanted, at = set(template), []
+    if template and not any(p.main and ends[i] > i for i, p in enumerate(pieces)):
+        whole = _with_texts(page, pieces, {t for tokens in template for t in tokens if t[0] == "="})
+        ends_ = elements(whole)
+        if found := _slots(whole, ends_, template):
+            # A template text is a cut: none of the slots that it bounds has it.
+            own = [(a, b) for a, b in found[0] if slot_name(whole, a, b) not in fixed]
+            if text := _joined_text(page, whole, ends_, own):
+                return text
+    slots = _slots(pieces, ends, [[t for t in tokens if t[0] != "="] for tokens in template or []])
+    ranges = _by_elements(pieces, ends) if slots is None or not slots[1] and any(p.main and ends[i] > i for i, p in enumerate(pieces)) else slots[0]
+    return _joined_text(page, pieces, ends, ranges)
+
+
+def _joined_text(page: str, pieces: list[Piece], ends: list[int], slots: list[tuple[int, int]]) -> str:
+    return "\n".join(block for a, b in _joined(slots) for block in _blocks(page, pieces, ends, a, b))
+
+
+def slot_name(pieces: list[Piece], a: int, b: int) -> str:
+    return pieces[a].key + "\n" + (pieces[b].key if b < len(pieces) else "")
+
+
+def _cuts(pieces: list[Piece], template: list[list[str]]) -> list[int] | None:
+    """Pieces that cut a page into slots, the outer class's and nested ones'; None where it doesn't fit."""
+    wanted = {t for tokens in template for t in tokens}
+    places: dict[str, list[int]] = {}
     for i, p in enumerate(pieces):
-        if p.name and p.key in wanted:
-            at.append(i)
-    if [pieces[i].key for i in at] != template:
+        if p.key in wanted:
+            places.setdefault(p.key, []).append(i)
+    cuts = [i for t in template[0] for i in places.get(t, ())]
+    if len(cuts) != len(template[0]) or len(set(cuts)) < LEAST_TOKENS or any(len(places.get(t, ())) != 1 for t in template[0]) or cuts != sorted(cuts):
+        return None
+    for tokens in template[1:]:
+        at, k = sorted(i for t in tokens for i in places.get(t, ())), len(tokens)
+        if not at or [pieces[i].key for i in at] != tokens * (len(at) // k):
+            continue
+        if all(bisect_right(cuts, at[j]) == bisect_right(cuts, at[j + k - 1]) for j in range(0, len(at), k)):
+            cuts = sorted(cuts + at)
+    return cuts
+
+
+def _slots(pieces: list[Piece], ends: list[int], template: list[list[str]]) -> tuple[list[tuple[int, int]], bool] | None:
+    """Ranges of pieces, (after, up to), of the wanted slots, and whether they are of main elements.
+
+    None where the template doesn't fit.
+    """
+    template = [tokens for tokens in template if tokens]
+    at = _cuts(pieces, template) if template else None
+    if at is None:
         return None
     bounds = [*zip(at, at[1:], strict=False), (at[-1], len(pieces))]
     open_: list[int] = []
@@ -138,7 +198,7 @@ def _slots(pieces: list[Piece], ends: list[int], template: list[str]) -> list[tu
         if any(pieces[i].aside for i in open_) and not _own_header(pieces, open_):
             continue
         (main if any(pieces[i].main for i in open_) else plain).append((a, b))
-    return _joined(main or plain)
+    return main or plain, bool(main)
 
 
 def _joined(slots: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -204,7 +264,7 @@ def _blocks(page: str, pieces: list[Piece], ends: list[int], first: int, last: i
 
 
 def templates_of(pages: DataFrame) -> DataFrame:
-    """host, template (tokens of the outer class in order) of rows (host, page, html).
+    """host, template (the classes' tokens in order, the outer class first) of rows (host, page, html).
 
     The common template of all pages has a null host.
     """
@@ -217,10 +277,16 @@ def templates_of(pages: DataFrame) -> DataFrame:
             for host, page, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 found: Counter[str] = Counter()
                 place: dict[str, int] = {}
-                for k, p in enumerate(pieces_of(text or "")):
+                pieces = pieces_of(text or "")
+                for k, p in enumerate(pieces):
                     if p.name:
                         found[p.key] += 1
                         place.setdefault(p.key, k)
+                if not found:
+                    continue  # null, empty or plain: nothing that a template could be on
+                for k, p in texts_between(text, pieces):
+                    found[p.key] += 1
+                    place.setdefault(p.key, k - 0.5)
                 found["#page"] += 1
                 for key, n in found.items():
                     row = sums.setdefault((host, key), [0, 0, 0, 0.0])
@@ -243,9 +309,50 @@ def templates_of(pages: DataFrame) -> DataFrame:
     totals = vectors.where("token = '#page'").select("host", F.col("pages").alias("all_pages"))
     tokens = vectors.where("token <> '#page'").join(totals, vectors.host.eqNullSafe(totals.host)).drop(totals.host)
     often = tokens.where(F.col("pages") >= SHARE * F.col("all_pages")).where((F.col("all_pages") >= LEAST_PAGES) | F.col("host").isNull())
-    # A class: one host's tokens of one vector. The outer one has each token once on every page.
-    classes = often.groupBy("host", "vector").agg(F.count("*").alias("size"), F.min(F.when(F.col("once") == F.col("all_pages"), 1).otherwise(0)).alias("outer"), F.array_sort(F.collect_list(F.struct((F.col("place") / F.col("pages")).alias("at"), "token"))).alias("tokens"))
-    return classes.where((F.col("outer") == 1) & (F.col("size") >= LEAST_TOKENS)).select("host", F.col("tokens.token").alias("template"))
+    # A class: one host's tokens of one vector. The outer one has each token once on most pages.
+    classes = often.groupBy("host", "vector").agg(F.count("*").alias("size"), F.min(F.when(F.col("once") >= SHARE * F.col("all_pages"), F.col("once")).otherwise(0)).alias("outer"), F.first("pages").alias("pages"), F.array_sort(F.collect_list(F.struct((F.col("place") / F.col("pages")).alias("at"), "token"))).alias("tokens"))
+    first = Window.partitionBy("host").orderBy(F.desc("outer"), F.desc("size"), "vector")
+    ranked = classes.where(F.col("size") >= LEAST_TOKENS).withColumn("rank", F.row_number().over(first)).withColumn("best", F.max("outer").over(Window.partitionBy("host")))
+    # Hosts without an outer class have none; the others' classes by how widespread they are.
+    order = F.struct((F.col("rank") > 1).alias("inner"), (-F.col("pages")).alias("pages"), "rank", F.col("tokens.token").alias("tokens"))
+    return ranked.where("best > 0").groupBy("host").agg(F.array_sort(F.collect_list(order)).alias("found")).select("host", F.col("found.tokens").alias("template"))
+
+
+def fixed_of(joined: DataFrame, common: list[list[str]] | None) -> DataFrame:
+    """host, fixed (names of slots with one text on all pages) of rows (host, html, template).
+
+    Of pages without main elements, which alone drop such slots. Those of the common template have a
+    null host.
+    """
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            rows: dict[tuple[str | None, str], list[int]] = {}
+            for host, page, template in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                used, pieces = template or common, pieces_of(page or "")
+                ends = elements(pieces)
+                if not used or any(p.main and ends[i] > i for i, p in enumerate(pieces)):
+                    continue
+                keep_main(pieces, ends)
+                pieces = _with_texts(page or "", pieces, {t for tokens in used for t in tokens if t[0] == "="})
+                ends = elements(pieces)
+                seen = set()
+                for a, b in (_slots(pieces, ends, used) or ((), False))[0]:
+                    name, h = slot_name(pieces, a, b), xxhash.xxh3_64_intdigest("\n".join(_blocks(page, pieces, ends, a, b))) >> 1
+                    row = rows.setdefault((host if template else None, name), [h, h, 0])
+                    row[:2] = min(row[0], h), max(row[1], h)
+                    row[2] += name not in seen
+                    seen.add(name)
+            if rows:
+                columns = zip(*((h, n, *v) for (h, n), v in rows.items()), strict=True)
+                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_pydict({n: pa.array(c, k) for n, c, k in zip(("host", "slot", "low", "high", "pages"), columns, kinds, strict=True)})
+
+    found = joined.select("host", "html", "template").mapInArrow(contents, "host string, slot string, low long, high long, pages long")
+    slots = found.groupBy("host", "slot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("pages").alias("pages"))
+    return slots.where((F.col("low") == F.col("high")) & (F.col("pages") >= LEAST_PAGES)).groupBy("host").agg(F.collect_list("slot").alias("fixed"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -253,13 +360,20 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     hosted = rows.withColumn("host", parts(F.col("url"))[0])
     templates = saved(templates_of(hosted.select("host", F.col("page_id").alias("page"), "html")), "templates")
-    common = [r[0] for r in templates.where("host IS NULL").select("template").collect()]  # one row at most
-    joined = with_small(hosted, templates.where("host IS NOT NULL"), ["host"], "left")
+    common = next((r[0] for r in templates.where("host IS NULL").select("template").collect()), None)  # one row at most
+    own = templates.where("host IS NOT NULL")
+    # Templates are wide: what they hold counts, not their rows.
+    size = own.agg(F.coalesce(F.sum(F.size(F.flatten("template"))), F.lit(0))).first()[0]
+    joined = with_small(hosted, own, ["host"], "left", size)
+    fixed = saved(fixed_of(joined, common), "fixed")
+    common_fixed = frozenset(x for r in fixed.where("host IS NULL").select("fixed").collect() for x in r[0])  # slots of one template
+    size = fixed.agg(F.coalesce(F.sum(F.size("fixed")), F.lit(0))).first()[0]
+    joined = with_small(joined, fixed.where("host IS NOT NULL"), ["host"], "left", size)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page or "", template or (common[0] if common else None)) for page, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [main_text(page or "", template, frozenset(known or ())) if template else main_text(page or "", common, common_fixed) for page, template, known in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_pydict({"page_id": batch.column(0), "url": batch.column(1), "text": pa.array(texts, pa.string()), "n_chars": pa.array(np.fromiter(map(len, texts), np.int64, len(texts)))})
 
     kind = dict(rows.dtypes)["page_id"]
-    return joined.select("page_id", "url", "html", "template").mapInArrow(read, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "template", "fixed").mapInArrow(read, f"page_id {kind}, url string, text string, n_chars long")

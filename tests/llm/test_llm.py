@@ -259,6 +259,21 @@ def test_html_keeps_articles_of_any_class():
         assert html_extract.main_text(f"<html><body class='tags'>{body}<footer>f</footer></body></html>") == "one"
 
 
+def test_html_template_survives_odd_pages_and_drops_what_does_not_vary(spark):
+    """Plain pages of one host, with a null, an empty and an error page among them."""
+    item = lambda i, k: f"<li class='i'><span class='who'>user {i}-{k}</span><span class='mark'>said</span><i class='what'>text {i}-{k}</i></li>"
+    page = lambda i: f"<html><body><div id='top'>Welcome <b>back</b></div><div id='body'><h1>Head {i}</h1><ul>{''.join(item(i, k) for k in range(1 + i % 3))}</ul></div><div id='low'>All rights {'<br>' * (i % 2)}</div></body></html>"
+    rows = [(i, "http://h.org/", page(i)) for i in range(12)] + [(20, "http://h.org/", None), (21, "http://h.org/", ""), (22, "http://h.org/", "<p>Error</p>")]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        assert got[i].split() == f"Head {i} {' '.join(f'user {i}-{k} text {i}-{k}' for k in range(1 + i % 3))}".split()
+    assert got[20] == "" == got[21] and got[22] == "Error"
+    (template,) = [r.template for r in html_extract.templates_of(spark.createDataFrame([("h", i, h) for i, _, h in rows], "host string, page long, html string")).where("host = 'h'").collect()]
+    assert "div id=top" in template[0] and any("li class=i" in tokens for tokens in template[1:])
+    cuts = html_extract._cuts(html_extract.pieces_of(page(2)), [[t for t in tokens if t[0] != "="] for tokens in template])
+    assert sum(html_extract.pieces_of(page(2))[c].key == "li class=i" for c in cuts) == 3
+
+
 def test_lm_scoring(spark):
     good, other = "alpha beta gamma delta " * 10, "lorem ipsum dolor sit " * 10
     docs = spark.createDataFrame([(i, good if i % 2 else other) for i in range(20)] + [(50, None), (51, good)], "doc_id long, text string")
