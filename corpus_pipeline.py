@@ -30,8 +30,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of linked documents stays."""
-    groups = jaccard_join.similar_groups(docs)
+    """The document of the smallest id of each group of linked ones stays: 5-word shingles, Jaccard >= 0.8."""
+    groups = jaccard_join.similar_groups(docs, n=5, percent=80)
     return _only(docs, groups.where("doc_id <> component_id"), "left_anti")
 
 

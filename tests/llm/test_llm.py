@@ -324,3 +324,24 @@ def test_pipeline_keeps_clean_documents(spark):
     first = groups(list(sets), lambda a, b: len(sets[a] & sets[b]) * 100 >= 85 * len(sets[a] | sets[b]) > 0)
     dirty = {x[0] for x in brute_contamination([(r.doc_id, r.text) for r in docs.collect()], [tuple(r) for r in common.table(spark, DATA, "benchmark").collect()]) if x[-1]}
     assert {r.doc_id for r in kept.collect()} == {i for i, c in first.items() if i == c} - dirty
+
+
+def test_pipeline_near_duplicates_by_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    rows = [(i, " ".join(word() for _ in range(rng.choice([3, 30, 104, 300])))) for i in range(30)]
+    base = [word() for _ in range(104)]
+    fifty = [word() for _ in range(50)]
+    one = [*fifty[:25], "other", *fifty[26:]]
+    rows += [(100, " ".join(base)), (101, " ".join(base + [word() for _ in range(20)])), (102, " ".join(base + [word() for _ in range(30)])), (110, " ".join(fifty)), (111, " ".join(one)), (120, None), (121, ""), (122, "")]
+    for i, t in rows[:30]:
+        w = t.split()
+        w[len(w) // 2 : len(w) // 2 + rng.choice([1, 2, 6])] = [word()]
+        rows.append((200 + i, " ".join(w)))
+    sets = {i: word_set(t, 5) for i, t in rows}
+    first = groups(list(sets), lambda a, b: len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]) > 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect()}
+    assert got == {i for i, c in first.items() if i == c} and not {101, 111} & got and 102 in got
