@@ -4,8 +4,9 @@ A rule names a host, which stands for its subdomains too, and a path prefix; the
 decides. Other URLs are scored: concatenated names in the host and path are split into words by a
 unigram Viterbi search, and multinomial naive Bayes compares the words with labelled ones.
 
-Unigram counts come from the path tokens of all URLs, with the labelled words added; the ``vocabulary``
-most frequent stay, a documented size of the model. An unknown string of n letters costs as much as
+Unigram counts come from the path tokens of all URLs, with the labelled words added. All words count and
+stay a table: the substrings of the names meet it in a join, so that each name has the counts of what
+can make it up, and each distinct name is split once. An unknown string of n letters costs as much as
 in a uniform model of its length, so that names are kept whole unless known words explain them.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and is allowed unless
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mesaquery.llm.common import saved, with_small
 from mesaquery.llm.decontaminate import LOWER, UPPER
 
 #: Labelled words, and how often labelled sites of their kind hold them. Words that
@@ -33,7 +35,10 @@ ORDINARY = "news science sport culture health travel food music art books school
 BLOCKED = {w: 30 for w in STRONG} | {w: 8 for w in WEAK}
 ALLOWED = {w: 8 for w in ORDINARY}
 TOKENS = re.compile(r"[a-z]+")
-LONGEST_WORD = 24
+#: Words of at most this many letters, 18,278 at most, are broadcast: most names share their substrings.
+SHORT_WORD = 3
+#: Substrings that a worker hands on at once: a bound on memory.
+PART_SUBSTRINGS = 50_000
 #: Prior odds of an unwanted site.
 PRIOR = 0.1
 
@@ -57,22 +62,26 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 @dataclass
 class Words:
-    """Log-probabilities of known words, and of each class's words."""
+    """What all names share: the number of counted words, and each class's words' log-probabilities."""
 
-    unigram: dict[str, float]
     total: float
+    labelled: float  # what a labelled word's count is raised by
+    longest: int  # letters of the longest known word
     blocked: dict[str, float]
     allowed: dict[str, float]
 
-    def segment(self, name: str) -> list[str]:
-        """The most probable words that make up ``name``, by Viterbi over word ends."""
+    def segment(self, name: str, counts: Mapping[str, float]) -> list[str]:
+        """The most probable words that make up ``name``, by Viterbi over word ends.
+
+        ``counts`` has at least the substrings of ``name`` that were counted.
+        """
         best, start = [0.0], [0]
         for end in range(1, len(name) + 1):
             top, at = -math.inf, 0
-            for a in range(max(0, end - LONGEST_WORD), end):
-                p = self.unigram.get(name[a:end])
-                if p is None:
-                    p = -math.log(self.total) - (end - a) * math.log(26)
+            for a in range(end):
+                word = name[a:end] if end - a <= self.longest else ""
+                n = counts.get(word, 0.0) + (self.labelled if word in self.blocked or word in self.allowed else 0.0) if word else 0.0
+                p = math.log(n) - math.log(self.total) if n else -math.log(self.total) - (end - a) * math.log(26)
                 if best[a] + p > top:
                     top, at = best[a] + p, a
             best.append(top)
@@ -92,55 +101,84 @@ class Words:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
-def fit(urls: DataFrame, blocked: Mapping[str, int] = BLOCKED, allowed: Mapping[str, int] = ALLOWED, vocabulary: int = 100_000) -> Words:
-    """Word counts over the path tokens of all URLs (path column) and the labelled words.
+def fit(urls: DataFrame, blocked: Mapping[str, int] = BLOCKED, allowed: Mapping[str, int] = ALLOWED) -> tuple[DataFrame, Words]:
+    """Word counts (word, n) over the path tokens of all URLs (path column), and what all names share.
 
     Host names don't count: a name that is frequent would pass for a word and never be split.
     """
     tokens = urls.select(F.explode(F.regexp_extract_all(F.translate("path", UPPER, LOWER), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
-    top = tokens.groupBy("word").count().orderBy(F.desc("count"), "word").limit(vocabulary).collect()
-    counts = {w: float(n) for w, n in top if len(w) <= LONGEST_WORD}
-    labelled = max(10.0, sum(counts.values()) / 1000)
-    for w in {*blocked, *allowed}:
-        counts[w] = counts.get(w, 0.0) + labelled
-    total = sum(counts.values())
+    words = saved(tokens.groupBy("word").agg(F.count("*").alias("n")), "words")
+    counted, longest = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max(F.length("word")), F.lit(0))).first()
+    known = {*blocked, *allowed}
+    labelled = max(10.0, counted / 1000)
+    total = counted + labelled * len(known)
 
     def bayes(words: Mapping[str, int]) -> dict[str, float]:
         size = sum(words.values()) + len({*blocked, *allowed})
         return {w: math.log((1 + n) / size) for w, n in words.items()} | {"": math.log(1 / size)}
 
-    return Words({w: math.log(n / total) for w, n in counts.items()}, total, bayes(blocked), bayes(allowed))
+    return words, Words(total, labelled, max(longest, *map(len, known)), bayes(blocked), bayes(allowed))
+
+
+def segments_of(names: DataFrame, words: DataFrame, model: Words) -> DataFrame:
+    """name and words of distinct names, from the counts of their substrings."""
+
+    def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: list[tuple[str, str]] = []
+            for name in batch.column(0).to_pylist():
+                for a in range(len(name)):
+                    held += [(name, name[a:b]) for b in range(a + 1, min(len(name), a + model.longest) + 1)]
+                    if len(held) > PART_SUBSTRINGS:
+                        yield pa.RecordBatch.from_pydict({"name": pa.array([x for x, _ in held]), "word": pa.array([x for _, x in held])})
+                        held = []
+            if held:
+                yield pa.RecordBatch.from_pydict({"name": pa.array([x for x, _ in held]), "word": pa.array([x for _, x in held])})
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.segment(name, {r["word"]: float(r["n"]) for r in known or ()}) for name, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_pydict({"name": batch.column(0), "words": pa.array(found, pa.list_(pa.string()))})
 
+    parts_ = names.mapInArrow(substrings, "name string, word string")
+    n_words = words.count()
+    short = F.length("word") <= SHORT_WORD
+    met = parts_.join(F.broadcast(words), "word") if n_words <= 100_000 else parts_.where(short).join(F.broadcast(words.where(short)), "word").unionByName(with_small(parts_.where(~short), words.where(~short), ["word"], "inner", n_words))
+    counts = met.groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("counts"))
+    return saved(names.join(counts, "name", "left").select("name", "counts").mapInArrow(split, "name string, words array<string>"), "segments")
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", model: Words | None = None) -> DataFrame:
+
+def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, and the words and score of the method (null under a rule)."""
     url = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     host, path = parts(F.col("url"))
     rows = url.select("page_id", host.alias("host"), path.alias("path"))
-    shared = pages.sparkSession.sparkContext.broadcast(model or fit(rows))
+    counts, model = fit(rows)
     named = [(v, h + p) for v, h, p in rules]
-    rows = rows.withColumn("number", rule_of(F.col("host"), F.col("path"), rules))
+    kind = dict(url.dtypes)["page_id"]
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [None if number is not None else TOKENS.findall(f"{host}/{path.lower()}") for host, path, number in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            yield pa.RecordBatch.from_pydict({n: batch.column(i) for i, n in enumerate(("row", "page_id", "host", "path", "number"))} | {"names": pa.array(names, pa.list_(pa.string()))})
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[str]] = {}
         for batch in batches:
             out: list[tuple[str | None, str, list[str] | None, float | None]] = []
-            for host, path, number in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            for number, words in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 if number is not None:
                     out.append((named[number][1], named[number][0], None, None))
                     continue
-                if len(known) > 100_000:
-                    known.clear()
-                words: list[str] = []
-                for name in TOKENS.findall(f"{host}/{path.lower()}"):
-                    if name not in known:
-                        known[name] = shared.value.segment(name)
-                    words += known[name]
-                score = shared.value.score(words)
-                out.append((None, "block" if score > 0.5 else "allow", words, score))
+                score = model.score(words or [])
+                out.append((None, "block" if score > 0.5 else "allow", words or [], score))
             if out:
                 rule, verdict, words_, score_ = zip(*out, strict=True)
                 yield pa.RecordBatch.from_pydict({n: batch.column(i) for i, n in enumerate(("page_id", "host", "path"))} | {"rule": pa.array(rule, pa.string()), "verdict": pa.array(verdict), "words": pa.array(words_, pa.list_(pa.string())), "score": pa.array(score_, pa.float64())})
 
-    kind = dict(url.dtypes)["page_id"]
-    return rows.mapInArrow(judge, f"page_id {kind}, host string, path string, rule string, verdict string, words array<string>, score double")
+    ruled = rows.withColumn("number", rule_of(F.col("host"), F.col("path"), rules)).select(F.monotonically_increasing_id().alias("row"), "page_id", "host", "path", "number")
+    rows = saved(ruled.mapInArrow(name, f"row long, page_id {kind}, host string, path string, number int, names array<string>"), "named")
+    parts_ = rows.select("row", F.posexplode("names").alias("at", "name"))
+    segments = segments_of(saved(parts_.select("name").distinct(), "names"), counts, model)
+    words = with_small(parts_, segments, ["name"], "inner").groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words"))
+    judged = rows.drop("names").join(words, "row", "left").select("page_id", "host", "path", "number", "words")
+    return judged.mapInArrow(judge, f"page_id {kind}, host string, path string, rule string, verdict string, words array<string>, score double")

@@ -240,6 +240,20 @@ def test_url_filter(spark):
     assert got[3][2:] == (None, "block") and got[4][2] is None and got[5] == ("", "", None, "allow") == got[6] and got[7][3] == "block" and got[8] == ("scienceforum.org", "/x", None, "allow")
 
 
+def test_url_filter_counts_every_word(spark):
+    """A harmless rare word stays whole, whatever the number of more frequent words."""
+    import itertools
+
+    words = ["".join(w) for w in itertools.islice(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4), 100_500)]
+    long = "abcdefghijklmnopqrstuvwxyz" * 2
+    urls = [f"http://h/{'/'.join(words[i : i + 500])}" for i in range(0, len(words), 500)] * 2 + ["http://h/" + "middle/" * 50, "http://h/middlesex", f"http://h/{long}", "http://xq.org/middleporn"]
+    got = {r.path: r for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), ()).where("length(path) < 60").collect()}
+    assert (got["/middlesex"].words, got["/middlesex"].verdict) == (["h", "middlesex"], "allow")
+    assert got["/" + long].words == ["h", long]
+    model = url_filter.Words(1e6, 1e3, 60, {"porn": 0.0}, {})
+    assert model.segment("middleporn", {"middle": 50.0}) == ["middle", "porn"] and model.segment("middleporn", {"middle": 50.0, "middleporn": 1.0}) == ["middleporn"]
+
+
 def test_html(spark):
     page = lambda body: f"<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class='cookie-notice'>we</div><article><h1>A &amp; B</h1>{body}<div class='comments'><p>me too</p></div></article><aside>x</aside><form>f</form><footer>&copy;</footer></body></html>"
     rows = [(i, f"http://h{i // 5}.org/", page(f"<p>one\n {i}<b> two</b><p>three<script>var a='</p>';</script>")) for i in range(10)] + [(10, None, None), (11, "x", ""), (12, "http://h0.org", "<p>loose <aside>no</aside>text"), (13, "http://h9.org", page("<aside>in</aside>z"))]
