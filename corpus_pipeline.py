@@ -7,15 +7,11 @@ columns of ``documents``; the last returns the packed pieces.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mesaquery.llm import decontaminate, jaccard_join, language_id, packing
 from mesaquery.llm.common import saved, scratch, table, with_small
 from mesaquery.llm.registry import TOKENIZER
 
-#: A document goes if less of it than this is in its main language, or if it has no letter.
-LEAST_SCORE = 0.5
-
 
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """``docs`` restricted by a table of ids. Null ids match nothing: kept by an anti join."""
@@ -23,10 +19,9 @@ def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language stay."""
+    """Documents of a learned language stay, mixed ones too."""
     found = language_id.languages_of(docs)
-    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE))
-    return _only(docs, rejected, "left_anti")
+    return _only(docs, found.where("lang_pred = 'und'"), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

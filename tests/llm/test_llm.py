@@ -359,3 +359,18 @@ def test_pipeline_near_duplicates_by_five_words_and_four_fifths(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect()}
     assert got == {i for i, c in first.items() if i == c} and not {101, 111} & got and 102 in got
+
+
+def test_pipeline_keeps_mixed_languages(spark):
+    import corpus_pipeline
+
+    docs = common.table(spark, DATA, "documents")
+    by = {}
+    for r in docs.where("length(text) > 400").collect():
+        by.setdefault(r.lang, r.text[:400])
+    mixed = " ".join(by[k] for k in sorted(by))
+    odd = spark.createDataFrame([(-1, mixed), (-2, "12 ."), (-3, None)], "doc_id long, text string")
+    rows = docs.unionByName(odd, allowMissingColumns=True)
+    score = {r.doc_id: (r.lang_pred, r.score) for r in language_id.languages_of(rows).where("doc_id < 0").collect()}
+    assert len(by) > 2 and score[-1][0] != "und" and score[-1][1] < 0.5
+    assert {r.doc_id for r in corpus_pipeline.language(spark, rows, DATA).where("doc_id < 0").collect()} == {-1}
