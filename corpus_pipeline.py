@@ -7,33 +7,52 @@ columns of ``documents``; the last returns the packed pieces.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mesaquery.llm import decontaminate, jaccard_join, language_id, packing
 from mesaquery.llm.common import saved, scratch, table, with_small
 from mesaquery.llm.registry import TOKENIZER
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """``docs`` restricted by a table of ids. Null ids match nothing: kept by an anti join."""
-    return with_small(docs, saved(ids.select("doc_id").distinct(), "ids"), ["doc_id"], how).select(*docs.columns)
+#: A stage's own unique key of each row, as ids can be null or repeated.
+KEY = "_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a unique key. They are saved, so that each keeps its key however often they are read."""
+    return saved(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose keys are the doc_ids of ``rejected``, and without the key."""
+    return with_small(keyed, saved(rejected.select(F.col("doc_id").alias(KEY)), "rejected"), [KEY], "left_anti").drop(KEY)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a learned language stay, mixed ones too."""
-    found = language_id.languages_of(docs)
-    return _only(docs, found.where("lang_pred = 'und'"), "left_anti")
+    keyed = _keyed(docs)
+    model = language_id.fit(keyed.where(language_id.is_training("doc_id")))
+    return _without(keyed, language_id.identify(keyed, model, id_col=KEY).where("lang_pred = 'und'"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of linked ones stays: 5-word shingles, Jaccard >= 0.8."""
-    groups = jaccard_join.similar_groups(docs, n=5, percent=80)
-    return _only(docs, groups.where("doc_id <> component_id"), "left_anti")
+    """One document of each group of linked ones stays: 5-word shingles, Jaccard >= 0.8.
+
+    It's the one of the smallest id; null ids come last.
+    """
+    keyed = _keyed(docs)
+    groups = jaccard_join.similar_groups(keyed, n=5, percent=80, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id")
+    named = saved(groups.join(keyed.select(KEY, "doc_id"), KEY), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY))[KEY].alias("first")
+    several = saved(named.groupBy("component_id").agg(F.count("*").alias("rows"), first).where("rows > 1"), "several")
+    return _without(keyed, with_small(named, several, ["component_id"], "inner").where(f"{KEY} <> first").select(F.col(KEY).alias("doc_id")))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark contamination stay."""
-    judged = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, judged.where("contaminated"), "left_anti")
+    keyed = _keyed(docs)
+    judged = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col=KEY)
+    return _without(keyed, judged.where("contaminated"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

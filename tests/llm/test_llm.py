@@ -374,3 +374,19 @@ def test_pipeline_keeps_mixed_languages(spark):
     score = {r.doc_id: (r.lang_pred, r.score) for r in language_id.languages_of(rows).where("doc_id < 0").collect()}
     assert len(by) > 2 and score[-1][0] != "und" and score[-1][1] < 0.5
     assert {r.doc_id for r in corpus_pipeline.language(spark, rows, DATA).where("doc_id < 0").collect()} == {-1}
+
+
+def test_pipeline_judges_rows_and_not_ids(spark):
+    import corpus_pipeline
+
+    docs = common.table(spark, DATA, "documents")
+    item = max((r.text for r in common.table(spark, DATA, "benchmark").collect() if r.text), key=len)
+    clean, other = (" ".join(f"{a}{i}" for i in range(40)) for a in "xy")
+    tail = [(None, item), (-5, item), (-5, clean), (None, other), (None, other), (-6, clean), (-6, clean), (None, None), (None, "")]
+    rows = spark.createDataFrame(tail, "doc_id long, text string")
+    got = lambda stage: sorted((r.doc_id or 0, r.text or "") for r in stage(spark, rows, DATA).collect())
+    assert got(corpus_pipeline.benchmark) == sorted((i or 0, t or "") for i, t in tail[2:])
+    assert got(corpus_pipeline.near_duplicates) == sorted([(-5, item), (-6, clean), (0, other), (0, ""), (0, "")])
+    wordless = docs.unionByName(spark.createDataFrame([(None, "12 ."), (-1, "."), (-1, docs.where("length(text) > 200").first().text)], "doc_id long, text string"), allowMissingColumns=True)
+    left = corpus_pipeline.language(spark, wordless, DATA).where("doc_id IS NULL OR doc_id < 0").collect()
+    assert [r.doc_id for r in left] == [-1] and len(left[0].text) > 200
