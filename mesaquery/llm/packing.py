@@ -4,10 +4,13 @@ Only the histogram of lengths decides the packing, and lengths are bounded by th
 the plan is made on a table of at most ``capacity`` rows whatever the corpus holds:
 
 1. large lengths (over ``small`` tokens), sorted downwards, are cut into ``groups`` groups of equal
-   cardinality and every length is rounded up to the largest of its group: few sizes remain;
-2. configurations of these few sizes are optimised one after the other: the largest size that is
-   left, filled up by an exact bounded knapsack over the sizes left, and used as often as the
-   counts allow;
+   cardinality and every length is rounded up to the largest of its group: few sizes remain. What
+   rounding loses, small documents must fill; so plans are made for each of the shares ``SMALL`` of
+   the capacity, and the one of the fewest sequences counts;
+2. configurations of these few sizes are optimised together: column generation solves the linear
+   program of the fewest sequences (a revised simplex whose pricing is an exact knapsack), its
+   solution is rounded down, and what is left over, less than a sequence for each size, is filled
+   one configuration after the other by an exact knapsack;
 3. the actual documents of each group are substituted for its rounded size, which frees room;
 4. small documents, longest first, each go to the fullest sequence that still holds them.
 
@@ -15,7 +18,8 @@ The plan is a list of runs: so many documents of one length, by rank, go to that
 row at one offset. Documents then find their place by their rank among those of their length.
 
 Defined results: null and empty texts hold the end id alone; longer ones than the capacity are cut
-into full pieces and a rest; repeated rows are packed each; an empty table gives no rows.
+into full pieces and a rest; repeated rows are packed each; null ids stay null; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -30,12 +34,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mesaquery.llm.common import give_back, saved
-from mesaquery.llm.tokens import few_rows, texts_of, word_ids
+from mesaquery.llm.tokens import CACHE_WORDS, few_rows, texts_of, word_ids
 
 #: Bits of a document's rank among those of its length.
 RANK_BITS = 50
-#: Words that a worker keeps: fewer than elsewhere, as packing follows other stages in one executor.
-CACHE_WORDS = 340_000
+#: Groups of large lengths: the sizes that configurations are optimised over.
+GROUPS = 64
+#: Steps of the simplex, which only ever shorten the plan: a bound on the driver's time.
+PIVOTS = 400
+#: Up to which shares of the capacity documents can count as small.
+SMALL = (1 / 5, 1 / 3, 1 / 2)
 
 
 def _fill(room: int, sizes: list[int], counts: list[int]) -> list[int]:
@@ -59,6 +67,56 @@ def _fill(room: int, sizes: list[int], counts: list[int]) -> list[int]:
     return used[::-1]
 
 
+def _worthiest(capacity: int, sizes: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """How many of each size make the configuration of the most worth: an exact knapsack."""
+    best = np.zeros(capacity + 1)
+    last = np.full(capacity + 1, -1)
+    for k in np.flatnonzero(worth > 1e-12).tolist():
+        size = int(sizes[k])
+        for _ in range(capacity // size):
+            better = best[:-size] + worth[k] > best[size:] + 1e-12
+            if not better.any():
+                break
+            places = np.flatnonzero(better) + size
+            best[places], last[places] = best[places - size] + worth[k], k
+    # ``last`` is the size that came last to a sum; taking it away leaves a sum that was made before,
+    # which may since have become worthier, so that the way back is never worth less.
+    used, at = np.zeros(len(sizes), np.int64), int(best.argmax())
+    while last[at] >= 0:
+        used[last[at]] += 1
+        at -= int(sizes[last[at]])
+    return used
+
+
+def configurations(capacity: int, sizes: list[int], counts: list[int]) -> list[tuple[list[int], int]]:
+    """Configurations of the sizes and how often to use each, none more often than the counts allow.
+
+    The basis of an optimal solution of the linear program, by column generation, rounded down.
+    """
+    if not sizes:
+        return []
+    lengths, wanted = np.array(sizes), np.array(counts, float)
+    basis = np.diag(capacity // lengths).astype(float)  # a column for each configuration
+    for _ in range(PIVOTS):
+        inverse = np.linalg.inv(basis)
+        column = _worthiest(capacity, lengths, inverse.sum(0))
+        if inverse.sum(0) @ column <= 1 + 1e-9:
+            break
+        amounts, step = inverse @ wanted, inverse @ column
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = np.where(step > 1e-9, np.maximum(amounts, 0) / step, np.inf)
+        basis[:, int(ratio.argmin())] = column
+    amounts = np.floor(np.linalg.inv(basis) @ wanted + 1e-6).astype(np.int64)
+    left, out = np.array(counts, np.int64), []
+    for k in np.argsort(-amounts, kind="stable").tolist():
+        config = basis[:, k].round().astype(np.int64)
+        times = min(int(amounts[k]), *(left[config > 0] // config[config > 0]).tolist())
+        if times > 0:
+            left -= times * config
+            out.append((config.tolist(), times))
+    return out
+
+
 class _Runs:
     """Documents by length in decreasing order, taken in runs of equal length."""
 
@@ -75,9 +133,12 @@ class _Runs:
         self.runs[self.i][1] -= n
 
 
-def plan(histogram: dict[int, int], capacity: int, groups: int = 1000, small: int | None = None) -> tuple[list[tuple[int, int, int, int, int]], int]:
+def plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS, shares: tuple[float, ...] = SMALL) -> tuple[list[tuple[int, int, int, int, int]], int]:
     """Runs (length, first rank, count, first sequence, offset) and the number of sequences."""
-    small = capacity // 5 if small is None else small
+    return min((_plan(histogram, capacity, groups, int(capacity * share)) for share in shares), key=lambda made: made[1])
+
+
+def _plan(histogram: dict[int, int], capacity: int, groups: int, small: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
     runs: list[tuple[int, int, int, int, int]] = []
     rank: Counter[int] = Counter()
     sequences = 0
@@ -107,27 +168,31 @@ def plan(histogram: dict[int, int], capacity: int, groups: int = 1000, small: in
     of_group = [_Runs(q) for q in queues]
     open_: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room left: [(first sequence, count)]
 
-    for top in range(len(sizes)):
-        while counts[top]:
-            counts[top] -= 1
-            rest = _fill(capacity - sizes[top], sizes[top:], counts[top:])
-            counts[top] += 1
-            slots = [top, *(top + g for g, k in enumerate(rest) for _ in range(k))]
-            need = Counter(slots)
-            times = min(counts[g] // k for g, k in need.items())
+    def use(config: list[int], times: int) -> None:
+        """Substitution: runs of sequences in which no slot's actual length changes."""
+        nonlocal sequences
+        need = {g: k for g, k in enumerate(config) if k}
+        for g, k in need.items():
+            counts[g] -= k * times
+        while times:
+            n = max(1, min(times, *(of_group[g].head()[1] // k for g, k in need.items())))
+            offset = 0
             for g, k in need.items():
-                counts[g] -= k * times
-            # Substitution: runs of sequences in which no slot's actual length changes.
-            while times:
-                n = max(1, min(times, *(of_group[g].head()[1] // k for g, k in need.items())))
-                offset = 0
-                for g in slots:
+                for _ in range(k):
                     length, _ = of_group[g].head()
                     of_group[g].take(n)
                     place(length, n, sequences, offset)
                     offset += length
-                open_[capacity - offset].append((sequences, n))
-                sequences, times = sequences + n, times - n
+            open_[capacity - offset].append((sequences, n))
+            sequences, times = sequences + n, times - n
+
+    for config, times in configurations(capacity, sizes, counts):
+        use(config, times)
+    for top in range(len(sizes)):  # what rounding down has left
+        while counts[top]:
+            rest = _fill(capacity - sizes[top], sizes[top:], [counts[top] - 1, *counts[top + 1 :]])
+            config = [0] * top + [rest[0] + 1, *rest[1:]]
+            use(config, min(counts[g] // k for g, k in enumerate(config) if k))
 
     rooms = sorted(open_)
     for length in (x for x in sorted(histogram, reverse=True) if x <= small and histogram[x]):
@@ -161,35 +226,47 @@ def plan(histogram: dict[int, int], capacity: int, groups: int = 1000, small: in
     return runs, sequences
 
 
-def cut(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pieces of at most ``capacity`` tokens, with their rank among the part's pieces of that length."""
 
     def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, seen = word_ids(tokenizer_file, CACHE_WORDS), np.zeros(capacity + 1, np.int64)
+        encoder, seen = word_ids(tokenizer_file, cache_words), np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in few_rows(batches):
             flat, stops = encoder.encode(texts_of(batch.column(1)))
-            rows: list[tuple[int | None, int, int, int, int, int]] = []
-            for doc, a, b in zip(batch.column(0).to_pylist(), stops[:-1].tolist(), stops[1:].tolist(), strict=True):
-                ids = np.append(flat[a:b], end_id).astype("<u4")
-                for k in range(0, len(ids), capacity):
-                    n = min(capacity, len(ids) - k)
-                    rows.append((doc, k // capacity, k, n, zlib.crc32(ids[k : k + n].tobytes()), int(seen[n])))
-                    seen[n] += 1
-            if rows:
-                names = ("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                columns = {n: pa.array(c, k) for n, k, c in zip(names, kinds, zip(*rows, strict=True), strict=True)}
-                yield pa.RecordBatch.from_pydict(columns | {"part": pa.array([part] * len(rows), pa.int32())})
+            n_docs = len(stops) - 1
+            ends = stops[1:] + np.arange(1, n_docs + 1)  # one end id more for each document
+            ids = np.full(len(flat) + n_docs, end_id, "<u4")
+            own = np.ones(len(ids), bool)
+            own[ends - 1] = False
+            ids[own] = flat
+            sizes = np.diff(ends, prepend=0)
+            n_pieces = -(-sizes // capacity)
+            doc = np.repeat(np.arange(n_docs), n_pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+            start = piece * capacity
+            length = np.minimum(capacity, sizes[doc] - start)
+            first = (ends - sizes)[doc] + start
+            raw = memoryview(ids).cast("B")
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip((first * 4).tolist(), ((first + length) * 4).tolist(), strict=True)]
+            # The rank among equal lengths: the place in a stable order less that of the first one.
+            order = np.argsort(length, kind="stable")
+            of_length = np.bincount(length, minlength=capacity + 1)
+            rank = np.empty(len(doc), np.int64)
+            rank[order] = np.arange(len(doc)) - (np.cumsum(of_length) - of_length)[length[order]]
+            rank += seen[length]
+            seen += of_length
+            columns = {"doc_id": batch.column(0).take(pa.array(doc)), "piece": pa.array(piece, pa.int32()), "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array(crc, pa.int64()), "rank": pa.array(rank)}
+            yield pa.RecordBatch.from_pydict(columns | {"part": pa.array(np.full(len(doc), part, np.int32))})
         give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(cut_texts, "doc_id long, piece int, start long, length long, ids_crc32 long, rank long, part int")
 
 
-def assign(pieces: DataFrame, capacity: int, groups: int = 1000) -> DataFrame:
+def assign(pieces: DataFrame, capacity: int, groups: int = GROUPS) -> DataFrame:
     """Give each of the saved ``pieces`` its sequence_id and offset.
 
     Ranks within a part become ranks in the corpus by prefix sums over the parts' histograms: rows
@@ -200,9 +277,12 @@ def assign(pieces: DataFrame, capacity: int, groups: int = 1000) -> DataFrame:
     bases = saved(counts.withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0))), "bases")
     histogram = {r[0]: r[1] for r in bases.groupBy("length").agg(F.sum("count")).collect()}  # at most capacity rows
     runs, _ = plan(histogram, capacity, groups)
-    table = np.array(sorted((length << RANK_BITS | rank, first - rank, offset) for length, rank, _, first, offset in runs), np.int64).reshape(-1, 3)
+    runs_ = np.array(sorted((length << RANK_BITS | rank, first - rank, offset) for length, rank, _, first, offset in runs), np.int64).reshape(-1, 3)
+    # Runs follow configurations and lengths: their number is bounded by the capacity and the groups.
+    shared = pieces.sparkSession.sparkContext.broadcast(runs_)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
         for batch in batches:
             length, rank = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("length", "rank"))
             run = table[np.searchsorted(table[:, 0], length << RANK_BITS | rank, "right") - 1] if len(length) else table
@@ -214,6 +294,6 @@ def assign(pieces: DataFrame, capacity: int, groups: int = 1000) -> DataFrame:
     return ranked.select(*names).mapInArrow(look_up, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 0, capacity: int = 2048, groups: int = 1000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 0, capacity: int = 2048, groups: int = GROUPS, id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pieces of all documents with their place in sequences of at most ``capacity`` tokens."""
-    return assign(saved(cut(docs, tokenizer_file, end_id, capacity, id_col, text_col), "pieces"), capacity, groups)
+    return assign(saved(cut(docs, tokenizer_file, end_id, capacity, id_col, text_col, cache_words), "pieces"), capacity, groups)
