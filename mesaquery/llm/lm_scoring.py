@@ -1,18 +1,28 @@
 """Language-model scoring by cross-entropy difference.
 
-Two interpolated bigram models, of a target (documents of good quality) and of the background (all
-documents), share one vocabulary: all words of all documents. Words and bigrams are counted in full
-and stay tables, which grow with the input; words and bigrams are known by 64-bit hashes. A document's
-score is the mean over its tokens of the target's loss less the background's: low scores look like
-the target.
-
-The losses of a bigram are a row of a table. Those of the bigrams that are at least one in ``OFTEN``
-of all tokens, fewer than that in number, go to all workers; the documents' other bigrams meet
-theirs in a join.
-
-Defined results: null and wordless texts have no tokens and null losses and score; without target
-documents both models are uniform over the vocabulary plus what the background counts give; rows
-with a null id are scored as any other; an empty table gives no rows.
+Two bigram models, of a target (documents of good quality) and of the background (all others), share
+one vocabulary: all words of all documents. They are matched: of one order and one smoothing, and
+with counts scaled to the same number of tokens, so that neither is surer for being larger. A
+document's score is the mean over its tokens of the target's loss less the background's: low scores
+look like the target. A document is scored by models without its own words (leave one out), as its
+own counts would vouch for it.
+
+All words and bigrams are counted, and what is gathered grows with the input, in the cluster alone:
+
+1. *Chunks.* Texts become numbers of words in chunks of about ``CHUNK_TOKENS`` tokens, saved once.
+2. *Requests.* A chunk sends each distinct word and bigram once, as a sorted 64-bit hash with its
+   counts, to the part of that hash. However frequent one is, a part gets it once from each chunk.
+3. *Replies.* A part sums the counts and replies to each chunk in the order of its request.
+4. *Losses.* A chunk meets its replies, takes each document's own counts away and adds up losses.
+
+With c the counts and N the tokens of a side, scaled, and V words, P(b) = (c(b) + A) / (N + A (V + 1))
+and P(b | a) = (c(ab) + M P(b)) / (c(a) + M), where A is ``SMOOTHING`` and M ``PRIOR``. A text's first
+word has P(b).
+
+Defined results: words are what white space parts, in lower case; null and wordless texts have no
+tokens and null losses and score; without target documents its model is uniform, and likewise the
+background's; rows with a null id are scored as any other, repeated rows count and are scored each
+(a copy is another document); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,142 +31,220 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mesaquery.llm.common import claim, give_back, saved, with_small
-from mesaquery.llm.jaccard_join import _Hashes, mix
+from mesaquery.llm.jaccard_join import mix
 from mesaquery.llm.tokens import texts_of
 
-#: Weight of the bigram estimate; additive smoothing of the unigram one.
-BIGRAM, SMOOTHING = 0.6, 0.5
-#: Tokens for each of which at most one frequent bigram is sent to all workers: no effect on results.
-OFTEN = 200_000
-#: Words that a worker hashes at once, counts before it hands counts on, and caches: bounds on memory.
-RUN_WORDS, PART_WORDS, CACHE_WORDS = 300_000, 2_000_000, 300_000
+#: Additive smoothing of words, and the weight of the word model in the bigram one.
+SMOOTHING, PRIOR = 0.5, 1.0
+#: Tokens of a chunk, and of what a part sums up: bounds on a worker's memory, without effect on results.
+CHUNK_TOKENS, PART_TOKENS = 1 << 20, 1 << 20
+#: Parts that a chunk's request is dealt to at most: what a chunk sends to one shouldn't get tiny.
+MOST_PARTS = 20_000
+TARGET, BACKGROUND, NEITHER = 1, 0, -1
+_NULL = 16  # added to the side of a row without an id
 
-_hashes = _Hashes()
+_CHUNK = "chunk long, n_tokens long, n_target long, n_background long, ids binary, sides binary, sizes binary, words binary, vocabulary binary"
+_REPLY = "chunk long, part int, n_words long, words binary, pairs binary"
+_SCORE = "doc_id long, n_tokens long, target_loss double, background_loss double"
 
 
-def _runs(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of texts: number of the first, words of each, and hashes of each word and the one before.
+def _packed(x: np.ndarray) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(x).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(x: bytes, kind: str) -> np.ndarray:
+    n = int.from_bytes(x[:8], "little")
+    return np.frombuffer(pa.decompress(x[8:], n * np.dtype(kind).itemsize, "zstd", asbytes=True), kind) if n else np.empty(0, kind)
+
+
+class _Numbers(dict):
+    """Number of each word in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
-    The first word of a text comes after 0.
-    """
-    words: list[bytes] = []
-    sizes: list[int] = []
-    start = 0
-
-    def run() -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-        if len(_hashes) > CACHE_WORDS:
-            _hashes.clear()
-        second = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-        n = np.array(sizes, np.int64)
-        first = np.concatenate((np.zeros(min(1, len(second)), np.uint64), second[:-1]))
-        first[(np.cumsum(n) - n)[n > 0]] = 0
-        return start, n, first, second
-
-    for i, text in enumerate(texts):
-        found = (text or b"").lower().split()
-        words += found
-        sizes.append(len(found))
-        if len(words) > RUN_WORDS:
-            yield run()
-            words, sizes, start = [], [], i + 1
-    if sizes:
-        yield run()
-
-
-def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(mix(first + np.uint64(1)) + second)
-
-
-def fit(docs: DataFrame) -> tuple[DataFrame, int]:
-    """From rows (text, target boolean): pair, n and both losses of every bigram; and the tokens' number."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("lm", _hashes.clear)
-        held: list[tuple[np.ndarray, ...]] = []
-
-        def handed_on() -> pa.RecordBatch:
-            pairs, first, second, n, n_target = map(np.concatenate, zip(*held, strict=True))
-            held.clear()
-            keys, at, of = np.unique(pairs, return_index=True, return_inverse=True)
-            columns = (keys.view(np.int64), first[at].view(np.int64), second[at].view(np.int64), np.bincount(of, n).astype(np.int64), np.bincount(of, n_target).astype(np.int64))
-            return pa.RecordBatch.from_pydict(dict(zip(("pair", "first", "second", "n", "n_target"), map(pa.array, columns), strict=True)))
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    """Saved chunks of rows (doc_id, side, text)."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        from pyspark import TaskContext
+
+        claim("lm")
+        part, made = TaskContext.get().partitionId(), 0
+        index, ids, sides, words, held = _Numbers(), [], [], [], 0
+
+        def row() -> pa.RecordBatch:
+            sizes, side = np.array([len(x) for x in words], np.int64), np.array(sides, np.int8)
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
+            flat = np.concatenate(words) if words else np.empty(0, np.uint32)
+            values = {"chunk": part << 32 | made, "n_tokens": int(sizes.sum())} | {n: int(sizes[side == k].sum()) for n, k in (("n_target", TARGET), ("n_background", BACKGROUND))}
+            values |= {"ids": pa.array(ids, pa.int64()).fill_null(0).to_numpy(), "sides": side + _NULL * np.array([x is None for x in ids], np.int8), "sizes": sizes, "words": flat, "vocabulary": hashes}
+            return pa.RecordBatch.from_pydict({k: pa.array([_packed(v)], pa.binary()) if isinstance(v, np.ndarray) else pa.array([v], pa.int64()) for k, v in values.items()})
 
         for batch in batches:
-            target = np.array(batch.column(1).to_pylist(), bool)
-            for start, n, first, second in _runs(texts_of(batch.column(0))):
-                if len(second):
-                    held.append((_pair(first, second), first, second, np.ones(len(second)), np.repeat(target[start : start + len(n)], n).astype(float)))
-                    if sum(len(x[0]) for x in held) > PART_WORDS:
-                        yield handed_on()
-        if held:
-            yield handed_on()
-        _hashes.clear()
+            for doc, side, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(pc.utf8_lower(batch.column(2))), strict=True):
+                found = (text or b"").split()
+                ids.append(doc)
+                sides.append(side)
+                words.append(np.fromiter(map(index.__getitem__, found), np.uint32, len(found)))
+                held += len(found)
+                if held >= CHUNK_TOKENS:
+                    yield row()
+                    index, ids, sides, words, held, made = _Numbers(), [], [], [], 0, made + 1
+        if ids:
+            yield row()
+        del index, words
         give_back()
 
-    sums = [F.sum("n").alias("n"), F.sum("n_target").alias("n_target")]
-    parts = docs.select("text", "target").mapInArrow(count, "pair long, first long, second long, n long, n_target long")
-    pairs = saved(parts.groupBy("pair").agg(F.min("first").alias("first"), F.min("second").alias("second"), *sums), "pairs")
-    words = saved(pairs.groupBy("second").agg(*sums), "words")
-    size, total, total_target = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
-    known = with_small(pairs, words.toDF("second", "n2", "n2_target"), ["second"], "inner", size)
-    known = with_small(known, words.toDF("first", "n1", "n1_target"), ["first"], "left", size)
+    return saved(docs.select("doc_id", "side", "text").mapInArrow(pack, _CHUNK), "lm-chunks")
 
-    def loss(kind: str, all_: int) -> Column:
-        alone = (F.col("n2" + kind) + SMOOTHING) / (all_ + SMOOTHING * (size + 1))
-        return -F.log(F.when(F.col("n1" + kind) > 0, BIGRAM * F.col("n" + kind) / F.col("n1" + kind) + (1 - BIGRAM) * alone).otherwise(alone))
 
-    return saved(known.select("pair", "n", loss("", total).alias("background"), loss("_target", total_target).alias("target")), "losses"), total
+class _Chunk:
+    """A chunk's tokens, and its distinct words' and bigrams' hashes in order."""
 
+    def __init__(self, row: dict):
+        marks = _unpacked(row["sides"], "i1")
+        self.null = marks >= _NULL - 1
+        self.side = marks - _NULL * self.null
+        self.ids, self.sizes = _unpacked(row["ids"], "i8"), _unpacked(row["sizes"], "i8")
+        words, vocabulary = _unpacked(row["words"], "u4"), _unpacked(row["vocabulary"], "u8")
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        order = np.argsort(vocabulary)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.words, self.word = vocabulary[order], place[words]
+        starts = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        self.later = np.ones(len(words), bool)  # tokens with a word before them
+        self.later[starts] = False
+        after = np.flatnonzero(self.later)
+        self.before = self.word[after - 1]
+        keys = mix(mix(self.words + np.uint64(1))[self.before] + self.words[self.word[after]])
+        self.pairs, self.pair = np.unique(keys, return_inverse=True)
 
-def score(docs: DataFrame, losses: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss (means per token) and their difference.
+    def counts(self, of: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+        """How often each of n occurs, in documents of either side: target's first."""
+        side = self.side[doc]
+        return np.concatenate([np.bincount(of[side == k], minlength=n) for k in (TARGET, BACKGROUND)])
 
-    Of documents whose words were counted.
-    """
-    often = F.col("n") * OFTEN >= total
-    top = losses.where(often).orderBy("pair").select("pair", "background", "target").toPandas()  # at most OFTEN rows
-    shared = docs.sparkSession.sparkContext.broadcast((top["pair"].to_numpy(np.int64), top[["background", "target"]].to_numpy(float)))
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("lm", _hashes.clear)
-        keys, values = shared.value
+def _own(doc: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """For each token how often its document holds what it is one of."""
+    _, at, times = np.unique(doc * np.int64(max(1, n)) + of, return_inverse=True, return_counts=True)
+    return times[at]
+
+
+def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part's keys start, of sorted ones; equal ranges of the hashes make a part."""
+    first = np.array([(k << 64) // parts for k in range(parts)], np.uint64)
+    return np.append(np.searchsorted(keys, first), len(keys))
+
+
+def _requests(chunks: DataFrame, parts: int) -> DataFrame:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lm")
         for batch in batches:
-            rows, ids = batch.column(0).to_numpy(), batch.column(1)
-            for start, n, first, second in _runs(texts_of(batch.column(2))):
-                pairs, doc = _pair(first, second).view(np.int64), np.repeat(np.arange(len(n)), n)
-                at = np.minimum(np.searchsorted(keys, pairs), max(0, len(keys) - 1))
-                hit = keys[at] == pairs if len(keys) else np.zeros(len(pairs), bool)
-                sums = [np.bincount(doc[hit], values[at[hit], k], len(n)) for k in (0, 1)] if len(keys) else [np.zeros(len(n))] * 2
-                # A row of each document, and one of each of its other bigrams.
-                left, of = pairs[~hit], doc[~hit]
-                order = np.lexsort((left, of))
-                left, of = left[order], of[order]
-                new = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (of[1:] != of[:-1]))) if len(left) else np.empty(0, np.int64)
-                times = np.diff(np.append(new, len(left)))
-                place = np.concatenate((np.arange(len(n)), of[new])) + start
-                own = mix(rows[start : start + len(n)].astype(np.uint64)).view(np.int64)  # no pair: spreads these rows
-                none = np.arange(len(place)) >= len(n)
-                columns = {"row": pa.array(rows[place]), "doc_id": ids.take(pa.array(place)), "pair": pa.array(np.concatenate((own, left[new])))}
-                columns["times"] = pa.array(np.concatenate((np.bincount(doc[hit], minlength=len(n)), times)).astype(np.int64))
-                columns |= {name: pa.array(np.concatenate((x, np.zeros(len(new)))), mask=none) for name, x in zip(("b", "t"), sums, strict=True)}
-                yield pa.RecordBatch.from_pydict(columns)
-        _hashes.clear()
+            for row in batch.to_pylist():
+                c = _Chunk(row)
+                sent = []
+                for keys, of, doc in ((c.words, c.word, c.doc), (c.pairs, c.pair, c.doc[c.later])):
+                    n, at = c.counts(of, doc, len(keys)).reshape(2, -1), _bounds(keys, parts)
+                    sent.append([(keys[a:b].tobytes(), _packed(n[:, a:b].astype("<u4").ravel())) for a, b in zip(at[:-1], at[1:], strict=True)])
+                for a in range(0, parts, 256):
+                    rows = [(row["chunk"], p, *sent[0][p], *sent[1][p]) for p in range(a, min(a + 256, parts))]
+                    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
+                    yield pa.RecordBatch.from_pydict({n: pa.array(x, k) for n, x, k in zip(("chunk", "part", "words", "n_words", "pairs", "n_pairs"), zip(*rows, strict=True), kinds, strict=True)})
+                del c, sent
+        give_back()
+
+    return chunks.mapInArrow(ask, "chunk long, part int, words binary, n_words binary, pairs binary, n_pairs binary")
+
+
+def _replies(requests: DataFrame) -> DataFrame:
+    """To each chunk the sums of what it asked for, in its order; rows without a chunk count a part's words."""
+
+    def answer(group: pa.Table) -> pa.Table:
+        claim("lm")
+        chunks, part, back, distinct = group.column("chunk").to_pylist(), group.column("part")[0].as_py(), [], []
+        for what in ("words", "pairs"):
+            asked = [np.frombuffer(x, "<u8") if x else np.empty(0, "<u8") for x in group.column(what).to_pylist()]
+            n = np.concatenate([_unpacked(x, "<u4").reshape(2, -1) for x in group.column("n_" + what).to_pylist()], axis=1)
+            keys, of = np.unique(np.concatenate(asked), return_inverse=True)
+            sums = np.stack([np.bincount(of, x, len(keys)).astype("<i8") for x in n])[:, of]
+            at = np.cumsum([0, *map(len, asked)])
+            back.append([_packed(sums[:, a:b].ravel()) for a, b in zip(at[:-1], at[1:], strict=True)])
+            distinct.append(len(keys))
+        columns = ([*chunks, None], [part] * (len(chunks) + 1), [0] * len(chunks) + distinct[:1], [*back[0], None], [*back[1], None])
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table({n: pa.array(x, k) for n, x, k in zip(("chunk", "part", "n_words", "words", "pairs"), columns, kinds, strict=True)})
+
+    return saved(requests.groupBy("part").applyInArrow(answer, _REPLY), "lm-replies")
+
+
+def _losses(c: _Chunk, words: np.ndarray, pairs: np.ndarray, totals: tuple[int, int], size: int) -> list[np.ndarray]:
+    """Of each document the sum of its tokens' losses under the target's and the background's model."""
+    least = min(totals) or max(totals)
+    own_word, own_pair = _own(c.doc, c.word, len(c.words)), _own(c.doc[c.later], c.pair, len(c.pairs))
+    after = np.flatnonzero(c.later)
+    out = []
+    for k, side in enumerate((TARGET, BACKGROUND)):
+        scale = least / totals[k] if totals[k] else 1.0
+        mine = (c.side == side)[c.doc]
+        n_word = words[k][c.word] - own_word * mine
+        n_all = totals[k] - (c.sizes * (c.side == side))[c.doc]
+        p = (scale * n_word + SMOOTHING) / (scale * n_all + SMOOTHING * (size + 1))
+        n_pair = pairs[k][c.pair] - own_pair * mine[after]
+        # How often a document holds the word before is what it has of that word at its place.
+        n_before = n_word[after - 1]
+        p[after] = (scale * n_pair + PRIOR * p[after]) / (scale * n_before + PRIOR)
+        out.append(np.bincount(c.doc, -np.log(p), len(c.sizes)))
+    return out
+
+
+def _scores(chunks: DataFrame, replies: DataFrame, totals: tuple[int, int], size: int) -> DataFrame:
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        claim("lm")
+        out = []
+        for row in left.to_pylist():
+            c = _Chunk(row)
+            rows = sorted(right.select(["part", "words", "pairs"]).to_pylist(), key=lambda r: r["part"])
+            words, pairs = (np.concatenate([_unpacked(r[x], "<i8").reshape(2, -1) for r in rows], axis=1) for x in ("words", "pairs"))
+            sums = _losses(c, words, pairs, totals, size)
+            none = c.sizes == 0
+            means = [pa.array(x / np.maximum(c.sizes, 1), mask=none) for x in sums]
+            out.append(pa.table({"doc_id": pa.array(c.ids, mask=c.null), "n_tokens": pa.array(c.sizes), "target_loss": means[0], "background_loss": means[1]}))
+            del c
         give_back()
+        return pa.concat_tables(out)
+
+    return chunks.groupBy("chunk").cogroup(replies.where("chunk IS NOT NULL").groupBy("chunk")).applyInArrow(score, _SCORE)
+
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(measure, "row long, doc_id long, pair long, times long, b double, t double")
-    joined = with_small(found, losses.where(~often).select("pair", "background", "target"), ["pair"], "left")
-    sums = joined.groupBy("row", "doc_id").agg(F.sum("times").alias("n_tokens"), F.sum(F.coalesce("t", F.col("times") * F.col("target"))).alias("t"), F.sum(F.coalesce("b", F.col("times") * F.col("background"))).alias("b"))
-    means = [F.when(F.col("n_tokens") > 0, F.col(x) / F.col("n_tokens")).alias(name) for x, name in (("t", "target_loss"), ("b", "background_loss"))]
-    return sums.select("doc_id", "n_tokens", *means).withColumn("score", F.col("target_loss") - F.col("background_loss"))
+def score(docs: DataFrame, side: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss (means per token) and their difference, of all rows.
+
+    ``side`` says whether a row is of the target; rows where it's null are scored but not counted.
+    """
+    number = F.when(side, TARGET).when(~side, BACKGROUND).otherwise(NEITHER).cast("int")
+    chunks = _chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), number.alias("side"), F.col(text_col).alias("text")))
+    sums = [F.coalesce(F.sum(x), F.lit(0)) for x in ("n_tokens", "n_target", "n_background")]
+    n_tokens, n_target, n_background = chunks.agg(*sums).first()
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_tokens // PART_TOKENS))
+    replies = _replies(_requests(chunks, min(parts, MOST_PARTS)))
+    size = replies.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    means = _scores(chunks, replies, (n_target, n_background), size)
+    return means.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Models of documents labelled as of good quality and of all; scores of all."""
-    good = labels.where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
-    marked = with_small(docs.select("doc_id", "text"), good, ["doc_id"], "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    return score(docs, *fit(marked))
+    """Scores of all documents: those labelled as of good quality are the target, all others the background."""
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("_good", F.lit(True))
+    marked = with_small(docs.select("doc_id", "text"), good, ["doc_id"], "left")
+    return score(marked, F.coalesce("_good", F.lit(False)))

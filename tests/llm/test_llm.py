@@ -1,5 +1,6 @@
 """Each operator against brute force on a small fixture that holds the odd cases."""
 
+import collections
 import hashlib
 import math
 import random
@@ -10,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from mesaquery.llm import chat, common, decontaminate, embedding_dedup, html_extract, jaccard_join, language_id, lm_scoring, packing, registry, token_files, tokens, url_filter
 from mesaquery.llm.components import components
@@ -296,34 +298,43 @@ def test_lm_scoring(spark):
     assert got[50] is None and got[51] < 0 < got[0]
 
 
-def test_lm_scoring_counts_every_word_and_bigram(spark):
-    """More words than the old vocabulary, and more rare bigrams than its cells could hold apart."""
-    rng = random.Random(7)
-    texts = [" ".join([f"r{i}_{k}" for k in range(100)] * 2 + rng.choices(["a", "b", "c"], k=30)) for i in range(400)] + ["a b", None, "", "a b"]
-    good = {i for i in range(len(texts)) if i % 3 == 0}
-    words = [(t or "").split() for t in texts]
-    uni, pair = [{}, {}], [{}, {}]
-    for i, w in enumerate(words):
-        for side in (0, 1)[: 1 + (i in good)]:
-            for a, b in zip([None, *w], w, strict=False):
-                uni[side][b] = uni[side].get(b, 0) + 1
-                pair[side][a, b] = pair[side].get((a, b), 0) + 1
-    total, size = [sum(u.values()) for u in uni], len(uni[0]) + 1
-
-    def loss(side, a, b):
-        p = (uni[side].get(b, 0) + 0.5) / (total[side] + 0.5 * size)
-        return -math.log(0.6 * pair[side].get((a, b), 0) / uni[side][a] + 0.4 * p if uni[side].get(a) else p)
-
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = {r.doc_id: r for r in lm_scoring.scored(docs, spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")).collect()}
-    assert len(got) == len(texts)
+def brute_scores(rows):
+    """Losses of rows (id, side, text) under models without each row's own words."""
+    words = [(t or "").lower().split() for _, _, t in rows]
+    vocabulary = {w for x in words for w in x}
+    one = [collections.Counter(x) for x in words]
+    two = [collections.Counter(zip(x, x[1:], strict=False)) for x in words]
+    sides = {True: [i for i, r in enumerate(rows) if r[1] is True], False: [i for i, r in enumerate(rows) if r[1] is False]}
+    totals = {k: sum(len(words[i]) for i in v) for k, v in sides.items()}
+    uni = {k: sum((one[i] for i in v), collections.Counter()) for k, v in sides.items()}
+    bi = {k: sum((two[i] for i in v), collections.Counter()) for k, v in sides.items()}
+    out = []
     for i, w in enumerate(words):
-        assert got[i].n_tokens == len(w)
-        if w:
-            want = [sum(loss(s, a, b) for a, b in zip([None, *w], w, strict=False)) / len(w) for s in (0, 1)]
-            assert math.isclose(got[i].background_loss, want[0], rel_tol=1e-9) and math.isclose(got[i].target_loss, want[1], rel_tol=1e-9)
-        else:
-            assert got[i].score is None
+        losses = []
+        for k in (True, False):
+            scale = (min(totals.values()) or max(totals.values())) / totals[k] if totals[k] else 1.0
+            u, b, n = (uni[k] - one[i], bi[k] - two[i], totals[k] - len(w)) if i in sides[k] else (uni[k], bi[k], totals[k])
+            alone = lambda x: (scale * u[x] + 0.5) / (scale * n + 0.5 * (len(vocabulary) + 1))  # noqa: B023, E731
+            losses.append(-sum(math.log(alone(x)) if a is None else math.log((scale * b[a, x] + alone(x)) / (scale * u[a] + 1)) for a, x in zip([None, *w], w, strict=False)))
+        out.append((rows[i][0], len(w), losses[0] / len(w) if w else None, losses[1] / len(w) if w else None))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 500])
+def test_lm_scoring_counts_every_word_and_bigram(spark, monkeypatch, chunk):
+    rng = random.Random(7)
+    texts = [" ".join([f"r{i}_{k}" for k in range(30)] * 2 + rng.choices(["a", "B", "Äb", "äB"], k=30)) for i in range(60)] + ["a b", None, "", "a b", " ", "x " * 3000, "a"]
+    rows = [(None if i % 11 == 5 else i // 2, [True, False, None][i % 3], t) for i, t in enumerate(texts)]
+    monkeypatch.setattr(lm_scoring, "CHUNK_TOKENS", chunk)
+    docs = spark.createDataFrame(rows, "doc_id long, side boolean, text string").repartition(3)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[2] or 0, 6), round(r[3] or 0, 6))
+    for all_ in (rows, [r for r in rows if r[1] is not True], [r for r in rows if r[1] is None]):
+        some = docs if all_ is rows else docs.where("side IS NULL" if all_[0][1] is None and all(r[1] is None for r in all_) else "NOT side <=> true")
+        got, want = (sorted(x, key=key) for x in ([tuple(r)[:4] for r in lm_scoring.score(some, F.col("side")).collect()], brute_scores(all_)))
+        assert len(got) == len(want)
+        for g, w in zip(got, want, strict=True):
+            assert g[:2] == w[:2]
+            assert (g[2] is None and w[2] is None) or (math.isclose(g[2], w[2], rel_tol=1e-9) and math.isclose(g[3], w[3], rel_tol=1e-9))
 
 
 def test_pipeline_keeps_clean_documents(spark):
