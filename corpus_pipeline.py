@@ -6,33 +6,37 @@ columns of ``documents``; the last returns the packed pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesaquery.llm import decontaminate, jaccard_join, language_id, packing
-from mesaquery.llm.common import saved, scratch, table, with_small
+from mesaquery.llm.common import drop, saved, scratch, swept, table, with_small
 from mesaquery.llm.registry import TOKENIZER
 
-
 #: A stage's own unique key of each row, as ids can be null or repeated.
 KEY = "_row"
+#: Words that packing keeps for each worker: fewer than alone, as it follows other stages in one executor.
+CACHE_WORDS = 300_000
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with a unique key. They are saved, so that each keeps its key however often they are read."""
-    return saved(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
-
+    """Rows with a unique key that stays the same however often they are read: a file's number and the place in it.
 
-def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``keyed`` without the rows whose keys are the doc_ids of ``rejected``, and without the key."""
-    return with_small(keyed, saved(rejected.select(F.col("doc_id").alias(KEY)), "rejected"), [KEY], "left_anti").drop(KEY)
+    Rows that don't come from files are saved with their keys.
+    """
+    try:
+        placed = docs.withColumn("_file", F.col("_metadata.file_path")).withColumn("_place", F.col("_metadata.row_index"))
+    except AnalysisException:
+        return saved(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+    files = saved(placed.select("_file").distinct().withColumn("_number", F.row_number().over(Window.orderBy("_file")).cast("long")), "files")  # a row for each file
+    return with_small(placed, files, ["_file"], "inner").withColumn(KEY, F.col("_number") * (1 << 40) + F.col("_place")).drop("_file", "_number", "_place")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a learned language stay, mixed ones too."""
-    keyed = _keyed(docs)
-    model = language_id.fit(keyed.where(language_id.is_training("doc_id")))
-    return _without(keyed, language_id.identify(keyed, model, id_col=KEY).where("lang_pred = 'und'"))
+    model = language_id.fit(docs.where(language_id.is_training("doc_id")))
+    return language_id.identified(docs, model).where("lang_pred <> 'und'").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,22 +46,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     keyed = _keyed(docs)
     groups = jaccard_join.similar_groups(keyed, n=5, percent=80, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id")
-    named = saved(groups.join(keyed.select(KEY, "doc_id"), KEY), "groups")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY))[KEY].alias("first")
-    several = saved(named.groupBy("component_id").agg(F.count("*").alias("rows"), first).where("rows > 1"), "several")
-    return _without(keyed, with_small(named, several, ["component_id"], "inner").where(f"{KEY} <> first").select(F.col(KEY).alias("doc_id")))
+    groups = saved(groups, "groups")
+    sizes = groups.groupBy("component_id").agg(F.count("*").alias("rows")).where("rows > 1").select("component_id")
+    several = saved(sizes, "several")
+    of_several = saved(with_small(groups, several, ["component_id"], "inner"), "of-several")
+    named = saved(with_small(keyed.select(KEY, "doc_id"), of_several, [KEY], "inner"), "named")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY))[KEY].alias(KEY))
+    first = saved(first.select(KEY), "first")
+    rejected = saved(with_small(named.select(KEY), first, [KEY], "left_anti"), "rejected")
+    drop(groups, several, of_several, named, first)
+    return with_small(keyed, rejected, [KEY], "left_anti").drop(KEY)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark contamination stay."""
-    keyed = _keyed(docs)
-    judged = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col=KEY)
-    return _without(keyed, judged.where("contaminated"))
+    return decontaminate.without_contamination(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all remaining documents in sequences of 2048 tokens."""
-    return packing.pack(docs, TOKENIZER, end_id=0, capacity=2048)
+    return packing.pack(docs, TOKENIZER, end_id=0, capacity=2048, cache_words=CACHE_WORDS)
 
 
 STAGES = [("language_id", language), ("jaccard_join", near_duplicates), ("decontaminate", benchmark), ("packing", packed)]
@@ -67,9 +75,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with swept(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last is not None:
+            drop(last)
+        docs = last = spark.read.parquet(path)
+        last._scratch_path = path
     return docs

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +23,7 @@ _own: dict[str, str] = {}
 _shipped: set[str] = set()
 _caches: dict[str, Callable[[], None]] = {}
 _owner: list[str] = []
+_paths: list[str] = []  # of tables in the shared folder that are still there
 
 
 def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
@@ -79,11 +83,16 @@ def scratch(spark: SparkSession, tag: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
-        shared = _own.setdefault(app, "file://" + tempfile.mkdtemp(prefix="mesaquery-"))
-    return f"{shared.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+        if app not in _own:
+            folder = tempfile.mkdtemp(prefix="mesaquery-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            _own[app] = "file://" + folder
+        shared = _own[app]
+    _paths.append(f"{shared.rstrip('/')}/{tag}-{uuid.uuid4().hex}")
+    return _paths[-1]
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
@@ -91,7 +100,34 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _paths:
+        _paths.remove(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete ``saved`` tables that no later step reads."""
+    for df in tables:
+        if path := getattr(df, "_scratch_path", None):
+            _delete(df.sparkSession, path)
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """At the end, delete what was put into the shared folder meanwhile: its results must be written by then."""
+    earlier = set(_paths)
+    try:
+        yield
+    finally:
+        for path in [p for p in _paths if p not in earlier]:
+            _delete(spark, path)
 
 
 def with_small(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int | None = None) -> DataFrame:

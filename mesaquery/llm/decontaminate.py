@@ -8,8 +8,10 @@ Words are runs of ASCII digits, letters (A-Z lower-cased) and characters beyond
    for the items. (An item of m < size words has one window; documents keep all their m-word
    hashes for each such length m that occurs.)
 2. *Join* the kept hashes with those of the items, which gives the texts that may hold a window.
-3. *Extend* in these texts: hashes of whole windows, each made of two overlapping k-word hashes, are
-   joined with those of the items by two independent 64-bit hashes. Overlapping hits are merged.
+   Equal ones of these go on as one, and their kept hashes are joined again, with their places.
+3. *Extend* each hit to the windows around it, size - k words to either side: they alone are hashed
+   as a whole, by two independent 64-bit hashes, and joined with the items' windows. A window that
+   occurs has its smallest k-word hash kept and hit, and is among them. Overlapping ones are merged.
 
 Texts are told apart by md5, so that null, repeated and missing document ids make no difference.
 
@@ -27,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mesaquery.llm.common import BROADCAST_ROWS, saved, with_small
+from mesaquery.llm.common import drop, saved, with_small
 
 SIZE, K = 13, 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A word before it is lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -45,99 +49,131 @@ def _paired(name: str, shift: int, join: Callable[[Column, Column], Column]) ->
     return F.transform(name, lambda x, i: join(x, F.get(name, i + shift)))
 
 
-def _grams(df: DataFrame, size: int, g: str = "g") -> DataFrame:
+def _grams(df: DataFrame, size: int) -> DataFrame:
     """Add g<p> for the powers of two p up to ``size``: the hash of the p words from each place on.
 
-    Hashes of one name are independent of those of another. Places near the end have hashes of fewer
-    words; ``_gram`` cuts them.
+    Places near the end have hashes of fewer words; ``_gram`` cuts them.
     """
-    df = df.withColumn(f"{g}1", F.transform("words", lambda w: F.xxhash64(F.lit(g), w)))
+    df = df.withColumn("g1", F.transform("words", lambda w: F.xxhash64(w)))
     p = 1
     while 2 * p <= size:
-        df = df.withColumn(f"{g}{2 * p}", _paired(f"{g}{p}", p, F.xxhash64))
+        df = df.withColumn(f"g{2 * p}", _paired(f"g{p}", p, F.xxhash64))
         p *= 2
     return df
 
 
-def _gram(size: int, g: str = "g") -> Column:
+def _gram(size: int) -> Column:
     """Hashes of all ``size``-word spans, by place, from two overlapping spans of a power of two."""
     p = 1 << size.bit_length() - 1
-    whole = F.col(f"{g}{p}") if p == size else _paired(f"{g}{p}", size - p, F.xxhash64)
+    whole = F.col(f"g{p}") if p == size else _paired(f"g{p}", size - p, F.xxhash64)
     return F.slice(whole, 1, F.greatest(F.size("words") - (size - 1), F.lit(0)))
 
 
 def _kept(df: DataFrame, k: int, w: int) -> DataFrame:
-    """Add ``kept``: the distinct minima of w consecutive k-word hashes (none for shorter texts)."""
+    """Add ``low``: the minima of w consecutive k-word hashes, by place (none for shorter texts)."""
     df = df.withColumn("low1", _gram(k))
     p = 1
     while 2 * p <= w:
         df = df.withColumn(f"low{2 * p}", _paired(f"low{p}", p, F.least))
         p *= 2
+    low = f"low{p}"
     if p < w:
-        df = df.withColumn("low", _paired(f"low{p}", w - p, F.least))
-        p = 0
-    low = F.col("low" if not p else f"low{p}")
-    return df.withColumn("kept", F.array_distinct(F.slice(low, 1, F.greatest(F.size("words") - (k + w - 2), F.lit(0)))))
+        df, low = df.withColumn("lows", _paired(low, w - p, F.least)), "lows"
+    return df.withColumn("low", F.slice(low, 1, F.greatest(F.size("words") - (k + w - 2), F.lit(0))))
 
 
 def _prints(df: DataFrame, size: int, k: int, short: list[int]) -> DataFrame:
     """Rows (key, print) of the texts' kept hashes; ``short`` are the lengths below ``size``."""
     df = _kept(_grams(df, max([k, *short])), k, size - k + 1)
-    every = [F.col("kept")] + [F.array_distinct(_gram(m)) for m in short]
+    every = [F.array_distinct("low")] + [F.array_distinct(_gram(m)) for m in short]
     # The outer form: for the inner one the optimiser infers a filter on the array, pushes it below
     # all projections, and so evaluates each of them again inside the next one's lambda.
     return df.select("key", F.explode_outer(F.concat(*every) if short else every[0]).alias("print")).where("print IS NOT NULL")
 
 
+def _placed(texts: DataFrame, size: int, k: int, short: list[int]) -> DataFrame:
+    """Rows (key, m, at, print) of the texts' kept hashes with their places."""
+    w = size - k + 1
+    df = _kept(_grams(texts, max([k, *short])), k, w).withColumn("gram", _gram(k))
+    places = F.array_distinct(F.transform("low", lambda x, j: (F.array_position(F.slice("gram", j + 1, w), x) - 1 + j).cast("int")))
+    own = F.transform(places, lambda i: F.struct(F.lit(size).alias("m"), i.alias("at"), F.get("gram", i).alias("print")))
+
+    def at_every_place(m: int) -> Column:
+        return F.transform(_gram(m), lambda x, i: F.struct(F.lit(m).alias("m"), i.cast("int").alias("at"), x.alias("print")))
+
+    return df.select("key", F.explode_outer(F.concat(own, *map(at_every_place, short))).alias("p")).where("p IS NOT NULL").select("key", "p.*")
+
+
 def _spans_of(m: int) -> Callable[[Column], Column]:
     return lambda i: F.slice("words", i + 1, m)
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, k: int = K, share: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+def _hashes(span: Column) -> tuple[Column, Column]:
+    """Two independent hashes of a whole window."""
+    return F.xxhash64(F.lit("hash"), span).alias("hash"), F.xxhash64(F.lit("check"), span).alias("check")
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, k: int = K, share: int = 20, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """key (md5), n_hit, n_items, items_sha256, contaminated of each distinct text in which a window occurs.
 
-    A document is contaminated if at least one in ``share`` of its words lies in an occurrence.
+    A text is contaminated if at least one in ``share`` of its words lies in an occurrence.
     """
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), words(F.col(item_text_col)).alias("words")).where(F.size("words") > 0)
     items = items.withColumn("m", F.least(F.size("words"), F.lit(size)))
     short = sorted(r[0] for r in items.where(F.col("m") < size).select("m").distinct().collect())  # below size values
     lengths = [*short, size]
     spans = reduce(DataFrame.union, [items.where(F.col("m") == m).select("item", "m", F.explode(F.transform(F.sequence(F.lit(0), F.size("words") - m), _spans_of(m))).alias("span")) for m in lengths])
-    spans = saved(spans.distinct(), "spans")
-    windows = spans.select("m", "span").distinct().withColumnRenamed("span", "words")
-    # Hashes of each whole window, by the same rule as in documents.
-    hashed = reduce(DataFrame.union, [_grams(_grams(windows.where(F.col("m") == m), m), m, "c").select("m", F.get(_gram(m), F.lit(0)).alias("hash"), F.get(_gram(m, "c"), F.lit(0)).alias("check"), F.col("words").alias("span")) for m in lengths])
-    hashed = saved(hashed, "windows")
-    n_windows = hashed.count()
-    prints = saved(reduce(DataFrame.union, [_prints(hashed.where(F.col("m") == m).select(F.lit(0).alias("key"), F.col("span").alias("words")), *((size, k) if m == size else (m, m)), []).select("print") for m in lengths]).distinct(), "prints")
-
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    keyed = docs.select("text", F.md5(F.col("text").cast("binary")).alias("key"))
-    split = keyed.select("key", words(F.col("text")).alias("words"))
-    suspects = saved(with_small(_prints(split, size, k, short), prints, ["print"], "left_semi").select("key").distinct(), "suspects")
+    spans = saved(spans.select("item", "m", "span", *_hashes(F.col("span"))).distinct(), "spans")
+    windows = saved(spans.select("m", "hash", "check").distinct(), "windows")
+    prints = [_prints(spans.where(F.col("m") == m).select(F.lit(0).alias("key"), F.col("span").alias("words")), *((size, k) if m == size else (m, m)), []).select(F.lit(m).alias("m"), "print") for m in lengths]
+    prints = saved(reduce(DataFrame.union, prints).distinct(), "prints")
 
-    again = with_small(keyed, suspects, ["key"], "left_semi").select("key", words(F.col("text")).alias("words"))
-    grams = _grams(_grams(again, size), size, "c")
-    places = grams.select("key", F.explode_outer(F.array(*[F.struct(F.lit(m).alias("m"), F.arrays_zip(_gram(m).alias("hash"), _gram(m, "c").alias("check")).alias("hashes")) for m in lengths])).alias("of"))
-    # Words aren't carried along: a row for each place would copy them each time.
-    placed = places.select("key", F.col("of.m").alias("m"), F.posexplode_outer("of.hashes").alias("at", "of")).where("at IS NOT NULL").select("key", "m", "at", "of.hash", "of.check")
-    slim = hashed.drop("span")
-    found = placed.join(F.broadcast(slim) if n_windows <= BROADCAST_ROWS else slim, ["m", "hash", "check"]).select("key", "at", "m", "hash", "check")
-    found = saved(found.distinct(), "found")
+    keyed = docs.select(F.col(text_col).alias("text"), F.md5(F.col(text_col).cast("binary")).alias("key"))
+    split = keyed.select("key", words(F.col("text")).alias("words"))
+    suspects = saved(with_small(_prints(split, size, k, short), prints.select("print").distinct(), ["print"], "left_semi").select("key").distinct(), "suspects")
+    texts = with_small(keyed, suspects, ["key"], "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    texts = saved(texts.select("key", words(F.col("text")).alias("words")), "texts")
+
+    hits = with_small(_placed(texts, size, k, short), prints, ["m", "print"], "left_semi")
+    reach = F.when(F.col("m") == size, size - k).otherwise(0)
+    around = hits.select("key", "m", F.explode(F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.col("at"))).alias("at")).distinct()
+    starts = around.groupBy("key").agg(F.collect_list(F.struct("m", "at")).alias("starts"))  # places of one text
+    whole = F.transform(F.filter("starts", lambda x: x["at"] + x["m"] <= F.size("words")), lambda x: F.struct(x["m"].alias("m"), x["at"].alias("at"), *_hashes(F.slice("words", x["at"] + 1, x["m"]))))
+    tried = texts.join(starts, "key").select("key", F.explode_outer(whole).alias("w")).where("w IS NOT NULL").select("key", "w.*")
+    found = saved(with_small(tried, windows, ["m", "hash", "check"], "left_semi"), "found")
 
     order = Window.partitionBy("key").orderBy("at", "m")
     before = F.max(F.col("at") + F.col("m")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     merged = found.select("key", (F.col("at") + F.col("m") - F.greatest(F.col("at"), F.least(F.coalesce(before, F.lit(0)), F.col("at") + F.col("m")))).alias("new"))
-    hits = merged.groupBy("key").agg(F.sum("new").cast("long").alias("n_hit"))
-    of_item = spans.where("item IS NOT NULL").join(hashed, ["m", "span"]).select("m", "hash", "check", "item").distinct()
-    named = with_small(found.select("key", "m", "hash", "check").distinct(), saved(of_item, "of-item"), ["m", "hash", "check"], "inner").select("key", "item").distinct()
+    hit_words = merged.groupBy("key").agg(F.sum("new").cast("long").alias("n_hit"))
+    of_item = saved(spans.where("item IS NOT NULL").select("m", "hash", "check", "item").distinct(), "of-item")
+    named = with_small(found.select("key", "m", "hash", "check").distinct(), of_item, ["m", "hash", "check"], "inner").select("key", "item").distinct()
     listed = named.groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    verdict = saved(hits.join(listed, "key", "left").select("key", "n_hit", F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256")), "verdict")
+    n_words = texts.select("key", F.size("words").alias("n_words"))
+    verdict = hit_words.join(listed, "key", "left").join(n_words, "key")
+    n_items, digest = F.coalesce(F.size("items"), F.lit(0)).cast("long"), F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256)
+    verdict = saved(verdict.select("key", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") * share >= F.col("n_words")).alias("contaminated")), "verdict")
+    drop(spans, windows, prints, suspects, texts, found, of_item)
+    return verdict
+
 
-    counted = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.md5(F.col("text").cast("binary")).alias("key"))
+def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, k: int = K, share: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    verdict = contaminated_texts(docs, benchmark, size, k, share, text_col, item_col, item_text_col)
+    text = F.col(text_col)
+    n_words = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+    counted = docs.select(F.col(id_col).alias("doc_id"), n_words.alias("n_words"), F.md5(text.cast("binary")).alias("key"))
     judged = with_small(counted, verdict, ["key"], "left")
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return judged.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_hit", "n_items")]
+    return judged.select("doc_id", "n_words", *zero, F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.coalesce("contaminated", F.lit(False)).alias("contaminated"))
+
+
+def without_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose texts aren't contaminated."""
+    verdict = contaminated_texts(docs, benchmark, text_col=text_col)
+    key = "_text_md5"
+    marked = docs.withColumn(key, F.md5(F.col(text_col).cast("binary")))
+    return with_small(marked, verdict.where("contaminated").select(F.col("key").alias(key)), [key], "left_anti").drop(key)
 
 
 ORACLE_SQL = r"""

@@ -5,14 +5,14 @@ one global order: tokens by their estimated document frequency, then by hash. Le
 link with another at similarity t: at most e = n - ceil(t n) of its tokens are missing in the other.
 
 * Tokens are of two classes. *Rare* tokens are indexed alone, *frequent* ones (whose estimated
-  frequency exceeds ``frequent`` of the documents) in combinations of two.
+  frequency exceeds ``frequent`` of the documents) in combinations of ``k``.
 * Frequent tokens are dealt by hash into m classes, where a class with c tokens in the prefix is
-  worth max(0, c - 1), as two sets that share no pair of a class share at most one token of it; a
-  rare token is worth 1. The prefix is the shortest one worth e + 1.
+  worth max(0, c - k + 1), as two sets that share no combination of a class share at most k - 1
+  tokens of it; a rare token is worth 1. The prefix is the shortest one worth e + 1.
 * If two sets link, the prefix that ends first in the global order has more worth than tokens can be
-  missing in the other set, so that some token or pair of it lies in both prefixes.
-* m follows a set's size level (a power of two), so that pairs grow with the prefix and not with its
-  square. A set is indexed at its own level and at the lower one if it can link with a set there.
+  missing in the other set, so that some token or combination of it lies in both prefixes.
+* m follows a set's size level (a power of two), so that combinations grow with the prefix and not
+  with its power. A set is indexed at its own level and at the lower one if it can link with a set there.
 
 The frequencies come from hashed counts of a fixed size over all documents. They only order tokens:
 an error makes no link go missing. Candidates that share a signature are verified on whole sets.
@@ -29,13 +29,14 @@ from above, rule out most pairs before their texts are read; whole sets decide o
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mesaquery.llm.common import claim, give_back, saved, with_small
+from mesaquery.llm.common import claim, drop, give_back, saved, with_small
 from mesaquery.llm.components import components
 from mesaquery.llm.tokens import texts_of
 
@@ -45,6 +46,8 @@ CELLS = 1 << 18
 CACHE_WORDS = 150_000
 #: Documents, and shingles, of one of the blocks that are compared in one task.
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 250_000
+#: Digests of sets that a worker remembers, so that copies count once: a bound on its memory.
+SEEN = 200_000
 #: Bars of the histogram that rules out most pairs before their texts are read.
 BARS = 256
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -95,6 +98,8 @@ def _sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
         claim("shingles", _hashes.clear)
         cells, seen = np.zeros(CELLS, np.int64), set()
         for batch in batches:
+            if len(seen) > SEEN:
+                seen.clear()
             sizes, digests, fresh = [], [], []
             for text in texts_of(batch.column(2)):
                 s = shingles(text, n)
@@ -128,7 +133,7 @@ def missing(n: int, percent: int) -> int:
     return n - -(-n * percent // 100)
 
 
-def signatures_of(s: np.ndarray, weight: np.ndarray, limit: int, percent: int) -> np.ndarray:
+def signatures_of(s: np.ndarray, weight: np.ndarray, limit: int, percent: int, k: int = 2) -> np.ndarray:
     """Signatures of one set; ``weight`` has the frequency of each cell, above ``limit`` frequent."""
     n = len(s)
     if n < 2:
@@ -148,21 +153,22 @@ def signatures_of(s: np.ndarray, weight: np.ndarray, limit: int, percent: int) -
         salt = mix(np.array([at], np.uint64))
         dealt = (mix(often ^ salt) % np.uint64(m)).astype(np.int64)
         earlier: dict[int, list[int]] = {}
-        worth, pairs_of = rare, []
+        worth, ends = rare, []
         for i, c in enumerate(dealt.tolist()):
             before = earlier.setdefault(c, [])
-            if before:
+            if len(before) >= k - 1:
                 worth += 1
-                pairs_of.append((i, np.array(before)))
+                ends.append((i, np.array([*combinations(before, k - 1)], np.int64)))
             before.append(i)
             if worth >= need:
                 break
-        for i, before in pairs_of:
-            out.append(mix(mix(often[before] ^ salt) + mix(often[i : i + 1] + salt)))
+        mixed = mix(often ^ salt)
+        for i, others in ends:
+            out.append(mix(mixed[others].sum(1, dtype=np.uint64) + mixed[i]))
     return np.unique(np.concatenate(out))
 
 
-def _signatures(docs: DataFrame, weight: np.ndarray, limit: int, n: int, percent: int) -> DataFrame:
+def _signatures(docs: DataFrame, weight: np.ndarray, limit: int, n: int, percent: int, k: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weight)  # CELLS numbers
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +177,7 @@ def _signatures(docs: DataFrame, weight: np.ndarray, limit: int, n: int, percent
             ids, found, bars = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 s = shingles(text, n)
-                sig = signatures_of(s, shared.value, limit, percent)
+                sig = signatures_of(s, shared.value, limit, percent, k)
                 ids.append(np.full(len(sig), doc, np.int64))
                 found.append(sig)
                 bars.append(histogram(s).tobytes())
@@ -280,13 +286,17 @@ def _compared(assigned: DataFrame, bars: DataFrame, docs: DataFrame, n: int, per
     shown = assigned.join(bars.select(F.col("doc").alias("doc_id"), "bars"), "doc_id").select("meet", "side", "doc_id", "comp", "bars")
     left = saved(_met(shown).mapInArrow(lambda x: _each_meet(x, sift), "meet string, side int, doc_id long, comp long"), "sifted")
     texts = with_small(docs.select("doc_id", "text"), left, ["doc_id"], "inner").select("meet", "side", "doc_id", "comp", "text")
-    return saved(_met(texts).mapInArrow(lambda x: _each_meet(x, compare), "a long, b long"), "links")
+    links = saved(_met(texts).mapInArrow(lambda x: _each_meet(x, compare), "a long, b long"), "links")
+    drop(assigned, left)
+    return links
 
 
 def _blocks(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Add ``h`` to rows with doc and n, so that rows of one (by, h) are few and not too long."""
-    sums = rows.groupBy(*by).agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    return rows.join(sums, by).withColumn("h", F.pmod(F.xxhash64("doc", F.lit("block")), "blocks"))
+    """Saved rows with doc and n, and ``h``, so that rows of one (by, h) are few and not too long."""
+    sums = saved(rows.groupBy(*by).agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")), "sums")
+    blocks = saved(with_small(rows, sums, by, "inner").withColumn("h", F.pmod(F.xxhash64("doc", F.lit("block")), "blocks")), "blocks")
+    drop(sums)
+    return blocks
 
 
 def _pivot_stars(members: DataFrame, percent: int) -> DataFrame:
@@ -295,7 +305,9 @@ def _pivot_stars(members: DataFrame, percent: int) -> DataFrame:
     blocks = _blocks(fitting, ["p"])
     meet = F.concat_ws("/", "p", "h").alias("meet")
     pivots = blocks.select("p", "h").distinct().select(meet, F.lit(0).alias("side"), F.col("p").alias("doc_id"), F.col("p").alias("comp"))
-    return saved(blocks.select(meet, F.lit(1).alias("side"), F.col("doc").alias("doc_id"), F.col("doc").alias("comp")).union(pivots), "assigned")
+    assigned = saved(blocks.select(meet, F.lit(1).alias("side"), F.col("doc").alias("doc_id"), F.col("doc").alias("comp")).union(pivots), "assigned")
+    drop(blocks)
+    return assigned
 
 
 def _left_over(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -304,14 +316,14 @@ def _left_over(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     known = with_small(members.where("doc <> p"), label, ["doc"], "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
     of_pivot = labels.select(F.col("node").alias("p"), F.col("component").alias("of_p"))
     known = saved(with_small(known, of_pivot, ["p"], "left").withColumn("inside", F.coalesce("of_p", "p") == F.col("comp")), "known")
-    several = known.groupBy("p").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("p")
+    # A group that fits into one block meets as a whole.
+    few = (F.count("*") <= BLOCK_ROWS) & (F.sum("n") <= BLOCK_SHINGLES)
+    several = saved(known.groupBy("p").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), few.alias("few")).where("c0 <> c1").select("p", "few"), "several")
     # Sets that link differ by less than one of these levels.
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    left = known.join(several, "p")
-    # A group that fits into one block meets as a whole.
-    few = left.groupBy("p").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).select("p", ((F.col("docs") <= BLOCK_ROWS) & (F.col("shingles") <= BLOCK_SHINGLES)).alias("few"))
-    left = left.join(few, "p").select("p", "doc", "n", "comp", (F.col("inside") & ~F.col("few")).alias("inside"), F.when(F.col("few"), 0).otherwise(level).alias("level"))
-    rows = saved(_blocks(left, ["p", "inside", "level"]), "rows")
+    left = with_small(known, several, ["p"], "inner")
+    left = left.select("p", "doc", "n", "comp", (F.col("inside") & ~F.col("few")).alias("inside"), F.when(F.col("few"), 0).otherwise(level).alias("level"))
+    rows = _blocks(left, ["p", "inside", "level"])
     blocks = saved(rows.select("p", "inside", "level", "h").distinct(), "blocks")
     one = blocks.where("NOT inside").select("p", F.col("level").alias("level1"), F.col("h").alias("h1"))
     two = blocks.select("p", "inside", F.col("level").alias("level2"), F.col("h").alias("h2"))
@@ -319,11 +331,14 @@ def _left_over(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     met = saved(met.withColumn("meet", F.concat_ws("/", "p", "level1", "h1", "inside", "level2", "h2")), "met")
     first = met.select("meet", F.lit(0).alias("side"), "p", F.lit(False).alias("inside"), F.col("level1").alias("level"), F.col("h1").alias("h"))
     second = met.where("inside OR level1 <> level2 OR h1 <> h2").select("meet", F.lit(1).alias("side"), "p", "inside", F.col("level2").alias("level"), F.col("h2").alias("h"))
-    both = rows.join(first.union(second), ["p", "inside", "level", "h"])
-    return saved(both.select("meet", "side", F.col("doc").alias("doc_id"), "comp"), "assigned")
+    sides = saved(first.union(second), "sides")
+    both = with_small(rows, sides, ["p", "inside", "level", "h"], "inner")
+    assigned = saved(both.select("meet", "side", F.col("doc").alias("doc_id"), "comp"), "assigned")
+    drop(known, several, rows, blocks, met, sides)
+    return assigned
 
 
-def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85, frequent: float = 0.02, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85, frequent: float = 0.02, id_col: str = "doc_id", text_col: str = "text", k: int = 2) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links).
 
     Documents link at Jaccard similarity >= percent / 100. Null and empty texts have empty sets and
@@ -346,16 +361,23 @@ def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85, frequent: flo
     copies = saved(marked.where("doc_id <> rep").select("doc_id", "tie").distinct(), "copies")
     distinct = with_small(ided, copies, ["doc_id", "tie"], "left_anti").select("doc_id", "text")
 
-    signed = saved(_signatures(distinct, weight, limit, n, percent), "signatures")
-    firsts = signed.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc").alias("p"), F.max("doc").alias("last")).where("p <> last").select("sig", "p")
-    bars = signed.where("bars IS NOT NULL").select("doc", "bars")
-    shared = signed.join(firsts, "sig").select("p", "doc").distinct()
+    signed = saved(_signatures(distinct, weight, limit, n, percent, k), "signatures")
+    # One shuffle of the signatures gives each its pivot.
+    of_sig = Window.partitionBy("sig")
+    met = signed.where("sig IS NOT NULL").select("doc", F.min("doc").over(of_sig).alias("p"), F.max("doc").over(of_sig).alias("last"))
+    shared = met.where("p <> last").select("p", "doc").distinct()
     sizes = classes.select(F.col("rep").alias("doc"), F.col("size").alias("n"))
     sized = with_small(shared, sizes, ["doc"], "inner", n_classes)
     members = saved(with_small(sized, sizes.toDF("p", "pn"), ["p"], "inner", n_classes), "members")
+    concerned = saved(members.select("doc").distinct(), "concerned")  # pivots are members of their own
+    bars = saved(with_small(signed.where("bars IS NOT NULL").select("doc", "bars"), concerned, ["doc"], "left_semi"), "bars")
+    drop(signed, concerned)
     links = _compared(_pivot_stars(members, percent), bars, ided, n, percent)
-    rest = _left_over(members, components(links), percent)
-    labels = components(links.union(_compared(rest, bars, ided, n, percent)))
+    labels = components(links)
+    more = _compared(_left_over(members, labels, percent), bars, ided, n, percent)
+    if not more.isEmpty():
+        labels = components(labels.toDF("a", "b").union(more))
+    drop(members, bars, copies, links, more)
     grouped = with_small(classes, labels.select(F.col("node").alias("rep"), "component"), ["rep"], "left")
     result = with_small(rows, grouped.select("digest", F.coalesce("component", "rep").alias("component")), ["digest"], "left", n_classes)
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

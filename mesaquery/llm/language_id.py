@@ -1,7 +1,7 @@
 """Language identification of mixed texts: script ranges, word scores and a Viterbi path.
 
-A word's script, by the range of its first letter, narrows the languages to those that use it. Each
-language scores a word by the log-probabilities of its hashed character n-grams. A Viterbi path with
+A word's script, that of most of its letters by their ranges, narrows the languages to those that use
+it. Marks that combine with a letter, such as vowel signs, belong to its word. Each language scores a word by the log-probabilities of its hashed character n-grams. A Viterbi path with
 a penalty for each switch labels every word; runs of one label are the spans. The language of most
 letters is the document's.
 
@@ -18,14 +18,18 @@ language in alphabetical order; without training documents everything is ``und``
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mesaquery.llm.common import claim, give_back
 
@@ -40,6 +44,8 @@ FOREIGN = -40.0
 USES = 0.01
 CACHE_WORDS = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Code points among which there are combining marks, roughly: other texts need no search for them.
+_MAY_COMBINE = re.compile("[\u0300-\u036f\u0483-\u0489\u0591-\u1fff\u20d0-\u20f0\u2cef-\u2fff\u302a-\u309a\ua000-\uabff\ufb00-\ufeff\U00010000-\U0010ffff]")
 #: First and last code point of Unicode blocks, by script.
 SCRIPTS = (
     ("latin", ((0x0041, 0x024F), (0x1E00, 0x1EFF))),
@@ -59,8 +65,24 @@ SCRIPTS = (
 OTHER = len(SCRIPTS)
 
 
+@cache
+def _letters_and_marks() -> re.Pattern[str]:
+    """A letter and the letters and combining marks after it."""
+    marks, start = [], None
+    for point in range(0x300, sys.maxunicode + 2):
+        if is_mark := point <= sys.maxunicode and unicodedata.category(chr(point))[0] == "M":
+            start = point if start is None else start
+        if not is_mark and start is not None:
+            marks.append(f"\\U{start:08x}-\\U{point - 1:08x}")
+            start = None
+    return re.compile(rf"[^\W\d_](?:[^\W\d_]|[{''.join(marks)}])*")
+
+
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall((text or "").lower())
+    text = (text or "").lower()
+    if text.isascii() or not _MAY_COMBINE.search(text):
+        return LETTERS.findall(text)
+    return _letters_and_marks().findall(text)
 
 
 def script_of(points: np.ndarray) -> np.ndarray:
@@ -73,7 +95,7 @@ def script_of(points: np.ndarray) -> np.ndarray:
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cells of all n-grams of the words with a space on either side; word of each; first letters."""
+    """Cells of all n-grams of the words with a space on either side; word of each; letters by word and script."""
     joined = " " + " ".join(words) + " "
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
     space = points == 32
@@ -98,8 +120,9 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         owner = np.where(space[n - 1 :], word[: len(h)], word[n - 1 :])
         cells.append((h[ok] % np.uint64(CELLS)).astype(np.int64))
         of_word.append(owner[ok])
-    first = points[np.flatnonzero(space)[:-1] + 1].astype(np.int64)
-    return np.concatenate(cells), np.concatenate(of_word), first
+    letters = ~space
+    scripts = np.bincount(word[letters] * (OTHER + 1) + script_of(points[letters].astype(np.int64)), minlength=len(words) * (OTHER + 1))
+    return np.concatenate(cells), np.concatenate(of_word), scripts.reshape(len(words), OTHER + 1)
 
 
 @dataclass
@@ -109,10 +132,10 @@ class Model:
     uses: np.ndarray  # scripts x languages: 0 or FOREIGN
 
     def scores(self, words: list[str]) -> np.ndarray:
-        cells, of_word, first = features(words)
+        cells, of_word, scripts = features(words)
         order = np.argsort(of_word, kind="stable")
         starts = np.searchsorted(of_word[order], np.arange(len(words)))
-        return np.add.reduceat(self.log_p[cells[order]], starts, axis=0).astype(np.float64) + self.uses[script_of(first)]
+        return np.add.reduceat(self.log_p[cells[order]], starts, axis=0).astype(np.float64) + self.uses[scripts.argmax(1)]
 
 
 def is_training(id_col: str) -> Column:
@@ -135,11 +158,10 @@ def fit(docs: DataFrame, sample: int = 1500, id_col: str = "doc_id", text_col: s
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if words := words_of(text):
-                    cells, _, first = features(words)
+                    cells, _, scripts = features(words)
                     own = sums.setdefault(lang, np.zeros(CELLS + OTHER + 1, np.int64))
                     own[:CELLS] += np.bincount(cells, minlength=CELLS)
-                    lengths = np.fromiter(map(len, words), np.int64, len(words))
-                    own[CELLS:] += np.bincount(script_of(first), lengths, OTHER + 1).astype(np.int64)
+                    own[CELLS:] += scripts.sum(0)
         for lang, own in sums.items():
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "cell": pa.array(at, pa.int32()), "n": pa.array(own[at], pa.int64())})
@@ -200,7 +222,7 @@ class Labeller:
 
     def _reset(self) -> None:
         self.index = _Scores(self.new)
-        self.table = np.empty((0, len(self.model.languages)))
+        self.table, self.filled = np.empty((1024, len(self.model.languages))), 0
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:
         if len(self.index) > CACHE_WORDS:
@@ -210,7 +232,11 @@ class Labeller:
         words = [words_of(t) for t in texts]
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64)
         if self.new:
-            self.table = np.vstack((self.table, self.model.scores(self.new)))
+            end = self.filled + len(self.new)
+            if end > len(self.table):  # twice as large, so that few copies are made
+                self.table = np.concatenate((self.table[: self.filled], np.empty((max(end, 2 * len(self.table)) - self.filled, self.table.shape[1]))))
+            self.table[self.filled : end] = self.model.scores(self.new)
+            self.filled = end
             self.new.clear()
         out, a = [], 0
         for w in words:
@@ -252,6 +278,25 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return rows.mapInArrow(label, f"doc_id long, lang_pred string, score double, spans {SPANS}")
 
 
+def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` as they are, with lang_pred: one pass, without a join back."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # CELLS x languages numbers
+    at = docs.columns.index(text_col)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
+        labeller = Labeller(shared.value)
+        for batch in batches:
+            if batch.num_rows:
+                texts = batch.column(0).field(at).to_pylist()
+                yield pa.RecordBatch.from_pydict({"row": batch.column(0), "lang_pred": pa.array([x[0] for x in labeller.label(texts)])})
+        del labeller
+        give_back()
+
+    kinds = T.StructType([T.StructField("row", docs.schema), T.StructField("lang_pred", T.StringType())])
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).mapInArrow(label, kinds)
+
+
 def languages_of(docs: DataFrame, sample: int = 1500) -> DataFrame:
     """Fit on the documents that aren't held out, and predict all."""
     predicted = identify(docs, fit(docs.where(is_training("doc_id")), sample))

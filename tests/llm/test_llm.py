@@ -116,6 +116,24 @@ def test_components(spark):
     assert {r.node: r.component for r in components(edges).collect()} == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_components_take_a_logarithm_of_rounds(spark, shuffled):
+    names = list(range(10_000))
+    if shuffled:
+        random.Random(1).shuffle(names)
+    rounds = []
+    got = components(spark.createDataFrame(list(zip(names, names[1:], strict=False)), "a long, b long"), rounds)
+    assert got.select("node").distinct().count() == 10_000 == got.where("component = 0").count() and len(rounds) <= 20
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(2)
+    edges = {(rng.randrange(300), rng.randrange(300)) for _ in range(200)} | {(299, k) for k in range(200, 250)}
+    want = groups(range(300), lambda a, b: (a, b) in edges or (b, a) in edges)
+    got = {r.node: r.component for r in components(spark.createDataFrame(list(edges), "a long, b long")).collect()}
+    assert got == {x: want[x] for e in edges if e[0] != e[1] for x in e}
+
+
 def brute_contamination(docs, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
     out = []
