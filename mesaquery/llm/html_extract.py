@@ -45,8 +45,14 @@ LEAST_PAGES, SHARE = 3, 0.6
 LEAST_TOKENS = 3
 
 _RAW = "script|style|noscript|template|textarea|iframe|svg|title|xmp"
-_TOKEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(" + _RAW + r""")\b(?:"[^"]*"|'[^']*'|[^'">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""")
-_ATTRIBUTE = re.compile(r"""(?is)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+# Quotes hold a ">" only as an attribute's value. Nothing is tried twice (possessive quantifiers), and what
+# isn't closed goes up to the end, so that the scan takes linear time on any page.
+_INSIDE = r"""(?:[^>="']++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+"""
+_TOKEN = re.compile(rf"""(?is)<!--(?:-?>|.*?--!?>|.*\Z)|<({_RAW})(?=[\s/>])(?:{_INSIDE})>(?:.*?</\1(?=[\s/>])[^>]*+>|.*\Z)|<(/?)([a-z][^\s/>]*+)({_INSIDE})(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""")
+_ATTRIBUTE = re.compile(r"""(?s)([^\s/>="']++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""")
+_CLOSED = re.compile(rf"(?is)<!--(?:-?>|.*?--!?>)\Z|<({_RAW})(?=[\s/>])(?:{_INSIDE})>.*?</\1(?=[\s/>])[^>]*+>\Z|<(?!(?:{_RAW})[\s/>])/?[a-z][^\s/>]*+(?:{_INSIDE})>\Z|<[!?/](?!--)[^>]*+>\Z")
+_BEGINS = re.compile(r"(?i)<[a-z!?/]")
+_TELLING = ("class", "id", "role")
 #: Elements, and whole classes, ids and roles, of what isn't main text.
 ASIDE_TAGS = frozenset("head nav header footer aside form button select dialog menu object audio video canvas".split())
 ASIDE_WORDS = re.compile(r"(?i)(?:(?:site|page|main|global|top|bottom|primary|secondary|cookie|post|article|entry|social|privacy|mobile)[_-])?(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|complementary|consent|contentinfo|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|pagination|pager|popup|promo\w*|recommend\w*|related|replies|respond|search|share|sharing|sidebar\w*|side|signup|social|sponsor\w*|subscribe|tags?|toolbar|widgets?)(?:[_-](?:area|banner|bar|block|box|buttons?|container|content|form|inner|items?|links?|list|menu|nav|notice|outer|section|wrap|wrapper))?")
@@ -62,7 +68,7 @@ class Piece:
 
     def __init__(self, a: int, b: int, close: bool, name: str, attributes: str):
         self.a, self.b, self.close, self.name = a, b, close, name
-        marks = sorted((m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)) if attributes and "=" in attributes else []
+        marks = sorted((k, m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes) if (k := m[1].lower()) in _TELLING) if "=" in attributes else []
         words = [w for _, v in marks for w in v.split()]
         self.main = not close and (name in MAIN_TAGS or any(k == "role" and v == "main" for k, v in marks))
         self.aside = not close and (name in ASIDE_TAGS or bool(words) and name not in ("html", "body") and any(map(ASIDE_WORDS.fullmatch, words)))
@@ -72,11 +78,17 @@ class Piece:
 def pieces_of(page: str) -> list[Piece]:
     """All tags of a page outside raw elements and comments, which are pieces without a name."""
     out = []
-    for m in _TOKEN.finditer(page):
+    # Behind the last ">" there are no whole tags, but the first that begins swallows what is left.
+    stop = page.rfind(">") + 1
+    for m in _TOKEN.finditer(page, 0, stop):
         if m[3]:
             out.append(Piece(m.start(), m.end(), bool(m[2]), m[3].lower(), m[4]))
         else:
             out.append(Piece(m.start(), m.end(), False, "", ""))
+    if out and out[-1].b == stop and not _CLOSED.match(page, out[-1].a, stop):
+        out[-1].b = len(page)
+    elif m := _BEGINS.search(page, stop):
+        out.append(Piece(m.start(), len(page), False, "", ""))
     return out
 
 
@@ -362,12 +374,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     templates = saved(templates_of(hosted.select("host", F.col("page_id").alias("page"), "html")), "templates")
     common = next((r[0] for r in templates.where("host IS NULL").select("template").collect()), None)  # one row at most
     own = templates.where("host IS NOT NULL")
-    # Templates are wide: what they hold counts, not their rows.
-    size = own.agg(F.coalesce(F.sum(F.size(F.flatten("template"))), F.lit(0))).first()[0]
+    # Templates are wide: their bytes count, 16 of them as a row.
+    size = own.agg(F.coalesce(F.sum(F.length(F.array_join(F.flatten("template"), ""))), F.lit(0))).first()[0] // 16
     joined = with_small(hosted, own, ["host"], "left", size)
     fixed = saved(fixed_of(joined, common), "fixed")
     common_fixed = frozenset(x for r in fixed.where("host IS NULL").select("fixed").collect() for x in r[0])  # slots of one template
-    size = fixed.agg(F.coalesce(F.sum(F.size("fixed")), F.lit(0))).first()[0]
+    size = fixed.agg(F.coalesce(F.sum(F.length(F.array_join("fixed", ""))), F.lit(0))).first()[0] // 16
     joined = with_small(joined, fixed.where("host IS NOT NULL"), ["host"], "left", size)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

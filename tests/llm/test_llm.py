@@ -293,6 +293,33 @@ def test_html_keeps_articles_of_any_class():
         assert html_extract.main_text(f"<html><body class='tags'>{body}<footer>f</footer></body></html>") == "one"
 
 
+def test_html_of_hostile_pages_takes_linear_time():
+    import time
+
+    began = time.process_time()
+    for part in ("<a ", "<a x='", '<a "', '<a b="x', "<", "</", "<!--", "<script ", "<script>", "<div>", '<p class="', "<title>x</", "&amp;", "a "):
+        for page in (part * (1_000_000 // len(part)), part * (1_000_000 // len(part)) + ">'", ">" + part * (1_000_000 // len(part))):
+            html_extract.main_text(page)
+    assert time.process_time() - began < 30  # 42 pages of 1 MB
+
+
+def test_html_scanner():
+    for page, text in (
+        ("a < b > c", "a < b > c"),
+        ("<p title='a>b'>hi</p>", "hi"),
+        ("ok<!-- a > b", "ok"),
+        ("a<script>b>c", "a"),
+        ("<p>one<br>two</p>3 <4", "one\ntwo\n3 <4"),
+        ("<p data-class='nav'>keep</p>", "keep"),
+        ("<p>cut off</p><div class='fo", "cut off"),
+        ("x<!-- y", "x"),
+        ("<!--> x", "x"),
+        ("<p title=\"it's\">a</p><p class='x'>b", "a\nb"),
+        ("é" * 10, "é" * 10),
+    ):
+        assert html_extract.main_text(page) == text, page
+
+
 def test_html_template_survives_odd_pages_and_drops_what_does_not_vary(spark):
     """Plain pages of one host, with a null, an empty and an error page among them."""
     item = lambda i, k: f"<li class='i'><span class='who'>user {i}-{k}</span><span class='mark'>said</span><i class='what'>text {i}-{k}</i></li>"
