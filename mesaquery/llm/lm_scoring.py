@@ -62,6 +62,23 @@ def _unpacked(x: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(pa.decompress(x[8:], n * np.dtype(kind).itemsize, "zstd", asbytes=True), kind) if n else np.empty(0, kind)
 
 
+def _gaps(keys: np.ndarray) -> bytes:
+    """Sorted hashes as the first one and the gaps between them, in 6 bytes each where these do."""
+    if len(keys) < 2 or int((gaps := np.diff(keys)).max()) >> 48:
+        return b"\0" + keys.astype("<u8").tobytes()
+    return b"\1" + keys[:1].astype("<u8").tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_gaps(x: bytes) -> np.ndarray:
+    if len(x) == 1:
+        return np.empty(0, "<u8")
+    if not x[0]:
+        return np.frombuffer(x, "<u8", offset=1)
+    gaps = np.zeros(((len(x) - 9) // 6, 8), np.uint8)
+    gaps[:, :6] = np.frombuffer(x, np.uint8, offset=9).reshape(-1, 6)
+    return np.cumsum(np.concatenate((np.frombuffer(x, "<u8", 1, 1), gaps.view("<u8").ravel())), dtype=np.uint64)
+
+
 class _Numbers(dict):
     """Number of each word in order of appearance."""
 
@@ -156,7 +173,7 @@ def _requests(chunks: DataFrame, parts: int) -> DataFrame:
                 sent = []
                 for keys, of, doc in ((c.words, c.word, c.doc), (c.pairs, c.pair, c.doc[c.later])):
                     n, at = c.counts(of, doc, len(keys)).reshape(2, -1), _bounds(keys, parts)
-                    sent.append([(keys[a:b].tobytes(), _packed(n[:, a:b].astype("<u4").ravel())) for a, b in zip(at[:-1], at[1:], strict=True)])
+                    sent.append([(_gaps(keys[a:b]), _packed(n[:, a:b].astype("<u4").ravel())) for a, b in zip(at[:-1], at[1:], strict=True)])
                 for a in range(0, parts, 256):
                     rows = [(row["chunk"], p, *sent[0][p], *sent[1][p]) for p in range(a, min(a + 256, parts))]
                     kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
@@ -174,7 +191,7 @@ def _replies(requests: DataFrame) -> DataFrame:
         claim("lm")
         chunks, part, back, distinct = group.column("chunk").to_pylist(), group.column("part")[0].as_py(), [], []
         for what in ("words", "pairs"):
-            asked = [np.frombuffer(x, "<u8") if x else np.empty(0, "<u8") for x in group.column(what).to_pylist()]
+            asked = [_from_gaps(x) for x in group.column(what).to_pylist()]
             n = np.concatenate([_unpacked(x, "<u4").reshape(2, -1) for x in group.column("n_" + what).to_pylist()], axis=1)
             keys, of = np.unique(np.concatenate(asked), return_inverse=True)
             sums = np.stack([np.bincount(of, x, len(keys)).astype("<i8") for x in n])[:, of]
