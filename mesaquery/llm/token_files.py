@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mesaquery.llm.common import scratch
-from mesaquery.llm.tokens import few_rows, texts_of, word_ids
+from mesaquery.llm.tokens import few_rows, texts_of, vocabulary_of, word_ids
 
 
 def filesystem(uri: str):
@@ -43,11 +43,11 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", vocab_size: int = 1 << 16, shards: int | None = None) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> DataFrame:
     """Write shards below ``folder``; the manifest: shard, name, n_docs, n_tokens, base, width."""
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = 2 if vocab_size <= 1 << 16 else 4
+    width = 2 if max(vocabulary_of(tokenizer_file), end_id + 1) <= 1 << 16 else 4
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     # The tie breaker also splits an id that very many rows share.
     dealt = rows.repartitionByRange(shards, F.col("doc_id"), F.col("tie")).sortWithinPartitions("doc_id", "tie")

@@ -3,7 +3,8 @@
 The tokenizer's splitting pattern never crosses white space and its normaliser composes nothing
 across it, so that the ids of a text are those of its white-space-separated words in a row. Only
 words that a worker hasn't met yet go through the tokenizer itself, many at a time with a separator
-between them whose id no other text gives.
+between them whose id no other text gives. Probes tell whether a tokenizer is of this kind; one that
+isn't, as it glues white space to words, gets whole texts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ ROWS = 256
 #: Words that are encoded as one text, with a separator in between.
 JOINED = 128
 _SEPARATOR, _PROBE = "\x00", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PROBES = ("one", "Two", "3", "...", "don't", "é.", "x1y", "\u0301", "\u4e16", "the", "</s>", "\U0001f600")
 
 
 class WordIds:
@@ -35,6 +37,8 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.lowers = self._ids([_PROBE]) == self._ids([_PROBE.lower()])
         self.separator = self._ids([_SEPARATOR])[0]
+        each = [*chain.from_iterable(self._ids([*_PROBES]))]
+        self.by_words = all(ids == each for ids in self._ids([f"{s}{s.join(_PROBES)}{s}" for s in (" ", "\t", "\n", "\r", "\x0b", "\x0c", " \n ")]))
         self.cache_words = cache_words
         self._reset()
 
@@ -45,6 +49,9 @@ class WordIds:
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids start (one more entry than texts)."""
+        if not self.by_words:
+            ids = self._ids([(t or b"").decode() for t in texts])
+            return np.array([*chain.from_iterable(ids)], np.uint32), np.cumsum([0, *map(len, ids)])
         if len(self.index) > self.cache_words:
             self._reset()
         # Words that the tokenizer itself lower-cases are cached in one form.
@@ -95,6 +102,13 @@ class _Index(dict):
         return n
 
 
+def vocabulary_of(tokenizer_file: str) -> int:
+    """One more than the largest id."""
+    from tokenizers import Tokenizer
+
+    return 1 + max(Tokenizer.from_file(tokenizer_file).get_vocab().values())
+
+
 _made: dict[str, WordIds] = {}
 
 

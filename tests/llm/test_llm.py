@@ -168,6 +168,23 @@ def test_word_ids_equal_the_tokenizer(texts):
         assert flat[stops[i] : stops[i + 1]].tolist() == words.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_word_ids_of_a_tokenizer_that_keeps_spaces():
+    import public_tokenizers
+
+    words = tokens.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a  b\n c", None, "", " the the", "é"]
+    flat, stops = words.encode([t.encode() if t is not None else None for t in texts])
+    assert not words.by_words and tokens.word_ids(registry.TOKENIZER).by_words
+    for i, t in enumerate(texts):
+        assert flat[stops[i] : stops[i + 1]].tolist() == words.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_hashes_as_gaps():
+    rng = np.random.default_rng(4)
+    for keys in (np.empty(0, np.uint64), np.array([5], np.uint64), np.unique(rng.integers(0, 2**64, 3, dtype=np.uint64)), np.unique(rng.integers(0, 2**64, 100_000, dtype=np.uint64))):
+        assert lm_scoring._from_gaps(lm_scoring._gaps(keys)).tolist() == keys.tolist()
+
+
 def test_token_files_and_packing(spark, docs):
     encode = lambda t: tokens.word_ids(registry.TOKENIZER).tokenizer.encode(t or "", add_special_tokens=False).ids
     want, at = [], 0
