@@ -253,6 +253,35 @@ def test_embeddings(spark):
     assert got == {i: (int(near[i].sum()) - 1, want[i], want[i] == i) for i in range(len(v))} | {i: (0, i, True) for i in range(500, 504)}
 
 
+def test_embeddings_of_several_lengths(spark):
+    """Vectors of a rarer length link too, beside null ids, repeated rows and clashing columns."""
+    rng = np.random.default_rng(2)
+    vectors = [rng.normal(size=3) for _ in range(40)] + [rng.normal(size=2) for _ in range(30)] + [rng.normal(size=5) for _ in range(9)] + [np.array([1.0, 0.0])] * 2 + [np.array([1e200, 0.0]), np.array([-0.0, -1e-200])]
+    rows = [(i, [*map(float, v)], 1, "x") for i, v in enumerate(vectors)] + [(None, [1.0, 0.0], 1, "x"), (900, [], 1, "x")]
+    unit = [v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for v in vectors]
+    near = [[len(a) == len(b) and a @ b >= 0.9 for b in unit] for a in unit]
+    want = groups(list(range(len(vectors))), lambda a, b: near[a][b])
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, block int, key string"), block=8).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (sum(near[i]) - 1, want[i]) for i in want} | {None: (0, None), 900: (0, 900)} and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("dim", [7, 64, 1300])
+def test_estimates_of_rotated_codes(dim):
+    """Estimates are unbiased and within the bound, by a dense rotation and by a structured one."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, dim))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    noise = rng.normal(size=unit.shape)
+    noise -= (noise * unit).sum(1, keepdims=True) * unit
+    other = 0.95 * unit + math.sqrt(1 - 0.95**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    rotate = embedding_dedup.Rotation(dim)
+    codes, factors = embedding_dedup.encode(unit, rotate)
+    signs = np.unpackbits(codes, axis=1, count=rotate.size).astype(float) * 2 - 1
+    error = (signs * rotate(other)).sum(1) / (math.sqrt(rotate.size) * factors) - 0.95
+    assert np.allclose(np.linalg.norm(rotate(unit), axis=1), 1)
+    assert abs(error.mean()) < 0.01 and (np.abs(error) <= embedding_dedup.bound(factors, 0.95, rotate.size)).all()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a\nb", None]), st.text(max_size=20) | st.sampled_from(chat.CONTROLS) | st.none()), max_size=5))
 def test_chat_round_trip(turns):
