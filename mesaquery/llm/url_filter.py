@@ -1,22 +1,30 @@
 """URL filters: rules first, then a classifier on words that a Viterbi segmentation finds.
 
 A rule names a host, which stands for its subdomains too, and a path prefix; the longest that fits
-decides. Other URLs are scored: concatenated names in the host and path are split into words by a
-unigram Viterbi search, and multinomial naive Bayes compares the words with labelled ones.
-
-Unigram counts come from the path tokens of all URLs, with the labelled words added. All words count and
-stay a table: the substrings of the names meet it in a join, so that each name has the counts of what
-can make it up, and each distinct name is split once. An unknown string of n letters costs as much as
-in a uniform model of its length, so that names are kept whole unless known words explain them.
-
-Defined results: a null URL or one without ``://`` has an empty host and path and is allowed unless
-a rule fits; repeated rows are judged each; an empty table gives no rows.
+decides. Other URLs are scored by a classifier that learns from what the rules decide: concatenated
+names in host and path are split into words by a unigram Viterbi search, and multinomial naive Bayes
+compares an URL's words with those of blocked and of allowed URLs. Labelled words of the module count
+as further labelled URLs.
+
+Unigram counts come from the path tokens of all URLs, from the host tokens that several hosts share
+(once for each host: a name of one host alone would pass for a word and never be split), and from
+the labelled words. All words count and stay tables: the substrings of the names meet the counts in
+a join, so that each name has the counts of what can make it up, and each distinct name is split and
+weighed once. An unknown string of n letters costs as much as in a uniform model of its length, so
+that names are kept whole unless known words explain them.
+
+Naive Bayes has add-one smoothing over the words of labelled URLs; other words tell nothing. The
+prior is the share of blocked ones among labelled URLs, with ``PRIOR_WEIGHT`` URLs more of which
+``PRIOR`` are blocked. An URL is blocked at a posterior probability over one half.
+
+Defined results: a null URL or one without ``://`` has an empty host and path; an URL without a word
+of a labelled one is allowed; null ids stay null; repeated rows are judged and learnt from each; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -34,13 +42,12 @@ WEAK = "cam bet bets betting lottery win pills cheap replica spam farm seo backl
 ORDINARY = "news science sport culture health travel food music art books school university library museum city weather market research press media forum wiki article story".split()
 BLOCKED = {w: 30 for w in STRONG} | {w: 8 for w in WEAK}
 ALLOWED = {w: 8 for w in ORDINARY}
-TOKENS = re.compile(r"[a-z]+")
 #: Words of at most this many letters, 18,278 at most, are broadcast: most names share their substrings.
 SHORT_WORD = 3
 #: Substrings that a worker hands on at once: a bound on memory.
 PART_SUBSTRINGS = 50_000
-#: Prior odds of an unwanted site.
-PRIOR = 0.1
+#: Share of unwanted URLs, and how many labelled ones that counts as.
+PRIOR, PRIOR_WEIGHT = 0.1, 100
 
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -62,13 +69,12 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 @dataclass
 class Words:
-    """What all names share: the number of counted words, and each class's words' log-probabilities."""
+    """What the segmentation of all names shares."""
 
-    total: float
+    total: float  # the number of counted words
     labelled: float  # what a labelled word's count is raised by
     longest: int  # letters of the longest known word
-    blocked: dict[str, float]
-    allowed: dict[str, float]
+    known: frozenset[str]  # labelled words
 
     def segment(self, name: str, counts: Mapping[str, float]) -> list[str]:
         """The most probable words that make up ``name``, by Viterbi over word ends.
@@ -80,7 +86,7 @@ class Words:
             top, at = -math.inf, 0
             for a in range(end):
                 word = name[a:end] if end - a <= self.longest else ""
-                n = counts.get(word, 0.0) + (self.labelled if word in self.blocked or word in self.allowed else 0.0) if word else 0.0
+                n = counts.get(word, 0.0) + (self.labelled if word in self.known else 0.0) if word else 0.0
                 p = math.log(n) - math.log(self.total) if n else -math.log(self.total) - (end - a) * math.log(26)
                 if best[a] + p > top:
                     top, at = best[a] + p, a
@@ -92,32 +98,28 @@ class Words:
             end = start[end]
         return out[::-1]
 
-    def score(self, words: Sequence[str]) -> float:
-        """Posterior probability of an unwanted site."""
-        odds = math.log(PRIOR / (1 - PRIOR))
-        for w in words:
-            if w in self.blocked or w in self.allowed:
-                odds += self.blocked.get(w, self.blocked[""]) - self.allowed.get(w, self.allowed[""])
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
-
-
-def fit(urls: DataFrame, blocked: Mapping[str, int] = BLOCKED, allowed: Mapping[str, int] = ALLOWED) -> tuple[DataFrame, Words]:
-    """Word counts (word, n) over the path tokens of all URLs (path column), and what all names share.
 
-    Host names don't count: a name that is frequent would pass for a word and never be split.
-    """
-    tokens = urls.select(F.explode(F.regexp_extract_all(F.translate("path", UPPER, LOWER), F.lit("([a-z]+)"), F.lit(1))).alias("word"))
-    words = saved(tokens.groupBy("word").agg(F.count("*").alias("n")), "words")
+def fit(urls: DataFrame, known: frozenset[str]) -> tuple[DataFrame, Words]:
+    """Word counts (word, n) over the tokens of all URLs (host, path), and what all names share."""
+    found = lambda c: F.explode(F.regexp_extract_all(F.translate(c, UPPER, LOWER), F.lit("([a-z]+)"), F.lit(1)))
+    of_paths = urls.select(found("path").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    of_hosts = urls.select("host").distinct().select("host", found("host").alias("word")).distinct().groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    words = saved(of_paths.union(of_hosts).groupBy("word").agg(F.sum("n").alias("n")), "words")
     counted, longest = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max(F.length("word")), F.lit(0))).first()
-    known = {*blocked, *allowed}
     labelled = max(10.0, counted / 1000)
-    total = counted + labelled * len(known)
+    return words, Words(counted + labelled * len(known), labelled, max(longest, *map(len, known)) if known else longest, known)
 
-    def bayes(words: Mapping[str, int]) -> dict[str, float]:
-        size = sum(words.values()) + len({*blocked, *allowed})
-        return {w: math.log((1 + n) / size) for w, n in words.items()} | {"": math.log(1 / size)}
 
-    return words, Words(total, labelled, max(longest, *map(len, known)), bayes(blocked), bayes(allowed))
+def learnt(seen: DataFrame, segments: DataFrame, blocked: Mapping[str, int], allowed: Mapping[str, int]) -> DataFrame:
+    """(word, odds): the log-odds that a word adds, from names (name, block, allow) of labelled URLs."""
+    spark = seen.sparkSession
+    words = with_small(seen, segments.select("name", "words"), ["name"], "inner").select(F.explode("words").alias("word"), "block", "allow")
+    own = [(w, blocked.get(w, 0), allowed.get(w, 0)) for w in sorted({*blocked, *allowed})]
+    given = words.union(spark.createDataFrame(own, "word string, block long, allow long")) if own else words
+    counts = saved(given.groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "labelled")
+    size, n_block, n_allow = counts.agg(F.count("*"), F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum("allow"), F.lit(0))).first()
+    odds = F.log((F.col("block") + 1) / F.lit(float(n_block + size))) - F.log((F.col("allow") + 1) / F.lit(float(n_allow + size)))
+    return counts.select("word", odds.alias("odds"))
 
 
 def segments_of(names: DataFrame, words: DataFrame, model: Words) -> DataFrame:
@@ -148,37 +150,31 @@ def segments_of(names: DataFrame, words: DataFrame, model: Words) -> DataFrame:
     return saved(names.join(counts, "name", "left").select("name", "counts").mapInArrow(split, "name string, words array<string>"), "segments")
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", blocked: Mapping[str, int] = BLOCKED, allowed: Mapping[str, int] = ALLOWED) -> DataFrame:
     """page_id, host, path, rule, verdict, and the words and score of the method (null under a rule)."""
     url = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     host, path = parts(F.col("url"))
     rows = url.select("page_id", host.alias("host"), path.alias("path"))
-    counts, model = fit(rows)
-    named = [(v, h + p) for v, h, p in rules]
-    kind = dict(url.dtypes)["page_id"]
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = [None if number is not None else TOKENS.findall(f"{host}/{path.lower()}") for host, path, number in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
-            yield pa.RecordBatch.from_pydict({n: batch.column(i) for i, n in enumerate(("row", "page_id", "host", "path", "number"))} | {"names": pa.array(names, pa.list_(pa.string()))})
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[str | None, str, list[str] | None, float | None]] = []
-            for number, words in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                if number is not None:
-                    out.append((named[number][1], named[number][0], None, None))
-                    continue
-                score = model.score(words or [])
-                out.append((None, "block" if score > 0.5 else "allow", words or [], score))
-            if out:
-                rule, verdict, words_, score_ = zip(*out, strict=True)
-                yield pa.RecordBatch.from_pydict({n: batch.column(i) for i, n in enumerate(("page_id", "host", "path"))} | {"rule": pa.array(rule, pa.string()), "verdict": pa.array(verdict), "words": pa.array(words_, pa.list_(pa.string())), "score": pa.array(score_, pa.float64())})
-
-    ruled = rows.withColumn("number", rule_of(F.col("host"), F.col("path"), rules)).select(F.monotonically_increasing_id().alias("row"), "page_id", "host", "path", "number")
-    rows = saved(ruled.mapInArrow(name, f"row long, page_id {kind}, host string, path string, number int, names array<string>"), "named")
-    parts_ = rows.select("row", F.posexplode("names").alias("at", "name"))
-    segments = segments_of(saved(parts_.select("name").distinct(), "names"), counts, model)
-    words = with_small(parts_, segments, ["name"], "inner").groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words"))
-    judged = rows.drop("names").join(words, "row", "left").select("page_id", "host", "path", "number", "words")
-    return judged.mapInArrow(judge, f"page_id {kind}, host string, path string, rule string, verdict string, words array<string>, score double")
+    counts, model = fit(rows, frozenset({*blocked, *allowed}))
+    found = F.regexp_extract_all(F.translate(F.concat_ws("/", "host", "path"), UPPER, LOWER), F.lit("([a-z]+)"), F.lit(1))
+    ruled = rows.withColumn("number", rule_of(F.col("host"), F.col("path"), rules))
+    of_rule = lambda k: F.coalesce(*[F.when(F.col("number") == i, F.lit(r[k])) for i, r in enumerate([(v, h + p) for v, h, p in rules])], F.lit(None).cast("string"))
+    # Saved, so that each row keeps its number.
+    rows = saved(ruled.select(F.monotonically_increasing_id().alias("row"), "page_id", "host", "path", of_rule(1).alias("rule"), of_rule(0).alias("verdict"), found.alias("names")), "named")
+
+    names = rows.select("row", "verdict", F.posexplode("names").alias("at", "name"))
+    segments = segments_of(saved(names.select("name").distinct(), "names"), counts, model)
+    n_block, n_allow = rows.agg(F.count_if(F.col("verdict") == "block"), F.count_if(F.col("verdict") == "allow")).first()
+    prior = (n_block + PRIOR * PRIOR_WEIGHT) / (n_block + n_allow + PRIOR_WEIGHT)
+    seen = names.where("verdict IS NOT NULL").groupBy("name").agg(F.count_if(F.col("verdict") == "block").alias("block"), F.count_if(F.col("verdict") == "allow").alias("allow"))
+    odds = learnt(seen, segments, blocked, allowed)
+    weighed = with_small(segments.select("name", F.explode("words").alias("word")), odds, ["word"], "inner").groupBy("name").agg(F.sum("odds").alias("odds"))
+    weighed = saved(segments.join(weighed, "name", "left"), "weighed")
+
+    open_ = with_small(names.where("verdict IS NULL").drop("verdict"), weighed, ["name"], "inner")
+    judged = open_.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words"), F.sum("odds").alias("odds"))
+    whole = rows.join(judged, "row", "left")
+    score = F.when(F.col("verdict").isNull(), F.when(F.col("odds").isNull(), F.lit(prior)).otherwise(1 / (1 + F.exp(-(F.col("odds") + math.log(prior / (1 - prior)))))))
+    by_method = F.when(F.col("odds").isNotNull() & (score > 0.5), "block").otherwise("allow")
+    words = F.when(F.col("verdict").isNull(), F.coalesce("words", F.array().cast("array<string>")))
+    return whole.select("page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), words.alias("words"), score.alias("score"))

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -234,8 +235,6 @@ def test_language_id(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 8), st.integers(1, 3), st.integers(0, 10**6))
 def test_viterbi_equals_all_paths(n, k, seed):
-    import itertools
-
     s = np.random.default_rng(seed).normal(0, 20, (n, k))
     value = lambda p: sum(s[t, x] for t, x in enumerate(p)) - 25 * sum(a != b for a, b in zip(p, p[1:], strict=False))
     assert math.isclose(value(language_id.path_of(s)), max(value(p) for p in itertools.product(range(k), repeat=n)), abs_tol=1e-6)
@@ -308,18 +307,57 @@ def test_url_filter(spark):
 
 def test_url_filter_counts_every_word(spark):
     """A harmless rare word stays whole, whatever the number of more frequent words."""
-    import itertools
-
     words = ["".join(w) for w in itertools.islice(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4), 100_500)]
     long = "abcdefghijklmnopqrstuvwxyz" * 2
     urls = [f"http://h/{'/'.join(words[i : i + 500])}" for i in range(0, len(words), 500)] * 2 + ["http://h/" + "middle/" * 50, "http://h/middlesex", f"http://h/{long}", "http://xq.org/middleporn"]
     got = {r.path: r for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), ()).where("length(path) < 60").collect()}
     assert (got["/middlesex"].words, got["/middlesex"].verdict) == (["h", "middlesex"], "allow")
     assert got["/" + long].words == ["h", long]
-    model = url_filter.Words(1e6, 1e3, 60, {"porn": 0.0}, {})
+    model = url_filter.Words(1e6, 1e3, 60, frozenset({"porn"}))
     assert model.segment("middleporn", {"middle": 50.0}) == ["middle", "porn"] and model.segment("middleporn", {"middle": 50.0, "middleporn": 1.0}) == ["middleporn"]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text("abc", max_size=9), st.dictionaries(st.text("abc", min_size=1, max_size=4), st.integers(1, 50), max_size=8))
+def test_segments_are_the_most_probable(name, counts):
+    model = url_filter.Words(float(sum(counts.values()) + 20), 10.0, 4, frozenset({"ab", "ca"}))
+
+    def value(words):
+        n = [counts.get(w, 0) + 10.0 * (w in model.known) for w in words]
+        return sum(math.log(k / model.total) if k else -math.log(model.total) - len(w) * math.log(26) for w, k in zip(words, n, strict=True))
+
+    cuts = [[name[a:b] for a, b in zip([0, *c], [*c, len(name)], strict=True)] for k in range(len(name)) for c in itertools.combinations(range(1, len(name)), k)]
+    got = model.segment(name, {k: float(v) for k, v in counts.items()})
+    assert "".join(got) == name and (not name or math.isclose(value(got), max(map(value, cuts))))
+
+
+def test_url_scores_equal_naive_bayes(spark):
+    """On the pages table, with repeated rows, a null id, null urls and columns of inner names."""
+    pages = [(r.page_id, r.url, "x", 1) for r in common.table(spark, DATA, "pages").collect()]
+    pages += [pages[0], (None, "https://casino-news.org/es/x", "x", 1), (-1, None, "x", 1), (-2, "https://zzqy.io", "x", 1)]
+    got = url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, words string, row int"), registry.URL_RULES).collect()
+    assert len(got) == len(pages)
+    open_ = [r for r in got if r.rule is None]
+    words_of = {}
+    segments = url_filter.filter_urls(spark.createDataFrame([p[:2] for p in pages], "page_id long, url string"), ()).collect()  # no rules: words of all
+    for r in segments:
+        words_of[r.host, r.path] = r.words
+    counts = {c: collections.Counter(w) for c, w in (("block", url_filter.BLOCKED), ("allow", url_filter.ALLOWED))}
+    n = collections.Counter(r.verdict for r in got if r.rule)
+    for r in got:
+        if r.rule:
+            counts[r.verdict].update(words_of[r.host, r.path])
+    vocabulary = {*counts["block"], *counts["allow"]}
+    prior = (n["block"] + 10) / (n["block"] + n["allow"] + 100)
+    assert n["block"] and n["allow"] and len(open_) > 10 and sum(abs(r.score - prior) > 1e-6 for r in open_) > len(open_) / 2
+    for r in open_:
+        assert r.words == words_of[r.host, r.path]
+        p = {c: math.log(q) + sum(math.log((counts[c][w] + 1) / (sum(counts[c].values()) + len(vocabulary))) for w in r.words if w in vocabulary) for c, q in (("block", prior), ("allow", 1 - prior))}
+        assert math.isclose(r.score, 1 / (1 + math.exp(p["allow"] - p["block"])), rel_tol=1e-9)
+        assert r.verdict == ("block" if r.score > 0.5 and any(w in vocabulary for w in r.words) else "allow")
+    assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string"), registry.URL_RULES).count() == 0
+
+
 def test_html(spark):
     page = lambda body: f"<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class='cookie-notice'>we</div><article><h1>A &amp; B</h1>{body}<div class='comments'><p>me too</p></div></article><aside>x</aside><form>f</form><footer>&copy;</footer></body></html>"
     rows = [(i, f"http://h{i // 5}.org/", page(f"<p>one\n {i}<b> two</b><p>three<script>var a='</p>';</script>")) for i in range(10)] + [(10, None, None), (11, "x", ""), (12, "http://h0.org", "<p>loose <aside>no</aside>text"), (13, "http://h9.org", page("<aside>in</aside>z"))]
