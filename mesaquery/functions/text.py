@@ -5,14 +5,24 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from collections.abc import Sequence
+from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words that say nothing about which venue a name means.
-QUALIFIERS = ("the", "nyc", "new york", "restaurant", "ny")
+#: Words that say nothing about which venue a name means; longer ones come first.
+QUALIFIERS = ("the", "restaurant", "ristorante", "nyc", "new york city", "new york", "manhattan", "brooklyn")
+#: Words of registered names that don't make two of them alike.
+NOISE = ("llc", "inc", "corp", "corporation", "ltd", "co", "the", "restaurant", "restaurants", "nyc", "new", "york", "cafe", "bar", "grill", "kitchen", "group", "holdings", "enterprises", "of", "and", "at", "on", "by")
+#: Paths where sites keep their menus.
+GUESSED_PATHS = ("/menu", "/menus", "/food", "/dinner-menu", "/menu/", "/menus/", "/dinner", "/our-menu", "/food-menu", "/lunch-menu")
+
+
+#: Characters that searches take for a plain one.
+_SAME = {"'": "\u2018\u2019\u02bc\u2032", "-": "\u2012\u2013\u2014\u2212", '"': "\u201c\u201d"}
 
 
 @F.pandas_udf(T.StringType())
@@ -22,23 +32,34 @@ def ascii_fold(text: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.StringType())
-def fold(text: pd.Series) -> pd.Series:
-    """Search form: no combining marks, plain quotes and dashes, lower case."""
-    plain = str.maketrans({"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-"})
-    strip = lambda t: "".join(c for c in unicodedata.normalize("NFD", t) if not "̀" <= c <= "ͯ").translate(plain).lower()
-    return text.map(lambda t: None if t is None else strip(t))
+def plain_letters(text: pd.Series) -> pd.Series:
+    """Compatibility decomposition without combining marks; other characters stay."""
+    return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+
+
+
+def folded(text: str) -> str:
+    """Search form of one text: no combining marks, plain quotes and dashes, lower case."""
+    plain = {ord(c): to for to, cs in _SAME.items() for c in cs}
+    return "".join(c for c in unicodedata.normalize("NFD", text) if not "\u0300" <= c <= "\u036f").translate(plain).lower()
 
 
 @F.pandas_udf(T.StringType())
-def clean(text: pd.Series) -> pd.Series:
+def fold(text: pd.Series) -> pd.Series:
+    """``folded`` of each text; null stays null."""
+    return text.map(lambda t: None if t is None else folded(t))
+
+
+def cleaned(text: str) -> str:
     """Composed form without control characters, replacement marks as apostrophes, single spaces."""
-    def one(t: str | None) -> str | None:
-        if t is None:
-            return None
-        t = unicodedata.normalize("NFC", t).replace("�", "'")
-        return " ".join("".join(" " if c.isspace() else c for c in t if c.isspace() or unicodedata.category(c)[0] != "C").split())
+    composed = unicodedata.normalize("NFC", text).replace("\ufffd", "'")
+    return " ".join("".join(c for c in composed if c == "\n" or unicodedata.category(c)[0] != "C").split())
 
-    return text.map(one)
+
+@F.pandas_udf(T.StringType())
+def clean(text: pd.Series) -> pd.Series:
+    """``cleaned`` of each text; null stays null."""
+    return text.map(lambda t: None if t is None else cleaned(t))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -49,7 +70,7 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def simple_name(name: Column) -> Column:
     """Lower-case ASCII letters and digits, single spaces; apostrophes vanish."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(name), "'", ""), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(name), "['`]", ""), "[^a-z0-9]+", " "))
 
 
 def match_name(name: Column) -> Column:
@@ -65,6 +86,23 @@ def tokens(text: Column, noise: tuple[str, ...] = (), longer_than: int = 0) -> C
     return F.array_except(words, F.array(*map(F.lit, noise))) if noise else words
 
 
+def search_words(text: Column) -> Column:
+    """All words of a folded text, repeats included."""
+    return F.filter(F.split(text, "[^a-z0-9']+"), lambda w: w != "")
+
+
+def name_tokens(name: Column) -> Column:
+    """Distinct telling words of a registered name: two letters at least, and no noise."""
+    plain = F.regexp_replace(F.lower(plain_letters(name)), "[^a-z0-9 ]+", " ")
+    return tokens(plain, NOISE, 1)
+
+
+def title_case(text: Column) -> Column:
+    """Each run of letters with a capital first and small ones after it, whatever comes before it."""
+    runs = F.split(F.lower(text), r"(?<!\p{L})(?=\p{L})")
+    return F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))), "")
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Jaccard similarity of two arrays as sets; 0 if either is empty."""
     both = F.size(F.array_intersect(a, b))
@@ -106,6 +144,19 @@ def prices(text: Column, low: int = 4, high: int = 120) -> Column:
     return F.filter(found, lambda x: (x >= low) & (x <= high))
 
 
+def whole_prices(text: Column, structured: bool = False, low: int = 4, high: int = 120) -> Column:
+    """Whole dollars of the prices within bounds; with ``structured`` those of JSON fields after them."""
+    found = F.regexp_extract_all(text, F.lit(r"\$\s?(\d{1,3})(?:\.\d{2})?\b"), F.lit(1))
+    if structured:
+        found = F.concat(found, F.regexp_extract_all(text, F.lit(r'"(?:price|amount|cost)"\s*:\s*"?\$?(\d{1,3})(?:\.\d{2})?"?'), F.lit(1)))
+    return F.filter(F.transform(found, lambda x: x.cast("int")), lambda x: x.between(low, high))
+
+
+def all_prices(texts: Column, low: int = 4, high: int = 120) -> Column:
+    """Whole dollars of all texts of an array in order: the page's, its links' and its files'."""
+    return F.flatten(F.transform(texts, lambda t: whole_prices(t, low=low, high=high)))
+
+
 def visible_text(html: Column) -> Column:
     """Text outside scripts, styles and tags, white space joined."""
     bare = F.regexp_replace(F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>", " "), r"(?is)<style[^>]*>.*?</style>", " ")
@@ -113,13 +164,53 @@ def visible_text(html: Column) -> Column:
 
 
 def links(html: Column) -> Column:
-    """Distinct link targets in order of first appearance."""
-    return F.array_distinct(F.regexp_extract_all(html, F.lit('(?i)href="([^"#]+)"'), F.lit(1)))
+    """Distinct link targets in order of first appearance, in quotes of either kind."""
+    return F.array_distinct(F.regexp_extract_all(html, F.lit("""(?i)href=["']([^"'#]+)["']"""), F.lit(1)))
+
+
+def host_of(url: Column) -> Column:
+    return F.try_parse_url(url, F.lit("HOST"))
+
+
+def page_links(rows: DataFrame, html: str, base: str, wanted: str, pages: int = 3, files: int = 2) -> DataFrame:
+    """Add ``pages`` and ``files``: the wanted links of a page to its own host, and to files of any host.
+
+    Relative links are taken from the page's address; order is that of first appearance.
+    """
+    keyed = rows.withColumn("_row", F.monotonically_increasing_id())
+    each = keyed.select("_row", F.col(base).alias("_base"), F.posexplode(F.filter(links(F.col(html)), lambda h: h.rlike(wanted))).alias("_at", "_href"))
+    seen = each.withColumn("_url", absolute(F.col("_base"), F.col("_href"))).withColumn("_file", F.endswith(F.lower("_url"), F.lit(".pdf")))
+    good = seen.where(F.col("_file") | (host_of(F.col("_url")) == host_of(F.col("_base")))).groupBy("_row", "_url", "_file").agg(F.min("_at").alias("_at"))
+    listed = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(kind, F.struct("_at", "_url")))), lambda x: x["_url"])
+    found = good.groupBy("_row").agg(F.slice(listed(~F.col("_file")), 1, pages).alias("pages"), F.slice(listed(F.col("_file")), 1, files).alias("files"))
+    none = F.array().cast("array<string>")
+    return keyed.join(found, "_row", "left").drop("_row").withColumn("pages", F.coalesce("pages", none)).withColumn("files", F.coalesce("files", none))
+
+
+def guessed_links(found: Column, base: Column, most: int = 8) -> Column:
+    """Found links and then the guessed paths of the base's host, each once, the first ``most``."""
+    root = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    guesses = F.array(*[F.concat(root, F.lit(p)) for p in GUESSED_PATHS])
+    return F.slice(F.array_distinct(F.concat(found, guesses)), 1, most)
+
+
+@F.pandas_udf(T.StringType())
+def absolute(base: pd.Series, href: pd.Series) -> pd.Series:
+    """A link's target as seen from a page; null for null."""
+    return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href, strict=True)], dtype="object")
+
+
+def embedded_fields(html: Column) -> Column:
+    """Struct of address, lat, lng and phone that a page's embedded data holds; null where it doesn't."""
+    found = lambda pattern, k=1: F.nullif(F.regexp_extract(html, pattern, k), F.lit(""))
+    at = r"(?s)directionHref.*?Current\+Location/(-?[\d.]+),(-?[\d.]+)"
+    number = lambda k: found(at, k).try_cast("double")
+    return F.struct(found(r'\\"address\\":\\"(.*?)\\"').alias("address"), number(1).alias("lat"), number(2).alias("lng"), found(r'\\"phone\\":\\"([^\\"]+)\\"').alias("phone"))
 
 
 def dish_parts(line: Column) -> Column:
     """struct<dish, description> of a line split once at a dash or colon."""
-    parts = F.split(line, r" [–-] |: ", 2)
+    parts = F.split(line, r"\s+[–—-]\s+|:\s+", 2)
     return F.struct(F.trim(parts[0]).alias("dish"), F.trim(F.get(parts, F.lit(1))).alias("description"))
 
 
@@ -130,8 +221,8 @@ def file_name(url: Column, default: Column) -> Column:
 
 
 def haystack(*parts: Column) -> Column:
-    """One lower-case search string of several columns; nulls are left out."""
-    return F.lower(F.concat_ws(" • ", *parts))
+    """One folded search string of several columns; nulls and empty ones are left out."""
+    return fold(F.concat_ws(" • ", *[F.when(p != "", p) for p in parts]))
 
 
 def opening_hours(html: Column) -> Column:
@@ -182,21 +273,32 @@ def shares_run(a: Column, b: Column, n: int = 18) -> Column:
     return F.coalesce(F.arrays_overlap(runs(plain(a)), runs(plain(b))), F.lit(False))
 
 
+def most_central(text: str, patterns: Sequence[re.Pattern[str]]) -> tuple[int, int] | None:
+    """Where the match lies whose middle is nearest the text's; the longest, then the first, of equally near ones."""
+    # Twice the distance, so that halves stay whole numbers.
+    found = [(abs(m.start() + m.end() - len(text)), m.start() - m.end(), i, m.start(), m.end()) for i, p in enumerate(patterns) for m in p.finditer(text) if m[0].strip()]
+    return min(found)[3:] if found else None
+
+
 def central_match(text: Column, pattern: str) -> Column:
-    """The match whose middle is nearest the text's; the longest, then the first, of equally near ones."""
+    """The text of the ``most_central`` match of one pattern."""
 
     @F.pandas_udf(T.StringType())
     def find(texts: pd.Series) -> pd.Series:
-        compiled = re.compile(pattern, re.IGNORECASE)
+        compiled = [re.compile(pattern, re.IGNORECASE)]
+        return texts.map(lambda t: t[slice(*at)] if t and (at := most_central(t, compiled)) else None)
 
-        def one(t: str | None) -> str | None:
-            # Twice the distance, so that halves stay whole numbers.
-            found = [(abs(m.start() + m.end() - len(t)), -len(m[0]), m.start(), m[0]) for m in compiled.finditer(t)] if t else []
-            return min(found)[3] if found else None
+    return find(text)
 
-        return texts.map(one)
 
-    return find(text)
+def excerpt(text: str, start: int, stop: int, pad: int) -> str:
+    """The text around [start, stop), ``pad`` characters each way, cut at spaces, with ellipses where cut."""
+    left, right = max(0, start - pad), min(len(text), stop + pad)
+    if left and (gap := text.find(" ", left, start)) >= 0:
+        left = gap + 1
+    if right < len(text) and (gap := text.rfind(" ", stop + 1, right)) >= 0:
+        right = gap
+    return "…" * (left > 0) + cleaned(text[left:right]) + "…" * (right < len(text))
 
 
 def recentred(text: Column, start: Column, stop: Column, pad: int = 25) -> Column:

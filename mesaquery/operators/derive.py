@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mesaquery.functions.numbers import half_even, numeric_sorted
+from mesaquery.operators.scoring import era
 
-#: How labels name months, by their first three letters.
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+#: Names of the months, which labels give in full or by three letters (or four: sept).
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+#: Hyphens, dashes and the minus sign.
+DASHES = "-\u2010-\u2015\u2212"
 #: The box of valid coordinates (south, north, west, east).
 BOX = (40.45, 41.02, -74.30, -73.65)
 
@@ -32,17 +35,75 @@ def offer_terms(labels: Column) -> Column:
 
 
 def end_of_labels(labels: Column, year: int) -> Column:
-    """Last day that the last label names in parentheses, as ``(Sept 1 - Sept 6)`` or ``(Aug 24 - 31)``.
+    """Last day that the last label names, as in ``Week 7 (Sept 1 - Sept 6)`` or ``Week 6 (Aug 24 - 31)``.
 
     The month of the last day falls back to the first one; null without such days or for no real date.
     """
     last = F.lower(F.try_element_at(labels, F.lit(-1)))
-    pattern = r"\(\s*([a-z]{3})[a-z]*\.?\s*\d{1,2}\s*[-–—]\s*(?:([a-z]{3})[a-z]*\.?\s*)?(\d{1,2})\s*\)"
+    month = r"([a-z]{3,9})\.?\s*"
+    pattern = rf"week\s+\d+\s*\(\s*{month}\d{{1,2}}\s*[{DASHES}]\s*(?:{month})?(\d{{1,2}})\s*\)"
     name = F.coalesce(F.nullif(F.regexp_extract(last, pattern, 2), F.lit("")), F.regexp_extract(last, pattern, 1))
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), name)
+    number = {name: i for i, full in enumerate(MONTHS, 1) for name in (full, full[:3])} | {"sept": 9}
+    month_ = F.try_element_at(F.create_map(*[F.lit(x) for pair in number.items() for x in pair]), name)
     day = F.regexp_extract(last, pattern, 3)
-    text = F.concat_ws("-", F.lit(str(year)), F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(month > 0, F.try_to_date(text, "yyyy-MM-dd"))
+    text = F.concat_ws("-", F.lit(str(year)), F.lpad(month_.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
+    return F.when(month_.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
+
+
+def end_date(listed: Column, verified: Column, source: Column) -> Column:
+    """Struct of date and source: the listed one where checks fell back to it, else the verified, else the listed.
+
+    A verified date without a source is a printed one.
+    """
+    fell_back = F.coalesce(source == "api_fallback", F.lit(False))
+    kind = F.when(fell_back, "api_fallback").when(verified.isNotNull(), F.coalesce(source, F.lit("printed"))).otherwise("api")
+    return F.struct(F.when(fell_back, listed).otherwise(F.coalesce(verified, listed)).alias("date"), kind.alias("source"))
+
+
+def sunday(listed: Column, verified: Column) -> Column:
+    """Struct of sunday and source: verified goes first; what isn't listed isn't served."""
+    return F.struct(F.coalesce(verified, listed, F.lit(False)).alias("sunday"), F.when(verified.isNotNull(), "verified").otherwise("api").alias("source"))
+
+
+def urgent(end: Column, book_by: Column) -> Column:
+    """Whether a venue ends by a date; not where its end isn't known."""
+    return F.coalesce(end <= book_by, F.lit(False))
+
+
+def era_of(source: Column, year: Column, season: int, ageing: str = "james_beard") -> Column:
+    """A distinction's era: annual guides are always current, and only ``ageing`` ones age."""
+    return F.when(source.eqNullSafe(F.lit(ageing)), era(year, season)).otherwise("current")
+
+
+def rated(matched: Column, accepted: Column) -> Column:
+    """Struct of rating, reviews and closed of a matched place; null unless accepted and rated.
+
+    A place is closed if its state is known and isn't OPERATIONAL.
+    """
+    closed = F.coalesce(matched["business_status"] != "OPERATIONAL", F.lit(False))
+    made = F.struct(half_even(matched["rating"].cast("double"), 2).alias("rating"), F.coalesce(matched["user_ratings_total"], F.lit(0)).alias("reviews"), closed.alias("closed"), matched["place_id"].alias("place_id"), matched["name"].alias("matched_name"))
+    return F.when(F.coalesce(accepted, F.lit(False)) & matched["rating"].isNotNull(), made)
+
+
+def usable(rows: DataFrame, confidence: str, comparable: str, gaps: str) -> DataFrame:
+    """Estimates of more than low confidence that have a comparable and gaps."""
+    weak = F.coalesce(F.col(confidence).isin("low", "none"), F.lit(True))
+    return rows.where(~weak & F.col(comparable).isNotNull() & (F.size(gaps) > 0))
+
+
+#: What a listing says of seats outdoors.
+OUTDOOR_WORDS = "outdoor|patio|sidewalk|al ?fresco|terrace|rooftop|roof ?deck|backyard|courtyard|open-air|garden"
+
+
+def outdoor(sidewalk: Column, roadway: Column, licence: Column, summary: Column) -> Column:
+    """Struct of sidewalk, roadway, licensed and described; null where neither a licence nor the text tells.
+
+    Null means unknown, never that there is none.
+    """
+    described = F.coalesce(F.regexp_like(summary, F.lit(f"(?i){OUTDOOR_WORDS}")), F.lit(False))
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    made = F.struct(yes(sidewalk).alias("sidewalk"), yes(roadway).alias("roadway"), licence.isNotNull().alias("licensed"), described.alias("described"))
+    return F.when(licence.isNotNull() | described, made)
 
 
 def sane_coordinates(lat: Column, lng: Column, box: tuple[float, float, float, float] = BOX) -> Column:
@@ -108,6 +169,33 @@ class Distinction:
     label: str
 
 
+#: Distinctions from the strongest on, by source and a pattern of the level.
+PRESTIGE = (
+    Distinction("michelin", r"\d+\s*stars?", "Michelin star"),
+    Distinction("nyt", None, "NYT 100 Best"),
+    Distinction("james_beard", r"winner", "James Beard winner"),
+    Distinction("michelin", r"bib gourmand", "Michelin Bib Gourmand"),
+    Distinction("james_beard", r"nominee", "James Beard nominee"),
+    Distinction("james_beard", r"semifinalist", "James Beard semifinalist"),
+    Distinction("michelin", r"the plate", "Michelin Plate"),
+)
+#: What is shown for codes of the data.
+SOURCES = {"michelin": "Michelin", "james_beard": "James Beard", "nyt": "NYT 100"}
+LEVELS = {"recommended": "The Plate", "bib_gourmand": "Bib Gourmand", "nyt_100_best": "100 Best", "nyt_starred_review": "starred review"}
+ERAS = {"current": "This year or last", "recent": "Last 5 years", "past": "Past decade", "historic": "Over 15 years ago"}
+
+
+def labelled(code: Column, labels: Mapping[str, str], default: Column | None = None) -> Column:
+    """A code's label, or the default; the code itself where there's none."""
+    table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, code), code if default is None else default)
+
+
+def level_label(level: Column) -> Column:
+    """A level as shown: known codes by name, others with spaces."""
+    return labelled(level, LEVELS, F.replace(level, F.lit("_"), F.lit(" ")))
+
+
 def distinction(source: Column, level: Column, rules: Sequence[Distinction], names: Mapping[str, str] | None = None) -> Column:
     """Struct of rank (the first rule that fits, else the number of rules) and its label."""
     low = F.lower(F.coalesce(level, F.lit("")))

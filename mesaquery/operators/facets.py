@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
-from urllib.parse import parse_qsl, urlencode
+from urllib.parse import parse_qsl, quote, unquote, urlencode
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mesaquery.functions.text import fold, folded
+
 
 @dataclass(frozen=True)
 class Facet:
-    """A name and the array of a row's values, as an expression."""
+    """A name, the array of a row's values as an expression, and how it's shown."""
 
     key: str
     values: Column
     seed: tuple[str, ...] = ()
+    title: str = ""
+    labels: Mapping[str, str] = field(default_factory=dict)
+    note: str = ""
+
+    def label(self, value: str) -> str:
+        return self.labels.get(value, value)
 
 
 @dataclass(frozen=True)
@@ -29,36 +39,82 @@ class Sort:
         return [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in self.keys]
 
 
-@dataclass
+@dataclass(frozen=True)
 class QuerySpec:
-    """What a user selected; ``to_params`` and ``from_params`` carry it in a URL."""
+    """What a user selected; ``to_params`` and ``from_params`` carry it in a URL.
+
+    ``open_on`` keeps rows of unknown end, ``closes_by`` drops them; ``floor`` drops unrated rows.
+    """
 
-    selected: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    selected: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     text: str = ""
     floor: float | None = None
     sort: str = ""
     page: int = 0
+    open_on: str | None = None
+    closes_by: str | None = None
+    saved: bool = False
+    view: str = ""
 
     def to_params(self) -> str:
-        parts = {k: "~".join(v) for k, v in sorted(self.selected.items()) if v}
-        parts |= {k: str(v) for k, v in (("q", self.text), ("minr", self.floor), ("sort", self.sort), ("page", self.page)) if v}
+        """Values are quoted before they are joined, so that any text comes back; ``by`` is always there."""
+        parts = {k: "~".join(quote(x, safe="").replace("~", "%7E") for x in v) for k, v in sorted(self.selected.items()) if v}
+        parts["by"] = self.open_on or "any"
+        parts |= {k: str(v) for k, v in (("q", self.text), ("to", self.closes_by), ("sort", self.sort), ("page", self.page), ("view", self.view)) if v}
+        if self.floor is not None:
+            parts["minr"] = str(self.floor)
+        if self.saved:
+            parts["saved"] = "1"
         return urlencode(parts)
 
     @classmethod
-    def from_params(cls, params: str, sorts: tuple[str, ...] = (), facets: tuple[str, ...] = ()) -> QuerySpec:
-        """Unknown facets and sorts are dropped."""
+    def from_params(cls, params: str, sorts: Collection[str] = (), facets: Collection[str] = (), today: str | None = None) -> QuerySpec:
+        """Unknown facets and sorts are dropped; without ``by`` the date is today's."""
         got = dict(parse_qsl(params))
-        chosen = {k: tuple(v.split("~")) for k, v in got.items() if k in facets}
-        return cls(chosen, got.get("q", ""), float(got["minr"]) if "minr" in got else None, got["sort"] if got.get("sort") in sorts else "", int(got.get("page", 0)))
+        chosen = {k: tuple(unquote(x) for x in v.split("~") if x) for k, v in got.items() if k in facets}
+        by = got.get("by", today)
+        number = lambda kind, text: kind(text) if re.fullmatch(r"\d+(\.\d+)?", text) else None
+        sort = got["sort"] if got.get("sort") in sorts else ""
+        return cls({k: v for k, v in chosen.items() if v}, got.get("q", ""), number(float, got.get("minr", "")), sort, int(number(float, got.get("page", "")) or 0), None if by == "any" else by, got.get("to"), got.get("saved") == "1", got.get("view", ""))
 
     def active(self) -> int:
-        """How many filters are on."""
-        return sum(map(bool, self.selected.values())) + bool(self.text) + (self.floor is not None)
+        """How many filters are on: each chosen value counts."""
+        return sum(map(len, self.selected.values())) + sum((bool(self.text), self.floor is not None, bool(self.open_on), bool(self.closes_by), self.saved))
+
+    def listed(self, facets: Sequence[Facet] = (), unrated: int = 0) -> list[tuple[str, str, QuerySpec]]:
+        """Active filters as (title, value, the same without it); a floor says how many unrated rows it hides."""
+        out = []
+        for f in facets:
+            for v in (chosen := self.selected.get(f.key, ())):
+                rest = tuple(x for x in chosen if x != v)
+                out.append((f.title or f.key, f.label(v), replace(self, selected={**self.selected, f.key: rest})))
+        if self.floor is not None:
+            out.append(("Rating", f"{self.floor:.1f}+" + (f" · {unrated} unrated hidden" if unrated else ""), replace(self, floor=None)))
+        off = (("Open on", "open_on", None), ("Closes by", "closes_by", None), ("Shortlist", "saved", False), ("Search", "text", ""))
+        return out + [(title, str(value), replace(self, **{name: none})) for title, name, none in off if (value := getattr(self, name))]
 
     def reset(self) -> QuerySpec:
+        """Nothing filtered, in the same sort: what a deep link to a hidden row needs."""
         return QuerySpec(sort=self.sort)
 
 
+@dataclass(frozen=True)
+class Preset:
+    """A named selection: what it sets, and the rows that it counts."""
+
+    key: str
+    spec: QuerySpec
+    rows: Column
+
+    def is_on(self, current: QuerySpec) -> bool:
+        chosen = all(set(v) <= set(current.selected.get(k, ())) for k, v in self.spec.selected.items())
+        return chosen and all(getattr(current, x) == getattr(self.spec, x) for x in ("closes_by", "saved") if getattr(self.spec, x))
+
+    def toggled(self, current: QuerySpec) -> QuerySpec:
+        """The preset alone; nothing selected if it was on."""
+        return QuerySpec(sort=current.sort) if self.is_on(current) else replace(self.spec, sort=self.spec.sort or current.sort)
+
+
 def passes(facet: Facet, chosen: tuple[str, ...]) -> Column:
     """Whether a row has any chosen value; all rows pass without a choice."""
     if not chosen:
@@ -66,14 +122,22 @@ def passes(facet: Facet, chosen: tuple[str, ...]) -> Column:
     return F.coalesce(F.arrays_overlap(facet.values, F.array(*map(F.lit, chosen))), F.lit(False))
 
 
-def matching(rows: DataFrame, facets: list[Facet], spec: QuerySpec, haystack: Column | None = None, rating: Column | None = None) -> DataFrame:
-    """Rows that pass all facets, hold the text, and reach the floor (unrated rows drop)."""
+def matching(rows: DataFrame, facets: Sequence[Facet], spec: QuerySpec, haystack: Column | None = None, rating: Column | None = None, end: Column | None = None, saved: DataFrame | None = None, key: str = "slug") -> DataFrame:
+    """Rows that pass all facets and filters of ``spec`` whose columns are given.
+
+    ``haystack`` is folded text, and the searched text is folded alike; ``saved`` has the saved keys.
+    """
     tests = [passes(f, spec.selected.get(f.key, ())) for f in facets]
     if spec.text and haystack is not None:
-        tests.append(F.contains(haystack, F.lit(spec.text.lower())))
+        tests.append(F.contains(haystack, F.lit(folded(spec.text))))
     if spec.floor is not None and rating is not None:
         tests.append(rating >= spec.floor)
-    return rows.where(reduce(Column.__and__, tests, F.lit(True)))
+    if spec.open_on and end is not None:
+        tests.append(end.isNull() | (end >= F.lit(spec.open_on).cast("date")))
+    if spec.closes_by and end is not None:
+        tests.append(end <= F.lit(spec.closes_by).cast("date"))
+    found = rows.where(reduce(Column.__and__, tests, F.lit(True)))
+    return found.join(saved.select(key).distinct(), key, "left_semi") if spec.saved and saved is not None else found
 
 
 def facet_counts(rows: DataFrame, facets: list[Facet], spec: QuerySpec) -> DataFrame:
@@ -94,6 +158,27 @@ def facet_counts(rows: DataFrame, facets: list[Facet], spec: QuerySpec) -> DataF
     return counted.union(zero).groupBy("facet", "value").agg(F.sum("n").alias("n"))
 
 
+def found_filters(counts: DataFrame, facets: Sequence[Facet], text: str) -> DataFrame:
+    """Counts of values whose label, or whose facet's title, holds a text."""
+    wanted = folded(text)
+    whole = [f.key for f in facets if wanted in folded(f.title or f.key)]
+    named = [F.struct(F.lit(f.key).alias("facet"), F.lit(v).alias("value")) for f in facets for v, label in f.labels.items() if wanted in folded(label)]
+    plain = {f.key: [*f.labels] for f in facets}
+    unlabelled = reduce(Column.__and__, [~((F.col("facet") == k) & F.col("value").isin(*v)) for k, v in plain.items() if v], F.lit(True))
+    hit = F.col("facet").isin(*whole) | unlabelled & F.contains(fold(F.col("value")), F.lit(wanted))
+    return counts.where(hit | F.array_contains(F.array(*named), F.struct("facet", "value")) if named else hit)
+
+
+def value_order(counts: DataFrame, facets: Sequence[Facet], numeric: Collection[str] = (), frequent: Collection[str] = ()) -> DataFrame:
+    """Add ``pos``: by the number in a value, by count and value, or by label, as the facet is shown."""
+    pairs = [F.lit(x) for f in facets for v, label in f.labels.items() for x in (f"{f.key}\n{v}", label)]
+    label = F.coalesce(F.try_element_at(F.create_map(*pairs), F.concat_ws("\n", "facet", "value")), F.col("value")) if pairs else F.col("value")
+    number = F.coalesce(F.nullif(F.regexp_replace("value", r"\D", ""), F.lit("")).try_cast("long"), F.lit(0))
+    first = F.when(F.col("facet").isin(*numeric), number).when(F.col("facet").isin(*frequent), -F.col("n")).otherwise(0)
+    order = Window.partitionBy("facet").orderBy(first, F.when(F.col("facet").isin(*numeric, *frequent), F.col("value")).otherwise(label), "value")
+    return counts.withColumn("pos", F.row_number().over(order))
+
+
 def capped_values(counts: DataFrame, cap: int = 12, above: int = 15, chosen: tuple[str, ...] = ()) -> DataFrame:
     """Of facets of more than ``above`` values the ``cap`` most frequent, and chosen ones beyond."""
     order = Window.partitionBy("facet").orderBy(F.desc("n"), "value")
@@ -102,8 +187,8 @@ def capped_values(counts: DataFrame, cap: int = 12, above: int = 15, chosen: tup
 
 
 def relevance(name: Column, text: str, haystack: Column | None = None) -> Column:
-    """0 exact, 1 prefix, 2 prefix of a word, 3 within, 4 elsewhere."""
-    t, low = text.lower(), F.lower(name)
+    """0 exact, 1 prefix, 2 prefix of a word, 3 within, 4 elsewhere, all of folded texts."""
+    t, low = folded(text), fold(name)
     return F.when(low == t, 0).when(F.startswith(low, F.lit(t)), 1).when(F.exists(F.split(low, "[^a-z0-9']+"), lambda w: F.startswith(w, F.lit(t))), 2).when(F.contains(low, F.lit(t)), 3).otherwise(4)
 
 
@@ -121,7 +206,7 @@ def presets(rows: DataFrame, tests: dict[str, Column]) -> DataFrame:
 
 
 def named_sorts(rank: str = "rank", name: str = "name") -> dict[str, Sort]:
-    """The sorts by name; each ends in the name."""
+    """The sorts by name; each ends in the name. Their names are fixed values: URLs hold them."""
     keys: dict[str, tuple[tuple[str, bool], ...]] = {
         "rubric_desc": (("rubric", True),),
         "google_desc": (("rating_weighted", True),),

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from mesaquery.functions.numbers import date_range
 
 
-def date_issue(day: Column, today: Column, closes: Column, saturday: Column, sunday: Column) -> Column:
-    """The first reason against a date, or null: past, closed, no saturday, no sunday."""
+def date_issue(day: Column, today: Column, closes: Column, saturday: Column, sunday: Column, no_dinner: Column | None = None) -> Column:
+    """The first reason against a date, or null: past, closed, no saturday, no sunday, sunday brunch only."""
     weekday = F.dayofweek(day)
+    brunch = F.lit(False) if no_dinner is None else F.coalesce(no_dinner, F.lit(False))
     return (
         F.when(day < today, "past")
         .when(day > closes, "closed")
         .when((weekday == 7) & ~F.coalesce(saturday, F.lit(False)), "no saturday")
         .when((weekday == 1) & ~F.coalesce(sunday, F.lit(False)), "no sunday")
+        .when((weekday == 1) & brunch, "sunday brunch only")
     )
 
 
@@ -26,6 +28,17 @@ def open_dates(rows: DataFrame, key: str, today: Column, closes: str, saturday:
     return days.where(date_issue(F.col("day"), today, F.col(closes), F.col(saturday), F.col(sunday)).isNull()).select(key, "day")
 
 
+def current_plan(plan: DataFrame, day: str, issue: Column) -> DataFrame:
+    """Bookings; a day that has become impossible is taken away."""
+    kept = F.when(issue.isNull(), F.col(day))
+    return plan.withColumn(day, kept)
+
+
+def plan_order(day: Column, closes: Column) -> list[Column]:
+    """Dated bookings by day; then the others by when they close, the open-ended last."""
+    return [day.isNull().asc(), day.asc_nulls_last(), closes.asc_nulls_last()]
+
+
 def conflicts(plan: DataFrame, day: str) -> DataFrame:
     """Dates with more than one booking, and how many."""
     return plan.where(F.col(day).isNotNull()).groupBy(day).agg(F.count("*").alias("n")).where("n > 1")

@@ -19,6 +19,13 @@ def badges(rows: DataFrame, key: str, group: list[str], awards: str, position: s
     return firsts.groupBy(key, *group).agg(F.transform(folded, lambda x: x["a"]).alias(awards))
 
 
+def ranked_badges(badges_: DataFrame, key: str, rank: str, era: str, year: str, eras: list[str]) -> DataFrame:
+    """Add ``place``: the strongest first, then by era in the given order, then the newest; unknown eras and years last."""
+    age = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, eras)), F.col(era)), F.lit(0)), F.lit(len(eras) + 1))
+    order = Window.partitionBy(key).orderBy(F.col(rank).asc_nulls_last(), age, F.coalesce(F.col(year), F.lit(0)).desc(), *[c for c in badges_.columns if c not in (key, rank, era, year)])
+    return badges_.withColumn("place", F.row_number().over(order))
+
+
 def headline(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The strongest distinction of each key."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")

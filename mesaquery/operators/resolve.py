@@ -2,47 +2,100 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mesaquery.functions.text import sequence_ratio, subset_jaccard
 
 
-def resolve(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtful: float = 0.85) -> DataFrame:
-    """Match externals (ext, name, streets) to venues (slug, name, streets, pos) by normalised name.
+def by_name(externals: DataFrame, venues: DataFrame) -> DataFrame:
+    """ext, slug, confidence, status of externals (ext, name, streets) with a venue (slug, name, streets, pos) of their name.
 
-    ext, slug, confidence, status (matched, review) for each that matches:
-    * one venue of the name: 1.0 where street numbers meet, 0.9 where either side has none, else review;
-    * several: the first whose street numbers meet, else review;
-    * none: the most similar name (the first of equally similar ones): matched from ``sure`` on with
-      one venue whose street numbers meet, review from ``doubtful`` on, else nothing.
+    * One venue of the name: 1.0 where street numbers meet, 0.9 where either side has none, else review;
+    * several: the first whose street numbers meet, else the first for review.
     """
-    v = venues.select(F.col("name"), F.col("slug"), F.col("streets").alias("v_streets"), F.col("pos"))
+    v = venues.select("name", "slug", F.col("streets").alias("v_streets"), "pos")
     met = F.coalesce(F.arrays_overlap("streets", "v_streets"), F.lit(False))
     unknown = F.col("streets").isNull() | F.col("v_streets").isNull()
-    exact = externals.join(v, "name").groupBy("ext").agg(
-        F.count("*").alias("n"),
-        F.min(F.when(met, F.struct("pos", "slug"))).alias("sure"),
-        F.min(F.struct("pos", "slug")).alias("first"),
-        F.max(unknown).alias("unknown"),
-    )
-    one = F.col("n") == 1
-    by_name = exact.select(
-        "ext",
-        F.coalesce("sure.slug", "first.slug").alias("slug"),
-        F.when(F.col("sure").isNotNull(), 1.0).when(one & F.col("unknown"), 0.9).otherwise(0.5).alias("confidence"),
-        F.when(F.col("sure").isNotNull() | one & F.col("unknown"), "matched").otherwise("review").alias("status"),
-    )
-    rest = externals.join(exact.select("ext"), "ext", "left_anti").withColumn("len", F.length("name"))
-    # ratio <= 2 min / (a + b): lengths that can't reach ``doubtful`` never meet.
-    names = v.groupBy("name").agg(F.count("*").alias("same"), F.min("pos").alias("pos"), F.min_by("slug", "pos").alias("slug"), F.min_by("v_streets", "pos").alias("v_streets"))
-    names = names.withColumnRenamed("name", "v_name").withColumn("v_len", F.length("v_name"))
+    exact = externals.join(v, "name").groupBy("ext").agg(F.count("*").alias("n"), F.min(F.when(met, F.struct("pos", "slug"))).alias("sure"), F.min(F.struct("pos", "slug")).alias("first"), F.max(unknown).alias("unknown"))
+    alone = (F.col("n") == 1) & F.col("unknown")
+    there = F.col("sure").isNotNull()
+    return exact.select("ext", F.coalesce("sure.slug", "first.slug").alias("slug"), F.when(there, 1.0).when(alone, 0.9).otherwise(0.5).alias("confidence"), F.when(there | alone, "matched").otherwise("review").alias("status"))
+
+
+#: Names up to this length are also told by pairs of letters.
+_SHORT = 9
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _grams(name: pd.Series) -> pd.Series:
+    """Runs of three letters, and of two of short names, each with how often it came before."""
+
+    def of(text: str) -> list[str]:
+        out = []
+        for n in (3, 2)[: 1 + (len(text) <= _SHORT)]:
+            seen: Counter[str] = Counter()
+            for i in range(len(text) - n + 1):
+                gram = text[i : i + n]
+                out.append(f"{gram}{seen[gram]}")
+                seen[gram] += 1
+        return out
+
+    return name.map(lambda t: [] if t is None else of(t))
+
+
+def _index(names: DataFrame, frequency: DataFrame, name: str, least: float) -> DataFrame:
+    """name, gram: the rarest grams of a name, so many that a name of a ratio of ``least`` shares one of them.
+
+    At ratio r, strings of lengths a and b match in M = r (a + b) / 2 letters at least, and what doesn't
+    match parts these into a + b - 2 M + 1 runs at most. A run of l letters has l - 2 of the three-letter
+    runs; so two long strings share M - 2 (a + b - 2 M + 1) of them, and all but that number, less one,
+    of the rarest are enough to find one. Strings of 16 letters together, or fewer, share two letters in
+    a row, which all are kept for.
+    """
+    grams = names.select(F.col(name).alias("_name"), F.explode(_grams(name)).alias("gram")).join(frequency, "gram")
+    order = Window.partitionBy("_name", F.length("gram") > 3).orderBy("n", "gram")
+    a = F.length("_name")
+    both = a * (1 + least / (2 - least))
+    shared = F.greatest(F.lit(1.0), F.ceil(least * both / 2 - 2 * ((1 - least) * both + 1) - 1e-6))
+    # Of names of up to _SHORT letters all grams are kept.
+    keep = (a <= _SHORT) | (F.length("gram") > 3) & (F.col("_at") <= F.greatest(F.lit(1), a - 2 - shared + 1))
+    return grams.withColumn("_at", F.row_number().over(order)).where(keep).select(F.col("_name").alias(name), "gram")
+
+
+def by_ratio(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtful: float = 0.85) -> DataFrame:
+    """ext, slug, confidence, status of externals by their most similar venue name, the first of equally similar ones.
+
+    matched from ``sure`` on with one venue of the name whose street numbers meet, review from
+    ``doubtful`` on, else no row. Names meet where they share one of their rarest grams, which finds
+    every pair of that ratio, 0.85 at least, without comparing all names with all.
+    """
+    if doubtful < 0.85:
+        raise ValueError("names of a ratio below 0.85 need not share a gram")
+    names = venues.where("name <> ''").groupBy("name").agg(F.count("*").alias("same"), F.min("pos").alias("pos"), F.min_by("slug", "pos").alias("slug"), F.min_by("streets", "pos").alias("v_streets"))
+    names = names.withColumnRenamed("name", "v_name")
+    wanted = externals.where("name <> ''").select("name").distinct()
+    every = wanted.union(names.select(F.col("v_name").alias("name")))
+    frequency = every.select(F.explode(_grams("name")).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
     reach = doubtful / (2 - doubtful)
-    lengths = F.sequence(F.ceil(F.col("len") * reach).cast("int"), F.floor(F.col("len") / reach).cast("int"))
-    close = rest.where("len > 0").withColumn("v_len", F.explode(lengths)).join(names, "v_len").withColumn("ratio", sequence_ratio("name", "v_name"))
-    best = close.groupBy("ext").agg(F.max_by(F.struct("slug", "ratio", "same", met.alias("met")), F.struct("ratio", (-F.col("pos")).alias("p"))).alias("b"))
-    fuzzy = best.where(F.col("b.ratio") >= doubtful).select("ext", F.col("b.slug").alias("slug"), F.col("b.ratio").alias("confidence"), F.when((F.col("b.ratio") >= sure) & (F.col("b.same") == 1) & F.col("b.met"), "matched").otherwise("review").alias("status"))
-    return by_name.unionByName(fuzzy)
+    pairs = _index(wanted, frequency, "name", doubtful).join(_index(names.select("v_name"), frequency, "v_name", doubtful), "gram")
+    pairs = pairs.where((F.length("v_name") >= F.length("name") * reach - 1e-9) & (F.length("name") >= F.length("v_name") * reach - 1e-9)).select("name", "v_name").distinct()
+    close = pairs.withColumn("ratio", sequence_ratio("name", "v_name")).where(F.col("ratio") >= doubtful).join(names, "v_name")
+    met = F.coalesce(F.arrays_overlap("streets", "v_streets"), F.lit(False))
+    best = externals.join(close, "name").groupBy("ext").agg(F.max_by(F.struct("slug", "ratio", "same", met.alias("met")), F.struct("ratio", (-F.col("pos")).alias("p"))).alias("b"))
+    certain = (F.col("b.ratio") >= sure) & (F.col("b.same") == 1) & F.col("b.met")
+    return best.select("ext", F.col("b.slug").alias("slug"), F.col("b.ratio").alias("confidence"), F.when(certain, "matched").otherwise("review").alias("status"))
+
+
+def resolve(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtful: float = 0.85) -> DataFrame:
+    """ext, slug, confidence, status: ``by_name``, and ``by_ratio`` for externals of a name that no venue has."""
+    named = by_name(externals, venues)
+    rest = externals.join(venues.select("name").distinct(), "name", "left_anti")
+    return named.unionByName(by_ratio(rest, venues, sure, doubtful))
 
 
 def judged(candidates: DataFrame, near_m: float = 150.0, far_m: float = 400.0, least_similarity: float = 0.55) -> DataFrame:

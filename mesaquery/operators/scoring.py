@@ -2,24 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mesaquery.functions.numbers import shrink
+from mesaquery.functions.numbers import ramp, shrink
 
 
-def strict_percentile(rows: DataFrame, value: str, out: str = "pct") -> DataFrame:
-    """Add the share, in percent, of non-null values strictly below a row's; null for null.
+def _ranked(rows: DataFrame, value: str, parts: int) -> DataFrame:
+    """value, _below, _all: for each distinct value how many rows are strictly below, and how many in all.
 
-    A value's rank comes from the running count over distinct values, so that the only ordered
-    stage sees a row for each distinct value and not each row.
+    Distinct values are dealt to about ``parts`` ranges of equal size, each counted on its own; what
+    lies below a range is a prefix sum over the ranges' totals. No task sees all values.
     """
     counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    order = Window.orderBy(value)
-    below = counts.select(value, (F.sum("_n").over(order) - F.col("_n")).alias("_below"), F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
-    return rows.join(below, value, "left").withColumn(out, F.col("_below") * 100.0 / F.col("_all")).drop("_below", "_all")
+    cuts = counts.agg(F.coalesce(F.approx_percentile(F.col(value).cast("double"), [i / parts for i in range(1, parts)], 10 * parts), F.array().cast("array<double>")).alias("_cuts"))
+    dealt = counts.crossJoin(F.broadcast(cuts)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c <= F.col(value).cast("double")))).drop("_cuts")  # one row of cuts
+    totals = dealt.groupBy("_part").agg(F.sum("_n").alias("_t"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(F.lit(0))
+    bases = totals.select("_part", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"), F.sum("_t").over(everything).alias("_all"))  # a row for each part
+    within = Window.partitionBy("_part").orderBy(value)
+    ranked = dealt.withColumn("_below", F.sum("_n").over(within) - F.col("_n")).join(F.broadcast(bases), "_part")
+    return ranked.select(value, (F.col("_below") + F.col("_base")).alias("_below"), "_all")
+
+
+def strict_percentile(rows: DataFrame, value: str, out: str = "pct", parts: int = 256) -> DataFrame:
+    """Add the share, in percent, of non-null values strictly below a row's; null for null."""
+    return rows.join(_ranked(rows, value, parts), value, "left").withColumn(out, F.col("_below") * 100.0 / F.col("_all")).drop("_below", "_all")
+
+
+def positions(rows: DataFrame, key: str, out: str = "position", parts: int = 256) -> DataFrame:
+    """Add the place, from 0, of each row by a unique numeric key; null for null."""
+    return rows.join(_ranked(rows, key, parts), key, "left").withColumn(out, F.col("_below").cast("long")).drop("_below", "_all")
 
 
 def with_means(rows: DataFrame, columns: list[str], default: float | None = None) -> DataFrame:
@@ -68,3 +86,45 @@ def precedence(*choices: tuple[str, Column, Column]) -> Column:
         pick = F.struct(value.alias("value"), F.lit(source).alias("source"))
         chain = F.when(holds, pick) if chain is None else chain.when(holds, pick)
     return chain
+
+
+@dataclass(frozen=True)
+class RubricConfig:
+    """Cut-points of the rubric's components; weights by component."""
+
+    weights: Mapping[str, float]
+    tiers: Mapping[str, float]
+    decay: Mapping[str, float]
+    worst_minutes: float
+    best_minutes: float
+    no_line: float
+    zero_pct: float
+    full_pct: float
+    neutral: float
+    confidence: Mapping[str, float]
+    zero_days: float
+    full_days: float
+
+
+def _looked_up(table: Mapping[str, float], key: Column, default: float) -> Column:
+    found = F.try_element_at(F.create_map(*[F.lit(x) for k, v in table.items() for x in (k, float(v))]), key) if table else F.lit(None).cast("double")
+    return F.coalesce(found, F.lit(float(default)))
+
+
+def rubric_parts(config: RubricConfig, tier: Column, era: Column, rating_pct: Column, minutes: Column, gap_pct: Column, basis: Column, end: Column, today: Column) -> dict[str, Column]:
+    """The five components, 0 to 100; null where unknown.
+
+    * award: the tier's worth, less for older eras; without any award 0, as that is a fact;
+    * rating: the percentile of the weighted rating;
+    * lex: nearness of a preferred line; a fixed score without one;
+    * value: the gap's share, drawn to a neutral score by how little its basis is trusted;
+    * window: days left until the end.
+    """
+    trust = _looked_up(config.confidence, basis, 0.0)
+    return {
+        "award": F.when(tier.isNull(), F.lit(0.0)).otherwise(_looked_up(config.tiers, tier, 0.0) * _looked_up(config.decay, era, 1.0)),
+        "rating": rating_pct.cast("double"),
+        "lex": F.coalesce(ramp(minutes, config.worst_minutes, config.best_minutes), F.lit(float(config.no_line))),
+        "value": trust * ramp(gap_pct, config.zero_pct, config.full_pct) + (1 - trust) * config.neutral,
+        "window": F.when(end.isNotNull(), ramp(F.greatest(F.lit(0), F.date_diff(end, today)).cast("double"), config.zero_days, config.full_days)),
+    }

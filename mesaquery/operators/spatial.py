@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mesaquery.functions.numbers import half_even, haversine_m, walk_minutes
-from mesaquery.functions.text import subset_jaccard
+from mesaquery.functions.text import house_number, name_tokens, subset_jaccard
 
 
 def within(left: DataFrame, right: DataFrame, metres: float, lat: str = "lat", lng: str = "lng", max_lat: float = 75.0) -> DataFrame:
@@ -62,3 +62,12 @@ def licensed(venues: DataFrame, licences: DataFrame, key: str, near_m: float = 8
     order = F.struct((F.col("sim") + F.when(F.col("same"), 0.3).otherwise(0.0)).alias("s"), (-F.col("metres")).alias("m"), F.col("r_name").alias("n"))
     best = good.groupBy(key).agg(F.max(order).alias("b"), F.bool_or("r_sidewalk").alias("sidewalk"), F.bool_or("r_roadway").alias("roadway"))
     return best.select(key, F.col("b.n").alias("licence"), half_even(-F.col("b.m")).cast("int").alias("metres"), "sidewalk", "roadway")
+
+
+def as_licences(rows: DataFrame) -> DataFrame:
+    """Licences as ``licensed`` needs them, of (name, legal, street, sidewalk, roadway, lat, lng).
+
+    Names are told by their telling words; one without a name goes by its legal name.
+    """
+    shown = F.when(F.coalesce(F.col("name"), F.lit("")) != "", F.col("name")).otherwise(F.col("legal"))
+    return rows.select(shown.alias("name"), name_tokens(F.coalesce("name", F.lit(""))).alias("words"), name_tokens(F.coalesce("legal", F.lit(""))).alias("legal_words"), house_number(F.col("street")).alias("house"), "sidewalk", "roadway", "lat", "lng")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mesaquery.functions.text import snippet
+from mesaquery.functions.text import cleaned, excerpt, most_central, snippet
 
 
 @dataclass(frozen=True)
@@ -56,22 +58,76 @@ def with_headers(lines: DataFrame, doc: str, position: str, text: str, is_header
     return lines.withColumn("header", F.last(F.when(is_header, F.col(text)), ignorenulls=True).over(order))
 
 
-def within_budget(hits: DataFrame, key: str, share: float = 0.045, gap: int = 60) -> DataFrame:
-    """Quotations that stay within a share of each source's length and apart from each other.
+def representative(hits: DataFrame, key: str, text: str = "matched") -> DataFrame:
+    """Of each key and tag the hit that stands for it: high first, then an item's, then the shortest, then by text."""
+    order = Window.partitionBy(key, "tag").orderBy(F.when(F.col("confidence") == "high", 0).otherwise(1), F.when(F.col("source") == "item", 0).otherwise(1), F.length(text), text)
+    return hits.where(F.coalesce(F.col(text), F.lit("")) != "").withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
-    Rows (key, id, start, stop, length, rank): in the order of (rank, id) a quotation is kept if the
-    kept ones' total stays within ``share`` of the length and it starts or ends ``gap`` from all of
-    them. Each decision depends on the earlier ones, so that a key's quotations meet in one fold.
-    """
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        kept, used = [], 0
-        for row in group.sort_values(["rank", "id"]).itertuples():
-            size = row.stop - row.start
-            apart = all(row.start >= k.stop + gap or row.stop + gap <= k.start for k in kept)
-            if apart and used + size <= share * row.length:
-                kept.append(row)
-                used += size
-        return group[group["id"].isin([k.id for k in kept])]
-
-    return hits.groupBy(key).applyInPandas(fold, hits.schema)
+@dataclass(frozen=True)
+class QuoteBudget:
+    """How much of a source may be quoted, and how."""
+
+    share: float = 0.045  # of the source's characters
+    floor: int = 36  # characters that any source allows
+    gap: int = 60  # characters between two quotations of a source
+    run: int = 18  # characters in a row that two quotations may not share
+    pads: tuple[int, ...] = (25, 21, 17, 13, 9, 5)  # around the keyword, the widest that fits
+
+    def quote(self, matched: str, at: tuple[int, int] | None, room: int) -> str:
+        """The widest quotation of the room; the narrowest if none fits."""
+        made = ""
+        for pad in self.pads:
+            made = cleaned(matched[: 2 * pad])[: 2 * pad] if at is None else excerpt(matched, *at, pad)
+            if len(made.strip("…").strip()) <= room:
+                break
+        return made
+
+    def shared(self, a: str, b: str) -> bool:
+        plain = [re.sub(r"\W+", " ", x.lower()) for x in (a, b)]
+        runs = [{x[i : i + self.run] for i in range(len(x) - self.run + 1)} for x in plain]
+        return not runs[0].isdisjoint(runs[1])
+
+    def kept(self, hits: Iterable[tuple[str, str]], source: str, patterns: Mapping[str, Sequence[re.Pattern[str]]]) -> list[tuple[str, str | None, str | None]]:
+        """tag, keyword and quotation of (tag, matched) hits of one source, in order; null where it may not be quoted."""
+        source = " ".join(source.split())
+        room = max(self.floor, int(len(source) * self.share))
+        taken: list[tuple[int, int]] = []
+        out: list[tuple[str, str | None, str | None]] = []
+        for tag, matched in hits:
+            at = most_central(matched, patterns[tag])
+            quoted = self.quote(matched, at, room if source else len(matched))
+            core = quoted.strip("…").strip()
+            # What the source doesn't hold as it is counts as if it stood before its first character.
+            start = source.find(core) if source else -1
+            stop = start + len(core)
+            fits = not any(self.shared(quoted, x) for _, _, x in out if x)
+            if fits and source:
+                fits = len(core) <= room and (start < 0 or all(start >= b + self.gap or stop <= a - self.gap for a, b in taken))
+            if fits and source:
+                taken.append((start, stop))
+                room -= len(core)
+            out.append((tag, cleaned(matched[slice(*at)]) if at else None, quoted if fits else None))
+        return out
+
+
+def quoted(hits: DataFrame, sources: DataFrame, key: str, rules: Sequence[TagRule], text: str = "matched", budget: QuoteBudget = QuoteBudget()) -> DataFrame:
+    """key, tag, confidence, source, keyword, quotation: one hit of each tag, quoted within the source's budget.
+
+    ``hits`` has (key, tag, confidence, source, text), ``sources`` (key, raw). Each decision depends on
+    the earlier ones of the key, by tag, so that a key's few hits meet in one fold with its source.
+    """
+    rule_texts: dict[str, list[str]] = {}
+    for r in rules:
+        rule_texts.setdefault(r.tag, []).append(r.pattern)
+    best = representative(hits.where(F.col("tag").isin(*rule_texts)), key, text)
+    listed = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("tag", F.col(text).alias("matched"), "confidence", "source"))).alias("hits"))
+    joined = listed.join(sources.select(key, F.col("raw").alias("_raw")), key, "left")
+
+    @F.pandas_udf("array<struct<tag:string,keyword:string,quotation:string>>")
+    def fold_(found: pd.Series, raw: pd.Series) -> pd.Series:
+        patterns = {t: [re.compile(p, re.IGNORECASE) for p in ps] for t, ps in rule_texts.items()}
+        return pd.Series([[dict(zip(("tag", "keyword", "quotation"), x, strict=True)) for x in budget.kept([(h["tag"], h["matched"]) for h in hs], r or "", patterns)] for hs, r in zip(found, raw, strict=True)])
+
+    made = joined.select(key, F.explode(F.arrays_zip("hits", fold_("hits", "_raw").alias("made"))).alias("x"))
+    return made.select(key, "x.hits.tag", "x.hits.confidence", "x.hits.source", "x.made.keyword", "x.made.quotation")

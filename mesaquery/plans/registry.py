@@ -2,32 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
-from mesaquery.operators import derive, facets, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tagging
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from mesaquery.operators import derive, facets, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tables, tagging
+from mesaquery.plans import venues
+from mesaquery.plans.base import QUERIES, SQL, load, query
 
+__all__ = ["QUERIES", "SQL", "venues"]
 
 BANDS = pricing.Bands((1, 30), (20, 45), (1, 15), 14.0)
 _EXACT = "median(p_size) FILTER (WHERE p_size BETWEEN 1 AND 30) + median(p_size) FILTER (WHERE p_size BETWEEN 20 AND 45) + coalesce(median(p_size) FILTER (WHERE p_size BETWEEN 1 AND 15), 14.0)"
@@ -231,7 +214,11 @@ def tag_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_text(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", RULES)
 
 
-@query(None)
+@query(r"""WITH r(rule, tag, confidence, p) AS (VALUES (0, 'article', 'high', ' (the|der) '), (1, 'article', 'low', ' (la|le) '), (2, 'licence', 'high', '(?i)licensed')),
+h AS (SELECT doc_id, tag, confidence, rule, text, regexp_extract(text, p) AS m FROM documents, r WHERE regexp_matches(text, p)),
+b AS (SELECT doc_id, tag, arg_max(confidence, CASE confidence WHEN 'high' THEN 1000 + rule ELSE -rule END) AS confidence, arg_max(m, CASE confidence WHEN 'high' THEN 1000 + rule ELSE -rule END) AS m, any_value(text) AS text FROM h GROUP BY doc_id, tag),
+c AS (SELECT *, instr(text, m) AS place, greatest(instr(text, m) - 60, 1) AS a FROM b)
+SELECT doc_id, tag, confidence, trim(regexp_replace(substr(text, a, place - a + length(m) + 60), '\s+', ' ', 'g')) AS snippet FROM c""")
 def tag_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_items(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", RULES)
 
@@ -252,16 +239,30 @@ def best_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(None)
-def quote_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("id"), (F.col("event_id") % 5000).alias("start"), (F.col("event_id") % 5000 + 30).alias("stop"), F.lit(6000).cast("long").alias("length"), F.col("event_type").alias("rank"))
-    return tagging.within_budget(e, "user_id")
+def quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quoted hit of each tag of each document, within the document's budget."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw"))
+    hits = tagging.tag_items(docs.select("doc_id", F.col("raw").alias("text")), "text", RULES).select("doc_id", "tag", "confidence", F.lit("raw_text").alias("source"), F.col("snippet").alias("matched"))
+    return tagging.quoted(hits, docs, "doc_id", RULES)
+
+
+def _named(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    part = load(spark, sf_dir, "part").select("p_partkey", text.match_name(F.concat(F.lit("The "), "p_name")).alias("name"), F.when(F.col("p_size") > 5, F.array(F.col("p_size").cast("string"))).alias("streets"))
+    venues_ = part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("slug"), "name", "streets", F.col("p_partkey").alias("pos"))
+    return part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("ext"), "name", "streets"), venues_
+
+
+@query("""WITH p AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name, CASE WHEN p_size > 5 THEN p_size END AS street FROM part),
+j AS (SELECT e.p_partkey AS ext, v.p_partkey AS slug, e.street IS NOT NULL AND v.street IS NOT NULL AND e.street = v.street AS met, e.street IS NULL OR v.street IS NULL AS unknown FROM p e JOIN p v USING (name) WHERE e.p_partkey % 2 = 1 AND v.p_partkey % 2 = 0),
+a AS (SELECT ext, count(*) AS n, min(slug) FILTER (WHERE met) AS sure, min(slug) AS first, bool_or(unknown) AS unknown FROM j GROUP BY ext)
+SELECT ext, coalesce(sure, first) AS slug, CASE WHEN sure IS NOT NULL THEN 1.0::DOUBLE WHEN n = 1 AND unknown THEN 0.9 ELSE 0.5 END AS confidence, CASE WHEN sure IS NOT NULL OR (n = 1 AND unknown) THEN 'matched' ELSE 'review' END AS status FROM a""")
+def names_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve.by_name(*_named(spark, sf_dir))
 
 
 @query(None)
 def entity_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = load(spark, sf_dir, "part").select("p_partkey", text.match_name(F.col("p_name")).alias("name"), F.when(F.col("p_size") > 5, F.array(F.col("p_size").cast("string"))).alias("streets"))
-    venues = part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("slug"), "name", "streets", F.col("p_partkey").alias("pos"))
-    return resolve.resolve(part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("ext"), "name", "streets"), venues)
+    return resolve.resolve(*_named(spark, sf_dir))
 
 
 @query("""WITH p AS (SELECT p_partkey, p_size, list_distinct(string_split(lower(p_name), ' ')) AS w FROM part), q AS (SELECT p_partkey AS other, p_size AS size2, list_distinct(string_split(lower(p_name), ' ')) AS w2, p_brand FROM part),
@@ -319,7 +320,7 @@ def md5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""WITH t AS (SELECT page_id, html, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'), '<style[^>]*>.*?</style>', ' ', 'gsi'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages)
-SELECT page_id, length(text) AS n_chars, md5(text) AS digest, CAST(len(list_distinct(regexp_extract_all(html, 'href="([^"#]+)"', 1, 'i'))) AS BIGINT) AS n_links FROM t""")
+SELECT page_id, length(text) AS n_chars, md5(text) AS digest, CAST(len(list_distinct(regexp_extract_all(html, 'href=["'']([^"''#]+)["'']', 1, 'i'))) AS BIGINT) AS n_links FROM t""")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = text.visible_text(F.col("html"))
     return load(spark, sf_dir, "pages").select("page_id", F.length(body).cast("long").alias("n_chars"), F.md5(body).alias("digest"), F.size(text.links(F.col("html"))).cast("long").alias("n_links"))
@@ -353,29 +354,29 @@ def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, coalesce(n, 0) AS n_lines, coalesce(quality, 'failed') AS quality FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, CASE WHEN count(*) >= 4 THEN 'full' ELSE 'partial' END AS quality FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey")
 def left_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n")).withColumn("quality", F.when(F.col("n") >= 4, "full").otherwise("partial"))
-    o = load(spark, sf_dir, "orders")
-    return o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select("o_orderkey", "o_custkey", F.coalesce("n", F.lit(0)).alias("n_lines"), F.coalesce("quality", F.lit("failed")).alias("quality"))
+    lines = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n_lines")).withColumn("quality", F.when(F.col("n_lines") >= 4, "full").otherwise("partial"))
+    return tables.left_default(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), lines, "o_orderkey", {"n_lines": 0, "quality": "failed"})
 
 
 @query("SELECT s_suppkey, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def star_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, n, r = (load(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
-    return s.join(n, s.s_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left").select("s_suppkey", "n_name", "r_name")
+    return tables.enriched(s, [(n, "s_nationkey", "n_nationkey", ("n_name", "n_regionkey")), (r, "n_regionkey", "r_regionkey", ("r_name",))]).select("s_suppkey", "n_name", "r_name")
 
 
-@query("SELECT event_type, count(DISTINCT user_id) AS users, count(*) AS n, count(*) FILTER (WHERE value > 50) AS n_big, bool_or(value > 99) AS any_huge, max(ts) AS last FROM events GROUP BY event_type")
+@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_distinct, count(*) FILTER (WHERE value > 50) AS n_big, count(*) FILTER (WHERE value > 99) AS n_huge FROM events GROUP BY event_type")
 def grouped_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    big = F.col("value")
-    return load(spark, sf_dir, "events").groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.count("*").alias("n"), F.count_if(big > 50).alias("n_big"), F.bool_or(big > 99).alias("any_huge"), F.max("ts").alias("last"))
+    return tables.counts(load(spark, sf_dir, "events"), ["event_type"], "user_id", {"n_big": F.col("value") > 50, "n_huge": F.col("value") > 99})
+
+
+@query("SELECT max(ts) AS last, min(ts) AS first FROM events")
+def column_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "events").agg(F.max("ts").alias("last"), F.min("ts").alias("first"))
 
 
-@query("WITH h AS (SELECT DISTINCT event_type, user_id FROM events WHERE value > 95), l AS (SELECT DISTINCT event_type, user_id FROM events WHERE value <= 5 AND (event_type, user_id) NOT IN (SELECT event_type, user_id FROM h)) SELECT event_type, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS low_only FROM l GROUP BY event_type")
+@query("SELECT event_type, user_id FROM events GROUP BY ALL HAVING NOT bool_or(value > 95)")
 def low_only_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events")
-    high = e.where("value > 95").select("event_type", "user_id")
-    low = e.where("value <= 5").select("event_type", "user_id").distinct().join(high, ["event_type", "user_id"], "left_anti")
-    return low.groupBy("event_type").agg(F.array_join(F.sort_array(F.collect_list("user_id")), ",").alias("low_only"))
+    return tables.low_only(load(spark, sf_dir, "events"), "event_type", "user_id", F.col("value") > 95)
 
 
 @query("SELECT o_custkey, arg_max(o_orderkey, (o_totalprice, -o_orderkey)) AS o_orderkey, max(o_totalprice) AS o_totalprice FROM orders GROUP BY o_custkey")
@@ -386,28 +387,26 @@ def arg_max_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderpriority AS value, count(*) AS n, round(count(*) * 100.0::DOUBLE / greatest(1, (SELECT count(*) FROM orders)), 4) AS share FROM orders GROUP BY 1")
 def histogram_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = load(spark, sf_dir, "orders")
-    total = o.agg(F.greatest(F.lit(1), F.count("*")).alias("all"))
-    return o.groupBy(F.col("o_orderpriority").alias("value")).agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("value", "n", F.round(F.col("n") * 100.0 / F.col("all"), 4).alias("share"))
+    return tables.histogram(load(spark, sf_dir, "orders"), F.col("o_orderpriority")).withColumn("share", F.round("share", 4))
 
 
 @query("SELECT l_returnflag AS flag, l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R' UNION ALL SELECT l_linestatus, l_orderkey FROM lineitem WHERE l_linestatus = 'F'")
 def bag_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     pick = lambda c, v: li.where(F.col(c) == v).select(F.col(c).alias("flag"), F.col("l_orderkey").alias("k"))
-    return pick("l_returnflag", "R").unionByName(pick("l_linestatus", "F"))
+    return tables.bag_union(pick("l_returnflag", "R"), pick("l_linestatus", "F"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+    return load(spark, sf_dir, "events").select("event_id", tables.json_field(F.col("props"), "$.k", "bigint").alias("k"))
 
 
 @query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mesaquery.streaming.changes import windowed_counts
 
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Days of the session's time zone: times without a zone are taken to be in it.
     return windowed_counts(load(spark, sf_dir, "events"), "ts", "event_type").select(F.to_date("start").cast("string").alias("day"), "event_type", "n")
 
 

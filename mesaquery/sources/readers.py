@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mesaquery.operators.tables import split_without
+
 #: Record shapes. Unknown keys are dropped and missing ones are null.
 DETAIL = "slug string, address string, lat double, lng double, phone string, listing_url string, error string"
 SWEEP = "slug string, website string, method string, pages_fetched int, prices array<int>, error string, confidence string, comparable_3course int, gaps map<string,int>"
 ITEM = "struct<slug:string,shortTitle:string,borough:string,neighborhood:string,mealTypes:array<string>,tags:array<string>,restaurantInclusionWeek:array<string>,menuFileUrl:string,website:string,summary:string,collections:array<string>,ecommerce:struct<partnerName:string,partnerId:string>>"
+MANIFEST = "struct<url:string,file:string,sha256:string,error:string>"
+PAYLOAD = "slug string, name string, borough string, neighborhood string, cuisines array<string>, price_tiers array<string>, meal_periods array<string>, end_date date, sunday boolean, rank int, verdict string, gap_usd double, gap_pct double, gap_basis string, rw_price int, menu_state string, flags array<string>, subway map<string,int>, recog_rank int, rubric double"
 LISTING = f"fetched string, total int, count int, api_total int, items array<{ITEM}>"
 
 
@@ -27,27 +32,83 @@ def keyed_object(spark: SparkSession, path: str, value: str, key: str = "slug")
     return parsed.select(key, "v.*")
 
 
-def listing_items(pages: DataFrame) -> DataFrame:
-    """Items of listing pages, the first of each slug by page and place; blank strings stay blank."""
-    flat = pages.select(F.monotonically_increasing_id().alias("_page"), F.posexplode("items").alias("_at", "item"))
+def latest_file(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The JSON document whose file name is the last in order, as dated snapshots are; its path alone is read."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    names = sorted(f.getPath().toString() for f in files if f.isFile() and f.getPath().getName().endswith(".json"))
+    if not names:
+        raise FileNotFoundError(folder)
+    return json_files(spark, names[-1], schema)
+
+
+def listing_pages(spark: SparkSession, folder: str, stamp: str | None = None) -> DataFrame:
+    """Landed pages of a listing with the number in each one's file name; pages of another day's stamp don't count.
+
+    The stamp is a file ``_stamp`` beside the pages.
+    """
+    if stamp is not None:
+        # One small file, which Spark's readers would pass over for its name.
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder, "_stamp")
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(at) or spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(at), "UTF-8").strip() != stamp:
+            return json_files(spark, folder, LISTING).withColumn("page", F.lit(0)).limit(0)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1).cast("int")
+    return json_files(spark, f"{folder}/*.json", LISTING).withColumn("page", number)
+
+
+def listing_items(pages: DataFrame, page: str = "page") -> DataFrame:
+    """Items of listing pages, the first of each slug by page number and place; blank strings stay blank."""
+    flat = pages.select(F.col(page).alias("_page"), F.posexplode("items").alias("_at", "item"))
     first = flat.groupBy("item.slug").agg(F.min_by("item", F.struct("_page", "_at")).alias("item"))
     return first.select("item.*")
 
 
-def binary_texts(spark: SparkSession, path: str, extract: Callable[[bytes], str]) -> DataFrame:
-    """path, text, sha256 of binary files; a document that can't be read has an empty text."""
+def binary_texts(spark: SparkSession, path: str, extract: Callable[[bytes], str], pages: int | None = None) -> DataFrame:
+    """path, text, sha256 of binary files; a document that can't be read has an empty text.
+
+    ``extract`` returns the text, or the texts of the pages, of which the first ``pages`` count.
+    """
 
-    @F.udf("string")
-    def read(content: bytes) -> str:
-        try:
-            return extract(content)
-        except Exception:  # any fault of a damaged file
-            return ""
+    @F.pandas_udf("string")
+    def read(contents: pd.Series) -> pd.Series:
+        def one(content: bytes) -> str:
+            try:
+                found = extract(content)
+                return found if isinstance(found, str) else "\n".join(x or "" for x in list(found)[:pages])
+            except Exception:  # any fault of a damaged file
+                return ""
+
+        return contents.map(one)
 
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", read("content").alias("text"), F.sha2("content", 256).alias("sha256"))
 
 
+def manifest(files: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """key, url, file, sha256, error of wanted ``links`` (key, url) and the ``files`` (path, sha256) that came of them."""
+    named = files.select(F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias(key), F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "sha256")
+    return links.join(named, key, "left").select(key, "url", "file", "sha256", F.when(F.col("file").isNull(), "missing").alias("error"))
+
+
+def valid_licences(rows: DataFrame, live: tuple[str, ...] = ("issued",)) -> DataFrame:
+    """Licences in a live state with real coordinates, from untyped rows; kinds as two booleans."""
+    number = lambda c: F.round(F.col(c).try_cast("double"), 6)
+    plain = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    kind = F.lower(plain("license_type"))
+    there = F.lower(plain("license_status")).isin(*live) & number("latitude").isNotNull() & number("longitude").isNotNull()
+    names = {"name": "assumed_name_s", "legal": "business_legal_name", "street": "street", "borough": "borough", "postcode": "postcode"}
+    return rows.where(there).select(*[plain(c).alias(n) for n, c in names.items()], kind.contains("sidewalk").alias("sidewalk"), kind.contains("roadway").alias("roadway"), number("latitude").alias("lat"), number("longitude").alias("lng"))
+
+
+def valid_stations(rows: DataFrame, position: str) -> DataFrame:
+    """Stations with a name, routes and real coordinates, from untyped rows: the first of each name and set of routes."""
+    number = lambda c: F.round(F.col(c).try_cast("double"), 6)
+    typed = rows.select(F.trim("stop_name").alias("name"), number("gtfs_latitude").alias("lat"), number("gtfs_longitude").alias("lng"), split_without(F.coalesce("daytime_routes", F.lit(""))).alias("routes"), "borough", position)
+    good = typed.where((F.col("name") != "") & F.col("lat").isNotNull() & F.col("lng").isNotNull() & (F.size("routes") > 0))
+    return good.groupBy("name", "routes").agg(F.min_by(F.struct("lat", "lng", "borough"), position).alias("_v")).select("name", "_v.lat", "_v.lng", "routes", "_v.borough")
+
+
 def complete(items: DataFrame, key: str, expected: int, least: float = 0.9) -> bool:
     """Whether the distinct keys are at least a share of what the source says it has."""
     return items.select(key).distinct().count() >= least * expected

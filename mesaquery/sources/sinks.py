@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def replace(df: DataFrame, path: str) -> None:
-    """Replace a table as a whole."""
-    df.write.mode("overwrite").parquet(path)
+def _moved(spark: SparkSession, made: str, path: str) -> None:
+    """Put what was written aside into place: the old table goes only once the new one is whole."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    new, at, old = hadoop(made), hadoop(path), hadoop(f"{path}.old-{uuid.uuid4().hex}")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(at) and fs.rename(at, old)
+    if not fs.rename(new, at):
+        if had:
+            fs.rename(old, at)
+        raise OSError(f"can't put {made} at {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def replace(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace a table as a whole: it's written beside and renamed, so that a failed job leaves the old one."""
+    aside = f"{path}.new-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(aside)
+    _moved(df.sparkSession, aside, path)
 
 
 def csv(df: DataFrame, path: str, order: str) -> None:
@@ -45,5 +64,17 @@ def write_if_changed(new: DataFrame, path: str, ignore: tuple[str, ...] = (), wr
         if not differs(spark.read.schema(new.schema).json(path), new, ignore):
             return False
     if write:
-        new.write.mode("overwrite").json(path)
+        replace(new, path, "json")
     return True
+
+
+def read_through(wanted: DataFrame, key: str, path: str, look_up: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows of ``wanted`` keys from a cache at ``path``; only missing keys are looked up, and added to it."""
+    spark = wanted.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    missing = wanted.select(key).distinct()
+    if there:
+        missing = missing.join(spark.read.parquet(path).select(key), key, "left_anti")
+    look_up(missing).write.mode("append").parquet(path)
+    return spark.read.parquet(path).join(wanted.select(key).distinct(), key, "left_semi")

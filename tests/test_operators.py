@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
-from mesaquery.operators import derive, facets, planning, pricing, resolve, scoring, snapshots, spatial, tagging
+from mesaquery.operators import derive, facets, menus, planning, pricing, resolve, scoring, snapshots, spatial, tagging
 from mesaquery.sources import readers, sinks
 from mesaquery.streaming import changes
 
@@ -65,9 +65,21 @@ def test_facet_counts_equal_brute_force(spark):
 
 
 def test_query_state_round_trip():
-    spec = facets.QuerySpec({"a": ("x", "y")}, "soup", 4.2, "name", 2)
-    assert facets.QuerySpec.from_params(spec.to_params(), ("name",), ("a",)) == spec
-    assert spec.active() == 3 and spec.reset().active() == 0
+    spec = facets.QuerySpec({"a": ("x~y", "é & ="), "b": ("1",)}, "soup", 4.2, "name_asc", 2, "2026-08-05", "2026-08-20", True, "map")
+    assert facets.QuerySpec.from_params(spec.to_params(), facets.named_sorts(), ("a", "b")) == spec
+    assert spec.active() == 8 and spec.reset().active() == 0
+    read = lambda p: facets.QuerySpec.from_params(p, ("name_asc",), ("a",), today="2026-08-01")
+    assert read("").open_on == "2026-08-01" and read("by=any").open_on is None and "by=any" in facets.QuerySpec().to_params()
+    assert read("by=any&sort=constructor&zz=1&minr=abc&page=-3") == facets.QuerySpec()
+
+
+def test_active_filters_and_presets():
+    spec = facets.QuerySpec({"a": ("x", "y")}, floor=4.0, open_on="2026-08-05")
+    listed = spec.listed([facets.Facet("a", F.lit(1), title="A", labels={"x": "Ex"})], unrated=3)
+    assert [(t, v) for t, v, _ in listed] == [("A", "Ex"), ("A", "y"), ("Rating", "4.0+ · 3 unrated hidden"), ("Open on", "2026-08-05")]
+    assert listed[0][2].selected == {"a": ("y",)} and listed[2][2].floor is None and all(x.active() == spec.active() - 1 for _, _, x in listed)
+    preset = facets.Preset("p", facets.QuerySpec({"a": ("x",)}, sort="rank_asc"), F.lit(True))
+    assert preset.is_on(spec) and preset.toggled(spec) == facets.QuerySpec() and preset.toggled(facets.QuerySpec({"b": ("1",)})) == preset.spec
 
 
 def test_date_issue(spark):
@@ -114,11 +126,134 @@ def test_stream_keeps_latest(spark, tmp_path):
     src, table = tmp_path / "src", str(tmp_path / "t")
     src.mkdir()
     (src / "1.json").write_text('{"k": 1, "at": 1}\n{"k": 1, "at": 2}\n{"k": 2, "at": 1}')
-    run = lambda: changes.keep_latest(changes.new_files(spark, str(src), "k int, at int"), "k", ["at"], table, str(tmp_path / "c")).awaitTermination()
+    run = lambda: changes.keep_latest(changes.new_files(spark, str(src), "k int, at int"), "k", ["at"], table, str(tmp_path / "c"), 4).awaitTermination()
+    rows = lambda: sorted(tuple(r) for r in changes.latest_rows(spark, table, "k int, at int", 4).collect())
+    assert rows() == []
     run()
-    (src / "2.json").write_text('{"k": 2, "at": 5}')
+    assert rows() == [(1, 2), (2, 1)]
+    (src / "2.json").write_text('{"k": 2, "at": 5}\n{"k": 3, "at": 0}')
     run()
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{table}/batch=1").select("k", "at").collect()) == [(1, 2), (2, 5)]
+    assert rows() == [(1, 2), (2, 5), (3, 0)]
+    assert all(len(list(p.glob("batch=*"))) == 1 for p in (tmp_path / "t").iterdir())
+
+
+def test_tables_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace(spark.range(3).toDF("n"), path)
+    sinks.replace(spark.read.parquet(path).where("n > 0"), path)  # reads what it replaces
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == [1, 2] and [p.name for p in tmp_path.iterdir()] == ["t"]
+    asked = []
+    look = lambda df: asked.append(sorted(r.k for r in df.collect())) or df.selectExpr("k", "k * 2 AS v")
+    wanted = spark.createDataFrame([(1,), (2,), (2,)], "k long")
+    cache = str(tmp_path / "c")
+    assert sorted(tuple(r) for r in sinks.read_through(wanted, "k", cache, look).collect()) == [(1, 2), (2, 4)]
+    assert sorted(tuple(r) for r in sinks.read_through(wanted.union(spark.createDataFrame([(5,)], "k long")), "k", cache, look).collect()) == [(1, 2), (2, 4), (5, 10)]
+    assert asked == [[1, 2], [5]]
+
+
+def test_landed_files(spark, tmp_path):
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "_stamp").write_text("2026-08-03\n")
+    for n, slugs in ((10, "ca"), (2, "ab")):
+        (pages / f"p{n}.json").write_text('{"items": [' + ",".join(f'{{"slug": "{x}", "summary": "{n}"}}' for x in slugs) + "]}")
+    found = readers.listing_items(readers.listing_pages(spark, str(pages), "2026-08-03"))
+    assert sorted((r.slug, r.summary) for r in found.collect()) == [("a", "2"), ("b", "2"), ("c", "10")]
+    assert readers.listing_pages(spark, str(pages), "2026-08-04").count() == 0
+    (tmp_path / "s").mkdir()
+    for day, total in (("2026-08-01", 1), ("2026-08-10", 2)):
+        (tmp_path / "s" / f"{day}.json").write_text(f'{{"total": {total}}}')
+    assert readers.latest_file(spark, str(tmp_path / "s"), readers.LISTING).first().total == 2
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "x.pdf").write_bytes(b"one|two|three")
+    (tmp_path / "b" / "y.pdf").write_bytes(b"!")
+
+    def parse(content):
+        if content == b"!":
+            raise ValueError
+        return content.decode().split("|")
+
+    files = readers.binary_texts(spark, str(tmp_path / "b"), parse, pages=2)
+    assert sorted(r.text for r in files.collect()) == ["", "one\ntwo"]
+    links = spark.createDataFrame([("x", "u"), ("z", "v")], "slug string, url string")
+    got = {r.slug: (r.file, r.error, r.sha256 is None) for r in readers.manifest(files, links, "slug").collect()}
+    assert got == {"x": ("x.pdf", None, False), "z": (None, "missing", True)}
+    (tmp_path / "out.json").write_text('{"slug": "53", "subway": {"4": 3}, "end_date": "2026-08-31"}')
+    row = readers.json_files(spark, str(tmp_path / "out.json"), readers.PAYLOAD).first()
+    assert (row.slug, row.subway, row.end_date) == ("53", {"4": 3}, dt.date(2026, 8, 31))
+
+
+def test_similar_names_equal_brute_force(spark):
+    """Blocking on rare grams finds every pair that comparing all names with all finds."""
+    import difflib
+    import random
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcde ") for _ in range(n)).strip() or "x"
+    names = [word(rng.choice([2, 4, 6, 9, 12, 20, 40])) for _ in range(120)]
+    near = []
+    for n in names:
+        t = list(n)
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            t[rng.randrange(len(t))] = rng.choice(["", "z", "aa"])
+        near.append("".join(t).strip() or "y")
+    near = [n for n in near if n not in names]  # equal names are found by name
+    v = spark.createDataFrame([(f"s{i}", n, ["1"] if i % 3 else None, i) for i, n in enumerate(names)], "slug string, name string, streets array<string>, pos int")
+    e = spark.createDataFrame([(i, n, ["1"]) for i, n in enumerate(near)], "ext int, name string, streets array<string>")
+    got = {r.ext: (r.slug, round(r.confidence, 9), r.status) for r in resolve.by_ratio(e, v).collect()}
+    first = {n: i for i, n in reversed(list(enumerate(names)))}
+    want = {}
+    for i, n in enumerate(near):
+        ratio, at, name = max((difflib.SequenceMatcher(None, n, m).ratio(), -at, m) for m, at in first.items())
+        if ratio >= 0.85:
+            sure = ratio >= 0.92 and names.count(name) == 1 and -at % 3 > 0
+            want[i] = (f"s{-at}", round(ratio, 9), "matched" if sure else "review")
+    assert len(want) > 25 and got == want
+
+
+def test_names_that_must_and_must_not_meet(spark):
+    same = [("Blue Fin Restaurant", "Blue Fin"), ("The Russian Tea Room", "Russian Tea Room"), ("Restaurant Le B", "Le B."), ("Sylvia's Restaurant", "Sylvia's"), ("Elcielo New York", "Elcielo"), ("Josephs", "Joseph’s"), ("Cafe Boulud", "Café Boulud"), ("X New York City", "X")]
+    apart = [("Bar Boulud", "Café Boulud"), ("Brasserie", "Osteria Brooklyn"), ("Osteria Morini", "Morini"), ("Bar Primi", "Primi")]
+    rows = spark.createDataFrame(same + apart + [("Brooklyn", "The Restaurant")], "a string, b string")
+    got = rows.select(text.match_name(F.col("a")).alias("a"), text.match_name(F.col("b")).alias("b")).collect()
+    assert all(r.a == r.b for r in got[: len(same)]) and all(r.a != r.b for r in got[len(same) :]) and all(r.a and r.b for r in got)
+
+
+def test_text_forms(spark):
+    assert one(spark, text.clean(F.lit("Caf\ufffde\u0301\t a\n  b\x00"))) == "Caf'é a b"
+    assert one(spark, text.fold(F.lit("Éʼ′‒−“x”"))) == "e''--\"x\""
+    assert one(spark, text.title_case(F.lit("don't add-ons ÉCLAIR 2nd"))) == "Don'T Add-Ons Éclair 2Nd"
+    assert [tuple(one(spark, text.dish_parts(F.lit(x)))) for x in ("A — b - c", "A:  b: c", "A-b", "A  –  b")] == [("A", "b - c"), ("A", "b: c"), ("A-b", None), ("A", "b")]
+
+
+def test_quotations_stay_within_the_budget(spark):
+    rules = [tagging.TagRule("a", "oyster"), tagging.TagRule("b", "steak", "low"), tagging.TagRule("c", "toro"), tagging.TagRule("d", "nothing")]
+    menu = "x" * 300 + " fresh oyster platter with lemon and herbs " + "y" * 700 + " grilled steak of the house " + "z" * 10 + " toro of tuna " + "w" * 200
+    hits = [("s", "a", "high", "item", "fresh oyster platter with lemon and herbs"), ("s", "a", "low", "item", "oyster"), ("s", "b", "low", "raw_text", "grilled steak of the house"), ("s", "c", "high", "item", "toro of tuna"), ("s", "d", "high", "item", "no such word here at all"), ("t", "b", "high", "item", "steak"), ("t", "zz", "high", "item", "steak")]
+    h = spark.createDataFrame(hits, "slug string, tag string, confidence string, source string, matched string")
+    sources = spark.createDataFrame([("s", menu)], "slug string, raw string")
+    got = {(r.slug, r.tag): r for r in tagging.quoted(h, sources, "slug", rules).collect()}
+    assert set(got) == {("s", "a"), ("s", "b"), ("s", "c"), ("s", "d"), ("t", "b")}
+    assert got["s", "a"].confidence == "high" and got["s", "a"].keyword == "oyster" and "oyster" in got["s", "a"].quotation
+    # 4.5 % of 1,301 characters are 58: what is left after the first makes the second narrower.
+    assert len(got["s", "a"].quotation.strip("…")) + len(got["s", "b"].quotation.strip("…")) <= int(len(menu) * 0.045)
+    assert got["s", "b"].quotation == "grilled steak of the…" and got["s", "c"].quotation is None  # too near the second
+    assert got["s", "d"].keyword is None and got["t", "b"].quotation == "steak"
+    assert tagging.QuoteBudget().shared("a shared run of many letters", "the SHARED -- run of many") and not tagging.QuoteBudget().shared("short", "short")
+
+
+def test_menu_lines(spark):
+    menu = "Dinner\r\nSteak - rare\n\nEntrée :\nFish of the day\n$12\nFollow us on all sites\nPie supplement\n" + "long " * 30
+    docs = spark.createDataFrame([(1, menu), (2, None), (3, "Desserts")], "k int, text string")
+    got = [tuple(r)[2:] for r in menus.dishes(menus.menu_lines(docs, "k", "text"), "k").orderBy("pos").collect()]
+    assert got == [("Dinner", "Steak", "rare", None), ("Entrée ", "Fish of the day", None, None), ("Entrée ", "Pie supplement", None, None)]
+    assert {r.k: r.grade for r in menus.graded(docs, "k", "text").collect()} == {1: "partial", 2: "failed", 3: "failed"}
+
+
+def test_positions(spark):
+    rows = spark.range(1000).selectExpr("id * id AS k").union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    got = {r.k: r.position for r in scoring.positions(rows, "k", parts=7).collect()}
+    assert got == {i * i: i for i in range(1000)} | {None: None}
 
 
 def test_labels(spark):
