@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesaquery.llm import decontaminate, jaccard_join, language_id, packing
-from mesaquery.llm.common import drop, saved, scratch, swept, table, with_small
+from mesaquery.llm.common import drop, prepare, saved, scratch, swept, table, with_small
 from mesaquery.llm.registry import TOKENIZER
 
 #: A stage's own unique key of each row, as ids can be null or repeated.
@@ -35,6 +35,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a learned language stay, mixed ones too."""
+    prepare(spark)
     model = language_id.fit(docs.where(language_id.is_training("doc_id")))
     return language_id.identified(docs, model).where("lang_pred <> 'und'").select("row.*")
 
@@ -44,6 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     It's the one of the smallest id; null ids come last.
     """
+    prepare(spark)
     keyed = _keyed(docs)
     groups = jaccard_join.similar_groups(keyed, n=5, percent=80, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id")
     groups = saved(groups, "groups")
@@ -65,6 +67,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all remaining documents in sequences of 2048 tokens."""
+    prepare(spark)
     return packing.pack(docs, TOKENIZER, end_id=0, capacity=2048, cache_words=CACHE_WORDS)
 
 

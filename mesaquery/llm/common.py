@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Rows of at most this many fixed-width fields are broadcast; anything larger is shuffled.
 BROADCAST_ROWS = 500_000
 #: Rows and bytes of one Arrow batch, so that a batch of very long texts stays small.
-BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
 
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -67,11 +67,16 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table; also sets up the session for Python stages."""
+def prepare(spark: SparkSession) -> None:
+    """Set the session up for Python stages: the package on all executors, and small batches."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table of a prepared session."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mesaquery.llm.common import claim, give_back
+from mesaquery.llm.tokens import few_rows
 
 #: Hash cells of the n-gram model: a fixed size for each language.
 CELLS = 1 << 16
@@ -42,7 +43,9 @@ SWITCH_PENALTY = 25.0
 FOREIGN = -40.0
 #: A language uses a script if so many of its letters in training are of that script.
 USES = 0.01
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
+#: Texts that are labelled, and words that are scored, at once: bounds on a worker's memory.
+ROWS, NEW_WORDS = 256, 16_384
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Code points among which there are combining marks, roughly: other texts need no search for them.
 _MAY_COMBINE = re.compile("[\u0300-\u036f\u0483-\u0489\u0591-\u1fff\u20d0-\u20f0\u2cef-\u2fff\u302a-\u309a\ua000-\uabff\ufb00-\ufeff\U00010000-\U0010ffff]")
@@ -235,7 +238,9 @@ class Labeller:
             end = self.filled + len(self.new)
             if end > len(self.table):  # twice as large, so that few copies are made
                 self.table = np.concatenate((self.table[: self.filled], np.empty((max(end, 2 * len(self.table)) - self.filled, self.table.shape[1]))))
-            self.table[self.filled : end] = self.model.scores(self.new)
+            for a in range(0, len(self.new), NEW_WORDS):
+                some = self.new[a : a + NEW_WORDS]
+                self.table[self.filled + a : self.filled + a + len(some)] = self.model.scores(some)
             self.filled = end
             self.new.clear()
         out, a = [], 0
@@ -267,7 +272,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("language")
         labeller = Labeller(shared.value)
-        for batch in batches:
+        for batch in few_rows(batches, ROWS):
             if batch.num_rows:
                 langs, scores, spans = zip(*labeller.label(batch.column(1).to_pylist()), strict=True)
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang_pred": pa.array(langs), "score": pa.array(scores, pa.float64()), "spans": pa.array(spans, kinds)})
@@ -286,7 +291,7 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("language")
         labeller = Labeller(shared.value)
-        for batch in batches:
+        for batch in few_rows(batches, ROWS):
             if batch.num_rows:
                 texts = batch.column(0).field(at).to_pylist()
                 yield pa.RecordBatch.from_pydict({"row": batch.column(0), "lang_pred": pa.array([x[0] for x in labeller.label(texts)])})
