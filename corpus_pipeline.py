@@ -11,26 +11,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesaquery.llm import decontaminate, jaccard_join, language_id, packing
-from mesaquery.llm.common import drop, prepare, saved, scratch, swept, table, with_small
+from mesaquery.llm.common import drop, prepare, saved, scratch, swept, table, unused, with_small
 from mesaquery.llm.registry import TOKENIZER
 
-#: A stage's own unique key of each row, as ids can be null or repeated.
-KEY = "_row"
 #: Words that packing keeps for each worker: fewer than alone, as it follows other stages in one executor.
 CACHE_WORDS = 300_000
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with a unique key that stays the same however often they are read: a file's number and the place in it.
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Rows with a unique key, as ids can be null or repeated, and the key's name.
 
-    Rows that don't come from files are saved with their keys.
+    The key stays the same however often the rows are read: a file's number and the place in it. Rows
+    that don't come from files are saved with their keys.
     """
+    key, file, number, place = (unused(docs, x) for x in ("_row", "_file", "_number", "_place"))
     try:
-        placed = docs.withColumn("_file", F.col("_metadata.file_path")).withColumn("_place", F.col("_metadata.row_index"))
+        placed = docs.withColumn(file, F.col("_metadata.file_path")).withColumn(place, F.col("_metadata.row_index"))
     except AnalysisException:
-        return saved(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
-    files = saved(placed.select("_file").distinct().withColumn("_number", F.row_number().over(Window.orderBy("_file")).cast("long")), "files")  # a row for each file
-    return with_small(placed, files, ["_file"], "inner").withColumn(KEY, F.col("_number") * (1 << 40) + F.col("_place")).drop("_file", "_number", "_place")
+        return saved(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+    files = saved(placed.select(file).distinct().withColumn(number, F.row_number().over(Window.orderBy(file)).cast("long")), "files")  # a row for each file
+    return with_small(placed, files, [file], "inner").withColumn(key, F.col(number) * (1 << 40) + F.col(place)).drop(file, number, place), key
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,18 +46,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     It's the one of the smallest id; null ids come last.
     """
     prepare(spark)
-    keyed = _keyed(docs)
-    groups = jaccard_join.similar_groups(keyed, n=5, percent=80, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id")
-    groups = saved(groups, "groups")
-    sizes = groups.groupBy("component_id").agg(F.count("*").alias("rows")).where("rows > 1").select("component_id")
-    several = saved(sizes, "several")
+    keyed, key = _keyed(docs)
+    rows = keyed.select(F.col(key).alias("row"), "doc_id", "text")
+    groups = saved(jaccard_join.similar_groups(rows.select("row", "text"), n=5, percent=80, id_col="row").select(F.col("doc_id").alias("row"), "component_id"), "groups")
+    several = saved(groups.groupBy("component_id").agg(F.count("*").alias("rows")).where("rows > 1").select("component_id"), "several")
     of_several = saved(with_small(groups, several, ["component_id"], "inner"), "of-several")
-    named = saved(with_small(keyed.select(KEY, "doc_id"), of_several, [KEY], "inner"), "named")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY))[KEY].alias(KEY))
-    first = saved(first.select(KEY), "first")
-    rejected = saved(with_small(named.select(KEY), first, [KEY], "left_anti"), "rejected")
+    named = saved(with_small(rows.select("row", "doc_id"), of_several, ["row"], "inner"), "named")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("row"))
+    first = saved(first.select("row"), "first")
+    rejected = saved(with_small(named.select("row"), first, ["row"], "left_anti").withColumnRenamed("row", key), "rejected")
     drop(groups, several, of_several, named, first)
-    return with_small(keyed, rejected, [KEY], "left_anti").drop(KEY)
+    return with_small(keyed, rejected, [key], "left_anti").drop(key)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

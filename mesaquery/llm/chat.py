@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mesaquery.llm.common import saved
+from mesaquery.llm.common import drop, saved
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Control strings of this and other common templates.
@@ -72,9 +72,11 @@ def paths(nodes: DataFrame, best: int | None = None) -> DataFrame:
     step = 1
     # On a cycle pointers never end; nothing above it is a leaf's path longer than all nodes.
     while not up.isEmpty() and step <= 1 << 40:
-        path = saved(path.union(path.join(up, "node").select("leaf", (F.col("dist") + step).alias("dist"), F.col("above").alias("node"))), "paths")
-        up = saved(up.join(up.select(F.col("node").alias("above"), F.col("above").alias("next")), "above").where("node <> next").select("node", F.col("next").alias("above")), "up")
-        step *= 2
+        longer = saved(path.union(path.join(up, "node").select("leaf", (F.col("dist") + step).alias("dist"), F.col("above").alias("node"))), "paths")
+        higher = saved(up.join(up.select(F.col("node").alias("above"), F.col("above").alias("next")), "above").where("node <> next").select("node", F.col("next").alias("above")), "up")
+        drop(path, up)
+        path, up, step = longer, higher, step * 2
+    drop(up)
     scored = path.join(nodes.select("node", "score"), "node")
     of_leaf = scored.groupBy("leaf").agg(F.sum("score").alias("total"), F.max("dist").alias("depth"))
     roots = path.select("leaf", F.col("dist").alias("depth"), F.col("node").alias("root"))

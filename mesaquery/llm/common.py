@@ -135,6 +135,14 @@ def swept(spark: SparkSession) -> Iterator[None]:
             _delete(spark, path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have: ``name``, with underscores added if need be."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_small(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int | None = None) -> DataFrame:
     """Join that broadcasts ``right`` only if its counted rows are few, and else shuffles.
 

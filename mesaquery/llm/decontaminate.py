@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mesaquery.llm.common import drop, saved, with_small
+from mesaquery.llm.common import drop, saved, unused, with_small
 
 SIZE, K = 13, 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -171,7 +171,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
 def without_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose texts aren't contaminated."""
     verdict = contaminated_texts(docs, benchmark, text_col=text_col)
-    key = "_text_md5"
+    key = unused(docs, "_text_md5")
     marked = docs.withColumn(key, F.md5(F.col(text_col).cast("binary")))
     return with_small(marked, verdict.where("contaminated").select(F.col("key").alias(key)), [key], "left_anti").drop(key)
 

@@ -297,6 +297,110 @@ def test_reply_trees(spark):
     assert chat.format_trees(nodes, best=1).where("rank > 1").count() == 0
 
 
+def brute_paths(nodes):
+    """(root, texts) of every leaf's path, ranked by the sum of scores and then the leaf."""
+    known = {n: (p, role, text, score) for n, p, role, text, score in nodes}
+    parents = {p for n, (p, *_) in known.items() if p in known and p != n}
+    out = []
+    for leaf in set(known) - parents:
+        path = [leaf]
+        while (up := known[path[-1]][0]) in known and up != path[-1]:
+            path.append(up)
+        out.append((path[-1], -sum(known[n][3] or 0 for n in path), leaf, [known[n][1:3] for n in reversed(path)]))
+    return out
+
+
+def test_reply_trees_equal_brute_force(spark):
+    """Random trees with ties, missing parents, null scores, roles and texts, and columns of inner names."""
+    rng = random.Random(9)
+    nodes = []
+    for tree in range(8):
+        for i in range(rng.choice([1, 2, 9, 30])):
+            parent = None if i == 0 else rng.choice([f"{tree}-{rng.randrange(i)}", f"{tree}-{i - 1}", "gone" if rng.random() < 0.1 else f"{tree}-{max(0, i - 1)}"])
+            nodes.append((f"{tree}-{i:02d}".replace("-0", "-") if i < 10 else f"{tree}-{i}", parent, rng.choice(["user", "assistant", None]), rng.choice(["a", "</s>", None, "b\\c"]), rng.choice([0.0, 1.0, None])))
+    rows = spark.createDataFrame([(7, *n, "leaf", 1) for n in nodes], "conv long, node string, parent string, role string, text string, score double, leaf string, dist int")
+    want = collections.defaultdict(list)
+    for root, score, leaf, turns in sorted(brute_paths(nodes), key=lambda x: x[:3]):
+        want[root].append([(r or "", t or "") for r, t in turns])
+    for best in (None, 2):
+        got = collections.defaultdict(list)
+        for r in sorted(chat.format_trees(rows, best).collect(), key=lambda r: r["rank"]):
+            got[tuple(chat.parse_turns(r.formatted)[0]), r["rank"]].append(chat.parse_turns(r.formatted))
+        count = sum(len(v[:best]) for v in want.values())
+        assert sum(map(len, got.values())) == count
+        flat = sorted((rank, t) for (_, rank), v in got.items() for t in v)
+        assert flat == sorted((i + 1, t) for v in want.values() for i, t in enumerate(v[:best]))
+    assert chat.format_trees(rows.limit(0)).count() == 0
+
+
+def test_chat_digests_equal_brute_force(spark):
+    turns = [(1, 0, "system", "s"), (1, 2, "assistant", "B</s>"), (1, 1, "user", None), (2, 5, "assistant", ""), (None, 0, "user", "x"), (None, 1, "assistant", "y\\<s>"), (3, 0, "assistant", "é" * 50_000), (4, 0, "user", "same"), (4, 0, "user", "same")]
+    rows = spark.createDataFrame([(*t, "n", 1) for t in turns], "conv_id long, turn long, role string, text string, node string, score int")
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.digests(chat.format_trees(chat.chains(rows))).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for conv in {t[0] for t in turns}:
+        own = sorted((t[1], t[2], t[3] or "") for t in turns if t[0] == conv)
+        loss = "".join(x for _, role, x in own if role == "assistant")
+        assert got[conv] == (len(own), sha("".join(f"{r}\n{x}\n" for _, r, x in own)), len(loss), sha(loss))
+    assert chat.digests(chat.format_trees(chat.chains(rows.limit(0)))).count() == 0
+
+
+def test_odd_rows_of_pages(spark):
+    """Null ids and urls, repeated rows, columns of inner names and a very long page."""
+    page = lambda i: f"<html><body><nav>m{i}</nav><article><p>text {i}</p></article></body></html>"
+    rows = [(None, None, page(0)), (1, "http://h.org/", page(1)), (1, "http://h.org/", page(1)), (2, "http://h.org/", "<p>" + "word " * 400_000), (3, "nothing", None)]
+    got = sorted((r.page_id or 0, r.text[:9], r.n_chars) for r in html_extract.extract(spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, host string, template string")).collect())
+    assert got == [(0, "text 0", 6), (1, "text 1", 6), (1, "text 1", 6), (2, "word word", 1_999_999), (3, "", 0)]
+
+
+def test_odd_rows_of_languages(spark):
+    """Null ids, repeated rows, columns of inner names, a very long text, and languages that tie."""
+    train = [(i, ("das ist der hund " if i % 2 else "this is the dog ") * 5, "de" if i % 2 else "en") for i in range(60)]
+    rows = [(*t, "x", 1.0, "w") for t in train] + [(None, "das ist der hund", None, "x", 1.0, "w"), (7, "this is the dog", None, "x", 1.0, "w"), (7, "this is the dog", None, "x", 1.0, "w"), (900, "der hund ist das " * 100_000, None, "x", 1.0, "w"), (901, None, "en", "x", 1.0, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double, row string")
+    got = language_id.languages_of(docs).collect()
+    assert len(got) == len(rows)
+    assert [r.lang_pred for r in got if r.doc_id is None] == ["de"] and {r.lang_pred for r in got if r.doc_id == 900} == {"de"} and [(r.lang_pred, r.score) for r in got if r.doc_id == 901] == [("und", 0.0)]
+    assert collections.Counter(r.lang_pred for r in got if r.doc_id == 7) == {"en": 2, "de": 1}
+    kept = language_id.identified(docs, language_id.fit(docs)).select("row.*")
+    assert kept.columns == docs.columns and kept.count() == len(rows)
+    same = spark.createDataFrame([(1, "abc", "b"), (2, "abc", "a")], "doc_id long, text string, lang string")
+    assert {x[0] for x in language_id.Labeller(language_id.fit(same)).label(["abc", "zzz"])} == {"a"}
+
+
+def test_long_texts(spark):
+    """Of a million words and more: exact in every operator on documents."""
+    rng = random.Random(1)
+    long = " ".join(rng.choices([f"w{i}" for i in range(3000)], k=400_000))
+    rows = [(1, long, "x"), (2, long + " tail", "x"), (3, "short text", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    assert [r.component_id for r in jaccard_join.similar_groups(docs).orderBy("doc_id").collect()] == [1, 1, 3]
+    item = " ".join(long.split()[200_000:200_030])
+    hit = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.find_contamination(docs, spark.createDataFrame([(9, item)], "item_id long, text string")).collect()}
+    assert hit == {1: (400_000, 30, 1), 2: (400_001, 30, 1), 3: (2, 0, 0)}
+    ids = tokens.word_ids(registry.TOKENIZER).tokenizer.encode(long, add_special_tokens=False).ids
+    assert {r.doc_id: r.n_tokens for r in token_files.token_files_query(spark, docs, registry.TOKENIZER).collect()}[1] == len(ids) + 1
+    packed = packing.pack(docs, registry.TOKENIZER).where("doc_id = 1").collect()
+    assert sum(r.length for r in packed) == len(ids) + 1 and max(r.length for r in packed) == 2048
+    scores = {r.doc_id: r for r in lm_scoring.scored(docs, spark.createDataFrame([(2, 1)], "doc_id long, quality int")).collect()}
+    assert scores[1].n_tokens == 400_000 and scores[1].score < 0
+
+
+def test_jaccard_combinations_of_three():
+    rng = np.random.default_rng(6)
+    weight = np.full(jaccard_join.CELLS, 9, np.int64)
+    shared = 0
+    for _ in range(150):
+        n = int(rng.integers(4, 120))
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) > 0.08], rng.integers(0, 1 << 63, int(n * 0.05), dtype=np.uint64))))
+        both = len(np.intersect1d(a, b))
+        if len(b) > 1 and 100 * both >= 85 * (len(a) + len(b) - both) and not np.array_equal(a, b):
+            shared += 1
+            assert np.intersect1d(jaccard_join.signatures_of(a, weight, 5, 85, 3), jaccard_join.signatures_of(b, weight, 5, 85, 3)).size
+    assert shared > 40
+
+
 def test_url_filter(spark):
     urls = ["http://a.NET/es/1", "http://www.example.com/en/1", "https://example.com/en/x?q", "http://casino-win.org/", "http://notnet/es/", "nothing", None, "http://freebetscasino.org", "http://scienceforum.org/x#y"]
     rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
@@ -501,6 +605,27 @@ def test_pipeline_near_duplicates_by_five_words_and_four_fifths(spark):
     assert got == {i for i, c in first.items() if i == c} and not {101, 111} & got and 102 in got
 
 
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Each stage on empty, null and repeated rows with columns of inner names; the whole on an empty table."""
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string, component_id long, _row string, lang_pred string"
+    rows = [(1, "the thing of and with that this", "en", "s", 1, "k", 2, "r", "l")] * 2 + [(None, None, None, None, None, None, None, None, None), (None, "", "en", "s", 0, "k", 2, "r", "l"), (2, "the thing of and with that this", "en", "s", 1, "k", 2, "r", "l")]
+    odd, none = spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, none, DATA).columns == none.columns and stage(spark, none, DATA).count() == 0
+        kept = stage(spark, odd, DATA)
+        assert kept.columns == odd.columns
+        n = {"language_id": 3, "jaccard_join": 3, "decontaminate": 5}[name]
+        assert kept.count() == n, name
+    assert corpus_pipeline.packed(spark, odd, DATA).count() == 5
+    none.write.parquet(str(tmp_path / "documents.parquet"))
+    common.table(spark, DATA, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
+    before = len(common._paths)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    assert len(common._paths) == before + 1  # the last stage's output alone is left
+
+
 def test_pipeline_keeps_mixed_languages(spark):
     import corpus_pipeline
 
