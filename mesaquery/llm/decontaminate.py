@@ -34,8 +34,6 @@ from mesaquery.llm.common import drop, saved, unused, with_small
 SIZE, K = 13, 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A word before it is lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -161,7 +159,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     verdict = contaminated_texts(docs, benchmark, size, k, share, text_col, item_col, item_text_col)
     text = F.col(text_col)
-    n_words = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+    n_words = F.size(words(text)).cast("long")
     counted = docs.select(F.col(id_col).alias("doc_id"), n_words.alias("n_words"), F.md5(text.cast("binary")).alias("key"))
     judged = with_small(counted, verdict, ["key"], "left")
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_hit", "n_items")]
