@@ -15,6 +15,16 @@ def left_default(left: DataFrame, right: DataFrame, key: str, defaults: Mapping[
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
+def items_of(items: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    """Items with their parent's columns; items without a parent are dropped."""
+    return items.join(parents, key)
+
+
+def with_positions(rows: DataFrame, values: str, value: str) -> DataFrame:
+    """A row for each entry of an array, with its place from 0."""
+    return rows.select(*[c for c in rows.columns if c != values], F.posexplode(values).alias("pos", value))
+
+
 def one_per_key(rows: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
     """key and the value of the key's first row in an order: what a scalar look-up may return."""
     return rows.groupBy(key).agg(F.min_by(value, F.struct(*order)).alias(value))

@@ -510,3 +510,69 @@ def map_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "customer").withColumn("slug", F.col("c_custkey").cast("string"))
     return facets.first_match(rows, "slug", "c_name", "c_custkey", "#00000001").select("c_custkey", "c_name")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def items_of_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    return tables.items_of(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), orders, "l_orderkey")
+
+
+@query("SELECT p_partkey, unnest(range(len(w))) AS pos, unnest(w) AS word FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)")
+def positions_in_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tables.with_positions(load(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("words")), "words", "word")
+    return found.withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN 'pin' || o_orderkey END, o_orderpriority) AS o_orderpriority FROM orders")
+def pinned_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pinned values go before found ones."""
+    found = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    pins = found.where("o_orderkey % 3 = 0").select("o_orderkey", F.concat(F.lit("pin"), F.col("o_orderkey").cast("string")).alias("o_orderpriority"))
+    return resolve.overridden(found, pins, "o_orderkey", "o_orderpriority")
+
+
+@query("SELECT CASE o_orderstatus WHEN 'O' THEN 'table' ELSE 'review' END AS goes_to, count(*) AS n FROM orders WHERE o_orderstatus IN ('O', 'F') GROUP BY 1")
+def quarantined_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched rows go to the table, doubtful ones to review, others nowhere."""
+    rows = load(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "O", "matched").when(F.col("o_orderstatus") == "F", "review").alias("status"))
+    sure, doubtful = resolve.quarantined(rows)
+    return tables.counts(tables.bag_union(sure.select(F.lit("table").alias("goes_to")), doubtful.select(F.lit("review").alias("goes_to"))), ["goes_to"])
+
+
+@query("""WITH h AS (SELECT user_id, event_type AS tag, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS confidence, CASE WHEN event_id % 2 = 0 THEN 'item' ELSE 'raw_text' END AS source, 'm' || event_id AS matched FROM events)
+SELECT user_id, tag, matched FROM h QUALIFY row_number() OVER (PARTITION BY user_id, tag ORDER BY confidence <> 'high', source <> 'item', length(matched), matched) = 1""")
+def representative_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = load(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("tag"), F.when(F.col("value") > 50, "high").otherwise("low").alias("confidence"), F.when(F.col("event_id") % 2 == 0, "item").otherwise("raw_text").alias("source"), F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("matched"))
+    return tagging.representative(hits, "user_id").select("user_id", "tag", "matched")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_custkey % 13 WHEN c_custkey % 4 = 1 THEN least(c_custkey % 13, c_custkey % 7) END AS chosen, c_custkey % 5 AS nearest FROM customer")
+def walk_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least minutes over chosen lines, or the nearest station's."""
+    k = F.col("c_custkey")
+    routes = F.when(k % 4 == 0, F.create_map(F.lit("4"), k % 13)).when(k % 4 == 1, F.create_map(F.lit("4"), k % 13, F.lit("6"), k % 7)).otherwise(F.create_map(F.lit("A"), k % 3))
+    return load(spark, sf_dir, "customer").select("c_custkey", facets.walk_key(routes, k % 5, ("4", "6")).alias("chosen"), facets.walk_key(routes, k % 5).alias("nearest"))
+
+
+@query("SELECT c_custkey, 'http://a.com/menu/' || c_custkey || ' http://a.com/dining' || CASE WHEN c_custkey % 2 = 0 THEN '' ELSE '/x' END AS pages, 'http://b.com/menu.pdf' AS files FROM customer")
+def ranked_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    hrefs = F.array(F.when(k % 2 == 0, "http://a.com/dining").otherwise("http://a.com/dining/x"), F.concat(F.lit("http://a.com/menu/"), k.cast("string"), F.lit("#")), F.lit("http://b.com/menu"), F.lit("http://b.com/menu.pdf"), F.lit("http://a.com/menu-jobs"), F.lit("mailto:menu"))
+    found = text.ranked_links(hrefs, F.lit("http://a.com/"), "menu|din", "jobs", "menu")
+    return load(spark, sf_dir, "customer").select("c_custkey", F.array_join(found["pages"], " ").alias("pages"), F.array_join(found["files"], " ").alias("files"))
+
+
+@query(r"SELECT doc_id, md5(lower(strip_accents(replace(replace(text, '’', ''''), '–', '-')))) AS folded, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS cleaned FROM documents")
+def text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folded and cleaned forms of texts in several languages."""
+    return load(spark, sf_dir, "documents").select("doc_id", F.md5(text.fold(F.col("text"))).alias("folded"), F.md5(text.clean(F.col("text"))).alias("cleaned"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey % 100 END AS rank, CASE WHEN c_custkey % 2 = 0 THEN 'Mon - Fri: 9am - 5:30pm|Sat 10 am to 4 pm' ELSE '' END AS hours, CASE WHEN c_custkey % 2 = 0 THEN 'Mo ' || c_custkey ELSE '' END AS listed FROM customer")
+def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of notes, and opening hours of texts and of JSON-LD."""
+    k = F.col("c_custkey")
+    notes = F.when(k % 3 == 0, "Rank 5").otherwise(F.concat(F.lit("it is ranked No. "), (k % 100).cast("string"), F.lit(" of 100")))
+    body = F.when(k % 2 == 0, F.concat(F.lit('<script type="application/ld+json">{"@graph": [{"openingHours": "Mo '), k.cast("string"), F.lit('"}]}</script><p>Mon - Fri: 9am - 5:30pm</p><b>Mon - Fri: 9am - 5:30pm</b> Sat 10 am to 4 pm'))).otherwise("<p>Mon</p>")
+    return load(spark, sf_dir, "customer").select("c_custkey", text.listed_rank(notes).cast("long").alias("rank"), F.array_join(text.hours_in_text(body), "|").alias("hours"), F.array_join(text.opening_hours(body), "|").alias("listed"))
