@@ -43,11 +43,11 @@ def end_of_labels(labels: Column, year: int) -> Column:
     month = r"([a-z]{3,9})\.?\s*"
     pattern = rf"week\s+\d+\s*\(\s*{month}\d{{1,2}}\s*[{DASHES}]\s*(?:{month})?(\d{{1,2}})\s*\)"
     name = F.coalesce(F.nullif(F.regexp_extract(last, pattern, 2), F.lit("")), F.regexp_extract(last, pattern, 1))
-    number = {name: i for i, full in enumerate(MONTHS, 1) for name in (full, full[:3])} | {"sept": 9}
-    month_ = F.try_element_at(F.create_map(*[F.lit(x) for pair in number.items() for x in pair]), name)
+    short = F.when(name == "sept", "sep").otherwise(name)
+    place = F.array_position(F.array(*[F.lit(x) for n in (None, 3) for x in (m[:n] for m in MONTHS)]), short)
     day = F.regexp_extract(last, pattern, 3)
-    text = F.concat_ws("-", F.lit(str(year)), F.lpad(month_.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(month_.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
+    text = F.concat_ws("-", F.lit(str(year)), F.lpad(((place - 1) % 12 + 1).cast("string"), 2, "0"), F.lpad(day, 2, "0"))
+    return F.when(place > 0, F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def end_date(listed: Column, verified: Column, source: Column) -> Column:
