@@ -13,9 +13,10 @@ a join, so that each name has the counts of what can make it up, and each distin
 weighed once. An unknown string of n letters costs as much as in a uniform model of its length, so
 that names are kept whole unless known words explain them.
 
-Naive Bayes has add-one smoothing over the words of labelled URLs; other words tell nothing. The
-prior is the share of blocked ones among labelled URLs, with ``PRIOR_WEIGHT`` URLs more of which
-``PRIOR`` are blocked. An URL is blocked at a posterior probability over one half.
+Naive Bayes has add-one smoothing over the words of labelled URLs; other words tell nothing, and
+neither do those of the rules themselves: a rule's host and path are in all URLs that it labels, which
+says something of the rule and nothing of other URLs. For the same reason the prior ``PRIOR`` is a
+parameter, not the labels' share. An URL is blocked at a posterior probability over one half.
 
 Defined results: a null URL or one without ``://`` has an empty host and path; an URL without a word
 of a labelled one is allowed; null ids stay null; repeated rows are judged and learnt from each; an
@@ -25,7 +26,8 @@ empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
+import re
+from collections.abc import Collection, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -46,8 +48,8 @@ ALLOWED = {w: 8 for w in ORDINARY}
 SHORT_WORD = 3
 #: Substrings that a worker hands on at once: a bound on memory.
 PART_SUBSTRINGS = 50_000
-#: Share of unwanted URLs, and how many labelled ones that counts as.
-PRIOR, PRIOR_WEIGHT = 0.1, 100
+#: Share of unwanted URLs.
+PRIOR = 0.1
 
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -110,10 +112,11 @@ def fit(urls: DataFrame, known: frozenset[str]) -> tuple[DataFrame, Words]:
     return words, Words(counted + labelled * len(known), labelled, max(longest, *map(len, known)) if known else longest, known)
 
 
-def learnt(seen: DataFrame, segments: DataFrame, blocked: Mapping[str, int], allowed: Mapping[str, int]) -> DataFrame:
+def learnt(seen: DataFrame, segments: DataFrame, blocked: Mapping[str, int], allowed: Mapping[str, int], ignored: Collection[str] = ()) -> DataFrame:
     """(word, odds): the log-odds that a word adds, from names (name, block, allow) of labelled URLs."""
     spark = seen.sparkSession
     words = with_small(seen, segments.select("name", "words"), ["name"], "inner").select(F.explode("words").alias("word"), "block", "allow")
+    words = words.where(~F.col("word").isin(*ignored)) if ignored else words
     own = [(w, blocked.get(w, 0), allowed.get(w, 0)) for w in sorted({*blocked, *allowed})]
     given = words.union(spark.createDataFrame(own, "word string, block long, allow long")) if own else words
     counts = saved(given.groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "labelled")
@@ -164,17 +167,16 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id"
 
     names = rows.select("row", "verdict", F.posexplode("names").alias("at", "name"))
     segments = segments_of(saved(names.select("name").distinct(), "names"), counts, model)
-    n_block, n_allow = rows.agg(F.count_if(F.col("verdict") == "block"), F.count_if(F.col("verdict") == "allow")).first()
-    prior = (n_block + PRIOR * PRIOR_WEIGHT) / (n_block + n_allow + PRIOR_WEIGHT)
+    of_rules = sorted({w for _, h, p in rules for w in re.findall("[a-z]+", f"{h}/{p}".lower())})
     seen = names.where("verdict IS NOT NULL").groupBy("name").agg(F.count_if(F.col("verdict") == "block").alias("block"), F.count_if(F.col("verdict") == "allow").alias("allow"))
-    odds = learnt(seen, segments, blocked, allowed)
+    odds = learnt(seen, segments, blocked, allowed, of_rules)
     weighed = with_small(segments.select("name", F.explode("words").alias("word")), odds, ["word"], "inner").groupBy("name").agg(F.sum("odds").alias("odds"))
     weighed = saved(segments.join(weighed, "name", "left"), "weighed")
 
     open_ = with_small(names.where("verdict IS NULL").drop("verdict"), weighed, ["name"], "inner")
     judged = open_.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words"), F.sum("odds").alias("odds"))
     whole = rows.join(judged, "row", "left")
-    score = F.when(F.col("verdict").isNull(), F.when(F.col("odds").isNull(), F.lit(prior)).otherwise(1 / (1 + F.exp(-(F.col("odds") + math.log(prior / (1 - prior)))))))
+    score = F.when(F.col("verdict").isNull(), F.when(F.col("odds").isNull(), F.lit(PRIOR)).otherwise(1 / (1 + F.exp(-(F.col("odds") + math.log(PRIOR / (1 - PRIOR)))))))
     by_method = F.when(F.col("odds").isNotNull() & (score > 0.5), "block").otherwise("allow")
     words = F.when(F.col("verdict").isNull(), F.coalesce("words", F.array().cast("array<string>")))
     return whole.select("page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), words.alias("words"), score.alias("score"))
