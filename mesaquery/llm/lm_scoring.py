@@ -198,6 +198,8 @@ def _replies(requests: DataFrame) -> DataFrame:
             at = np.cumsum([0, *map(len, asked)])
             back.append([_packed(sums[:, a:b].ravel()) for a, b in zip(at[:-1], at[1:], strict=True)])
             distinct.append(len(keys))
+            del asked, n, keys, of, sums
+        give_back()
         columns = ([*chunks, None], [part] * (len(chunks) + 1), [0] * len(chunks) + distinct[:1], [*back[0], None], [*back[1], None])
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
         return pa.table({n: pa.array(x, k) for n, x, k in zip(("chunk", "part", "n_words", "words", "pairs"), columns, kinds, strict=True)})
