@@ -126,3 +126,14 @@ def chains(conversations: DataFrame) -> DataFrame:
     node = lambda n: F.concat_ws("/", F.coalesce(F.col("conv").cast("string"), F.lit("-")), n.cast("string"))
     rows = rows.withColumn("at", at)
     return rows.select("conv", node(F.col("at")).alias("node"), F.when(F.col("at") > 1, node(F.col("at") - 1)).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
+
+
+#: The digests of conversations as chains, and of one whose texts are control strings.
+ORACLE_SQL = r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+x AS (SELECT conv_id, turn, role, coalesce(role, '') AS r, coalesce(text, '') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i FROM c),
+n AS (SELECT *, length(r) + length(t) + len(regexp_extract_all(r || chr(10) || t, '\\|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) + length(r) - length(replace(r, chr(10), '')) + 24 AS chars FROM x)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY i)) AS turns_sha256,
+ CAST(coalesce(sum(length(t)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(t, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM n GROUP BY conv_id
+"""

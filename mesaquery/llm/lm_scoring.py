@@ -267,3 +267,29 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("_good", F.lit(True))
     marked = with_small(docs.select("doc_id", "text"), good, ["doc_id"], "left")
     return score(marked, F.coalesce("_good", F.lit(False)))
+
+
+def _loss_sql(side: str) -> str:
+    alone = f"(k{side} * u.{side} + 0.5) / (k{side} * a.{side} + 0.5 * (v + 1))"
+    return f"-ln(CASE WHEN u.prev IS NULL THEN {alone} ELSE (k{side} * u.p{side} + {alone}) / (k{side} * u.q{side} + 1) END)"
+
+
+#: Both models on documents and labels: t of the target, b of the background; words are as the operator's.
+ORACLE_SQL = rf"""
+WITH g AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+d AS (SELECT row_number() OVER () AS rid, d.doc_id, CAST(g.doc_id IS NOT NULL AS INTEGER) AS good, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id),
+t AS (SELECT rid, good, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+b AS (SELECT rid, good, word, lag(word) OVER (PARTITION BY rid ORDER BY i) AS prev FROM t),
+n AS (SELECT sum(good) AS t, sum(1 - good) AS b, count(DISTINCT word) AS v FROM t),
+k AS (SELECT v, CASE WHEN t > 0 THEN CASE WHEN b > 0 THEN least(t, b) ELSE t END / t::DOUBLE ELSE 1 END AS kt, CASE WHEN b > 0 THEN CASE WHEN t > 0 THEN least(t, b) ELSE b END / b::DOUBLE ELSE 1 END AS kb FROM n),
+u1 AS (SELECT word, sum(good) AS t, sum(1 - good) AS b FROM t GROUP BY word),
+u2 AS (SELECT prev, word, sum(good) AS t, sum(1 - good) AS b FROM b WHERE prev IS NOT NULL GROUP BY prev, word),
+o1 AS (SELECT rid, word, count(*) AS n FROM t GROUP BY rid, word),
+o2 AS (SELECT rid, prev, word, count(*) AS n FROM b WHERE prev IS NOT NULL GROUP BY rid, prev, word),
+a AS (SELECT rid, n.t - good * len(w) AS t, n.b - (1 - good) * len(w) AS b FROM d, n),
+u AS (SELECT b.rid, b.prev, w.t - good * ow.n AS t, w.b - (1 - good) * ow.n AS b, q.t - good * oq.n AS qt, q.b - (1 - good) * oq.n AS qb, p.t - good * op.n AS pt, p.b - (1 - good) * op.n AS pb
+ FROM b JOIN u1 w ON w.word = b.word JOIN o1 ow ON ow.rid = b.rid AND ow.word = b.word LEFT JOIN u1 q ON q.word = b.prev LEFT JOIN o1 oq ON oq.rid = b.rid AND oq.word = b.prev
+ LEFT JOIN u2 p ON p.prev = b.prev AND p.word = b.word LEFT JOIN o2 op ON op.rid = b.rid AND op.prev = b.prev AND op.word = b.word),
+l AS (SELECT u.rid, avg({_loss_sql("t")}) AS t, avg({_loss_sql("b")}) AS b FROM u JOIN a ON a.rid = u.rid, k GROUP BY u.rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, round(l.t, 6) AS target_loss, round(l.b, 6) AS background_loss, round(l.t - l.b, 6) AS score FROM d LEFT JOIN l ON l.rid = d.rid
+"""

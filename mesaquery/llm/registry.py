@@ -49,7 +49,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scores = lm_scoring.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.withColumns({c: F.round(c, 6) for c in ("target_loss", "background_loss", "score")})
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.ORACLE_SQL, "op8_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard_join.ORACLE_SQL}
+    return {"op3_decontaminate": decontaminate.ORACLE_SQL, "op5_chat_format": chat.ORACLE_SQL, "op7_lm_scoring": lm_scoring.ORACLE_SQL, "op8_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard_join.ORACLE_SQL}
