@@ -2,13 +2,17 @@
 
 The tokenizer's splitting pattern never crosses white space and its normaliser composes nothing
 across it, so that the ids of a text are those of its white-space-separated words in a row. Only
-words that a worker hasn't met yet go through the tokenizer itself, many at a time with a separator
-between them whose id no other text gives. Probes tell whether a tokenizer is of this kind; one that
+words that a worker hasn't met yet go through the tokenizer itself, many at a time: words of letters
+alone by themselves where the vocabulary marks a word's last id, and others with a separator between
+them whose id no other text gives. Where the tokenizer parts letters from punctuation, a word with
+punctuation behind its letters is put together from the two. Probes tell whether a tokenizer is of this kind; one that
 isn't, as it glues white space to words, gets whole texts.
 """
 
 from __future__ import annotations
 
+import string
+import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -24,6 +28,8 @@ ROWS = 256
 #: Words that are encoded as one text, with a separator in between.
 JOINED = 128
 _SEPARATOR, _PROBE = "\x00", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: An apostrophe can belong to the letters after it.
+_PUNCTUATION = string.punctuation.replace("'", "")
 _PROBES = ("one", "Two", "3", "...", "don't", "é.", "x1y", "\u0301", "\u4e16", "the", "</s>", "\U0001f600")
 
 
@@ -39,13 +45,27 @@ class WordIds:
         self.separator = self._ids([_SEPARATOR])[0]
         each = [*chain.from_iterable(self._ids([*_PROBES]))]
         self.by_words = all(ids == each for ids in self._ids([f"{s}{s.join(_PROBES)}{s}" for s in (" ", "\t", "\n", "\r", "\x0b", "\x0c", " \n ")]))
+        parts = [("one", "."), ("\u00e9t\u00e9", "***"), ("\u4e16", "!?"), ("the", "&&&"), ("Two", ")"), ("a", "_"), ("on", "---")]
+        whole = self._ids([a + b for a, b in parts])
+        self.by_parts = all(x == y + z for x, (y, z) in zip(whole, (self._ids([*p]) for p in parts), strict=True))
         self.cache_words = cache_words
+        self.last = self._last_ids()
         self._reset()
 
+    def _last_ids(self) -> np.ndarray | None:
+        """Which ids end a word, where the vocabulary has a mark for that."""
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not mark:
+            return None
+        vocabulary = self.tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        return ends
+
     def _reset(self) -> None:
         self.new: list[bytes] = []
         self.index = _Index(self.new)
-        self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.ids, self.first, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids start (one more entry than texts)."""
@@ -59,9 +79,7 @@ class WordIds:
         n_words = np.fromiter(map(len, words), np.int64, len(words))
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
         self._learn()
-        first, n_ids = self.ends[at], self.ends[at + 1] - self.ends[at]
-        stops = np.concatenate(([0], np.cumsum(n_ids)))
-        flat = self.ids[np.repeat(first - stops[:-1], n_ids) + np.arange(stops[-1])]
+        flat, stops = self._gathered(at)
         return flat, stops[np.concatenate(([0], np.cumsum(n_words)))]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -71,23 +89,62 @@ class WordIds:
     def _learn(self) -> None:
         if not self.new:
             return
-        words = [w.decode() for w in self.new]
-        self.new.clear()
-        flat: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
-        for group, ids in zip(groups, self._ids([f" {_SEPARATOR} ".join(g) for g in groups]), strict=True):
-            got = np.array(ids, np.uint32)
-            cuts = np.flatnonzero(got == self.separator[0]) if len(self.separator) == 1 else np.empty(0, np.int64)
-            if len(cuts) != len(group) - 1:  # a word holds the separator, or it isn't one id
-                alone = self._ids(group)
-                flat.append(np.array([*chain.from_iterable(alone)], np.uint32))
-                counts.append(np.array([*map(len, alone)], np.int64))
+        known, words, plain, other, joined = len(self.first), [], [], [], []
+        for i, raw in enumerate(self.new):  # which grows by the parts of words
+            word = raw.decode()
+            words.append(word)
+            if self.last is not None and word.isalpha():
+                plain.append(i)
+            elif self.by_parts and (cut := _letters(word)):
+                joined.append((i, self.index[raw[:cut]], self.index[raw[cut:]]))
             else:
-                flat.append(np.delete(got, cuts))
-                counts.append(np.diff(np.concatenate(([-1], cuts, [len(got)]))) - 1)
+                other.append(i)
+        self.new.clear()
+        order, flat, counts = [], [], []
+        for numbers, between in ((plain, " "), (other, f" {_SEPARATOR} ")):
+            groups = [np.array(numbers[i : i + JOINED]) for i in range(0, len(numbers), JOINED)]
+            for group, ids in zip(groups, self._ids([between.join(words[i] for i in g) for g in groups]), strict=True):
+                got = np.array(ids, np.uint32)
+                order.append(group)
+                if between == " " and len(cuts := np.flatnonzero(self.last[got]) + 1) == len(group):
+                    flat.append(got)  # each word has an end, and there are no more
+                    counts.append(np.diff(cuts, prepend=0))
+                elif between != " " and len(self.separator) == 1 and len(cuts := np.flatnonzero(got == self.separator[0])) == len(group) - 1:
+                    flat.append(np.delete(got, cuts))
+                    counts.append(np.diff(np.concatenate(([-1], cuts, [len(got)]))) - 1)
+                else:  # a word holds the separator, or it isn't one id
+                    alone = self._ids([words[i] for i in group])
+                    flat.append(np.array([*chain.from_iterable(alone)], np.uint32))
+                    counts.append(np.array([*map(len, alone)], np.int64))
+        place, sizes = np.concatenate(order), np.concatenate(counts)
+        first, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        first[place], size[place] = len(self.ids) + np.cumsum(sizes) - sizes, sizes
         self.ids = np.concatenate((self.ids, *flat))
-        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(np.concatenate(counts))))
+        self.first, self.size = np.concatenate((self.first, first)), np.concatenate((self.size, size))
+        if joined:
+            place, *parts = np.array(joined, np.int64).T
+            flat, stops = self._gathered(np.stack(parts, axis=1).ravel())
+            self.first[known + place], self.size[known + place] = len(self.ids) + stops[:-1:2], stops[2::2] - stops[:-1:2]
+            self.ids = np.concatenate((self.ids, flat))
+
+    def _gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known words in a row, by their numbers, and where each one's start (one more entry than words)."""
+        first, n_ids = self.first[at], self.size[at]
+        stops = np.concatenate(([0], np.cumsum(n_ids)))
+        return self.ids[np.repeat(first - stops[:-1], n_ids) + np.arange(stops[-1])], stops
+
+
+def _letters(word: str) -> int:
+    """How many bytes of letters come before punctuation that is all the rest; 0 if it isn't so.
+
+    Letters that the tokenizer's normal form or lower case would part into a letter and a mark don't count.
+    """
+    stem = word.rstrip(_PUNCTUATION)
+    if not stem or len(stem) == len(word) or not stem.isalpha():
+        return 0
+    if stem.isascii():
+        return len(stem)
+    return len(stem.encode()) if unicodedata.is_normalized("NFC", word) and stem.lower().isalpha() else 0
 
 
 class _Index(dict):

@@ -169,6 +169,19 @@ def test_word_ids_equal_the_tokenizer(texts):
         assert flat[stops[i] : stops[i + 1]].tolist() == words.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_word_ids_of_words_with_punctuation():
+    words = tokens.WordIds(registry.TOKENIZER)
+    assert words.by_parts and words.last is not None
+    texts = ["\u0130. \u0130 \u0958. \u0958 e\u0301. e\u0301 \u00e9*** don't. don't word) x1. a_ \u017f. \u00df! \u1e9e? (607) a's! it's. \u4e16\u754c!? ...", "a. a.. a... b.a. <|endoftext|> x<|endoftext|>. </s>", "\ufb01. \u212b! \u01c5. \u1fb3? \u0345."]
+    singles = [w for t in texts for w in t.split()]
+    rng = random.Random(8)
+    letters = [chr(c) for c in (*range(97, 123), 0xE9, 0xDF, 0x130, 0x958, 0x301, 0x1E9E, 0x4E16, 0x1C5, 0x39, 0x27)]
+    singles += ["".join(rng.choices(letters, k=rng.randrange(1, 5))) + "".join(rng.choices("*.)_-'!", k=rng.randrange(3))) for _ in range(3000)]
+    flat, stops = words.encode([t.encode() for t in texts + singles])
+    for i, t in enumerate(texts + singles):
+        assert flat[stops[i] : stops[i + 1]].tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
 def test_word_ids_of_a_tokenizer_that_keeps_spaces():
     import public_tokenizers
 
