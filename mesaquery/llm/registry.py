@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mesaquery.llm import chat, decontaminate, embedding_dedup, html_extract, jaccard_join, language_id, lm_scoring, merkle, packing, token_files, url_filter
+from mesaquery.llm import chat, decontaminate, embedding_dedup, html_extract, jaccard_join, language_id, lm_scoring, merkle, packing, quality, token_files, url_filter, vector_codes
 from mesaquery.llm.common import table
 
 #: The public tokenizer of the two token queries.
@@ -65,10 +65,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=0, capacity=2048)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes_query(table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_query(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,8 +86,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline  # noqa: F401  the pipeline is part of this subpackage: no import, no queries
 
-    return {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_decontaminate, op4_html_extraction, op5_chat_format, op6_language_id, op7_lm_scoring, op8_embedding_dedup, op9_jaccard_join, op10_packing, op12_merkle_manifest, pipeline)}
+    return {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_decontaminate, op4_html_extraction, op5_chat_format, op6_language_id, op7_lm_scoring, op8_embedding_dedup, op9_jaccard_join, op10_packing, op11_vector_codes, op12_merkle_manifest, op13_quality_rules, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.ORACLE_SQL, "op5_chat_format": chat.ORACLE_SQL, "op7_lm_scoring": lm_scoring.ORACLE_SQL, "op8_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard_join.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
+    return {"op3_decontaminate": decontaminate.ORACLE_SQL, "op5_chat_format": chat.ORACLE_SQL, "op7_lm_scoring": lm_scoring.ORACLE_SQL, "op8_embedding_dedup": embedding_dedup.ORACLE_SQL, "op9_jaccard_join": jaccard_join.ORACLE_SQL, "op11_vector_codes": vector_codes.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL, "op13_quality_rules": quality.ORACLE_SQL}
