@@ -186,10 +186,15 @@ def capped_values(counts: DataFrame, cap: int = 12, above: int = 15, chosen: tup
     return ranked.where((F.col("of") <= above) | (F.col("pos") <= cap) | F.col("value").isin(*chosen)).drop("of")
 
 
-def relevance(name: Column, text: str, haystack: Column | None = None) -> Column:
+def relevance_of(low: Column, text: str) -> Column:
+    """``relevance`` of a folded name to a folded text."""
+    prefix = F.exists(F.split(low, "[^a-z0-9']+"), lambda w: F.startswith(w, F.lit(text)))
+    return F.when(low == text, 0).when(F.startswith(low, F.lit(text)), 1).when(prefix, 2).when(F.contains(low, F.lit(text)), 3).otherwise(4)
+
+
+def relevance(name: Column, text: str) -> Column:
     """0 exact, 1 prefix, 2 prefix of a word, 3 within, 4 elsewhere, all of folded texts."""
-    t, low = folded(text), fold(name)
-    return F.when(low == t, 0).when(F.startswith(low, F.lit(t)), 1).when(F.exists(F.split(low, "[^a-z0-9']+"), lambda w: F.startswith(w, F.lit(t))), 2).when(F.contains(low, F.lit(t)), 3).otherwise(4)
+    return relevance_of(fold(name), folded(text))
 
 
 def page_of(rows: DataFrame, sort: Sort, page: int, size: int = 50) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mesaquery.functions.numbers import date_range
+from mesaquery.operators.facets import Sort
 
 
 def date_issue(day: Column, today: Column, closes: Column, saturday: Column, sunday: Column, no_dinner: Column | None = None) -> Column:
@@ -34,9 +35,8 @@ def current_plan(plan: DataFrame, day: str, issue: Column) -> DataFrame:
     return plan.withColumn(day, kept)
 
 
-def plan_order(day: Column, closes: Column) -> list[Column]:
-    """Dated bookings by day; then the others by when they close, the open-ended last."""
-    return [day.isNull().asc(), day.asc_nulls_last(), closes.asc_nulls_last()]
+#: Dated bookings by day; then the others by when they close, the open-ended last; then by key.
+PLAN_ORDER = Sort((("day", False), ("closes", False), ("slug", False)))
 
 
 def conflicts(plan: DataFrame, day: str) -> DataFrame:

@@ -67,10 +67,14 @@ def _index(names: DataFrame, frequency: DataFrame, name: str, least: float) -> D
     return grams.withColumn("_at", F.row_number().over(order)).where(keep).select(F.col("_name").alias(name), "gram")
 
 
+#: Fixed value: the confidence of a similar name at the same street number.
+SIMILAR = 0.8
+
+
 def by_ratio(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtful: float = 0.85) -> DataFrame:
     """ext, slug, confidence, status of externals by their most similar venue name, the first of equally similar ones.
 
-    matched from ``sure`` on with one venue of the name whose street numbers meet, review from
+    The confidence is ``SIMILAR`` of a match and the ratio of names for review. matched from ``sure`` on with one venue of the name whose street numbers meet, review from
     ``doubtful`` on, else no row. Names meet where they share one of their rarest grams, which finds
     every pair of that ratio, 0.85 at least, without comparing all names with all.
     """
@@ -88,7 +92,7 @@ def by_ratio(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtf
     met = F.coalesce(F.arrays_overlap("streets", "v_streets"), F.lit(False))
     best = externals.join(close, "name").groupBy("ext").agg(F.max_by(F.struct("slug", "ratio", "same", met.alias("met")), F.struct("ratio", (-F.col("pos")).alias("p"))).alias("b"))
     certain = (F.col("b.ratio") >= sure) & (F.col("b.same") == 1) & F.col("b.met")
-    return best.select("ext", F.col("b.slug").alias("slug"), F.col("b.ratio").alias("confidence"), F.when(certain, "matched").otherwise("review").alias("status"))
+    return best.select("ext", F.col("b.slug").alias("slug"), F.when(certain, SIMILAR).otherwise(F.col("b.ratio")).alias("confidence"), F.when(certain, "matched").otherwise("review").alias("status"))
 
 
 def resolve(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtful: float = 0.85) -> DataFrame:

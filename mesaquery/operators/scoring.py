@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 from mesaquery.functions.numbers import ramp, shrink
 
 
+def in_ranges(counts: DataFrame, value: str, parts: int, out: str = "_part") -> DataFrame:
+    """Add the number of the range of values, of about ``parts`` of as many rows each, that a value falls into.
+
+    The ranges' bounds are approximate percentiles, one row that all tasks get; a value is placed by
+    binary search among them, so that equal values share a range.
+    """
+    bounds = counts.agg(F.coalesce(F.approx_percentile(F.col(value).cast("double"), [i / parts for i in range(1, parts)], 10 * parts), F.array().cast("array<double>")).alias("_cuts"))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(parts.bit_length()))])
+    search = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get("_cuts", low + step - 1) <= F.col(value).cast("double"), low + step).otherwise(low))
+    return counts.crossJoin(F.broadcast(bounds)).withColumn(out, search).drop("_cuts")  # one row of bounds
+
+
 def _ranked(rows: DataFrame, value: str, parts: int) -> DataFrame:
     """value, _below, _all: for each distinct value how many rows are strictly below, and how many in all.
 
@@ -19,8 +31,7 @@ def _ranked(rows: DataFrame, value: str, parts: int) -> DataFrame:
     lies below a range is a prefix sum over the ranges' totals. No task sees all values.
     """
     counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    cuts = counts.agg(F.coalesce(F.approx_percentile(F.col(value).cast("double"), [i / parts for i in range(1, parts)], 10 * parts), F.array().cast("array<double>")).alias("_cuts"))
-    dealt = counts.crossJoin(F.broadcast(cuts)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c <= F.col(value).cast("double")))).drop("_cuts")  # one row of cuts
+    dealt = in_ranges(counts, value, parts)
     totals = dealt.groupBy("_part").agg(F.sum("_n").alias("_t"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(F.lit(0))
@@ -30,6 +41,29 @@ def _ranked(rows: DataFrame, value: str, parts: int) -> DataFrame:
     return ranked.select(value, (F.col("_below") + F.col("_base")).alias("_below"), "_all")
 
 
+def middles(rows: DataFrame, keys: Sequence[str], value: str, parts: int = 256) -> DataFrame:
+    """keys, middle: the exact median of each key's non-null values, the mean of the two middle ones of an even number.
+
+    Equal values are counted first, in partial sums. A key's distinct values lie in ranges of all
+    values, so that those of a key of all rows are spread over tasks; prefix sums over its ranges, at
+    most ``parts`` rows, tell the ranges of its middle, and only these are sorted.
+    """
+    keys = list(keys)
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    dealt = in_ranges(counts, value, parts)
+    totals = dealt.groupBy(*keys, "_part").agg(F.sum("_n").alias("_t"))
+    of_key = Window.partitionBy(*keys)
+    upto = F.sum("_t").over(of_key.orderBy("_part"))
+    bases = totals.select(*keys, "_part", (upto - F.col("_t")).alias("_base"), upto.alias("_upto"), F.sum("_t").over(of_key).alias("_all"))
+    low, high = F.expr("(_all - 1) div 2"), F.expr("_all div 2")
+    wanted = bases.where((F.col("_upto") > low) & (F.col("_base") <= high))
+    null_safe = reduce(Column.__and__, [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in (*keys, "_part")])
+    met = dealt.alias("d").join(wanted.alias("w"), null_safe).select("d.*", "_base", "_all")
+    placed = met.withColumn("_end", F.col("_base") + F.sum("_n").over(Window.partitionBy(*keys, "_part").orderBy(value)))
+    first = lambda rank: F.min(F.when(F.col("_end") > rank, F.col(value).cast("double")))
+    return placed.groupBy(*keys).agg(((first(low) + first(high)) / 2).alias("middle"))
+
+
 def strict_percentile(rows: DataFrame, value: str, out: str = "pct", parts: int = 256) -> DataFrame:
     """Add the share, in percent, of non-null values strictly below a row's; null for null."""
     return rows.join(_ranked(rows, value, parts), value, "left").withColumn(out, F.col("_below") * 100.0 / F.col("_all")).drop("_below", "_all")

@@ -96,12 +96,14 @@ class QuoteBudget:
         out: list[tuple[str, str | None, str | None]] = []
         for tag, matched in hits:
             at = most_central(matched, patterns[tag])
-            quoted = self.quote(matched, at, room if source else len(matched))
+            widest = self.quote(matched, at, len(matched))
+            quoted = self.quote(matched, at, room) if source else widest
             core = quoted.strip("…").strip()
             # What the source doesn't hold as it is counts as if it stood before its first character.
             start = source.find(core) if source else -1
             stop = start + len(core)
-            fits = not any(self.shared(quoted, x) for _, _, x in out if x)
+            # What a narrower quotation leaves out was still beside it: compare the widest.
+            fits = not any(self.shared(widest, x) for _, _, x in out if x)
             if fits and source:
                 fits = len(core) <= room and (start < 0 or all(start >= b + self.gap or stop <= a - self.gap for a, b in taken))
             if fits and source:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
 from mesaquery.operators import derive, facets, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tables, tagging
-from mesaquery.plans import venues
+from mesaquery.plans import indexed, venues
 from mesaquery.plans.base import QUERIES, SQL, load, query
 
-__all__ = ["QUERIES", "SQL", "venues"]
+__all__ = ["QUERIES", "SQL", "indexed", "venues"]
 
 BANDS = pricing.Bands((1, 30), (20, 45), (1, 15), 14.0)
 _EXACT = "median(p_size) FILTER (WHERE p_size BETWEEN 1 AND 30) + median(p_size) FILTER (WHERE p_size BETWEEN 20 AND 45) + coalesce(median(p_size) FILTER (WHERE p_size BETWEEN 1 AND 15), 14.0)"
@@ -141,10 +141,14 @@ def watched_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.watched(snapshots.diff(old, new, "o_orderkey", ["o_orderstatus", "o_orderpriority"]), watch, "o_orderkey")
 
 
-@query(_SNAP + "x AS (SELECT o_orderkey, md5(o_orderstatus) AS h FROM a), y AS (SELECT o_orderkey, md5(o_orderstatus) AS h FROM b) SELECT x.o_orderkey, x.h AS old, y.h AS new FROM x JOIN y USING (o_orderkey) WHERE x.h <> y.h")
+_MARKED = "CASE WHEN o_orderkey % 7 = 3 THEN o_orderstatus || o_orderpriority ELSE o_orderstatus END"
+
+
+@query(_SNAP + f"x AS (SELECT o_orderkey, md5(o_orderstatus) AS h FROM a), y AS (SELECT o_orderkey, md5({_MARKED}) AS h FROM b) SELECT x.o_orderkey, x.h AS old, y.h AS new FROM x JOIN y USING (o_orderkey) WHERE x.h <> y.h")
 def changed_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = (d.withColumn("h", F.md5("o_orderstatus")) for d in _two_snapshots(spark, sf_dir))
-    return snapshots.changed_hashes(old, new, "o_orderkey", "h")
+    """One order in seven has another content; where a status is gone, nothing is known."""
+    old, new = _two_snapshots(spark, sf_dir)
+    return snapshots.changed_hashes(old.withColumn("h", F.md5("o_orderstatus")), new.withColumn("h", F.md5(F.expr(_MARKED))), "o_orderkey", "h")
 
 
 @query("SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
@@ -152,10 +156,10 @@ def pending_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.pending(load(spark, sf_dir, "orders").select("o_orderkey"), load(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
 
 
-@query("SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND (o_totalprice > 150000 OR o_orderstatus = 'P'))")
+@query("SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND (o_totalprice > 450000 OR o_orderpriority = '1-URGENT'))")
 def retry_work(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), (F.col("o_totalprice") > 150000).alias("usable"), F.col("o_orderstatus").alias("method"))
-    return snapshots.retry(load(spark, sf_dir, "customer").select("c_custkey"), done, "c_custkey", "usable", "method", "P")
+    done = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), (F.col("o_totalprice") > 450000).alias("usable"), F.col("o_orderpriority").alias("method"))
+    return snapshots.retry(load(spark, sf_dir, "customer").select("c_custkey"), done, "c_custkey", "usable", "method", "1-URGENT")
 
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
@@ -314,6 +318,18 @@ def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.upper_median(load(spark, sf_dir, "lineitem"), "l_returnflag", "l_quantity")
 
 
+_BANDS_OF = "median(l_quantity) FILTER (WHERE l_quantity BETWEEN 1 AND 30) + median(l_quantity) FILTER (WHERE l_quantity BETWEEN 20 AND 45) + coalesce(median(l_quantity) FILTER (WHERE l_quantity BETWEEN 1 AND 15), 14.0)"
+
+
+@query(f"""WITH l AS (SELECT *, 'all' AS g FROM lineitem UNION ALL SELECT *, l_shipdate::DATE::VARCHAR FROM lineitem), c AS (SELECT g, count(l_quantity) AS n_prices, CAST({_BANDS_OF} AS DOUBLE) AS exact, median(l_extendedprice) AS middle FROM l GROUP BY g)
+SELECT g, n_prices, round(exact, 6) AS exact, CAST(round_even(exact, 0) AS BIGINT) AS comparable, round(middle, 6) AS middle FROM c""")
+def hot_key_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comparables and medians of every day's items and, as one more key, of all items."""
+    items = load(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", F.explode(F.array(F.lit("all"), F.to_date("l_shipdate").cast("string"))).alias("g"))
+    found = pricing.spread_comparables(items, "g", "l_quantity", BANDS).join(scoring.middles(items, ["g"], "l_extendedprice"), "g")
+    return found.select("g", "n_prices", F.round("exact", 6).alias("exact"), "comparable", F.round("middle", 6).alias("middle"))
+
+
 @query("SELECT o_orderkey, (SELECT list_reduce(list_prepend(0::BIGINT, [('0x' || substr(h, CAST(i AS INTEGER), 2))::BIGINT FOR i IN range(1, 32, 2)]), lambda a, x: (a * 256 + x) % 7) FROM (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS h)) AS shard FROM orders WHERE o_orderkey IS NOT NULL")
 def md5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select("o_orderkey", numbers.shard(F.col("o_orderkey"), 7).alias("shard"))

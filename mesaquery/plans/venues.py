@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
-from mesaquery.operators import derive, display, facets, menus, planning, recognition, scoring, spatial, tables
+from mesaquery.operators import derive, display, facets, menus, pages, planning, recognition, scoring, spatial, tables
 from mesaquery.plans.base import load, query
 from mesaquery.sources import readers
+from mesaquery.sources.shared import shared_folder
 
 COLUMNS = {
     "k": "c_custkey",
@@ -242,19 +243,17 @@ def date_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.counts(found, ["day", "issue"])
 
 
-@query(_WITH + ", b AS (SELECT slug, closes, flags, sunday, CASE WHEN k % 3 > 0 THEN DATE '2026-08-01' + CAST(k % 16 AS INTEGER) END AS day FROM v WHERE k % 2 = 0), " + f"c AS (SELECT slug, closes, CASE WHEN {_ISSUE} IS NULL THEN day END AS day FROM b) SELECT slug, CAST(day AS VARCHAR) AS day, CAST(row_number() OVER (ORDER BY day NULLS LAST, closes NULLS LAST, slug) AS BIGINT) AS place, CASE WHEN day IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY day) END > 1 AS conflict FROM c ORDER BY place LIMIT 200")
+@query(_WITH + ", b AS (SELECT slug, closes, flags, sunday, CASE WHEN k % 3 > 0 THEN DATE '2026-08-01' + CAST(k % 16 AS INTEGER) END AS day FROM v WHERE k % 2 = 0), " + f"c AS (SELECT slug, closes, CASE WHEN {_ISSUE} IS NULL THEN day END AS day FROM b) SELECT slug, CAST(day AS VARCHAR) AS day, CAST(row_number() OVER (ORDER BY day NULLS LAST, closes NULLS LAST, slug) AS BIGINT) AS place, CASE WHEN day IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY day) END > 1 AS conflict FROM c")
 def plan_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first saved venues' bookings: impossible ones lifted, dated first, days booked twice marked."""
+    """All saved venues' bookings in the plan's order: impossible ones lifted, dated first, days booked twice marked."""
     rows = venues(spark, sf_dir)
     k = F.col("k")
     wanted = F.when(k % 3 > 0, F.date_add(F.lit("2026-08-01").cast("date"), (k % 16).cast("int")))
     saved = tables.member_rows(rows, rows.where("k % 2 = 0").select("slug"), "slug").withColumn("day", wanted)
     plan = planning.current_plan(saved, "day", _issue(F.col("day")))
     twice = planning.conflicts(plan, "day").select("day", F.lit(True).alias("conflict"))
-    order = [*planning.plan_order(F.col("day"), F.col("closes")), F.col("slug").asc()]
-    first = plan.orderBy(*order).limit(200)
-    placed = first.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))  # 200 rows
-    return placed.join(F.broadcast(twice), "day", "left").select("slug", F.col("day").cast("string").alias("day"), "place", F.coalesce("conflict", F.lit(False)).alias("conflict"))
+    laid = pages.Layout.write(plan.select("slug", "day", "closes"), planning.PLAN_ORDER, shared_folder(spark, "plan"))
+    return laid.numbered().join(twice, "day", "left").select("slug", F.col("day").cast("string").alias("day"), (F.col("place") + 1).alias("place"), F.coalesce("conflict", F.lit(False)).alias("conflict"))
 
 
 _ABS = "CAST(abs({0}) AS VARCHAR)"

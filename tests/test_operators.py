@@ -1,4 +1,7 @@
 import datetime as dt
+import random
+import re
+import statistics
 
 from pyspark.sql import functions as F
 
@@ -186,7 +189,6 @@ def test_landed_files(spark, tmp_path):
 def test_similar_names_equal_brute_force(spark):
     """Blocking on rare grams finds every pair that comparing all names with all finds."""
     import difflib
-    import random
 
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("abcde ") for _ in range(n)).strip() or "x"
@@ -207,7 +209,7 @@ def test_similar_names_equal_brute_force(spark):
         ratio, at, name = max((difflib.SequenceMatcher(None, n, m).ratio(), -at, m) for m, at in first.items())
         if ratio >= 0.85:
             sure = ratio >= 0.92 and names.count(name) == 1 and -at % 3 > 0
-            want[i] = (f"s{-at}", round(ratio, 9), "matched" if sure else "review")
+            want[i] = (f"s{-at}", 0.8 if sure else round(ratio, 9), "matched" if sure else "review")
     assert len(want) > 25 and got == want
 
 
@@ -242,6 +244,36 @@ def test_quotations_stay_within_the_budget(spark):
     assert tagging.QuoteBudget().shared("a shared run of many letters", "the SHARED -- run of many") and not tagging.QuoteBudget().shared("short", "short")
 
 
+def test_quotations_are_compared_before_they_shrink(spark):
+    """Two tags of one passage: the second is rejected for what its widest quotation shares."""
+    rules = [tagging.TagRule("a", "oyster"), tagging.TagRule("b", "herbs"), tagging.TagRule("c", "steak")]
+    passage = "fresh oyster platter with lemon and herbs"
+    budget = tagging.QuoteBudget()
+    patterns = {r.tag: [re.compile(r.pattern)] for r in rules}
+    menu = "x" * 900 + f" {passage} " + "y" * 900
+    got = budget.kept([("a", passage), ("b", passage), ("c", "steak")], menu, patterns)
+    assert got[0][2] == "fresh oyster platter with lemon and…" and got[1][1:] == ("herbs", None)
+    assert budget.shared(got[0][2], budget.quote(passage, (36, 41), 10**9)) and not budget.shared(got[0][2], budget.quote(passage, (36, 41), 12))
+    assert got[2] == ("c", "steak", "steak")  # not in the source: counts for the budget, is nowhere near
+
+
+def test_medians_by_ranges(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot"] * 8 + ["a", None, "b"]), rng.choice([None, rng.randrange(60), rng.random() * 60, 22.0])) for _ in range(3000)] + [("one", 5.0), ("two", 1.0), ("two", 2.0), ("none", None)]
+    table = spark.createDataFrame([(k, None if p is None else float(p)) for k, p in rows], "k string, p double")
+    by = {}
+    for k, p in rows:
+        if p is not None:
+            by.setdefault(k, []).append(float(p))
+    for parts in (2, 16, 256):
+        got = {r.k: r.middle for r in scoring.middles(table, ["k"], "p", parts).collect()}
+        assert got == {k: statistics.median(v) for k, v in by.items()}
+    bands = pricing.Bands((1, 30), (20, 45), (1, 15), 14.0)
+    same = lambda df: sorted(map(str, df.collect()))
+    assert same(pricing.spread_comparables(table, "k", "p", bands)) == same(pricing.comparables(table, "k", "p", bands))
+    assert scoring.middles(table.limit(0), ["k"], "p").count() == 0
+
+
 def test_menu_lines(spark):
     menu = "Dinner\r\nSteak - rare\n\nEntrée :\nFish of the day\n$12\nFollow us on all sites\nPie supplement\n" + "long " * 30
     docs = spark.createDataFrame([(1, menu), (2, None), (3, "Desserts")], "k int, text string")
