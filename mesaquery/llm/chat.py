@@ -2,7 +2,8 @@
 
 A tree's nodes have an id, a parent (null at a root), a role, a text and a score. Root-to-leaf paths
 are enumerated by iterative self-joins with doubling: after k joins every path holds its 2^k last
-nodes, so that a chain of n turns takes log2(n) joins. Branches of a root are ranked by the sum of
+nodes, so that a chain of n turns takes log2(n) joins; pointers are doubled first, and what they never
+lead to a root is left out before paths grow. Branches of a root are ranked by the sum of
 their scores; each chosen path is formatted as one conversation.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts a backslash goes before
@@ -11,7 +12,8 @@ a tokenizer to find (and before a role's line breaks); a reader takes it away ag
 The loss mask holds the spans of assistants' texts in the formatted string.
 
 Defined results: null texts and roles are empty; a node whose parent isn't in the table is a root;
-nodes on a cycle have no root and aren't on any path; ties in score go to the smaller leaf; an empty
+a node that is its own parent is a root; nodes on a cycle of two or more have no root, so that neither
+they nor those that hang on them are on any path; ties in score go to the smaller leaf; an empty
 table gives no rows. One conversation's text is one string and so meets in one task.
 """
 
@@ -67,16 +69,20 @@ def paths(nodes: DataFrame, best: int | None = None) -> DataFrame:
     """
     nodes = saved(nodes.select("node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "nodes")
     ids = nodes.select(F.col("node").alias("parent"))
-    up = saved(nodes.select("node", "parent").join(ids, "parent").select("node", F.col("parent").alias("above")).where("node <> above"), "up")
-    path = saved(nodes.select("node").join(up.select(F.col("above").alias("node")).distinct(), "node", "left_anti").select(F.col("node").alias("leaf"), F.lit(0).alias("dist"), "node"), "paths")
-    step = 1
-    # On a cycle pointers never end; nothing above it is a leaf's path longer than all nodes.
-    while not up.isEmpty() and step <= 1 << 40:
-        longer = saved(path.union(path.join(up, "node").select("leaf", (F.col("dist") + step).alias("dist"), F.col("above").alias("node"))), "paths")
-        higher = saved(up.join(up.select(F.col("node").alias("above"), F.col("above").alias("next")), "above").where("node <> next").select("node", F.col("next").alias("above")), "up")
+    # ups[k] has each node's ancestor 2^k above it, and only nodes that have one.
+    ups = [saved(nodes.select("node", "parent").join(ids, "parent").select("node", F.col("parent").alias("above")).where("node <> above"), "up")]
+    most = ups[0].count()
+    while not ups[-1].isEmpty() and 1 << (len(ups) - 1) <= most:
+        ups.append(saved(ups[-1].join(ups[-1].select(F.col("node").alias("above"), F.col("above").alias("next")), "above").select("node", F.col("next").alias("above")), "up"))
+    # A node with more nodes above it than have a parent at all is on a cycle, or hangs on one.
+    endless = ups[-1].select("node")
+    leaves = nodes.select("node").join(ups[0].select(F.col("above").alias("node")).distinct(), "node", "left_anti").join(endless, "node", "left_anti")
+    path = saved(leaves.select(F.col("node").alias("leaf"), F.lit(0).alias("dist"), "node"), "paths")
+    for k, up in enumerate(ups[:-1]):
+        longer = saved(path.union(path.join(up, "node").select("leaf", (F.col("dist") + (1 << k)).alias("dist"), F.col("above").alias("node"))), "paths")
         drop(path, up)
-        path, up, step = longer, higher, step * 2
-    drop(up)
+        path = longer
+    drop(ups[-1])
     scored = path.join(nodes.select("node", "score"), "node")
     of_leaf = scored.groupBy("leaf").agg(F.sum("score").alias("total"), F.max("dist").alias("depth"))
     roots = path.select("leaf", F.col("dist").alias("depth"), F.col("node").alias("root"))

@@ -346,6 +346,29 @@ def test_reply_trees_equal_brute_force(spark):
     assert chat.format_trees(rows.limit(0)).count() == 0
 
 
+def test_reply_trees_with_cycles(spark):
+    """Cycles of 2 to 9 nodes, trees on them, self-parents and plain trees."""
+    rng = random.Random(11)
+    nodes = []
+    for size in range(1, 10):
+        nodes += [(f"c{size}-{i}", f"c{size}-{(i + 1) % size}") for i in range(size)]
+        nodes += [(f"h{size}-{i}", rng.choice([f"c{size}-0", f"h{size}-{rng.randrange(i)}"]) if i else f"c{size}-{size - 1}") for i in range(rng.choice([1, 4, 12]))]
+    nodes += [(f"t{i}", f"t{rng.randrange(i)}" if i else None) for i in range(40)]
+    up = dict(nodes)
+    want = {}
+    for leaf in set(up) - {p for n, p in nodes if p != n}:
+        path = [leaf]
+        while (above := up[path[-1]]) is not None and above != path[-1] and len(path) <= len(nodes):
+            path.append(above)
+        if len(path) <= len(nodes):
+            want[leaf] = path
+    rows = spark.createDataFrame([(n, p, 0.0) for n, p in nodes], "node string, parent string, score double")
+    got = collections.defaultdict(dict)
+    for r in chat.paths(rows).collect():
+        got[r.leaf][r.dist] = r.node
+    assert {leaf: [x for _, x in sorted(path.items())] for leaf, path in got.items()} == want and any(x.startswith("h1") for x in want)
+
+
 def test_chat_digests_equal_brute_force(spark):
     turns = [(1, 0, "system", "s"), (1, 2, "assistant", "B</s>"), (1, 1, "user", None), (2, 5, "assistant", ""), (None, 0, "user", "x"), (None, 1, "assistant", "y\\<s>"), (3, 0, "assistant", "é" * 50_000), (4, 0, "user", "same"), (4, 0, "user", "same")]
     rows = spark.createDataFrame([(*t, "n", 1) for t in turns], "conv_id long, turn long, role string, text string, node string, score int")
@@ -434,6 +457,24 @@ def test_url_filter_counts_every_word(spark):
     assert model.segment("middleporn", {"middle": 50.0}) == ["middle", "porn"] and model.segment("middleporn", {"middle": 50.0, "middleporn": 1.0}) == ["middleporn"]
 
 
+def test_url_filter_of_a_host_with_a_blocked_path(spark):
+    """A rule on one path is no evidence against the host's other paths."""
+    urls = [f"http://qwrtz.net/es/{w}" for w in ("hola", "adios", "nada")] * 100 + ["http://qwrtz.net/en/", "http://qwrtz.net/", "http://zzz.org/hola", "http://good.com/a"]
+    got = {r.page_id: r for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), registry.URL_RULES).collect()}
+    assert [got[i].verdict for i in (0, 300, 301, 302)] == ["block", "allow", "allow", "block"] and abs(got[300].score - 0.1) < 1e-9
+    assert url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), ()).where("verdict = 'block'").count() == 0
+
+
+def test_url_filter_of_very_long_words(spark):
+    """Words of many thousand letters are split, and counted ones within them are found."""
+    rng = random.Random(2)
+    noise, long = "".join(rng.choices("qxzjkv", k=100_000)), "".join(rng.choices("abcdefgh", k=4000))
+    urls = [f"http://h/{noise}", f"http://h/{long}", f"http://h/{long}casino", "http://h/" + "a" * 20_000, f"http://h/{'b' * 30}", f"http://h/{'b' * 40}"] + ["http://h/news"] * 3
+    got = {r.page_id: r.words for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), ()).collect()}
+    assert got[0] == ["h", noise] and got[1] == ["h", long] and got[3] == ["h", "a" * 20_000] and got[5] == ["h", "b" * 40]
+    assert got[2] in (["h", long, "casino"], ["h", long + "casino"])
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text("abc", max_size=9), st.dictionaries(st.text("abc", min_size=1, max_size=4), st.integers(1, 50), max_size=8))
 def test_segments_are_the_most_probable(name, counts):
@@ -461,9 +502,17 @@ def test_url_scores_equal_naive_bayes(spark):
         words_of[r.host, r.path] = r.words
     counts = {c: collections.Counter(w) for c, w in (("block", url_filter.BLOCKED), ("allow", url_filter.ALLOWED))}
     n = collections.Counter(r.verdict for r in got if r.rule)
+    whole = {f"{h}{p}" for _, h, p in registry.URL_RULES if p == "/"}
+    told_hosts = set()
     for r in got:
         if r.rule:
-            counts[r.verdict].update(w for w in words_of[r.host, r.path] if w not in {"com", "example", "en", "www", "net", "es", "fr"})
+            words, letters, n_host = words_of[r.host, r.path], len(re.sub("[^a-z]", "", r.host)), 0
+            while sum(map(len, words[:n_host])) < letters:
+                n_host += 1
+            told = words[n_host:] + (words[:n_host] if r.rule in whole and r.host not in told_hosts else [])
+            if r.rule in whole:
+                told_hosts.add(r.host)
+            counts[r.verdict].update(w for w in told if w not in {"com", "example", "en", "www", "net", "es", "fr"})
     vocabulary = {*counts["block"], *counts["allow"]}
     prior = 0.1
     assert n["block"] and n["allow"] and len(open_) > 10 and sum(abs(r.score - prior) > 1e-6 for r in open_) > len(open_) / 2
