@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -43,6 +44,99 @@ def tag_text(rows: DataFrame, text: str, rules: list[TagRule]) -> DataFrame:
     return rows.withColumn("h", F.explode(_hits(F.col(text), rules))).select(*[c for c in rows.columns if c != text], "h.tag", "h.confidence", "h.rule", F.col("h.n").cast("long").alias("n"))
 
 
+def _folded_char(c: str) -> str:
+    return (c.upper()[:1].lower() or c)[:1]
+
+
+class _Folds(dict):
+    def __missing__(self, point: int) -> str:
+        self[point] = _folded_char(chr(point))
+        return self[point]
+
+
+_folds = _Folds()
+
+
+def comparable(text: str) -> str:
+    """A text in which letters that a pattern may take for each other are the same, one for each letter."""
+    return text.lower() if text.isascii() else text.translate(_folds)
+
+
+def needed_texts(pattern: str) -> tuple[str, ...] | None:
+    """Texts one of which each match of a pattern holds, as ``comparable`` has them; None if none is certain.
+
+    Flags at the pattern's start are passed over, as comparable texts fit any case. A pattern with
+    escapes that other readings of patterns take differently, or that Python can't read, is of the latter.
+    """
+    flags = re.match(r"\(\?([a-zA-Z]+)\)", pattern)
+    if flags and "x" in flags[1] or re.search(r"\\[^\WAbBdDfnrsStuwW]", pattern):
+        return None
+    try:
+        with warnings.catch_warnings():
+            warnings.simplefilter("error")
+            parsed = re._parser.parse(pattern[flags.end() :] if flags else pattern)
+    except (re.error, Warning, OverflowError, RecursionError):
+        return None
+    return _needed(list(parsed))
+
+
+def _needed(items: list) -> tuple[str, ...] | None:
+    found: list[tuple[str, ...]] = []
+    run = ""
+    for kind, value in [*items, (None, None)]:
+        if str(kind) == "LITERAL":
+            run += chr(value)
+            continue
+        if run:
+            found.append((comparable(run),))
+            run = ""
+        if str(kind) == "SUBPATTERN":
+            inner = _needed(list(value[3]))
+        elif str(kind) in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and value[0] > 0:
+            inner = _needed(list(value[2]))
+        elif str(kind) == "BRANCH":
+            each = [_needed(list(b)) for b in value[1]]
+            inner = None if None in each else tuple(sorted({x for ts in each for x in ts}))
+        else:
+            inner = None
+        if inner:
+            found.append(inner)
+    # The best one is what is rarest: its shortest text is longest.
+    return max(found, key=lambda ts: (min(map(len, ts)), -len(ts)), default=None)
+
+
+def candidate_rules(text: Column, rules: Sequence[TagRule]) -> Column:
+    """Numbers of the rules that a text may match: those whose needed texts it holds, found in one scan, and those without."""
+    always = [i for i, r in enumerate(rules) if needed_texts(r.pattern) is None]
+    needs = [(t, i) for i, r in enumerate(rules) for t in needed_texts(r.pattern) or ()]
+
+    @F.pandas_udf("array<int>")
+    def find(texts: pd.Series) -> pd.Series:
+        import ahocorasick
+
+        of: dict[str, list[int]] = {}
+        for t, i in needs:
+            of.setdefault(t, []).append(i)
+        automaton = ahocorasick.Automaton()
+        for t, numbers in of.items():
+            automaton.add_word(t, numbers)
+        if needs:
+            automaton.make_automaton()
+        return texts.map(lambda t: None if t is None else sorted({*always, *(i for _, ns in (automaton.iter(comparable(t)) if needs else ()) for i in ns)}))
+
+    return find(text)
+
+
+def tag_text_by_needs(rows: DataFrame, text: str, rules: Sequence[TagRule]) -> DataFrame:
+    """``tag_text`` for many rules: a pattern runs only over texts that hold what each of its matches needs."""
+    spark = rows.sparkSession
+    table = spark.createDataFrame([(i, r.tag, r.confidence, r.pattern) for i, r in enumerate(rules)], "rule int, tag string, confidence string, _pattern string")
+    kept = [c for c in rows.columns if c != text]
+    met = rows.withColumn("rule", F.explode(candidate_rules(F.col(text), rules))).join(F.broadcast(table), "rule")  # the rules of a configuration
+    counted = met.withColumn("n", F.regexp_count(F.col(text), F.col("_pattern")).cast("long")).where("n > 0")
+    return counted.select(*kept, "tag", "confidence", "rule", "n")
+
+
 def best_hits(hits: DataFrame, key: str, top: int, position: str) -> DataFrame:
     """Of each key and tag the best ``top`` hits after removal of equal snippets: high first, then short."""
     rank = F.when(F.col("confidence") == "high", 0).otherwise(1)
@@ -52,10 +146,25 @@ def best_hits(hits: DataFrame, key: str, top: int, position: str) -> DataFrame:
     return once.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= top).drop("_d")
 
 
-def with_headers(lines: DataFrame, doc: str, position: str, text: str, is_header: Column) -> DataFrame:
-    """Add ``header``: the last header line at or before each line of a document; null before the first."""
-    order = Window.partitionBy(doc).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn("header", F.last(F.when(is_header, F.col(text)), ignorenulls=True).over(order))
+#: Lines of a document that are read in order by one task.
+PART_LINES = 50_000
+
+
+def with_headers(lines: DataFrame, doc: str, position: str, text: str, is_header: Column, part_lines: int = PART_LINES) -> DataFrame:
+    """Add ``header``: the last header line at or before each line of a document; null before the first.
+
+    A document is cut by position into parts of ``part_lines``, each filled on its own; the last header
+    of the parts before is carried on over one row for each part.
+    """
+    parts = lines.withColumn("_part", F.floor(F.col(position) / part_lines))
+    order = Window.partitionBy(doc, "_part").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    filled = parts.withColumn("_own", F.last(F.when(is_header, F.col(text)), ignorenulls=True).over(order))
+    told = is_header & F.col(text).isNotNull()
+    ends = parts.groupBy(F.col(doc).alias("_doc"), F.col("_part").alias("_of")).agg(F.max_by(F.when(told, F.col(text)), F.when(told, F.col(position))).alias("_end"))
+    before = Window.partitionBy("_doc").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).where("_carried IS NOT NULL").drop("_end")
+    joined = filled.join(carried, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_part") == F.col("_of")), "left")
+    return joined.select(*lines.columns, F.coalesce("_own", "_carried").alias("header"))
 
 
 def representative(hits: DataFrame, key: str, text: str = "matched") -> DataFrame:

@@ -1,8 +1,11 @@
+import collections
 import datetime as dt
+import math
 import random
 import re
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
@@ -257,6 +260,45 @@ def test_quotations_are_compared_before_they_shrink(spark):
     assert got[2] == ("c", "steak", "steak")  # not in the source: counts for the budget, is nowhere near
 
 
+@pytest.mark.parametrize("cell_rows", [1, 7, 4096])
+def test_distance_join_equals_all_pairs(spark, cell_rows):
+    """A dense town, copies, borders, poles within reach, the date line, and rows without coordinates."""
+    rng = random.Random(cell_rows)
+    town = [(40.7 + rng.gauss(0, 0.004), -74 + rng.gauss(0, 0.004)) for _ in range(150)]
+    far = [(rng.uniform(-74, 74), rng.uniform(-180, 180)) for _ in range(60)]
+    line = [(10 + rng.random() * 0.01, rng.choice([-180, 179.995, -179.995, 180.0]) + rng.random() * 0.004) for _ in range(40)]
+    line = [(a, min(b, 180.0)) for a, b in line]
+    points = town + [town[0]] * 30 + far + [(a + 0.003, b) for a, b in far] + line + [(None, 1.0), (1.0, None), (0.0, 0.0), (-1e-9, 0.0)]
+    rng.shuffle(points)
+    a, b = list(enumerate(points[::2])), list(enumerate(points[1::2]))
+    make = lambda rows: spark.createDataFrame([(i, x, y) for i, (x, y) in rows], "id int, lat double, lng double").repartition(3)
+
+    def metres(p, q):
+        h = math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2
+        return 2 * 6_371_000.0 * math.asin(math.sqrt(min(1, h)))
+
+    for reach in (80, 1000):
+        got = [(r.id, r.r_id) for r in spatial.within(make(a), make(b), reach, cell_rows=cell_rows).collect()]
+        want = {(i, j) for i, p in a for j, q in b if None not in (*p, *q) and metres(p, q) <= reach}
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    assert spatial.within(make(a), make([]), 80).count() == 0
+
+
+def test_cells_hold_few_rows(spark):
+    rng = random.Random(3)
+    cell = lambda: (rng.choice([5, 5, 5, rng.randrange(4000)]), rng.choice([7, 7, rng.randrange(4000)]))
+    left, right = ([cell() for _ in range(900)] for _ in range(2))
+    make = lambda rows: spark.createDataFrame(rows, "y long, x long")
+    held = collections.Counter()
+    leaf = {(r.y, r.x): (r.level, r.l_deals, r.r_deals) for r in spatial.cells(make(left), make(right), 50).collect()}
+    assert set(leaf) == set(left)
+    for y, x in left:
+        level, l_deals, _ = leaf[y, x]
+        up = spatial.HALVINGS - level
+        held[level, y >> up, x >> up, l_deals] += 1
+    assert all(n <= 50 * deals for (*_, deals), n in held.items()) and any(deals > 1 for *_, deals in held) and len({k[0] for k in held}) > 2
+
+
 def test_medians_by_ranges(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["hot"] * 8 + ["a", None, "b"]), rng.choice([None, rng.randrange(60), rng.random() * 60, 22.0])) for _ in range(3000)] + [("one", 5.0), ("two", 1.0), ("two", 2.0), ("none", None)]
