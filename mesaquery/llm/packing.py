@@ -4,16 +4,18 @@ Only the histogram of lengths decides the packing, and lengths are bounded by th
 the plan is made on a table of at most ``capacity`` rows whatever the corpus holds:
 
 1. large lengths (over ``small`` tokens), sorted downwards, are cut into ``groups`` groups of equal
-   cardinality and every length is rounded up to the largest of its group: few sizes remain. What
-   rounding loses, small documents must fill; so plans are made for each of the shares ``SMALL`` of
-   the capacity, and the one of the fewest sequences counts;
+   cardinality and every length is rounded up to the largest of its group: few sizes remain;
 2. configurations of these few sizes are optimised together: column generation solves the linear
-   program of the fewest sequences (a revised simplex whose pricing is an exact knapsack), its
-   solution is rounded down, and what is left over, less than a sequence for each size, is filled
-   one configuration after the other by an exact knapsack;
-3. the actual documents of each group are substituted for its rounded size, which frees room;
+   program of the fewest sequences (a revised simplex whose pricing is an exact knapsack), and its
+   solution is rounded down;
+3. actual documents are substituted for the rounded sizes of each configuration: the largest left of
+   each slot's group, and for the last slot the largest of all that fits, which takes up what
+   rounding has lost. What rounding down has left over, less than a sequence for each size, is filled by
+   actual lengths, one sequence after the other by an exact knapsack;
 4. small documents, longest first, each go to the fullest sequence that still holds them.
 
+Plans are made for each of the shares ``SMALL`` of the capacity, and the one of the fewest sequences counts.
+
 The plan is a list of runs: so many documents of one length, by rank, go to that many sequences in a
 row at one offset. Documents then find their place by their rank among those of their length.
 
@@ -25,6 +27,7 @@ no rows.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -40,10 +43,11 @@ from mesaquery.llm.tokens import CACHE_WORDS, few_rows, texts_of, word_ids
 RANK_BITS = 50
 #: Groups of large lengths: the sizes that configurations are optimised over.
 GROUPS = 64
-#: Steps of the simplex, which only ever shorten the plan: a bound on the driver's time.
-PIVOTS = 400
+#: The simplex ends when fewer sequences are to be gained. It has so many steps for each size at most:
+#: a guard against cycles, as it needs two or three.
+GAIN, PIVOTS = 0.1, 100
 #: Up to which shares of the capacity documents can count as small.
-SMALL = (1 / 5, 1 / 3, 1 / 2)
+SMALL = (1 / 8, 1 / 5, 1 / 3)
 
 
 def _fill(room: int, sizes: list[int], counts: list[int]) -> list[int]:
@@ -97,10 +101,13 @@ def configurations(capacity: int, sizes: list[int], counts: list[int]) -> list[t
         return []
     lengths, wanted = np.array(sizes), np.array(counts, float)
     basis = np.diag(capacity // lengths).astype(float)  # a column for each configuration
-    for _ in range(PIVOTS):
+    for _ in range(PIVOTS * len(sizes)):
         inverse = np.linalg.inv(basis)
-        column = _worthiest(capacity, lengths, inverse.sum(0))
-        if inverse.sum(0) @ column <= 1 + 1e-9:
+        prices = inverse.sum(0)
+        column = _worthiest(capacity, lengths, prices)
+        worth = prices @ column
+        # No solution takes fewer than value / worth sequences: stop when less than one is to be gained.
+        if worth <= 1 + 1e-9 or (value := prices @ wanted) - value / worth < GAIN:
             break
         amounts, step = inverse @ wanted, inverse @ column
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -117,31 +124,35 @@ def configurations(capacity: int, sizes: list[int], counts: list[int]) -> list[t
     return out
 
 
-class _Runs:
-    """Documents by length in decreasing order, taken in runs of equal length."""
+def plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS, shares: tuple[float, ...] = SMALL) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """Runs (length, first rank, count, first sequence, offset) and the number of sequences."""
+    return min((_plan(histogram, capacity, groups, int(capacity * share)) for share in shares), key=lambda made: made[1])[:2]
 
-    def __init__(self, runs: list[tuple[int, int]]):
-        self.runs, self.i = [list(x) for x in runs], 0
 
-    def head(self) -> tuple[int, int]:
-        while self.i < len(self.runs) and not self.runs[self.i][1]:
-            self.i += 1
-        length, n = self.runs[self.i]
-        return length, n
+class _Left:
+    """The large lengths that still have documents, ascending, and how many."""
 
-    def take(self, n: int) -> None:
-        self.runs[self.i][1] -= n
+    def __init__(self, counts: dict[int, int]):
+        self.counts, self.lengths = dict(counts), sorted(counts)
 
+    def largest(self, most: int, used: Counter[int]) -> int:
+        """The largest length of at most ``most`` with documents beyond those used; 0 if none."""
+        i = bisect_right(self.lengths, most) - 1
+        while i >= 0 and self.counts[self.lengths[i]] <= used[self.lengths[i]]:
+            i -= 1
+        return self.lengths[i] if i >= 0 else 0
 
-def plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS, shares: tuple[float, ...] = SMALL) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """Runs (length, first rank, count, first sequence, offset) and the number of sequences."""
-    return min((_plan(histogram, capacity, groups, int(capacity * share)) for share in shares), key=lambda made: made[1])
+    def take(self, length: int, n: int) -> None:
+        self.counts[length] -= n
+        if not self.counts[length]:
+            self.lengths.pop(bisect_right(self.lengths, length) - 1)
 
 
-def _plan(histogram: dict[int, int], capacity: int, groups: int, small: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
+def _plan(histogram: dict[int, int], capacity: int, groups: int, small: int) -> tuple[list[tuple[int, int, int, int, int]], int, int]:
+    """Runs, the number of sequences, and how many of them come from configurations of two documents or more."""
     runs: list[tuple[int, int, int, int, int]] = []
     rank: Counter[int] = Counter()
-    sequences = 0
+    sequences = several = 0
 
     def place(length: int, n: int, first: int, offset: int) -> None:
         runs.append((length, rank[length], n, first, offset))
@@ -151,48 +162,62 @@ def _plan(histogram: dict[int, int], capacity: int, groups: int, small: int) ->
         place(capacity, full, 0, 0)
         sequences = full
     large = [(length, histogram[length]) for length in sorted(histogram, reverse=True) if small < length < capacity and histogram[length]]
-    total = sum(n for _, n in large)
-    each = max(1, -(-total // groups))
-    queues: list[list[tuple[int, int]]] = []
+    each = max(1, -(-sum(n for _, n in large) // groups))
+    # Of each group the rounded size, its least length, and how many it has.
+    sizes: list[int] = []
+    least: list[int] = []
+    counts: list[int] = []
     room = 0
     for length, n in large:
         while n:
             if not room:
-                queues.append([])
+                sizes.append(length)
+                least.append(length)
+                counts.append(0)
                 room = each
-            take = min(n, room)
-            queues[-1].append((length, take))
-            n, room = n - take, room - take
-    sizes = [q[0][0] for q in queues]
-    counts = [sum(n for _, n in q) for q in queues]
-    of_group = [_Runs(q) for q in queues]
+            took = min(n, room)
+            counts[-1], least[-1] = counts[-1] + took, length
+            n, room = n - took, room - took
+    left = _Left(dict(large))
     open_: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room left: [(first sequence, count)]
 
-    def use(config: list[int], times: int) -> None:
-        """Substitution: runs of sequences in which no slot's actual length changes."""
+    def put(used: Counter[int], most: int | None = None) -> int:
+        """So many sequences of these lengths as there are documents for; says how many."""
         nonlocal sequences
-        need = {g: k for g, k in enumerate(config) if k}
-        for g, k in need.items():
-            counts[g] -= k * times
-        while times:
-            n = max(1, min(times, *(of_group[g].head()[1] // k for g, k in need.items())))
-            offset = 0
-            for g, k in need.items():
-                for _ in range(k):
-                    length, _ = of_group[g].head()
-                    of_group[g].take(n)
-                    place(length, n, sequences, offset)
-                    offset += length
-            open_[capacity - offset].append((sequences, n))
-            sequences, times = sequences + n, times - n
+        n = min(left.counts[length] // k for length, k in used.items())
+        n = n if most is None else min(n, most)
+        offset = 0
+        for length, k in used.items():
+            left.take(length, n * k)
+            for _ in range(k):
+                place(length, n, sequences, offset)
+                offset += length
+        open_[capacity - offset].append((sequences, n))
+        sequences += n
+        return n
+
+    def substituted(slots: list[int]) -> Counter[int] | None:
+        """Actual lengths for a configuration: the largest of each slot's group, and for the last slot what fits best."""
+        used: Counter[int] = Counter()
+        free = capacity
+        for j, g in enumerate(slots):
+            length = left.largest(free if j == len(slots) - 1 else sizes[g], used)
+            if length < least[g]:
+                return None  # the group has run out
+            used[length] += 1
+            free -= length
+        return used
 
     for config, times in configurations(capacity, sizes, counts):
-        use(config, times)
-    for top in range(len(sizes)):  # what rounding down has left
-        while counts[top]:
-            rest = _fill(capacity - sizes[top], sizes[top:], [counts[top] - 1, *counts[top + 1 :]])
-            config = [0] * top + [rest[0] + 1, *rest[1:]]
-            use(config, min(counts[g] // k for g, k in enumerate(config) if k))
+        slots = [g for g, k in enumerate(config) for _ in range(k)]
+        while times and (used := substituted(slots)):
+            n = put(used, times)
+            times -= n
+            several += n if len(slots) > 1 else 0
+    while left.lengths:  # what rounding down has left, by actual lengths
+        down = left.lengths[::-1]
+        rest = _fill(capacity - down[0], down, [left.counts[down[0]] - 1, *(left.counts[x] for x in down[1:])])
+        put(Counter({length: k + (i == 0) for i, (length, k) in enumerate(zip(down, rest, strict=True)) if k or not i}))
 
     rooms = sorted(open_)
     for length in (x for x in sorted(histogram, reverse=True) if x <= small and histogram[x]):
@@ -223,7 +248,7 @@ def _plan(histogram: dict[int, int], capacity: int, groups: int, small: int) ->
             if whole < n:
                 open_[free].append((first + whole, n - whole))
             rooms = sorted(r for r in open_ if open_[r])
-    return runs, sequences
+    return runs, sequences, several
 
 
 def cut(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:

@@ -234,6 +234,29 @@ def test_plan_places_everything_once(histogram, groups_):
         assert all(o == sum(x for _, x in b[:k]) for k, (o, _) in enumerate(b)) and sum(x for _, x in b) <= 50
 
 
+@pytest.mark.parametrize("share", packing.SMALL)
+def test_configurations_make_the_plan(spark, share):
+    """Lengths of the small documents table: few sequences more than tokens need, most of them from configurations of several."""
+    pieces = registry.op10_packing(spark, DATA).select("length", "sequence_id").collect()
+    total = sum(r.length for r in pieces)
+    assert len({r.sequence_id for r in pieces}) == -(-total // 2048)
+    histogram = collections.Counter(r.length for r in pieces)
+    _, n, several = packing._plan({k: 50 * v for k, v in histogram.items()}, 2048, packing.GROUPS, int(2048 * share))
+    alone = 50 * histogram[2048]
+    assert n <= 1.005 * 50 * total / 2048 and several > (n - alone) * (0.2 if share > 0.3 else 0.4)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=8))
+def test_plans_of_few_documents_are_nearly_shortest(lengths):
+    def fits(bins, rest):
+        return not rest or any(fits([*bins[:i], bins[i] + rest[0], *bins[i + 1 :]], rest[1:]) for i in range(len(bins)) if bins[i] + rest[0] <= 20 and bins[i] not in bins[:i])
+
+    down = sorted(lengths, reverse=True)
+    least = next(n for n in range(1, 9) if fits([0] * n, down))
+    assert packing.plan(collections.Counter(lengths), 20, 4)[1] <= least + 1
+
+
 def test_language_id(spark):
     got = registry.op6_language_id(spark, DATA).collect()
     truth = {r.doc_id: r.lang for r in common.table(spark, DATA, "documents").collect()}
