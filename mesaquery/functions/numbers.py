@@ -45,6 +45,16 @@ def days_left(end: Column, today: Column) -> Column:
     return F.greatest(F.lit(0), F.date_diff(end, today))
 
 
+def weekday(day: Column) -> Column:
+    """0 on Sunday to 6 on Saturday, of a date or of the date of a time."""
+    return F.dayofweek(day) - 1
+
+
+def days_after(day: Column, n: Column | int) -> Column:
+    """The date ``n`` days on; an unreal text is null."""
+    return F.date_add(day.try_cast("date"), n if isinstance(n, Column) else F.lit(n))
+
+
 def date_range(start: Column, end: Column) -> Column:
     """All dates from start to end; empty if end comes first, where ``sequence`` would run backwards."""
     return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))

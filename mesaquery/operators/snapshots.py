@@ -54,6 +54,11 @@ def first_per_key(rows: DataFrame, key: str, position: str) -> DataFrame:
     return rows.withColumn("_p", F.row_number().over(order)).where("_p = 1").drop("_p")
 
 
+def newest_stamp(rows: DataFrame, stamp: str) -> DataFrame:
+    """One row: the greatest stamp, null without rows. Partial maxima meet, and no stamps are sorted."""
+    return rows.agg(F.max(stamp).alias(stamp))
+
+
 def latest(rows: DataFrame, stamp: str, n: int = 2) -> DataFrame:
     """Rows of the ``n`` latest stamps."""
     stamps = rows.select(stamp).distinct().orderBy(F.desc(stamp)).limit(n)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mesaquery.functions.numbers import half_even, haversine_m, walk_minutes
-from mesaquery.functions.text import house_number, name_tokens, subset_jaccard
+from mesaquery.functions.text import clean, house_number, name_tokens, subset_jaccard
 
 #: Rows of either side that a cell of the tree may hold before it is split.
 CELL_ROWS = 4096
@@ -114,7 +114,7 @@ def licensed(venues: DataFrame, licences: DataFrame, key: str, near_m: float = 8
     good = pairs.where(near | (F.col("same") & (F.col("sim") >= 1)))
     order = F.struct((F.col("sim") + F.when(F.col("same"), 0.3).otherwise(0.0)).alias("s"), (-F.col("metres")).alias("m"), F.col("r_name").alias("n"))
     best = good.groupBy(key).agg(F.max(order).alias("b"), F.bool_or("r_sidewalk").alias("sidewalk"), F.bool_or("r_roadway").alias("roadway"))
-    return best.select(key, F.col("b.n").alias("licence"), half_even(-F.col("b.m")).cast("int").alias("metres"), "sidewalk", "roadway")
+    return best.select(key, clean(F.col("b.n")).alias("licence"), half_even(-F.col("b.m")).cast("int").alias("metres"), "sidewalk", "roadway")
 
 
 def as_licences(rows: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import warnings
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -183,62 +183,80 @@ class QuoteBudget:
     run: int = 18  # characters in a row that two quotations may not share
     pads: tuple[int, ...] = (25, 21, 17, 13, 9, 5)  # around the keyword, the widest that fits
 
-    def quote(self, matched: str, at: tuple[int, int] | None, room: int) -> str:
-        """The widest quotation of the room; the narrowest if none fits."""
-        made = ""
-        for pad in self.pads:
-            made = cleaned(matched[: 2 * pad])[: 2 * pad] if at is None else excerpt(matched, *at, pad)
-            if len(made.strip("…").strip()) <= room:
-                break
-        return made
-
-    def shared(self, a: str, b: str) -> bool:
-        plain = [re.sub(r"\W+", " ", x.lower()) for x in (a, b)]
-        runs = [{x[i : i + self.run] for i in range(len(x) - self.run + 1)} for x in plain]
-        return not runs[0].isdisjoint(runs[1])
-
-    def kept(self, hits: Iterable[tuple[str, str]], source: str, patterns: Mapping[str, Sequence[re.Pattern[str]]]) -> list[tuple[str, str | None, str | None]]:
-        """tag, keyword and quotation of (tag, matched) hits of one source, in order; null where it may not be quoted."""
-        source = " ".join(source.split())
-        room = max(self.floor, int(len(source) * self.share))
-        taken: list[tuple[int, int]] = []
-        out: list[tuple[str, str | None, str | None]] = []
-        for tag, matched in hits:
-            at = most_central(matched, patterns[tag])
-            widest = self.quote(matched, at, len(matched))
-            quoted = self.quote(matched, at, room) if source else widest
-            core = quoted.strip("…").strip()
-            # What the source doesn't hold as it is counts as if it stood before its first character.
-            start = source.find(core) if source else -1
-            stop = start + len(core)
-            # What a narrower quotation leaves out was still beside it: compare the widest.
-            fits = not any(self.shared(widest, x) for _, _, x in out if x)
-            if fits and source:
-                fits = len(core) <= room and (start < 0 or all(start >= b + self.gap or stop <= a - self.gap for a, b in taken))
-            if fits and source:
-                taken.append((start, stop))
-                room -= len(core)
-            out.append((tag, cleaned(matched[slice(*at)]) if at else None, quoted if fits else None))
-        return out
+    def quotes(self, matched: str, at: tuple[int, int] | None) -> list[str]:
+        """The quotations of a hit whose keyword lies at ``at``, the widest first."""
+        return [cleaned(matched[: 2 * pad])[: 2 * pad] if at is None else excerpt(matched, *at, pad) for pad in self.pads]
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _runs(text: Column, n: int) -> Column:
+    """The runs of ``n`` letters of a text, lower-cased and with what isn't a word as one space."""
+    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]+", " ")
+    return F.when(F.length(plain) >= n, F.transform(F.sequence(F.lit(1), F.length(plain) - (n - 1)), lambda i: F.substr(plain, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
+def _folded(hits: Column, source: Column, budget: QuoteBudget) -> Column:
+    """Decide hits in order: each quotation takes room of the source and bars what comes near or repeats it.
+
+    Hits have (tag, confidence, source, keyword, quotes), the widest quotation first. The state is the room
+    that is left, where the source was quoted, and the runs of letters that were.
+    """
+    start = F.struct(
+        F.greatest(F.lit(budget.floor), F.floor(F.length(source) * budget.share).cast("int")).alias("room"),
+        F.array().cast("array<struct<a:int,b:int>>").alias("spans"),
+        F.array().cast("array<string>").alias("runs"),
+        F.array().cast("array<struct<tag:string,confidence:string,source:string,keyword:string,quotation:string>>").alias("made"),
+    )
+    whole = source != ""
+
+    def decide(state: Column, hit: Column, core: Column, quote: Column, runs: Column) -> Column:
+        a = (F.instr(source, core) - 1).cast("int")
+        b = (a + F.length(core)).cast("int")
+        apart = F.forall(state["spans"], lambda s: (a >= s["b"] + budget.gap) | (b <= s["a"] - budget.gap))
+        fits = ~F.arrays_overlap(state["runs"], runs) & (~whole | (F.length(core) <= state["room"]) & ((a < 0) | apart))
+        made = F.struct(hit["tag"].alias("tag"), hit["confidence"].alias("confidence"), hit["source"].alias("source"), hit["keyword"].alias("keyword"), F.when(fits, quote).alias("quotation"))
+        return F.struct(
+            F.when(fits & whole, state["room"] - F.length(core)).otherwise(state["room"]).cast("int").alias("room"),
+            F.when(fits & whole, F.concat(state["spans"], F.array(F.struct(a.alias("a"), b.alias("b"))))).otherwise(state["spans"]).alias("spans"),
+            F.when(fits, F.concat(state["runs"], _runs(quote, budget.run))).otherwise(state["runs"]).alias("runs"),
+            F.concat(state["made"], F.array(made)).alias("made"),
+        )
+
+    def step(state: Column, hit: Column) -> Column:
+        core = lambda q: F.trim(F.regexp_replace(q, "^…+|…+$", ""))
+        fitting = F.get(F.filter(hit["quotes"], lambda q: F.length(core(q)) <= state["room"]), F.lit(0))
+        widest = F.get(hit["quotes"], F.lit(0))
+        quote = F.when(whole, F.coalesce(fitting, F.element_at(hit["quotes"], -1))).otherwise(widest)
+        # What a narrower quotation leaves out was still beside it: the widest is compared.
+        return _let(F.struct(quote.alias("q"), core(quote).alias("c"), _runs(widest, budget.run).alias("r")), lambda x: decide(state, hit, x["c"], x["q"], x["r"]))
+
+    return F.aggregate(hits, start, step)["made"]
 
 
 def quoted(hits: DataFrame, sources: DataFrame, key: str, rules: Sequence[TagRule], text: str = "matched", budget: QuoteBudget = QuoteBudget()) -> DataFrame:
     """key, tag, confidence, source, keyword, quotation: one hit of each tag, quoted within the source's budget.
 
-    ``hits`` has (key, tag, confidence, source, text), ``sources`` (key, raw). Each decision depends on
-    the earlier ones of the key, by tag, so that a key's few hits meet in one fold with its source.
+    ``hits`` has (key, tag, confidence, source, text), ``sources`` (key, raw). A hit's keyword and possible
+    quotations depend on it alone; which of them is published depends on the earlier ones of the key, by
+    tag, so that a key's few hits are folded in order over its source, which Python never sees.
     """
     rule_texts: dict[str, list[str]] = {}
     for r in rules:
         rule_texts.setdefault(r.tag, []).append(r.pattern)
     best = representative(hits.where(F.col("tag").isin(*rule_texts)), key, text)
-    listed = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("tag", F.col(text).alias("matched"), "confidence", "source"))).alias("hits"))
-    joined = listed.join(sources.select(key, F.col("raw").alias("_raw")), key, "left")
 
-    @F.pandas_udf("array<struct<tag:string,keyword:string,quotation:string>>")
-    def fold_(found: pd.Series, raw: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<keyword:string,quotes:array<string>>")
+    def read(tags: pd.Series, texts: pd.Series) -> pd.DataFrame:
         patterns = {t: [re.compile(p, re.IGNORECASE) for p in ps] for t, ps in rule_texts.items()}
-        return pd.Series([[dict(zip(("tag", "keyword", "quotation"), x, strict=True)) for x in budget.kept([(h["tag"], h["matched"]) for h in hs], r or "", patterns)] for hs, r in zip(found, raw, strict=True)])
-
-    made = joined.select(key, F.explode(F.arrays_zip("hits", fold_("hits", "_raw").alias("made"))).alias("x"))
-    return made.select(key, "x.hits.tag", "x.hits.confidence", "x.hits.source", "x.made.keyword", "x.made.quotation")
+        found = [most_central(m, patterns[t]) for t, m in zip(tags, texts, strict=True)]
+        return pd.DataFrame({"keyword": [cleaned(m[slice(*at)]) if at else None for m, at in zip(texts, found, strict=True)], "quotes": [budget.quotes(m, at) for m, at in zip(texts, found, strict=True)]})
+
+    told = best.withColumn("_read", read(F.col("tag"), F.col(text)))
+    listed = told.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("tag", "confidence", "source", "_read.keyword", "_read.quotes"))).alias("_hits"))
+    joined = listed.join(sources.select(key, F.coalesce(F.trim(F.regexp_replace("raw", r"(?U)[\s\x1C-\x1F]+", " ")), F.lit("")).alias("_raw")), key, "left")
+    made = joined.select(key, F.explode(_folded(F.col("_hits"), F.coalesce("_raw", F.lit("")), budget)).alias("x"))
+    return made.select(key, "x.*")

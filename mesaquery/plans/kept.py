@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mesaquery.functions import numbers
 from mesaquery.operators import snapshots, tagging
 from mesaquery.plans.base import load, query
 from mesaquery.sources.keyed import KeyedTable
@@ -50,3 +51,16 @@ MANY += [tagging.TagRule("numbers", "[0-9]{4}", "low"), tagging.TagRule("either"
 @query("WITH r(rule, tag, confidence, pattern) AS (VALUES " + ", ".join(f"({i}, '{r.tag}', '{r.confidence}', '{r.pattern}')" for i, r in enumerate(MANY)) + ") SELECT doc_id, tag, confidence, rule, CAST(len(regexp_extract_all(text, pattern)) AS BIGINT) AS n FROM documents, r WHERE len(regexp_extract_all(text, pattern)) > 0")
 def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_text_by_needs(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", MANY)
+
+
+@query("SELECT max(CAST(o_orderdate AS DATE))::VARCHAR AS day FROM orders WHERE o_orderkey % 7 = 2")
+def newest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "orders").where("o_orderkey % 7 = 2").select(F.to_date("o_orderdate").cast("string").alias("day"))
+    return snapshots.newest_stamp(rows, "day")
+
+
+@query("SELECT o_orderkey, dayofweek(o_orderdate) AS weekday, CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 - 200 AS INTEGER) AS VARCHAR) AS moved FROM orders")
+def weekdays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the week, and dates some days on or back."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return load(spark, sf_dir, "orders").select("o_orderkey", numbers.weekday(F.col("o_orderdate")).cast("long").alias("weekday"), numbers.days_after(day, (F.col("o_orderkey") % 400 - 200).cast("int")).cast("string").alias("moved"))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
 from mesaquery.operators import derive, facets, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tables, tagging
-from mesaquery.plans import indexed, kept, venues
+from mesaquery.plans import files, indexed, kept, venues
 from mesaquery.plans.base import QUERIES, SQL, load, query
 
-__all__ = ["QUERIES", "SQL", "indexed", "kept", "venues"]
+__all__ = ["QUERIES", "SQL", "files", "indexed", "kept", "venues"]
 
 BANDS = pricing.Bands((1, 30), (20, 45), (1, 15), 14.0)
 _EXACT = "median(p_size) FILTER (WHERE p_size BETWEEN 1 AND 30) + median(p_size) FILTER (WHERE p_size BETWEEN 20 AND 45) + coalesce(median(p_size) FILTER (WHERE p_size BETWEEN 1 AND 15), 14.0)"

@@ -446,25 +446,44 @@ def valid_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.valid_stations(raw, "at").select("name", F.lit("x").alias("mark"), F.array_join("routes", ",").alias("routes"), "lat")
 
 
-@query("""WITH l AS (SELECT s_suppkey, s_name, string_split(lower(regexp_replace(s_name, '[^A-Za-z0-9 ]+', ' ', 'g')), ' ') AS w FROM supplier)
-SELECT s_suppkey, s_name AS licence, 0 AS metres, true AS sidewalk FROM l""")
+#: How far a licence lies from its venue in degrees, by the key; 0, 56, 150 and 334 metres.
+_APART = (0.0, 0.0005, 0.00135, 0.003)
+
+
+@query("""WITH s AS (SELECT s_suppkey, s_name, [0e0, 0.0005e0, 0.00135e0, 0.003e0][s_suppkey % 4 + 1] * pi() / 180 * 6371000 AS metres, CASE WHEN s_suppkey % 3 = 1 THEN 0.25 ELSE 1 END AS sim, s_suppkey % 5 > 0 AS same FROM supplier)
+SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 1 THEN 'Supplier other words' ELSE s_name END AS licence, CAST(round_even(metres, 0) AS INTEGER) AS metres, s_suppkey % 2 = 0 AS sidewalk, s_suppkey % 7 = 0 AS roadway FROM s WHERE metres <= 80 AND (sim >= 0.34 OR same) OR metres <= 250 AND same AND sim = 1""")
 def registered_outdoor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licences met by distance and by the telling words of the legal name, as the trade name is missing."""
+    """Licences at several distances, of equal and of similar names, at the same house number and at another; trade names are missing."""
     k = F.col("s_suppkey")
-    places = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", (40.0 + k % 100 * 0.01).alias("lat"), (-74.0 + F.floor(k / 100) * 0.01).alias("lng"), F.concat(k.cast("string"), F.lit(" A St")).alias("street"))
-    own = places.select("s_suppkey", text.name_tokens(F.concat(F.lit("The "), "s_name")).alias("name_words"), text.house_number(F.col("street")).alias("house"), "lat", "lng")
-    held = spatial.as_licences(places.select(F.lit("").alias("name"), F.col("s_name").alias("legal"), "street", F.lit(True).alias("sidewalk"), F.lit(False).alias("roadway"), "lat", "lng"))
-    return spatial.licensed(own, held, "s_suppkey").select("s_suppkey", "licence", "metres", "sidewalk")
+    south, west = 40.0 + k % 100 * 0.01, -74.0 + F.floor(k / 100) * 0.01
+    places = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", south.alias("lat"), west.alias("lng"))
+    own = places.select("s_suppkey", text.name_tokens(F.concat(F.lit("The "), "s_name")).alias("name_words"), text.house_number(F.concat(k.cast("string"), F.lit(" A St"))).alias("house"), "lat", "lng")
+    apart = F.element_at(F.array(*map(F.lit, _APART)), (k % 4 + 1).cast("int"))
+    legal = F.when(k % 3 == 1, F.lit("Supplier \u0007other  words")).otherwise(F.col("s_name"))
+    street = F.concat(F.when(k % 5 > 0, k).otherwise(k + 1).cast("string"), F.lit(" A Street"))
+    held = spatial.as_licences(places.select(F.lit("").alias("name"), legal.alias("legal"), street.alias("street"), (k % 2 == 0).alias("sidewalk"), (k % 7 == 0).alias("roadway"), (F.col("lat") + apart).alias("lat"), "lng"))
+    return spatial.licensed(own, held, "s_suppkey").select("s_suppkey", "licence", "metres", "sidewalk", "roadway")
+
+
+_MONTHS = ("July", "Aug.", "August", "Sept.", "October", "nov", "Dec", "Mai")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '2026-09-06' ELSE CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '2026-08-31' END END AS ends FROM orders")
+@query("""WITH k AS (SELECT o_orderkey, o_orderkey % 8 AS f, (o_orderkey // 3) % 8 AS t, o_orderkey % 31 + 1 AS d, o_orderkey % 4 AS form FROM orders),
+m AS (SELECT *, [7, 8, 8, 9, 10, 11, 12, NULL][CASE WHEN form = 0 THEN f ELSE t END + 1] AS month FROM k)
+SELECT o_orderkey, CASE WHEN form < 3 AND month IS NOT NULL THEN CAST(try_cast('2026-' || lpad(CAST(month AS VARCHAR), 2, '0') || '-' || lpad(CAST(d AS VARCHAR), 2, '0') AS DATE) AS VARCHAR) END AS ends FROM m""")
 def week_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full and short names of months, any dash, and labels that aren't of a week."""
+    """Full and short names of months, any dash, no month at the end, days and months that aren't, and labels that aren't of a week."""
     k = F.col("o_orderkey")
-    label = F.when(k % 2 == 0, "Week 7 (September 1 — Sept. 6)").when(k % 3 == 0, "W (Aug 24 - 31)").otherwise("Week 6 (Aug 24 − 31)")
-    return load(spark, sf_dir, "orders").select("o_orderkey", derive.end_of_labels(F.array(label), 2026).cast("string").alias("ends"))
+    month = lambda n: F.element_at(F.array(*map(F.lit, _MONTHS)), (n % 8 + 1).cast("int"))
+    first, last, day = month(k), month(F.expr("o_orderkey div 3")), (k % 31 + 1).cast("string")
+    head = F.concat(F.lit("Week "), (k % 12).cast("string"), F.lit(" ("), first, F.lit(" 1 "))
+    label = F.when(k % 4 == 0, F.concat(head, F.lit("- "), day, F.lit(")"))).when(k % 4 == 1, F.concat(head, F.lit("— "), last, F.lit(" "), day, F.lit(")")))
+    label = label.when(k % 4 == 2, F.concat(head, F.lit("− "), last, day, F.lit(" )"))).otherwise(F.concat(first, F.lit(" 1 - "), last, F.lit(" "), day))
+    return load(spark, sf_dir, "orders").select("o_orderkey", derive.end_of_labels(F.array(F.lit("Week 1 (Aug 1 - 2)"), label), 2026).cast("string").alias("ends"))
 
 
-@query("SELECT c_custkey, least(1, c_custkey % 2) = 1 AS near FROM customer")
+@query("SELECT c_custkey, CAST(greatest(0, c_custkey % 40 - 14) AS INTEGER) AS days FROM customer")
 def shown_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "customer").select("c_custkey", (numbers.days_left(F.date_add(F.lit("2026-08-01").cast("date"), (F.col("c_custkey") % 2).cast("int")), F.lit("2026-08-01").cast("date")) == 1).alias("near"))
+    """Days that are left until a date, none once it has passed."""
+    ends = F.date_add(F.lit("2026-08-01").cast("date"), (F.col("c_custkey") % 40).cast("int"))
+    return load(spark, sf_dir, "customer").select("c_custkey", numbers.days_left(ends, F.lit("2026-08-15").cast("date")).alias("days"))

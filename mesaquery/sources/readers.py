@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +26,74 @@ def json_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+#: What changes the state of a reader of JSON: quotes outside of escapes, and brackets.
+_MARKS = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
+
+
+def _after(text: str, quoted: bool, depth: int) -> tuple[bool, int]:
+    """Whether a piece of JSON ends within a string, and how deep, if it begins so."""
+    for mark in _MARKS.findall(text):
+        if mark == '"':
+            quoted = not quoted
+        elif not quoted and len(mark) == 1:
+            depth += 1 if mark in "{[" else -1
+    return quoted, depth
+
+
 def keyed_object(spark: SparkSession, path: str, value: str, key: str = "slug") -> DataFrame:
-    """A file that holds one object from keys to records: a row for each key, keys as strings."""
-    text = spark.read.option("wholetext", True).text(path)
-    parsed = text.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias(key, "v"))
+    """Files that hold one object each, from keys to records: a row for each key, keys as strings.
+
+    A file of any size is read in pieces between commas, by as many tasks as its splits make. First each
+    split says how it ends if it begins inside a string and if it doesn't, and how much deeper; one pass
+    over these few rows tells how each split really begins. Then splits cut their pieces into records at
+    the commas of the outer object; what begins in one split and ends in another is put together by
+    order. Records that can't be parsed are left out.
+    """
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    pieces = spark.read.option("lineSep", ",").text(path).select(*at, "value")
+
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[str, int], list[tuple[bool, int]]] = {}
+        for batch in batches:
+            for file, start, text in zip(batch["file"], batch["start"], batch["value"], strict=True):
+                now = held.get((file, start), [(False, 0), (True, 0)])
+                held[file, start] = [_after(text, *state) for state in now]
+        yield pd.DataFrame([(f, s, *out, *within) for (f, s), (out, within) in held.items()], columns=["file", "start", "q0", "d0", "q1", "d1"])
+
+    begins: dict[tuple[str, int], tuple[bool, int]] = {}
+    last, quoted, depth = None, False, 0
+    for r in sorted(pieces.mapInPandas(ends, "file string, start long, q0 boolean, d0 int, q1 boolean, d1 int").collect()):  # a row for each split
+        quoted, depth = (quoted, depth) if r.file == last else (False, 0)
+        begins[r.file, r.start] = quoted, depth
+        last, quoted, depth = r.file, *((r.q1, depth + r.d1) if quoted else (r.q0, depth + r.d0))
+
+    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state: dict[tuple[str, int], list] = {}  # of the split being read: in a string, depth, pieces, whether one record ended
+        for batch in batches:
+            out = []
+            for file, start, text in zip(batch["file"], batch["start"], batch["value"], strict=True):
+                if (file, start) not in state:
+                    out += [(*k, "tail" if v[3] else "through", ",".join(v[2]), v[1] == 0) for k, v in state.items() if v[2]]
+                    state = {(file, start): [*begins[file, start], [], False]}
+                now = state[file, start]
+                now[2].append(text)
+                now[:2] = _after(text, *now[:2])
+                if not now[0] and now[1] == 1:
+                    out.append((file, start, "whole" if now[3] else "head", ",".join(now[2]), False))
+                    now[2:] = [], True
+            yield pd.DataFrame(out, columns=["file", "start", "kind", "text", "last"])
+        yield pd.DataFrame([(*k, "tail" if v[3] else "through", ",".join(v[2]), v[1] == 0) for k, v in state.items() if v[2]], columns=["file", "start", "kind", "text", "last"])
+
+    cut = pieces.mapInPandas(records, "file string, start long, kind string, text string, last boolean")
+    parts = cut.where("kind <> 'whole'").withColumn("order", F.when(F.col("kind") == "head", 0).otherwise(1))
+    before = Window.partitionBy("file").orderBy("start", "order").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = parts.withColumn("number", F.coalesce(F.sum((F.col("kind") == "head").cast("int")).over(before), F.lit(0)))  # two rows a split at most
+    joined = numbered.groupBy("file", "number").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "order", "text"))), lambda x: x["text"]), ",").alias("text"), F.max("last").alias("last"))
+    every = cut.where("kind = 'whole'").select("text", "last").unionByName(joined.select("text", "last"))
+    space = r"[ \t\n\r\x{FEFF}]*"
+    inner = F.regexp_replace("text", rf"^{space}\{{", "")
+    inner = F.when(F.col("last"), F.regexp_replace(inner, rf"\}}{space}$", "")).otherwise(inner)
+    parsed = every.select(F.explode(F.from_json(F.concat(F.lit("{"), inner, F.lit("}")), f"map<string,{value}>")).alias(key, "v"))
     return parsed.select(key, "v.*")
 
 

@@ -1,5 +1,6 @@
 """Tables kept between runs, digests of snapshots, headers by parts, and rules by what they need."""
 
+import json
 import random
 import re
 
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from mesaquery.operators import snapshots, tagging
+from mesaquery.sources import readers
 from mesaquery.sources.keyed import KeyedTable
+from mesaquery.streaming import retries
 
 SCHEMA = "k string, v int, w string"
 
@@ -101,6 +104,29 @@ def test_headers_of_one_document_are_several_tasks(spark):
     assert {r.header: r.n for r in got.groupBy("header").agg(F.count("*").alias("n")).collect()} == {None: 7, "H7": 300_000, "H300007": 300_000, "H600007": 300_000, "H900007": 99_993}
 
 
+@pytest.mark.parametrize("size", [60, 1000, 1 << 27])
+def test_keyed_objects_are_read_in_pieces(spark, tmp_path, size):
+    """Commas, quotes, brackets and escapes in keys and values; records longer than a split; empty objects; two files."""
+    rng = random.Random(size)
+    text = lambda: "".join(rng.choices(['a', ',', '"', '\\', '{', '}', '[', ']', ':', ' ', '\n', 'é', '🦆', '\\",'], k=rng.choice([0, 3, 30, 400])))
+    want = {}
+    for n in range(2):
+        made = {f"{n}{i}{text()}": {"url": rng.choice([None, text()]), "error": text(), "other": [1, {"x": text()}]} for i in range(60)}
+        want |= made
+        (tmp_path / f"o{n}.json").write_text("\n " + json.dumps(made, ensure_ascii=n > 0, indent=2 if n else None) + "\n", encoding="utf-8")
+    (tmp_path / "empty.json").write_text("{ }\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = readers.keyed_object(spark, f"file://{tmp_path}/*.json", "struct<url:string,error:string>")
+        got = {r.slug: (r.url, r.error) for r in rows.collect()}
+        n_tasks = spark.read.option("lineSep", ",").text(f"file://{tmp_path}/*.json").rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {k: (v["url"], v["error"]) for k, v in want.items()} and (n_tasks > 20 or size > 60)
+
+
 def test_needed_texts():
     need = tagging.needed_texts
     assert need("duck") == ("duck",) and need("(?i)DUCK(?:ling)?s?") == ("duck",) and need(r"\boyster(s|es)\b") == ("oyster",)
@@ -121,3 +147,28 @@ def test_rules_by_needs_equal_all_rules(spark):
     unrolled = tagging.tag_text(table, "text", rules[1000:]).withColumn("rule", F.col("rule") + 1000)
     assert same(tagging.tag_text_by_needs(table, "text", rules)) == same(unrolled)
     assert re.search("İ", "İ")
+
+
+def test_retries_go_on_over_restarts(spark, tmp_path):
+    schema = "slug string, at string, usable boolean, method string"
+    batches = [
+        [("a", "2026-08-01 10:00", False, "plain"), ("b", "2026-08-01 10:00", False, "plain"), ("c", "2026-08-01 10:00", True, "plain"), ("d", "2026-08-01 10:00", False, "plain"), (None, "2026-08-01 10:00", False, "plain")],
+        [("b", "2026-08-01 10:30", True, "rescue"), ("d", "2026-08-01 10:30", False, "rescue")],  # b is done before its hour, d moves on
+        [("z", "2026-08-01 11:45", True, "plain")],  # a's hour has passed
+        [("a", "2026-08-01 12:00", False, "rescue")],
+        [("z", "2026-08-01 13:00", True, "plain")],  # d's second pause has passed
+        [("d", "2026-08-01 13:05", False, "render"), ("z", "2026-08-02 10:00", True, "plain")],  # all of d's methods have failed
+        [("z", "2026-08-03 10:00", True, "plain")],
+    ]
+    seen = []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(f"file://{tmp_path}/in")
+        stream = spark.readStream.schema(schema).json(f"file://{tmp_path}/in").withColumn("at", F.to_timestamp("at", "yyyy-MM-dd HH:mm"))
+        due = retries.due_retries(stream, "slug", "at", "usable", "method", ("plain", "rescue", "render"))
+        due.writeStream.format("parquet").option("path", f"file://{tmp_path}/out").option("checkpointLocation", f"file://{tmp_path}/c").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        out = sorted((r.slug, r.method, r.attempt, str(r.due)) for r in spark.read.schema("slug string, method string, attempt int, due timestamp").parquet(f"file://{tmp_path}/out").collect())
+        seen.append(out)
+    assert seen[0] == seen[1] == []
+    assert seen[2] == [("a", "rescue", 2, "2026-08-01 11:00:00")] == seen[3]
+    assert seen[4] == [*seen[3], ("d", "render", 3, "2026-08-01 12:30:00")]
+    assert seen[-1] == sorted([*seen[4], ("a", "render", 3, "2026-08-01 14:00:00")])

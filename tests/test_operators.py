@@ -244,20 +244,70 @@ def test_quotations_stay_within_the_budget(spark):
     assert len(got["s", "a"].quotation.strip("…")) + len(got["s", "b"].quotation.strip("…")) <= int(len(menu) * 0.045)
     assert got["s", "b"].quotation == "grilled steak of the…" and got["s", "c"].quotation is None  # too near the second
     assert got["s", "d"].keyword is None and got["t", "b"].quotation == "steak"
-    assert tagging.QuoteBudget().shared("a shared run of many letters", "the SHARED -- run of many") and not tagging.QuoteBudget().shared("short", "short")
+
+
+def kept_quotations(hits, source, patterns, budget):
+    """(tag, keyword, quotation) of (tag, matched) in order, decided one by one."""
+    source = " ".join(source.split())
+    room, taken, out = max(budget.floor, int(len(source) * budget.share)), [], []
+    runs = lambda x: {p[i : i + budget.run] for p in [re.sub(r"\W+", " ", x.lower())] for i in range(len(p) - budget.run + 1)}
+    for tag, matched in hits:
+        at = text.most_central(matched, patterns[tag])
+        quotes = budget.quotes(matched, at)
+        core = lambda q: q.strip("…").strip()
+        made = next((q for q in quotes if len(core(q)) <= room), quotes[-1]) if source else quotes[0]
+        start = source.find(core(made)) if source else -1
+        stop = start + len(core(made))
+        fits = all(runs(quotes[0]).isdisjoint(runs(q)) for _, _, q in out if q)
+        if source:
+            fits = fits and len(core(made)) <= room and (start < 0 or all(start >= b + budget.gap or stop <= a - budget.gap for a, b in taken))
+            if fits:
+                taken.append((start, stop))
+                room -= len(core(made))
+        out.append((tag, text.cleaned(matched[slice(*at)]) if at else None, made if fits else None))
+    return out
+
+
+def test_quotations_equal_deciding_one_by_one(spark):
+    """Two tags of one passage, sources that are short, long, missing and empty, and hits that aren't in the source."""
+    rng = random.Random(21)
+    words = ["oyster", "Steak", "toro", "herbs", "lemon", "platter", "grilled", "Café", "x" * 30, "and", "of", "the", "…"]
+    rules = [tagging.TagRule(t, t) for t in ("oyster", "steak", "toro", "herbs", "and", "lemon")] + [tagging.TagRule("toro", "grill(ed)?")]
+    patterns = {}
+    for r in rules:
+        patterns.setdefault(r.tag, []).append(re.compile(r.pattern, re.IGNORECASE))
+    hits, sources = [], []
+    for k in range(120):
+        raw = rng.choice(["  ", "\n", " "]).join(rng.choices(words, k=rng.choice([5, 40, 400, 2000])))
+        flat = " ".join(raw.split())
+        for tag in rng.sample(sorted(patterns), rng.randrange(1, 6)):
+            a = rng.randrange(max(1, len(flat) - 40))
+            hits.append((f"k{k}", tag, rng.choice(["high", "low"]), rng.choice(["item", "raw_text"]), rng.choice([flat[a : a + 143], flat[:143], "an oyster that isn't there, with lemon and toro", tag])))
+        if k % 10:
+            sources.append((f"k{k}", rng.choice([raw, raw, raw, "", None])))
+    budget = tagging.QuoteBudget(share=0.2)
+    got = {}
+    table = spark.createDataFrame(hits, "slug string, tag string, confidence string, source string, matched string")
+    for r in tagging.quoted(table, spark.createDataFrame(sources, "slug string, raw string"), "slug", rules, budget=budget).collect():
+        got.setdefault(r.slug, []).append((r.tag, r.keyword, r.quotation))
+    raws = {k: v or "" for k, v in sources}
+    want = {}
+    for k in {h[0] for h in hits}:
+        own = sorted((t, m) for s, t, _, _, m in hits if s == k)
+        want[k] = kept_quotations(own, raws.get(k, ""), patterns, budget)
+    assert {k: sorted(v, key=lambda x: x[0]) for k, v in got.items()} == want
+    flat = [q for v in want.values() for *_, q in v]
+    assert 50 < sum(q is not None for q in flat) < len(flat) - 50
 
 
 def test_quotations_are_compared_before_they_shrink(spark):
-    """Two tags of one passage: the second is rejected for what its widest quotation shares."""
-    rules = [tagging.TagRule("a", "oyster"), tagging.TagRule("b", "herbs"), tagging.TagRule("c", "steak")]
+    """Two tags of one passage: the second is rejected for what its widest quotation shares, not its narrow one."""
     passage = "fresh oyster platter with lemon and herbs"
-    budget = tagging.QuoteBudget()
-    patterns = {r.tag: [re.compile(r.pattern)] for r in rules}
-    menu = "x" * 900 + f" {passage} " + "y" * 900
-    got = budget.kept([("a", passage), ("b", passage), ("c", "steak")], menu, patterns)
-    assert got[0][2] == "fresh oyster platter with lemon and…" and got[1][1:] == ("herbs", None)
-    assert budget.shared(got[0][2], budget.quote(passage, (36, 41), 10**9)) and not budget.shared(got[0][2], budget.quote(passage, (36, 41), 12))
-    assert got[2] == ("c", "steak", "steak")  # not in the source: counts for the budget, is nowhere near
+    rules = [tagging.TagRule("a", "oyster"), tagging.TagRule("b", "herbs"), tagging.TagRule("c", "steak")]
+    menu = "x" * 1100 + f" {passage} " + "y" * 800
+    hits = spark.createDataFrame([("s", t, "high", "item", m) for t, m in (("a", passage), ("b", passage), ("c", "steak"))], "slug string, tag string, confidence string, source string, matched string")
+    got = {r.tag: (r.keyword, r.quotation) for r in tagging.quoted(hits, spark.createDataFrame([("s", menu)], "slug string, raw string"), "slug", rules, budget=tagging.QuoteBudget(gap=0)).collect()}
+    assert got == {"a": ("oyster", "fresh oyster platter with lemon and…"), "b": ("herbs", None), "c": ("steak", "steak")}  # the last is nowhere in the source
 
 
 @pytest.mark.parametrize("cell_rows", [1, 7, 4096])
