@@ -316,11 +316,14 @@ def templates_of(pages: DataFrame) -> DataFrame:
     modulus = F.lit(1 << 62).cast("decimal(38,0)")
     sums = [F.sum("pages").alias("pages"), F.sum("once").alias("once"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"), F.sum("place").alias("place")]
     own = saved(pages.select("host", "page", "html").mapInArrow(occurrences, "host string, token string, pages long, once long, vector long, place double").groupBy("host", "token").agg(*sums), "vectors")
-    common = own.groupBy("token").agg(*sums).select(F.lit(None).cast("string").alias("host"), "token", "pages", "once", "vector", "place")
-    vectors = own.union(common).withColumn("vector", F.col("vector") % modulus)
-    totals = vectors.where("token = '#page'").select("host", F.col("pages").alias("all_pages"))
-    tokens = vectors.where("token <> '#page'").join(totals, vectors.host.eqNullSafe(totals.host)).drop(totals.host)
-    often = tokens.where(F.col("pages") >= SHARE * F.col("all_pages")).where((F.col("all_pages") >= LEAST_PAGES) | F.col("host").isNull())
+    # A token of one page is in no host's template: texts, most of them, go no further.
+    totals = own.where("token = '#page'").select("host", F.col("pages").alias("all_pages"))
+    every = totals.agg(F.coalesce(F.sum("all_pages"), F.lit(0))).first()[0]
+    tokens = own.where("token <> '#page'")
+    of_hosts = tokens.where("pages > 1").join(totals.where(F.col("all_pages") >= LEAST_PAGES), "host").where(F.col("pages") >= SHARE * F.col("all_pages"))
+    common = tokens.groupBy("token").agg(*sums).where(F.col("pages") >= SHARE * every)
+    common = common.select(F.lit(None).cast("string").alias("host"), "token", "pages", "once", "vector", "place", F.lit(every).cast("long").alias("all_pages"))
+    often = of_hosts.select(*common.columns).union(common).withColumn("vector", F.col("vector") % modulus)
     # A class: one host's tokens of one vector. The outer one has each token once on most pages.
     classes = often.groupBy("host", "vector").agg(F.count("*").alias("size"), F.min(F.when(F.col("once") >= SHARE * F.col("all_pages"), F.col("once")).otherwise(0)).alias("outer"), F.first("pages").alias("pages"), F.array_sort(F.collect_list(F.struct((F.col("place") / F.col("pages")).alias("at"), "token"))).alias("tokens"))
     first = Window.partitionBy("host").orderBy(F.desc("outer"), F.desc("size"), "vector")

@@ -218,6 +218,23 @@ def test_token_files_and_packing(spark, docs):
     assert len(places) <= math.ceil(at / 256) * 1.1 + 1
 
 
+@pytest.mark.parametrize(("most_tokens", "most_docs"), [(1, 1000), (300, 4), (10**9, 1), (2000, 1000)])
+def test_token_shards_follow_the_size(spark, docs, tmp_path, most_tokens, most_docs):
+    """Shards of few ids or documents, and files that a lost attempt has left behind."""
+    folder = f"file://{tmp_path}/t"
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/shard-00000-00000-lost.bin").write_bytes(b"x")
+    whole = sorted(map(tuple, token_files.token_files_query(spark, docs, registry.TOKENIZER).collect()))
+    made = token_files.write_token_files(docs, folder, registry.TOKENIZER, 2, parts=3, shard_tokens=most_tokens, shard_docs=most_docs)
+    shards = made.collect()
+    assert all(s.n_docs == 1 or s.n_tokens <= most_tokens and s.n_docs <= most_docs for s in shards) and len(shards) >= 3
+    assert sum(s.n_docs for s in shards) == len(whole) and len({s.name for s in shards}) == len(shards)
+    assert sorted(map(tuple, token_files.read_token_files(made, folder, rows=3).collect())) == whole
+    first = min(shards, key=lambda s: (s.part, s.shard))
+    file = token_files.TokenFiles(folder, first.name, first.width)
+    assert len(file) == first.n_docs and file.doc_ids[0] == 0 and zlib.crc32(file[0].astype("<u4").tobytes()) == whole[0][3]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.dictionaries(st.integers(1, 50), st.integers(0, 60), max_size=30), st.integers(1, 12))
 def test_plan_places_everything_once(histogram, groups_):
