@@ -178,7 +178,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.when(good & F.col(id_col).isNotNull(), v).alias("v"))
     # Equal components make one class, told by the digest of their text form.
     keyed = rows.withColumn("key", F.when(F.col("v").isNotNull(), F.sha2(F.array_join(F.transform("v", lambda x: x.cast("string")), ","), 256)))
-    classes = saved(keyed.where("v IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")).withColumn("dim", F.size("v")), "classes")
+    classes = keyed.where("v IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"), F.first("v").alias("v"))
+    # Numbered by themselves, as rows of one id can hold several vectors.
+    classes = saved(classes.withColumn("dim", F.size("v")).withColumn("rep", F.monotonically_increasing_id()), "classes")
     n = classes.count()
     pivots = _pivots(classes, block)
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
@@ -243,8 +245,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     drop(dealt, parts, blocks, pairs, sides)
     links = found.where("other IS NULL").groupBy(F.col("vec").alias("rep")).agg(F.sum("n").alias("n"))
     labels = components(found.where("other IS NOT NULL").select(F.col("vec").alias("a"), F.col("other").alias("b")))
-    per_class = saved(classes.select("key", "rep", "copies").join(links, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")), "per-class")
-    drop(classes, found)
+    named = saved(labels.withColumnRenamed("node", "rep").join(classes.select("rep", "first_id"), "rep"), "labels")
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("smallest"))
+    of_class = named.select("rep", "component").join(smallest, "component").select("rep", "smallest")
+    per_class = saved(classes.select("key", "rep", "first_id", "copies").join(links, "rep", "left").join(of_class, "rep", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("smallest", "first_id").alias("component")), "per-class")
+    drop(classes, found, named)
     result = with_small(keyed.select("vec_id", "key"), per_class, ["key"], "left", n)
     component = F.coalesce("component", "vec_id")
     return result.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
