@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -27,46 +28,62 @@ def by_name(externals: DataFrame, venues: DataFrame) -> DataFrame:
     return exact.select("ext", F.coalesce("sure.slug", "first.slug").alias("slug"), F.when(there, 1.0).when(alone, 0.9).otherwise(0.5).alias("confidence"), F.when(there | alone, "matched").otherwise("review").alias("status"))
 
 
-#: Names up to this length are also told by pairs of letters.
+#: Names up to this length are told by what is left of them without a few letters.
 _SHORT = 9
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _grams(name: pd.Series) -> pd.Series:
-    """Runs of three letters, and of two of short names, each with how often it came before."""
+    """Runs of three letters, each with how often it came before."""
 
     def of(text: str) -> list[str]:
-        out = []
-        for n in (3, 2)[: 1 + (len(text) <= _SHORT)]:
-            seen: Counter[str] = Counter()
-            for i in range(len(text) - n + 1):
-                gram = text[i : i + n]
-                out.append(f"{gram}{seen[gram]}")
-                seen[gram] += 1
+        out, seen = [], Counter()
+        for i in range(len(text) - 2):
+            gram = text[i : i + 3]
+            out.append(f"{gram}{seen[gram]}")
+            seen[gram] += 1
         return out
 
     return name.map(lambda t: [] if t is None else of(t))
 
 
 def _index(names: DataFrame, frequency: DataFrame, name: str, least: float) -> DataFrame:
-    """name, gram: the rarest grams of a name, so many that a name of a ratio of ``least`` shares one of them.
+    """name, gram: the rarest grams of a name of over ``_SHORT`` letters, so many that a name of a ratio of ``least`` shares one of them.
 
     At ratio r, strings of lengths a and b match in M = r (a + b) / 2 letters at least, and what doesn't
     match parts these into a + b - 2 M + 1 runs at most. A run of l letters has l - 2 of the three-letter
     runs; so two long strings share M - 2 (a + b - 2 M + 1) of them, and all but that number, less one,
-    of the rarest are enough to find one. Strings of 16 letters together, or fewer, share two letters in
-    a row, which all are kept for.
+    of the rarest are enough to find one.
     """
-    grams = names.select(F.col(name).alias("_name"), F.explode(_grams(name)).alias("gram")).join(frequency, "gram")
-    order = Window.partitionBy("_name", F.length("gram") > 3).orderBy("n", "gram")
+    grams = names.where(F.length(name) > _SHORT).select(F.col(name).alias("_name"), F.explode(_grams(name)).alias("gram")).join(frequency, "gram")
+    order = Window.partitionBy("_name").orderBy("n", "gram")
     a = F.length("_name")
     both = a * (1 + least / (2 - least))
     shared = F.greatest(F.lit(1.0), F.ceil(least * both / 2 - 2 * ((1 - least) * both + 1) - 1e-6))
-    # Of names of up to _SHORT letters all grams are kept.
-    keep = (a <= _SHORT) | (F.length("gram") > 3) & (F.col("_at") <= F.greatest(F.lit(1), a - 2 - shared + 1))
+    keep = F.col("_at") <= F.greatest(F.lit(1), a - 2 - shared + 1)
     return grams.withColumn("_at", F.row_number().over(order)).where(keep).select(F.col("_name").alias(name), "gram")
 
 
+def _shortened(names: DataFrame, name: str, least: float) -> DataFrame:
+    """name, rest: what is left of a name, of a length that one of ``_SHORT`` letters can be like, without a few of its letters.
+
+    Strings of a ratio of ``least`` have a common subsequence of r (a + b) / 2 letters, as long as the
+    shorter of them at most; so the longer loses (1 - r / (2 - r)) of its letters at most to get to it.
+    """
+    share = 1 - least / (2 - least)
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def without(texts: pd.Series) -> pd.Series:
+        def of(text: str) -> list[str]:
+            most = int(share * len(text) + 1e-9)
+            return sorted({"".join(c for i, c in enumerate(text) if i not in gone) for k in range(most + 1) for gone in combinations(range(len(text)), k)})
+
+        return texts.map(of)
+
+    fitting = names.where(F.length(name) <= int(_SHORT * (2 - least) / least + 1e-9))
+    return fitting.select(name, F.explode(without(name)).alias("rest"))
+
+
 #: Fixed value: the confidence of a similar name at the same street number.
 SIMILAR = 0.8
 
@@ -74,9 +91,10 @@ SIMILAR = 0.8
 def by_ratio(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtful: float = 0.85) -> DataFrame:
     """ext, slug, confidence, status of externals by their most similar venue name, the first of equally similar ones.
 
-    The confidence is ``SIMILAR`` of a match and the ratio of names for review. matched from ``sure`` on with one venue of the name whose street numbers meet, review from
-    ``doubtful`` on, else no row. Names meet where they share one of their rarest grams, which finds
-    every pair of that ratio, 0.85 at least, without comparing all names with all.
+    The confidence is ``SIMILAR`` of a match and the ratio of names for review. matched from ``sure`` on
+    with one venue of the name whose street numbers meet, review from ``doubtful`` on, else no row.
+    Long names meet where they share one of their rarest grams, short ones where they are equal without
+    a few letters, which finds every pair of that ratio, 0.85 at least, without comparing all with all.
     """
     if doubtful < 0.85:
         raise ValueError("names of a ratio below 0.85 need not share a gram")
@@ -86,7 +104,10 @@ def by_ratio(externals: DataFrame, venues: DataFrame, sure: float = 0.92, doubtf
     every = wanted.union(names.select(F.col("v_name").alias("name")))
     frequency = every.select(F.explode(_grams("name")).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
     reach = doubtful / (2 - doubtful)
-    pairs = _index(wanted, frequency, "name", doubtful).join(_index(names.select("v_name"), frequency, "v_name", doubtful), "gram")
+    few = names.select("v_name")
+    long_ = _index(wanted, frequency, "name", doubtful).join(_index(few, frequency, "v_name", doubtful), "gram")
+    short = _shortened(wanted, "name", doubtful).join(_shortened(few, "v_name", doubtful), "rest").where(F.least(F.length("name"), F.length("v_name")) <= _SHORT)
+    pairs = long_.select("name", "v_name").union(short.select("name", "v_name"))
     pairs = pairs.where((F.length("v_name") >= F.length("name") * reach - 1e-9) & (F.length("name") >= F.length("v_name") * reach - 1e-9)).select("name", "v_name").distinct()
     close = pairs.withColumn("ratio", sequence_ratio("name", "v_name")).where(F.col("ratio") >= doubtful).join(names, "v_name")
     met = F.coalesce(F.arrays_overlap("streets", "v_streets"), F.lit(False))

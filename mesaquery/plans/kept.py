@@ -39,7 +39,7 @@ def hashed_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = orders.where("o_custkey <> 9").withColumn("o_orderstatus", F.expr("CASE WHEN o_custkey % 50 = 3 AND o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END"))
     folder, fields = shared_folder(spark, "snapshots"), ["o_orderstatus", "o_orderpriority"]
     for name, rows in (("old", old), ("new", new)):
-        snapshots.write_hashed(rows, f"{folder}/{name}", "o_orderkey", fields)
+        snapshots.write_hashed(rows, f"{folder}/{name}", "o_orderkey", fields, buckets=32)
     return snapshots.hashed_diff(f"{folder}/old", f"{folder}/new", orders, "o_orderkey", fields)
 
 

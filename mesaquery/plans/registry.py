@@ -110,10 +110,10 @@ def relevance_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").select("p_partkey", "p_name", facets.relevance(F.col("p_name"), "blue").alias("tier"))
 
 
-@query("SELECT s_suppkey, s_name, nullif(s_nationkey, 3) AS nation FROM supplier ORDER BY nullif(s_nationkey, 3) DESC NULLS LAST, s_acctbal ASC NULLS LAST, s_suppkey LIMIT 20 OFFSET 20")
+@query("SELECT s_suppkey, s_name, nullif(s_nationkey, 3) AS nation FROM supplier ORDER BY nullif(s_nationkey, 3) DESC NULLS LAST, s_acctbal ASC NULLS LAST, s_suppkey LIMIT 5 OFFSET 5")
 def page_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "supplier").withColumn("nation", F.nullif(F.col("s_nationkey"), F.lit(3)))
-    return facets.page_of(rows, facets.Sort((("nation", True), ("s_acctbal", False), ("s_suppkey", False))), 1, 20).select("s_suppkey", "s_name", "nation")
+    return facets.page_of(rows, facets.Sort((("nation", True), ("s_acctbal", False), ("s_suppkey", False))), 1, 5).select("s_suppkey", "s_name", "nation")
 
 
 def _two_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -571,11 +571,24 @@ def walk_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").select("c_custkey", facets.walk_key(routes, k % 5, ("4", "6")).alias("chosen"), facets.walk_key(routes, k % 5).alias("nearest"))
 
 
-@query("SELECT c_custkey, 'http://a.com/menu/' || c_custkey || ' http://a.com/dining' || CASE WHEN c_custkey % 2 = 0 THEN '' ELSE '/x' END AS pages, 'http://b.com/menu.pdf' AS files FROM customer")
+@query("""WITH l AS (SELECT c_custkey AS k, ['http://a.com/dining' || repeat('/x', CAST(c_custkey % 3 AS INTEGER)), 'http://a.com/menu/' || c_custkey, 'http://a.com/dinner-' || c_custkey % 10] || CASE WHEN c_custkey % 2 = 0 THEN ['http://a.com/menus'] ELSE [] END || CASE WHEN c_custkey % 7 < 3 THEN ['http://a.com/' || repeat('long', CAST(c_custkey % 4 AS INTEGER)) || '-menu'] ELSE [] END AS u FROM customer),
+s AS (SELECT k, unnest(list_distinct(u)) AS u, u AS every FROM l), r AS (SELECT k, u, row_number() OVER (PARTITION BY k ORDER BY contains(u, 'menu') DESC, length(u), list_position(every, u)) AS i FROM s)
+SELECT k AS c_custkey, string_agg(u, ' ' ORDER BY i) FILTER (WHERE i <= 4) AS pages, array_to_string(([] || CASE WHEN any_value(k) % 3 > 0 THEN ['http://b.com/menu-' || any_value(k) || '.PDF'] ELSE [] END || ['http://a.com/din.pdf'])[1:1 + CAST(any_value(k) % 3 > 0 AS INTEGER)], ' ') AS files FROM r GROUP BY k""")
 def ranked_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of the page's host that are wanted and not blocked, once each, menus first and short before long; files of any host."""
     k = F.col("c_custkey")
-    hrefs = F.array(F.when(k % 2 == 0, "http://a.com/dining").otherwise("http://a.com/dining/x"), F.concat(F.lit("http://a.com/menu/"), k.cast("string"), F.lit("#")), F.lit("http://b.com/menu"), F.lit("http://b.com/menu.pdf"), F.lit("http://a.com/menu-jobs"), F.lit("mailto:menu"))
-    found = text.ranked_links(hrefs, F.lit("http://a.com/"), "menu|din", "jobs", "menu")
+    times = lambda x, n: F.repeat(F.lit(x), n.cast("int"))
+    hrefs = F.array(
+        F.concat(F.lit("http://a.com/dining"), times("/x", k % 3)),
+        F.concat(F.lit("http://a.com/menu/"), k.cast("string"), F.lit("#")),
+        F.when(k % 3 > 0, F.concat(F.lit("http://b.com/menu-"), k.cast("string"), F.lit(".PDF"))).otherwise("mailto:menu"),
+        F.concat(F.lit("http://a.com/dinner-"), (k % 10).cast("string"), F.lit("##")),
+        F.when(k % 2 == 0, "http://a.com/menus").otherwise("http://a.com/menu-jobs"),
+        F.when(k % 7 < 3, F.concat(F.lit("http://a.com/"), times("long", k % 4), F.lit("-menu"))).otherwise("http://b.com/menu"),
+        F.lit("http://a.com/din.pdf"),
+        F.concat(F.lit("http://a.com/menu/"), k.cast("string")),
+    )
+    found = text.ranked_links(hrefs, F.lit("http://a.com/"), "menu|din", "jobs", "menu", pages=4, files=2)
     return load(spark, sf_dir, "customer").select("c_custkey", F.array_join(found["pages"], " ").alias("pages"), F.array_join(found["files"], " ").alias("files"))
 
 
@@ -585,10 +598,30 @@ def text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents").select("doc_id", F.md5(text.fold(F.col("text"))).alias("folded"), F.md5(text.clean(F.col("text"))).alias("cleaned"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey % 100 END AS rank, CASE WHEN c_custkey % 2 = 0 THEN 'Mon - Fri: 9am - 5:30pm|Sat 10 am to 4 pm' ELSE '' END AS hours, CASE WHEN c_custkey % 2 = 0 THEN 'Mo ' || c_custkey ELSE '' END AS listed FROM customer")
+_SPAN = """['Mon', 'Tuesday', 'wed.', 'THU', 'fri'][c_custkey % 5 + 1] || [' - ', '–', ' to ', ' through '][c_custkey % 4 + 1] || ['Fri', 'sat.', 'Sunday'][c_custkey % 3 + 1] || [': ', ' ', ':'][c_custkey // 7 % 3 + 1] || (c_custkey % 12 + 1) || [' am', 'AM', ':30 am'][c_custkey // 5 % 3 + 1] || ['-', ' – ', ' to '][c_custkey // 3 % 3 + 1] || (c_custkey // 11 % 12 + 1) || 'pm'"""
+
+
+def _phrase(k: Column) -> Column:
+    """Days and clock times in many forms, by a key."""
+    one = lambda n, *xs: F.element_at(F.array(*map(F.lit, xs)), (n % len(xs) + 1).cast("int"))
+    part = lambda n: F.floor(k / n)
+    days = (one(k, "Mon", "Tuesday", "wed.", "THU", "fri"), one(k, " - ", "–", " to ", " through "), one(k, "Fri", "sat.", "Sunday"), one(part(7), ": ", " ", ":"))
+    times = ((k % 12 + 1).cast("string"), one(part(5), " am", "AM", ":30 am"), one(part(3), "-", " – ", " to "), (part(11) % 12 + 1).cast("string"), F.lit("pm"))
+    return F.concat(*days, *times)
+
+
+_ALONE = "'Sun ' || (c_custkey % 11 + 1) || ' am to ' || (c_custkey % 9 + 1) || ':15pm'"
+
+
+@query(f"""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey % 100 END AS rank, concat_ws('|', CASE WHEN c_custkey % 6 > 0 THEN {_SPAN} END, CASE WHEN c_custkey % 4 > 1 THEN {_ALONE} END) AS hours,
+ CASE c_custkey % 5 WHEN 0 THEN 'Mo ' || c_custkey WHEN 1 THEN 'Tu ' || c_custkey || '|{{"opens":"' || c_custkey || '"}}' WHEN 2 THEN 'first ' || c_custkey WHEN 3 THEN 'Th ' || c_custkey ELSE '' END AS listed FROM customer""")
 def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranks of notes, and opening hours of texts and of JSON-LD."""
+    """Ranks of notes; opening hours of texts in many forms, and of JSON-LD as graphs, lists, single nodes and beside broken blocks."""
     k = F.col("c_custkey")
-    notes = F.when(k % 3 == 0, "Rank 5").otherwise(F.concat(F.lit("it is ranked No. "), (k % 100).cast("string"), F.lit(" of 100")))
-    body = F.when(k % 2 == 0, F.concat(F.lit('<script type="application/ld+json">{"@graph": [{"openingHours": "Mo '), k.cast("string"), F.lit('"}]}</script><p>Mon - Fri: 9am - 5:30pm</p><b>Mon - Fri: 9am - 5:30pm</b> Sat 10 am to 4 pm'))).otherwise("<p>Mon</p>")
+    notes = F.when(k % 3 == 0, "Rank 5").otherwise(F.concat(F.when(k % 2 == 0, "it is ranked No. ").otherwise("RANKED NO."), (k % 100).cast("string"), F.lit(" of 100")))
+    spoken = F.concat(F.when(k % 6 > 0, _phrase(k)).otherwise("Mon"), F.lit("</p><b>"), F.when(k % 6 > 0, _phrase(k)).otherwise("9am"), F.lit("</b> "), F.when(k % 4 > 1, F.concat(F.lit("Sun "), (k % 11 + 1).cast("string"), F.lit(" am to "), (k % 9 + 1).cast("string"), F.lit(":15pm"))).otherwise("Sun"))
+    block = lambda *x: F.concat(F.lit('<script type="application/ld+json">'), *[F.lit(c) if isinstance(c, str) else c.cast("string") for c in x], F.lit("</script>"))
+    data = F.when(k % 5 == 0, block('{"@graph": [{"openingHours": "Mo ', k, '"}]}')).when(k % 5 == 1, block('[{"openingHours": "Tu ', k, '"}, {"x": 1}, {"openingHoursSpecification": {"opens": "', k, '"}}]'))
+    data = data.when(k % 5 == 2, block('{"openingHours": "We", "openingHoursSpecification": "first ', k, '"}')).when(k % 5 == 3, F.concat(block("{broken"), block('{"openingHours": "Th ', k, '"}'))).otherwise(block('{"name": "', k, '"}'))
+    body = F.concat(data, F.lit("<p>"), spoken)
     return load(spark, sf_dir, "customer").select("c_custkey", text.listed_rank(notes).cast("long").alias("rank"), F.array_join(text.hours_in_text(body), "|").alias("hours"), F.array_join(text.opening_hours(body), "|").alias("listed"))

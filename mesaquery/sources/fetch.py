@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from urllib.parse import urljoin
 
+from pyarrow.fs import FileSelector, FileSystem, LocalFileSystem
+
 
 @dataclass(frozen=True)
 class Response:
@@ -89,23 +91,33 @@ def ask(send: Callable[[], dict], busy: Callable[[dict], bool], tries: int = 3,
 def land_pages(folder: str | Path, stamp: str, page: Callable[[int], dict]) -> int:
     """Land all pages of a listing as ``<n>.json`` and return how many; those of the same stamp aren't asked for again.
 
-    Ends when the items reach the listing's total, or with an empty page.
+    ``folder`` is a local path or a URI of a store that executors share. Ends when the items reach the
+    listing's total, or with an empty page.
     """
-    folder = Path(folder)
-    folder.mkdir(parents=True, exist_ok=True)
-    mark = folder / "_stamp"
-    if not mark.exists() or mark.read_text().strip() != stamp:
-        for old in folder.glob("*.json"):
-            old.unlink()
-        mark.write_text(stamp)
+    fs, at = FileSystem.from_uri(str(folder)) if "://" in str(folder) else (LocalFileSystem(), str(folder))
+    fs.create_dir(at, recursive=True)
+
+    def read(name: str) -> str:
+        with fs.open_input_stream(f"{at}/{name}") as file:
+            return file.read().decode()
+
+    def write(name: str, text: str) -> None:
+        with fs.open_output_stream(f"{at}/{name}.new") as file:
+            file.write(text.encode())
+        fs.move(f"{at}/{name}.new", f"{at}/{name}")  # a file is there as a whole or not at all
+
+    there = {f.base_name for f in fs.get_file_info(FileSelector(at))}
+    if "_stamp" not in there or read("_stamp").strip() != stamp:
+        for old in there:
+            fs.delete_file(f"{at}/{old}")
+        there = set()
+        write("_stamp", stamp)
     items, n = 0, 0
     while True:
-        file = folder / f"{n + 1}.json"
-        if not file.exists():
-            aside = file.with_suffix(".new")
-            aside.write_text(json.dumps(page(n + 1)))
-            aside.rename(file)  # a page is there as a whole or not at all
-        found = json.loads(file.read_text())
+        name = f"{n + 1}.json"
+        if name not in there:
+            write(name, json.dumps(page(n + 1)))
+        found = json.loads(read(name))
         n, items = n + 1, items + len(found.get("items") or ())
         if not found.get("items") or items >= (found.get("total") or 0):
             return n

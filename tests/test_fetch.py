@@ -71,6 +71,7 @@ def test_pages_land_once_a_stamp(tmp_path):
 
     assert fetch.land_pages(tmp_path / "p", "2026-08-03", page) == 3 == fetch.land_pages(tmp_path / "p", "2026-08-03", page)
     assert asked == [1, 2, 3] and json.loads((tmp_path / "p" / "2.json").read_text())["items"][1] == {"slug": "2-1"}
+    assert fetch.land_pages(f"file://{tmp_path}/p", "2026-08-03", page) == 3 and asked == [1, 2, 3]
     assert fetch.land_pages(tmp_path / "p", "2026-08-04", lambda n: {"items": []}) == 1 and [f.name for f in sorted((tmp_path / "p").iterdir())] == ["1.json", "_stamp"]
 
 

@@ -1,5 +1,6 @@
 import collections
 import datetime as dt
+import difflib
 import math
 import random
 import re
@@ -191,7 +192,6 @@ def test_landed_files(spark, tmp_path):
 
 def test_similar_names_equal_brute_force(spark):
     """Blocking on rare grams finds every pair that comparing all names with all finds."""
-    import difflib
 
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("abcde ") for _ in range(n)).strip() or "x"
@@ -246,6 +246,16 @@ def test_quotations_stay_within_the_budget(spark):
     assert got["s", "d"].keyword is None and got["t", "b"].quotation == "steak"
 
 
+def test_short_names_of_a_ratio_are_all_found(spark):
+    rng = random.Random(31)
+    names = sorted({"".join(rng.choices("abc", k=rng.randrange(1, 13))) for _ in range(260)})
+    v = spark.createDataFrame([(f"s{i}", n, None, i) for i, n in enumerate(names[::2])], "slug string, name string, streets array<string>, pos int")
+    e = spark.createDataFrame([(i, n, None) for i, n in enumerate(names[1::2])], "ext int, name string, streets array<string>")
+    got = {r.ext: round(r.confidence, 9) for r in resolve.by_ratio(e, v).collect()}
+    best = {i: max(difflib.SequenceMatcher(None, n, m).ratio() for m in names[::2]) for i, n in enumerate(names[1::2])}
+    assert got == {i: round(r, 9) for i, r in best.items() if r >= 0.85} and len(got) > 20
+
+
 def kept_quotations(hits, source, patterns, budget):
     """(tag, keyword, quotation) of (tag, matched) in order, decided one by one."""
     source = " ".join(source.split())
