@@ -19,10 +19,14 @@ def by_name(externals: DataFrame, venues: DataFrame) -> DataFrame:
     * One venue of the name: 1.0 where street numbers meet, 0.9 where either side has none, else review;
     * several: the first whose street numbers meet, else the first for review.
     """
-    v = venues.select("name", "slug", F.col("streets").alias("v_streets"), "pos")
-    met = F.coalesce(F.arrays_overlap("streets", "v_streets"), F.lit(False))
-    unknown = F.col("streets").isNull() | F.col("v_streets").isNull()
-    exact = externals.join(v, "name").groupBy("ext").agg(F.count("*").alias("n"), F.min(F.when(met, F.struct("pos", "slug"))).alias("sure"), F.min(F.struct("pos", "slug")).alias("first"), F.max(unknown).alias("unknown"))
+    first = F.min(F.struct("pos", "slug"))
+    # Venues are brought down to a row a name, and a row a name and street, before externals meet them.
+    alike = venues.groupBy("name").agg(F.count("*").alias("n"), first.alias("first"), F.max(F.col("streets").isNull()).alias("unknown"))
+    sure = venues.select("name", F.explode("streets").alias("street"), "pos", "slug").groupBy("name", "street").agg(first.alias("sure"))
+    each = externals.select("ext", "name", F.col("streets").isNull().alias("none"), F.posexplode_outer("streets").alias("at", "street"))
+    met = each.join(alike, "name").join(sure, ["name", "street"], "left")
+    once = F.coalesce(F.col("at"), F.lit(0)) == 0
+    exact = met.groupBy("ext").agg(F.sum(F.when(once, F.col("n"))).alias("n"), F.min("sure").alias("sure"), F.min("first").alias("first"), F.max(F.col("none") | F.col("unknown")).alias("unknown"))
     alone = (F.col("n") == 1) & F.col("unknown")
     there = F.col("sure").isNotNull()
     return exact.select("ext", F.coalesce("sure.slug", "first.slug").alias("slug"), F.when(there, 1.0).when(alone, 0.9).otherwise(0.5).alias("confidence"), F.when(there | alone, "matched").otherwise("review").alias("status"))

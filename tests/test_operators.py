@@ -433,3 +433,45 @@ def test_walk_key(spark):
     routes = F.create_map(F.lit("4"), F.lit(7), F.lit("5"), F.lit(3))
     assert one(spark, facets.walk_key(routes, F.lit(2), ("4", "6"))) == 7
     assert one(spark, facets.walk_key(routes, F.lit(2))) == 2
+
+
+def _by_pairs(externals, venues):
+    """What ``by_name`` gives, from all pairs of rows of a name."""
+    out = {}
+    for ext in {e[0] for e in externals}:
+        pairs = [(e, v) for e in externals for v in venues if e[0] == ext and e[1] is not None and e[1] == v[1]]
+        if not pairs:
+            continue
+        met = [v for e, v in pairs if {*(e[2] or [])} & {*(v[2] or [])} - {None}]
+        alone = len(pairs) == 1 and (pairs[0][0][2] is None or pairs[0][1][2] is None)
+        pick = min(met or [v for _, v in pairs], key=lambda v: v[3])
+        out[ext] = (pick[0], 1.0 if met else 0.9 if alone else 0.5, "matched" if met or alone else "review")
+    return out
+
+
+def test_names_shared_by_many(spark):
+    rng = random.Random(5)
+    streets = lambda: rng.choice([None, [], [None, "1"], [*map(str, rng.choices(range(9), k=2))]])
+    name = lambda: rng.choice(["a", "b", "c d", None, f"n{rng.randrange(40)}"])
+    externals = [(i % 150 if i % 150 else None, name(), streets()) for i in range(160)]
+    venues = [(i, name(), streets(), 200 - i) for i in range(120)]
+    e = spark.createDataFrame(externals, "ext long, name string, streets array<string>")
+    v = spark.createDataFrame(venues, "slug long, name string, streets array<string>, pos long")
+    assert {r.ext: (r.slug, r.confidence, r.status) for r in resolve.by_name(e, v).collect()} == _by_pairs(externals, venues)
+
+
+def _join_rows(plan):
+    """The most rows that a join of a plan that has run gave."""
+    name = plan.nodeName()
+    inner = plan.executedPlan() if "AdaptiveSparkPlan" in name else plan.plan() if "QueryStage" in name else None
+    below = [inner] if inner is not None else [plan.children().apply(i) for i in range(plan.children().size())]
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in name else 0
+    return max([own, *map(_join_rows, below)])
+
+
+def test_names_never_meet_in_pairs(spark):
+    e = spark.range(2_000).selectExpr("id AS ext", "'a' AS name", "array(string(id % 50)) AS streets")
+    v = spark.range(2_000).selectExpr("id AS slug", "'a' AS name", "array(string(id % 50)) AS streets", "id AS pos")
+    found = resolve.by_name(e, v)
+    assert {(r.ext % 50, r.status) for r in found.collect()} == {(i, "matched") for i in range(50)}
+    assert 2_000 <= _join_rows(found._jdf.queryExecution().executedPlan()) <= 4_000
