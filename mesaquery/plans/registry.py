@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
-from mesaquery.operators import derive, facets, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tables, tagging
+from mesaquery.operators import derive, facets, pages, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tables, tagging
 from mesaquery.plans import files, indexed, kept, venues
 from mesaquery.plans.base import QUERIES, SQL, load, query
+from mesaquery.sources.shared import shared_folder
 
 __all__ = ["QUERIES", "SQL", "files", "indexed", "kept", "venues"]
 
@@ -110,10 +111,12 @@ def relevance_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").select("p_partkey", "p_name", facets.relevance(F.col("p_name"), "blue").alias("tier"))
 
 
-@query("SELECT s_suppkey, s_name, nullif(s_nationkey, 3) AS nation FROM supplier ORDER BY nullif(s_nationkey, 3) DESC NULLS LAST, s_acctbal ASC NULLS LAST, s_suppkey LIMIT 5 OFFSET 5")
+@query("SELECT s_suppkey, s_name, nation, CAST(place // 20 AS INTEGER) AS page, place FROM (SELECT s_suppkey, s_name, nullif(s_nationkey, 3) AS nation, row_number() OVER (ORDER BY nullif(s_nationkey, 3) DESC NULLS LAST, s_acctbal ASC NULLS LAST, s_suppkey) - 1 AS place FROM supplier)")
 def page_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load(spark, sf_dir, "supplier").withColumn("nation", F.nullif(F.col("s_nationkey"), F.lit(3)))
-    return facets.page_of(rows, facets.Sort((("nation", True), ("s_acctbal", False), ("s_suppkey", False))), 1, 5).select("s_suppkey", "s_name", "nation")
+    """Every page of twenty; rows of no nation come last."""
+    rows = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal", F.nullif(F.col("s_nationkey"), F.lit(3)).alias("nation"))
+    layout = pages.Layout.write(rows, facets.Sort((("nation", True), ("s_acctbal", False), ("s_suppkey", False))), shared_folder(spark, "pages"))
+    return layout.numbered().select("s_suppkey", "s_name", "nation", F.floor(F.col("place") / 20).cast("int").alias("page"), "place")
 
 
 def _two_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

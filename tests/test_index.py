@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from mesaquery.functions.text import fold, folded
 from mesaquery.operators import facets, pages
 from mesaquery.operators.index import BLOCK_ROWS, Index, in_blocks
+from mesaquery.plans import registry
 
 
 
@@ -100,3 +101,13 @@ def test_a_page_reads_two_parts(spark, tmp_path, capsys):
 def test_pages_of_no_rows(spark, tmp_path):
     layout = pages.Layout.write(spark.range(0), facets.Sort((("id", False),)), f"file://{tmp_path}/e")
     assert layout.page(0).count() == 0
+
+
+def test_page_nulls_last_has_every_page(spark):
+    got = registry.QUERIES["page_nulls_last"](spark, "/root/testdata/sf0.01")
+    rows = spark.read.parquet("/root/testdata/sf0.01/supplier.parquet").withColumn("nation", F.nullif(F.col("s_nationkey"), F.lit(3)))
+    sort = facets.Sort((("nation", True), ("s_acctbal", False), ("s_suppkey", False)))
+    assert got.count() == rows.count() == 100
+    for page in range(5):
+        want = [r.s_suppkey for r in facets.page_of(rows, sort, page, 20).collect()]
+        assert [r.s_suppkey for r in got.where(F.col("page") == page).orderBy("place").collect()] == want
