@@ -116,7 +116,8 @@ class WordIds:
                     alone = self._ids([words[i] for i in group])
                     flat.append(np.array([*chain.from_iterable(alone)], np.uint32))
                     counts.append(np.array([*map(len, alone)], np.int64))
-        place, sizes = np.concatenate(order), np.concatenate(counts)
+        # Nothing goes to the tokenizer where all words are put together of known parts.
+        place, sizes = (np.concatenate([np.empty(0, np.int64), *x]) for x in (order, counts))
         first, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         first[place], size[place] = len(self.ids) + np.cumsum(sizes) - sizes, sizes
         self.ids = np.concatenate((self.ids, *flat))

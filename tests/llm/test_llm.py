@@ -182,6 +182,13 @@ def test_word_ids_of_words_with_punctuation():
         assert flat[stops[i] : stops[i + 1]].tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_ids_where_all_new_words_are_made_of_known_parts():
+    words = tokens.WordIds(registry.TOKENIZER)
+    words.encode([b"one two ."])
+    flat, stops = words.encode([b"one. two."])
+    assert stops.tolist() == [0, len(flat)] and flat.tolist() == words.tokenizer.encode("one. two.", add_special_tokens=False).ids
+
+
 def test_word_ids_of_a_tokenizer_that_keeps_spaces():
     import public_tokenizers
 
