@@ -13,19 +13,19 @@ from mesaquery.sources.shared import shared_folder
 from mesaquery.streaming import changes
 
 
-def _file_each(rows: DataFrame, key: str, value: Column, path: str) -> None:
-    """A text file for each row, in a folder of its key."""
-    rows.select(F.col(key), value.alias("value")).write.partitionBy(key).text(path)
-
-
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS slug, CASE WHEN s_suppkey % 7 > 0 THEN s_name END AS address, CASE WHEN s_suppkey % 7 > 0 THEN s_acctbal END AS lat, CASE WHEN s_suppkey % 7 = 0 THEN 'gone' END AS error FROM supplier")
 def detail_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON document a file: whole ones with a field that nobody asked for, and ones that hold an error alone."""
     path = shared_folder(spark, "details")
     slug = F.col("s_suppkey").cast("string").alias("slug")
     whole, failed = F.to_json(F.struct(slug, F.col("s_name").alias("address"), F.col("s_acctbal").alias("lat"), F.lit(1).alias("extra"))), F.to_json(F.struct(slug, F.lit("gone").alias("error")))
-    _file_each(load(spark, sf_dir, "supplier"), "s_suppkey", F.when(F.col("s_suppkey") % 7 > 0, whole).otherwise(failed), path)
-    return readers.json_files(spark, f"{path}/*/*.txt", readers.DETAIL).select("slug", "address", "lat", "error")
+    sinks.file_each(load(spark, sf_dir, "supplier"), F.col("s_suppkey"), F.when(F.col("s_suppkey") % 7 > 0, whole).otherwise(failed), path)
+    return readers.json_documents(readers.small_files(spark, path), readers.DETAIL).select("slug", "address", "lat", "error")
+
+
+def _file_each(rows: DataFrame, key: str, value: Column, path: str) -> None:
+    """A text file for each row, in a folder of its key."""
+    rows.select(F.col(key), value.alias("value")).write.partitionBy(key).text(path)
 
 
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS slug, s_name AS url, CASE WHEN s_suppkey % 3 = 0 THEN 'lost' END AS error FROM supplier")
@@ -71,9 +71,9 @@ def payload_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hash_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files: their texts and content hashes."""
     path = shared_folder(spark, "binary")
-    _file_each(load(spark, sf_dir, "pages").where("html IS NOT NULL"), "page_id", F.col("html"), path)
-    files = readers.binary_texts(spark, f"{path}/*/*.txt", lambda content: content.decode()[:-1])
-    return files.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id"), "sha256", F.length("text").cast("long").alias("n_chars"))
+    sinks.file_each(load(spark, sf_dir, "pages").where("html IS NOT NULL"), F.concat(F.lit("page_id="), "page_id"), F.col("html"), path)
+    files = readers.texts_of(readers.small_files(spark, path), lambda content: content.decode()[:-1])
+    return files.select(F.regexp_extract("path", r"page_id=(-?\d+)", 1).cast("long").alias("page_id"), "sha256", F.length("text").cast("long").alias("n_chars"))
 
 
 @query("SELECT p_partkey, p_partkey % 3 = 0 AND p_partkey % 2 > 0 AS later, p_retailprice AS price FROM part WHERE p_partkey % 3 = 0")

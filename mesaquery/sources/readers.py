@@ -6,11 +6,13 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mesaquery.operators.tables import split_without
+from mesaquery.sources.shared import filesystem
 
 #: Record shapes. Unknown keys are dropped and missing ones are null.
 DETAIL = "slug string, address string, lat double, lng double, phone string, listing_url string, error string"
@@ -26,6 +28,50 @@ def json_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+#: Bytes of files, about, that a task of ``small_files`` holds at once.
+HELD_BYTES = 4 << 20
+
+
+def small_files(spark: SparkSession, folder: str) -> DataFrame:
+    """path, content of the files in the folders of ``folder``, of which any number may be small.
+
+    The driver lists the folders alone; tasks list and read what lies in them. Names that begin with
+    an underscore or a dot are passed over, as Spark's readers do.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    names = sorted(f.getPath().getName() for f in found if f.isDirectory() and f.getPath().getName()[0] not in "_.")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSelector
+
+        fs, root = filesystem(folder)
+        kind = pa.schema([("path", pa.string()), ("content", pa.binary())])
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                paths, contents, held = [], [], 0
+                for info in fs.get_file_info(FileSelector(f"{root}/{name}")):
+                    if info.is_file and info.base_name[0] not in "_.":
+                        with fs.open_input_stream(info.path) as file:
+                            contents.append(file.read())
+                        paths.append(info.path)
+                        held += len(contents[-1])
+                    if held >= HELD_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], schema=kind)
+                        paths, contents, held = [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], schema=kind)
+
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i long, name string")
+    return rows.repartitionByRange(max(1, len(names)), "i").select("name").mapInArrow(read, "path string, content binary")
+
+
+def json_documents(files: DataFrame, schema: str) -> DataFrame:
+    """Rows of files (content) that hold a JSON document each, in UTF-8, as ``json_files`` has them."""
+    text = F.col("content").cast("string")
+    parsed = files.where(text.rlike(r"[^ \t\n\r]")).select(F.explode_outer(F.from_json(text, f"array<struct<{schema}>>")).alias("v"))
+    return parsed.select("v.*")
+
+
 #: What changes the state of a reader of JSON: quotes outside of escapes, and brackets.
 _MARKS = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
 
@@ -134,6 +180,11 @@ def binary_texts(spark: SparkSession, path: str, extract: Callable[[bytes], str]
 
     ``extract`` returns the text, or the texts of the pages, of which the first ``pages`` count.
     """
+    return texts_of(spark.read.format("binaryFile").load(path), extract, pages)
+
+
+def texts_of(files: DataFrame, extract: Callable[[bytes], str], pages: int | None = None) -> DataFrame:
+    """``binary_texts`` of files (path, content)."""
 
     @F.pandas_udf("string")
     def read(contents: pd.Series) -> pd.Series:
@@ -146,7 +197,6 @@ def binary_texts(spark: SparkSession, path: str, extract: Callable[[bytes], str]
 
         return contents.map(one)
 
-    files = spark.read.format("binaryFile").load(path)
     return files.select("path", read("content").alias("text"), F.sha2("content", 256).alias("sha256"))
 
 

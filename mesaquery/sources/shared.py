@@ -25,3 +25,12 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
             _own[app] = "file://" + folder
         shared = _own[app]
     return f"{shared.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def filesystem(uri: str):
+    """pyarrow's file system of a path or URI, for tasks, and the path in it."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mesaquery.sources.shared import filesystem
+
+#: Files of a folder, about, where each row makes one.
+FOLDER_FILES = 500
+
 
 def _moved(spark: SparkSession, made: str, path: str) -> None:
     """Put what was written aside into place: the old table goes only once the new one is whole."""
@@ -36,6 +44,34 @@ def csv(df: DataFrame, path: str, order: str) -> None:
     df.orderBy(order).select(*flat).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def file_each(rows: DataFrame, name: Column, value: Column, path: str, folder_files: int = FOLDER_FILES) -> None:
+    """A file for each row, with its text as a line, in numbered folders below ``path`` that tasks write.
+
+    A file is called by the row's name and its place in the table, so that equal names stay apart and a
+    task that is tried again writes the same files; each is put in place once it is whole.
+    """
+    folders = max(1, math.ceil(rows.count() / folder_files))
+    named = rows.select(F.concat_ws("-", name.cast("string"), F.monotonically_increasing_id().cast("string")).alias("name"), value.alias("value"))
+    dealt = named.withColumn("folder", F.pmod(F.xxhash64("name"), F.lit(folders))).repartition(folders, "folder")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = filesystem(path)
+        made: set[str] = set()
+        for batch in batches:
+            for name, value, folder in zip(*(batch.column(c) for c in ("name", "value", "folder")), strict=True):
+                at = f"{root}/{folder.as_py():07d}"
+                if at not in made:
+                    fs.create_dir(at, recursive=True)
+                    made.add(at)
+                aside = f"{at}/_{uuid.uuid4().hex}"
+                with fs.open_output_stream(aside) as out:
+                    out.write((value.as_py() or "").encode() + b"\n")
+                fs.move(aside, f"{at}/{quote(name.as_py(), safe='=')}.txt")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    dealt.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def snapshot(df: DataFrame, path: str, stamp: str) -> None:
     """Add or replace one dated partition."""
     df.withColumn("snapshot_date", F.lit(stamp)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)

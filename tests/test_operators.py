@@ -475,3 +475,20 @@ def test_names_never_meet_in_pairs(spark):
     found = resolve.by_name(e, v)
     assert {(r.ext % 50, r.status) for r in found.collect()} == {(i, "matched") for i in range(50)}
     assert 2_000 <= _join_rows(found._jdf.queryExecution().executedPlan()) <= 4_000
+
+
+def test_a_file_each_in_few_folders(spark, tmp_path):
+    rows = spark.range(1_200).selectExpr("id % 1199 AS k", "CASE WHEN id = 7 THEN NULL ELSE to_json(named_struct('slug', string(id), 'lat', double(id), 'x', 'ä\\n')) END AS v")
+    path = f"file://{tmp_path}/each"
+    sinks.file_each(rows, F.concat(F.lit("k="), "k"), F.col("v"), path, 500)
+    (tmp_path / "each" / "0000000" / "_left").write_text('{"slug": "of an attempt that failed"}')
+    (tmp_path / "each" / "0000001" / "list.txt").write_text('[{"slug": "a"},\n {"slug": "b"}]')
+    (tmp_path / "each" / "0000001" / "broken.txt").write_text("{")
+    assert len(list((tmp_path / "each").iterdir())) == 3  # folders, however many files
+    files = readers.small_files(spark, path)
+    assert files.count() == 1_202 and files.rdd.getNumPartitions() <= 3
+    got = [(r.slug, r.lat) for r in readers.json_documents(files, readers.DETAIL).collect()]
+    want = [(str(i), float(i)) for i in range(1_200) if i != 7] + [("a", None), ("b", None), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    texts = readers.texts_of(files, lambda content: content.decode()[:-1]).where(F.col("path").contains("k=8-"))
+    assert [r.text for r in texts.collect()] == [r.v for r in rows.where("k = 8").collect()]
