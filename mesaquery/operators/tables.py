@@ -9,6 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a task, about, where a step sorts them.
+TASK_ROWS = 100_000
+
+
+def parts_of(rows: int, task_rows: int = TASK_ROWS) -> int:
+    """How many tasks share so many rows, so that none sorts more as tables grow."""
+    return max(1, -(-rows // task_rows))
+
+
 def left_default(left: DataFrame, right: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
     """All rows of ``left`` with the columns of ``right`` named in ``defaults``, which stand in for missing rows and nulls."""
     joined = left.join(right.select(key, *defaults), key, "left")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mesaquery.functions.text import cleaned, excerpt, most_central, snippet
+from mesaquery.operators.tables import parts_of
 
 
 @dataclass(frozen=True)
@@ -156,11 +157,13 @@ def with_headers(lines: DataFrame, doc: str, position: str, text: str, is_header
     A document is cut by position into parts of ``part_lines``, each filled on its own; the last header
     of the parts before is carried on over one row for each part.
     """
-    parts = lines.withColumn("_part", F.floor(F.col(position) / part_lines))
-    order = Window.partitionBy(doc, "_part").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    filled = parts.withColumn("_own", F.last(F.when(is_header, F.col(text)), ignorenulls=True).over(order))
-    told = is_header & F.col(text).isNotNull()
-    ends = parts.groupBy(F.col(doc).alias("_doc"), F.col("_part").alias("_of")).agg(F.max_by(F.when(told, F.col(text)), F.when(told, F.col(position))).alias("_end"))
+    n = parts_of(lines.count())
+    parts = lines.withColumn("_part", F.floor(F.col(position) / part_lines)).repartition(n, doc, "_part")
+    order = Window.partitionBy(doc, "_part").orderBy(position)
+    own = F.last(F.when(is_header, F.col(text)), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    filled = parts.withColumns({"_own": own, "_more": F.lead(F.lit(True)).over(order)})
+    # The last line of a part tells its last header.
+    ends = filled.where("_more IS NULL AND _part IS NOT NULL").select(F.col(doc).alias("_doc"), F.col("_part").alias("_of"), F.col("_own").alias("_end")).repartition(n, "_doc")
     before = Window.partitionBy("_doc").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).where("_carried IS NOT NULL").drop("_end")
     joined = filled.join(carried, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_part") == F.col("_of")), "left")

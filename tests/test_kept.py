@@ -172,3 +172,10 @@ def test_retries_go_on_over_restarts(spark, tmp_path):
     assert seen[2] == [("a", "rescue", 2, "2026-08-01 11:00:00")] == seen[3]
     assert seen[4] == [*seen[3], ("d", "render", 3, "2026-08-01 12:30:00")]
     assert seen[-1] == sorted([*seen[4], ("a", "render", 3, "2026-08-01 14:00:00")])
+
+
+def test_headers_of_many_short_documents_are_sorted_by_many_tasks(spark):
+    lines = spark.range(250_000).selectExpr("id % 50000 AS doc", "id div 50000 AS pos", "concat(if(id div 50000 = 1, 'H', 'x'), id % 50000) AS line")
+    got = tagging.with_headers(lines, "doc", "pos", "line", F.startswith("line", F.lit("H")))
+    assert got.where("header <=> if(pos > 0, concat('H', doc), NULL)").count() == 250_000
+    assert got.rdd.getNumPartitions() == 3
