@@ -492,3 +492,10 @@ def test_a_file_each_in_few_folders(spark, tmp_path):
     assert sorted(got, key=str) == sorted(want, key=str)
     texts = readers.texts_of(files, lambda content: content.decode()[:-1]).where(F.col("path").contains("k=8-"))
     assert [r.text for r in texts.collect()] == [r.v for r in rows.where("k = 8").collect()]
+
+
+def test_best_candidates_by_many_tasks(spark):
+    rows = spark.range(5_000).selectExpr("id div 5 AS k", "id % 5 AS pos", "id % 3 = 0 AS accepted", "double(id % 7) AS similarity")
+    plain, spread = (resolve.best_candidate(rows, "k", "pos", parts=n) for n in (None, 7))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spread.collect()))
+    assert spread.rdd.getNumPartitions() == 7
