@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mesaquery.operators.tables import parts_of
+
 
 def unsuppressed(rows: DataFrame, suppressed: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose exact keys no active suppression names; a suppression is active unless it says no."""
@@ -44,11 +46,21 @@ def checked(hits: DataFrame, checks: DataFrame, keys: list[str]) -> DataFrame:
     return marked.withColumns(swap).drop("verdict", "item")
 
 
+#: Rows of a task, about, where each gets a list; and over how many tasks at least the rows of one key are dealt.
+LISTED_ROWS, SPREAD = 10_000, 8
+
+
 def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], folded: str, value: str) -> DataFrame:
-    """Add the list of ``value`` of equal keys, nulls included, and of an equal trimmed lower-case ``folded``."""
+    """Add the list of ``value`` of equal keys, nulls included, and of an equal trimmed lower-case ``folded``.
+
+    Rows are dealt by key, those of one key over ``SPREAD`` tasks, so that a task meets few lists, which
+    a file of its rows then holds once, however long they are.
+    """
     plain = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    lists = table.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], plain(F.col(folded)).alias("_f")).agg(F.array_sort(F.collect_set(value)).alias(value))
-    on = plain(F.col(folded)) == F.col("_f")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return rows.join(lists, on, "left").drop("_f", *[f"_{k}" for k in keys]).withColumn(value, F.coalesce(value, F.array().cast("array<string>")))
+    of = lambda spread: F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], plain(F.col(folded)).alias("f"), spread.cast("long").alias("s"))
+    parts = parts_of(rows.count(), LISTED_ROWS)
+    grouped = table.withColumn("_at", of(F.lit(0))).groupBy("_at").agg(F.array_sort(F.collect_set(value)).alias(value))
+    lists = grouped.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))).select(F.col("_at").withField("s", F.col("_s").cast("long")).alias("_at"), value)
+    dealt = rows.withColumn("_at", of(F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)))).repartition(parts, "_at")
+    return dealt.join(lists.repartition(parts, "_at"), "_at", "left").drop("_at").withColumn(value, F.coalesce(value, F.array().cast("array<string>")))
+

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mesaquery.functions import numbers, text
-from mesaquery.operators import derive, facets, menus, planning, pricing, resolve, scoring, snapshots, spatial, tagging
+from mesaquery.operators import derive, facets, menus, planning, pricing, recognition, resolve, scoring, snapshots, spatial, tagging
 from mesaquery.sources import readers, sinks
 from mesaquery.streaming import changes
 
@@ -499,3 +499,12 @@ def test_best_candidates_by_many_tasks(spark):
     plain, spread = (resolve.best_candidate(rows, "k", "pos", parts=n) for n in (None, 7))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spread.collect()))
     assert spread.rdd.getNumPartitions() == 7
+
+
+def test_long_lists_meet_few_tasks(spark):
+    rows = spark.range(40_000).selectExpr("id AS k", "nullif(id % 3, 0) AS n", "' A ' AS s")
+    table = spark.range(30).selectExpr("nullif(id % 3, 0) AS n", "if(id < 27, 'a', 'b') AS s", "concat('v', id) AS v")
+    got = recognition.looked_up(rows, table, ["n"], "s", "v")
+    want = {n: sorted(f"v{i}" for i in range(27) if i % 3 == (n or 0)) for n in (None, 1, 2)}
+    assert {(r.n, tuple(r.v)) for r in got.select("n", "v").distinct().collect()} == {(n, tuple(v)) for n, v in want.items()}
+    assert got.count() == 40_000 and got.rdd.getNumPartitions() == 4
