@@ -128,9 +128,16 @@ def candidate_rules(text: Column, rules: Sequence[TagRule]) -> Column:
     return find(text)
 
 
+#: Rows and bytes of the texts that a Python worker gets at once.
+BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
+
+
 def tag_text_by_needs(rows: DataFrame, text: str, rules: Sequence[TagRule]) -> DataFrame:
     """``tag_text`` for many rules: a pattern runs only over texts that hold what each of its matches needs."""
     spark = rows.sparkSession
+    # Texts are of any length: small batches keep a worker's memory bounded.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     table = spark.createDataFrame([(i, r.tag, r.confidence, r.pattern) for i, r in enumerate(rules)], "rule int, tag string, confidence string, _pattern string")
     kept = [c for c in rows.columns if c != text]
     met = rows.withColumn("rule", F.explode(candidate_rules(F.col(text), rules))).join(F.broadcast(table), "rule")  # the rules of a configuration

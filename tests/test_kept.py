@@ -179,3 +179,10 @@ def test_headers_of_many_short_documents_are_sorted_by_many_tasks(spark):
     got = tagging.with_headers(lines, "doc", "pos", "line", F.startswith("line", F.lit("H")))
     assert got.where("header <=> if(pos > 0, concat('H', doc), NULL)").count() == 250_000
     assert got.rdd.getNumPartitions() == 3
+
+
+def test_rules_get_small_batches_of_texts(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    table = spark.createDataFrame([(1, "a of the b")], "k long, text string")
+    assert tagging.tag_text_by_needs(table, "text", [tagging.TagRule("t", "of the")]).count() == 1
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == tagging.BATCH_ROWS
