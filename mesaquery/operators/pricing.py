@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mesaquery.functions.numbers import half_even
-from mesaquery.operators.scoring import middles
+from mesaquery.operators.scoring import middles, or_total
 
 
 @dataclass(frozen=True)
@@ -29,16 +29,19 @@ def comparables(rows: DataFrame, key: str, price: str, bands: Bands = Bands()) -
     return rows.groupBy(key).agg(F.count(price).alias("n_prices"), exact.alias("exact")).withColumn("comparable", half_even(F.col("exact")).cast("long"))
 
 
-def spread_comparables(rows: DataFrame, key: str, price: str, bands: Bands = Bands()) -> DataFrame:
-    """``comparables`` where a key may have any number of prices: no task holds all of a key's values."""
+def spread_comparables(rows: DataFrame, key: str, price: str, bands: Bands = Bands(), total: bool = False) -> DataFrame:
+    """``comparables`` where a key may have any number of prices: no task holds all of a key's values.
+
+    With ``total`` there is a row of all keys' prices, with a null key, that a column ``total`` tells apart.
+    """
     p = F.col(price)
     named = {"starter": bands.starter, "main": bands.main, "dessert": bands.dessert}
-    inside = F.array_compact(F.array(*[F.when(p.between(*band), F.lit(n)) for n, band in named.items()]))
-    found = middles(rows.select(key, p.alias("_price"), F.explode(inside).alias("_band")), [key, "_band"], "_price")
-    one = lambda n: F.max(F.when(F.col("_band") == n, F.col("middle")))
-    exact = found.groupBy(key).agg((one("starter") + one("main") + F.coalesce(one("dessert"), F.lit(bands.default_dessert))).alias("exact"))
-    counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count(price).alias("n_prices"))
-    both = counts.join(exact, F.col("_key").eqNullSafe(F.col(key)), "left").select(F.col("_key").alias(key), "n_prices", "exact")
+    found = middles(rows, [key], price, within={n: p.between(*band) for n, band in named.items()}, total=total)
+    found = found if total else found.withColumn("total", F.lit(False))
+    one = lambda n: F.max(F.when(F.col("within") == n, F.col("middle")))
+    exact = found.groupBy(F.col(key).alias("_key"), F.col("total").alias("_total")).agg((one("starter") + one("main") + F.coalesce(one("dessert"), F.lit(bands.default_dessert))).alias("exact"))
+    counts = or_total(rows.groupBy(key).agg(F.count(price).alias("_n")), [key], total).groupBy(key, "total").agg(F.sum("_n").alias("n_prices"))
+    both = counts.join(exact, F.col("_key").eqNullSafe(F.col(key)) & (F.col("_total") == F.col("total")), "left").select(key, *(["total"] if total else []), "n_prices", "exact")
     return both.withColumn("comparable", half_even(F.col("exact")).cast("long"))
 
 

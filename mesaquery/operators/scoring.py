@@ -11,17 +11,33 @@ from pyspark.sql import functions as F
 
 from mesaquery.functions.numbers import ramp, shrink
 
+#: Keys, times conditions, up to which ``middles`` broadcasts a row or two of each.
+BROADCAST_KEYS = 100_000
+
+
+def _bounds(value: str, parts: int) -> Column:
+    """Aggregate: the bounds of about ``parts`` ranges of as many values each, approximate percentiles; empty without values."""
+    return F.coalesce(F.approx_percentile(F.col(value).cast("double"), [i / parts for i in range(1, parts)], 10 * parts), F.array().cast("array<double>"))
+
+
+def _placed(rows: DataFrame, value: str, cuts: Column, n: int, out: str = "_part") -> DataFrame:
+    """Add how many of at most ``n`` ascending ``cuts`` a value reaches, so that equal values share a range.
+
+    A binary search with a column for each step: these are compiled, unlike a fold over an array.
+    """
+    rows = rows.withColumn(out, F.lit(0))
+    for step in (1 << k for k in reversed(range(n.bit_length()))):
+        rows = rows.withColumn(out, F.col(out) + F.when(F.get(cuts, F.col(out) + (step - 1)) <= F.col(value).cast("double"), step).otherwise(0))
+    return rows
+
 
 def in_ranges(counts: DataFrame, value: str, parts: int, out: str = "_part") -> DataFrame:
     """Add the number of the range of values, of about ``parts`` of as many rows each, that a value falls into.
 
-    The ranges' bounds are approximate percentiles, one row that all tasks get; a value is placed by
-    binary search among them, so that equal values share a range.
+    The ranges' bounds are one row that all tasks get.
     """
-    bounds = counts.agg(F.coalesce(F.approx_percentile(F.col(value).cast("double"), [i / parts for i in range(1, parts)], 10 * parts), F.array().cast("array<double>")).alias("_cuts"))
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(parts.bit_length()))])
-    search = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get("_cuts", low + step - 1) <= F.col(value).cast("double"), low + step).otherwise(low))
-    return counts.crossJoin(F.broadcast(bounds)).withColumn(out, search).drop("_cuts")  # one row of bounds
+    bounds = counts.agg(_bounds(value, parts).alias("_cuts"))
+    return _placed(counts.crossJoin(F.broadcast(bounds)), value, F.col("_cuts"), parts - 1, out).drop("_cuts")  # one row of bounds
 
 
 def _ranked(rows: DataFrame, value: str, parts: int) -> DataFrame:
@@ -41,27 +57,52 @@ def _ranked(rows: DataFrame, value: str, parts: int) -> DataFrame:
     return ranked.select(value, (F.col("_below") + F.col("_base")).alias("_below"), "_all")
 
 
-def middles(rows: DataFrame, keys: Sequence[str], value: str, parts: int = 256) -> DataFrame:
+def or_total(rows: DataFrame, keys: Sequence[str], total: bool) -> DataFrame:
+    """``rows`` with total, false; with ``total``, each again with null keys and true."""
+    if not total:
+        return rows.withColumn("total", F.lit(False))
+    rest = [c for c in rows.columns if c not in keys]
+    own = F.struct(*keys, F.lit(False).alias("total"))
+    whole = F.struct(*[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in keys], F.lit(True).alias("total"))
+    return rows.select(F.explode(F.array(own, whole)).alias("_k"), *rest).select("_k.*", *rest)
+
+
+def middles(rows: DataFrame, keys: Sequence[str], value: str, parts: int = 256, within: Mapping[str, Column] | None = None, total: bool = False) -> DataFrame:
     """keys, middle: the exact median of each key's non-null values, the mean of the two middle ones of an even number.
 
-    Equal values are counted first, in partial sums. A key's distinct values lie in ranges of all
-    values, so that those of a key of all rows are spread over tasks; prefix sums over its ranges, at
-    most ``parts`` rows, tell the ranges of its middle, and only these are sorted.
+    ``within`` names conditions, which may overlap: then there is a row for each key and name, as
+    ``within``, of the values that satisfy it. With ``total`` there are rows of all keys' values, with null
+    keys, that a column ``total`` tells apart.
+
+    Rows aren't moved. One pass takes bounds of about ``parts`` ranges of all values; one counts each key's rows
+    by range in partial sums, whose prefix sums, at most ``parts`` rows a name, tell the ranges of the middles;
+    and one keeps the rows of just these ranges, counts equal values and sorts them. So a key of all rows
+    sends about one in ``parts`` of its values to a task. Middle ranges are broadcast unless keys are many.
     """
-    keys = list(keys)
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    dealt = in_ranges(counts, value, parts)
-    totals = dealt.groupBy(*keys, "_part").agg(F.sum("_n").alias("_t"))
-    of_key = Window.partitionBy(*keys)
+    keys, named = list(keys), dict(within or {"": F.lit(True)})
+    bit = {name: 1 << k for k, name in enumerate(named)}
+    mask = reduce(Column.bitwiseOR, [F.when(holds, bit[name]).otherwise(0) for name, holds in named.items()])
+    rows = rows.select(*keys, F.col(value).cast("double").alias("_value"), mask.alias("_mask")).where("_value IS NOT NULL AND _mask <> 0")
+    seen = rows.agg(_bounds("_value", parts).alias("cuts"), F.approx_count_distinct(F.xxhash64(*keys)).alias("keys")).first()  # bounds and a number
+    cuts = [c for k, c in enumerate(seen["cuts"]) if not k or c != seen["cuts"][k - 1]]
+    dealt = _placed(rows, "_value", F.lit(cuts) if cuts else F.array().cast("array<double>"), len(cuts))
+    names = F.explode(F.array(*[F.struct(F.lit(name).alias("within"), F.lit(b).alias("_bit")) for name, b in bit.items()]))
+    counts = or_total(dealt.groupBy(*keys, "_part", "_mask").agg(F.count("*").alias("_n")), keys, total)
+    own, every = [*keys, "total"], [*keys, "total", "within"]
+    totals = counts.select("*", names.alias("_name")).select("*", "_name.*").where("_mask & _bit <> 0").groupBy(*every, "_bit", "_part").agg(F.sum("_n").alias("_t"))
+    of_key = Window.partitionBy(*every)
     upto = F.sum("_t").over(of_key.orderBy("_part"))
-    bases = totals.select(*keys, "_part", (upto - F.col("_t")).alias("_base"), upto.alias("_upto"), F.sum("_t").over(of_key).alias("_all"))
+    bases = totals.select(*every, "_bit", "_part", (upto - F.col("_t")).alias("_base"), upto.alias("_upto"), F.sum("_t").over(of_key).alias("_all"))
     low, high = F.expr("(_all - 1) div 2"), F.expr("_all div 2")
-    wanted = bases.where((F.col("_upto") > low) & (F.col("_base") <= high))
-    null_safe = reduce(Column.__and__, [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in (*keys, "_part")])
-    met = dealt.alias("d").join(wanted.alias("w"), null_safe).select("d.*", "_base", "_all")
-    placed = met.withColumn("_end", F.col("_base") + F.sum("_n").over(Window.partitionBy(*keys, "_part").orderBy(value)))
-    first = lambda rank: F.min(F.when(F.col("_end") > rank, F.col(value).cast("double")))
-    return placed.groupBy(*keys).agg(((first(low) + first(high)) / 2).alias("middle"))
+    wanted = bases.where((F.col("_upto") > low) & (F.col("_base") <= high)).drop("_upto")
+    wanted = F.broadcast(wanted) if seen["keys"] * len(named) <= BROADCAST_KEYS else wanted  # a row or two for each key and name
+    same = reduce(Column.__and__, [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in (*own, "_part")]) & F.expr("d._mask & w._bit <> 0")
+    met = or_total(dealt, keys, total).alias("d").join(wanted.alias("w"), same).select(*[F.col(f"d.{c}") for c in (*own, "_part", "_value")], "within", "_base", "_all")
+    each = met.groupBy(*every, "_part", "_base", "_all", "_value").agg(F.count("*").alias("_n"))
+    ended = each.withColumn("_end", F.col("_base") + F.sum("_n").over(Window.partitionBy(*every, "_part").orderBy("_value")))
+    first = lambda rank: F.min(F.when(F.col("_end") > rank, F.col("_value")))
+    found = ended.groupBy(*every).agg(((first(low) + first(high)) / 2).alias("middle"))
+    return found.drop(*([] if within else ["within"]), *([] if total else ["total"]))
 
 
 def strict_percentile(rows: DataFrame, value: str, out: str = "pct", parts: int = 256) -> DataFrame:

@@ -330,9 +330,12 @@ _BANDS_OF = "median(l_quantity) FILTER (WHERE l_quantity BETWEEN 1 AND 30) + med
 SELECT g, n_prices, round(exact, 6) AS exact, CAST(round_even(exact, 0) AS BIGINT) AS comparable, round(middle, 6) AS middle FROM c""")
 def hot_key_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comparables and medians of every day's items and, as one more key, of all items."""
-    items = load(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", F.explode(F.array(F.lit("all"), F.to_date("l_shipdate").cast("string"))).alias("g"))
-    found = pricing.spread_comparables(items, "g", "l_quantity", BANDS).join(scoring.middles(items, ["g"], "l_extendedprice"), "g")
-    return found.select("g", "n_prices", F.round("exact", 6).alias("exact"), "comparable", F.round("middle", 6).alias("middle"))
+    items = load(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", F.to_date("l_shipdate").alias("day"))
+    found = pricing.spread_comparables(items, "day", "l_quantity", BANDS, total=True)
+    middle = scoring.middles(items, ["day"], "l_extendedprice", total=True)
+    both = found.alias("f").join(middle.alias("m"), F.col("f.day").eqNullSafe(F.col("m.day")) & (F.col("f.total") == F.col("m.total")), "left")
+    g = F.when(F.col("f.total"), "all").otherwise(F.col("f.day").cast("string"))
+    return both.select(g.alias("g"), "n_prices", F.round("exact", 6).alias("exact"), "comparable", F.round("middle", 6).alias("middle"))
 
 
 @query("SELECT o_orderkey, (SELECT list_reduce(list_prepend(0::BIGINT, [('0x' || substr(h, CAST(i AS INTEGER), 2))::BIGINT FOR i IN range(1, 32, 2)]), lambda a, x: (a * 256 + x) % 7) FROM (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS h)) AS shard FROM orders WHERE o_orderkey IS NOT NULL")

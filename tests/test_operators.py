@@ -376,6 +376,45 @@ def test_medians_by_ranges(spark):
     assert scoring.middles(table.limit(0), ["k"], "p").count() == 0
 
 
+def test_medians_of_totals_and_many_keys(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(rng.choice(["hot"] * 5 + ["a", None]), rng.choice([float(rng.randrange(9)), rng.random() * 60, 22.0, None])) for _ in range(1500)] + [("none", None)]
+    table = spark.createDataFrame(rows, "k string, p double")
+    under = {"low": lambda p: p < 30, "any": lambda p: True, "high": lambda p: p >= 22, "never": lambda p: p > 99}
+    by = collections.defaultdict(list)
+    for k, p in rows:
+        for name, holds in under.items():
+            if p is not None and holds(p):
+                by[False, k, name].append(p)
+                by[True, None, name].append(p)
+    within = {"low": F.col("p") < 30, "any": F.lit(True), "high": F.col("p") >= 22, "never": F.col("p") > 99}
+    for most in (scoring.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(scoring, "BROADCAST_KEYS", most)
+        got = [((r.total, r.k, r.within), r.middle) for r in scoring.middles(table, ["k"], "p", 32, within, total=True).collect()]
+        assert len(got) == len(by) and dict(got) == {k: statistics.median(v) for k, v in by.items()}
+    bands = pricing.Bands((1, 30), (20, 45), (1, 15), 14.0)
+    both = table.withColumn("total", F.lit(False)).union(table.select(F.lit(None).cast("string"), "p", F.lit(True)))
+    want = pricing.comparables(both.withColumn("k", F.struct("k", "total")), "k", "p", bands).select("k.*", "n_prices", "exact", "comparable")
+    assert sorted(map(str, pricing.spread_comparables(table, "k", "p", bands, total=True).collect())) == sorted(map(str, want.collect()))
+
+
+def test_medians_leave_rows_where_they_are(spark):
+    sc = spark.sparkContext._jsc.sc()
+
+    def moved():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+        stages = sc.statusStore().stageList(None, False, False, none, spark._jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    rows, before = spark.range(0, 60_000, 1, 4).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 60_000 / 1000).alias("p")), moved()
+    assert scoring.middles(rows, ["k"], "p").count() == 3
+    assert moved() - before < 20_000
+    before = moved()
+    assert pricing.spread_comparables(rows, "k", "p", pricing.Bands((1, 30), (20, 45), (1, 15), 14.0)).count() == 3
+    assert moved() - before < 20_000
+
+
 def test_menu_lines(spark):
     menu = "Dinner\r\nSteak - rare\n\nEntrée :\nFish of the day\n$12\nFollow us on all sites\nPie supplement\n" + "long " * 30
     docs = spark.createDataFrame([(1, menu), (2, None), (3, "Desserts")], "k int, text string")
